@@ -1,0 +1 @@
+"""Intentionally empty: the product is one annual batch and has no stream to follow."""
