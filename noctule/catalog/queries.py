@@ -121,11 +121,11 @@ def geonames_parse(spark, d):
 
 
 def nearest_place(spark, d):
-    return attach_nearest_place(candidates(spark, d, MESH_FINE), t.places(spark, d)).select("cand_ord", "near")
+    return attach_nearest_place(materialize(candidates(spark, d, MESH_FINE), "mesh"), t.places(spark, d)).select("cand_ord", "near")
 
 
 def nearest_place_unbounded(spark, d):
-    return attach_nearest_place(candidates(spark, d, MESH_COARSE), t.places(spark, d), None).select("cand_ord", "near")
+    return attach_nearest_place(materialize(candidates(spark, d, MESH_COARSE), "mesh"), t.places(spark, d), None).select("cand_ord", "near")
 
 
 def within_radius_counts(spark, d):

@@ -29,6 +29,7 @@ HOT_CELL_ROWS = 5_000
 MAX_DEPTH = 12
 FANOUT = 4
 SLACK_KM = 1e-6
+HALF_GLOBE_KM = 20_020.0
 SUB_CELL = ("cell", "vy", "ux")
 
 
@@ -187,7 +188,8 @@ def _within(queries: DataFrame, tree: CellTree, radius_km: float) -> tuple[DataF
     frontier = tree.facing(queries, radius_km)
     leaves, whole = [], []
     for level in range(len(tree.levels)):
-        near = tree.bounds(frontier, level).filter(F.col("lb") <= radius_km)
+        # used three ways below, so it is computed once
+        near = materialize(tree.bounds(frontier, level).filter(F.col("lb") <= radius_km), "faced")
         is_leaf = (F.col("n") <= tree.hot_rows) | F.lit(level == MAX_DEPTH)
         leaves.append(near.filter(is_leaf).withColumn("level", F.lit(level)))
         whole.append(near.filter(~is_leaf & (F.col("ub") <= radius_km)).withColumn("level", F.lit(level)))
@@ -290,15 +292,31 @@ def nearest_within(
     return _first_by_distance(pairs, key, ord_col)
 
 
-def nearest_any(queries: DataFrame, points: DataFrame, key: str, ord_col: str, hot_rows: int = 200) -> DataFrame:
-    """Nearest point at any distance, by descent from 24 cells that cover the globe."""
-    pts = _one_per_place(points, ord_col)
-    tree = CellTree(pts, 60.0, hot_rows)
-    q = _prefixed(_located(queries).select(key, "lat", "lon"), "q_")
-    # every query faces the whole top level, at most 24 rows
-    tops = F.explode(F.lit([b * BAND_SHIFT + c for b in range(-2, 2) for c in range(6)]).cast("array<bigint>"))
-    pairs = _closest_leaf_pairs(q.withColumn("cell", tops).join(F.broadcast(tree.levels[0]), "cell"), tree, key)
-    return _first_by_distance(pairs, key, ord_col)
+def nearest_any(
+    queries: DataFrame,
+    points: DataFrame,
+    key: str,
+    ord_col: str,
+    start_km: float = 25.0,
+    hot_rows: int = HOT_CELL_ROWS,
+) -> DataFrame:
+    """Nearest point at any distance: search a radius, then a four times wider one for queries that found nothing.
+
+    A point found within a radius is the nearest overall, so most queries are done after the first search.
+    """
+    pts = materialize(_one_per_place(points, ord_col), "points")
+    left = materialize(_located(queries).select(key, "lat", "lon"), "queries")
+    found: list[DataFrame] = []
+    radius = start_km
+    while True:
+        found.append(materialize(nearest_within(left, pts, radius, key, ord_col, hot_rows), "nearest"))
+        if radius >= HALF_GLOBE_KM:
+            break
+        left = materialize(left.join(found[-1].select(key), key, "left_anti"), "queries")
+        if not left.take(1):
+            break
+        radius = min(radius * 4, HALF_GLOBE_KM)
+    return reduce(DataFrame.unionByName, found)
 
 
 def _one_per_place(points: DataFrame, ord_col: str) -> DataFrame:
@@ -315,6 +333,7 @@ def _closest_leaf_pairs(frontier: DataFrame, tree: CellTree, key: str) -> DataFr
         faced = tree.bounds(frontier, level).withColumn("level", F.lit(level))
         faced = faced if kept is None else kept.unionByName(faced)
         faced = faced.withColumn("_best", F.min("ub").over(by_query)).filter(F.col("lb") <= F.col("_best")).drop("_best")
+        faced = materialize(faced, "faced")
         deeper = (F.col("level") == level) & (F.col("n") > tree.hot_rows) & F.lit(level < MAX_DEPTH)
         kept = faced.filter(~deeper)
         if level + 1 == len(tree.levels):

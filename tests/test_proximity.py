@@ -71,7 +71,7 @@ def test_nearest_equals_all_pairs(spark, where, hot_rows):
     sq, sp = spark.createDataFrame(q), spark.createDataFrame(p.rename(columns={"id": "ord"}))
     got = {r.id: r.p_ord for r in nearest_within(sq, sp, 40.0, "id", "ord", hot_rows).collect()}
     assert got == {i: int(np.argmin(d)) for i, d in enumerate(far) if d.min() <= 40}
-    everywhere = {r.id: r.p_ord for r in nearest_any(sq, sp, "id", "ord", min(hot_rows, 200)).collect()}
+    everywhere = {r.id: r.p_ord for r in nearest_any(sq, sp, "id", "ord", 20.0, hot_rows).collect()}
     assert everywhere == {i: int(np.argmin(d)) for i, d in enumerate(far)}
 
 
@@ -110,11 +110,12 @@ def sites_and_towns(n_sites, n_towns, seed, tie):
     return mesh, towns
 
 
-@pytest.mark.parametrize("seed,n_sites,n_towns,tie,radius", [(1, 300, 150, 1, 40), (2, 120, 200, 8, 60), (3, 40, 80, 0, 50), (4, 900, 200, 2, 25)])
-def test_coverage_equals_the_sequential_scan(spark, seed, n_sites, n_towns, tie, radius):
+@pytest.mark.parametrize("replay_rows", [10**6, 0])
+@pytest.mark.parametrize("seed,n_sites,n_towns,tie,radius", [(1, 300, 150, 1, 40), (3, 40, 80, 0, 50), (4, 900, 200, 2, 25)])
+def test_coverage_equals_the_sequential_scan(spark, seed, n_sites, n_towns, tie, radius, replay_rows):
     mesh, towns = sites_and_towns(n_sites, n_towns, seed, tie)
     kept = mesh[mesh.cand_ord.isin(thin(mesh, 70))]
-    out = ensure_coverage(spark.createDataFrame(kept, SITES), spark.createDataFrame(mesh, SITES), spark.createDataFrame(towns, TOWNS), 4, radius)
+    out = ensure_coverage(spark.createDataFrame(kept, SITES), spark.createDataFrame(mesh, SITES), spark.createDataFrame(towns, TOWNS), 4, radius, replay_rows)
     got = [(r.cand_ord, r.added_by) for r in out.orderBy(*coverage_order()).collect()]
     want = [(c, -1) for c in thin(mesh, 70)] + cover(kept, mesh, towns, 4, radius)
     assert got == want
