@@ -19,7 +19,7 @@ from typing import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, GroupedData, functions as F
 
 from noctule import constants as K
 from noctule.model import Grid
@@ -87,20 +87,24 @@ def _half_width_px(lats: np.ndarray, grid: Grid, params: AlrParams) -> np.ndarra
     return np.floor(np.degrees(np.arcsin(ratio)) / abs(grid.a) + 1e-9).astype(int)
 
 
-def row_segments(pixels: DataFrame, noise_floor: float) -> DataFrame:
-    """Pixels packed as (row, seg, cols, vals): 8 to 12 bytes a pixel in the shuffles that follow.
+def row_segments(pixels: DataFrame) -> DataFrame:
+    """Pixels packed as (row, seg, cols, vals), which takes half the bytes of single rows in a shuffle.
 
-    Radiance under the noise floor counts as 0; pixels without data are left out.
+    Pixels without data are left out. A raster stored in this form skips the shuffle made here.
     """
-    value = F.when(F.col("radiance") < noise_floor, F.lit(0.0)).otherwise(F.col("radiance").cast("double"))
     data = pixels.filter(F.col("radiance").isNotNull() & ~F.isnan("radiance"))
     return (
         data.groupBy("row", F.floor(F.col("col") / SEGMENT_PX).cast("int").alias("seg"))
-        .agg(F.collect_list(F.struct(F.col("col"), value.alias("val"))).alias("px"))
+        .agg(F.collect_list(F.struct("col", F.col("radiance").cast("double").alias("val"))).alias("px"))
         .select("row", "seg", F.col("px.col").alias("cols"), F.col("px.val").alias("vals"))
     )
 
 
+def _routed(raster: DataFrame, grid: Grid, blocks: Blocks) -> GroupedData:
+    segments = raster if "vals" in raster.columns else row_segments(raster)
+    return route_segments(segments, grid, blocks).groupBy("b_row", "b_col")
+
+
 def route_segments(segments: DataFrame, grid: Grid, blocks: Blocks) -> DataFrame:
     """Repeat each segment for every block (b_row, b_col) that needs it."""
     last_row, last_col = -(-grid.rows // blocks.rows) - 1, -(-grid.cols // blocks.cols) - 1
@@ -124,23 +128,22 @@ def route_segments(segments: DataFrame, grid: Grid, blocks: Blocks) -> DataFrame
 def compute_alr(
     pixels: DataFrame, grid: Grid, params: AlrParams = AlrParams(), block_px: int = 2048
 ) -> DataFrame:
-    """(row, col, alr) for every pixel of the grid from (row, col, radiance).
+    """(row, col, alr) for every pixel of the grid from (row, col, radiance) or from row segments.
 
     On a projected grid one two-dimensional transform per block is enough. On a latitude/longitude grid pixel
     widths change from row to row, so rows are convolved pair by pair, with pixels weighted by their area.
     """
     blocks = layout(grid, params, block_px)
-    routed = route_segments(row_segments(pixels, params.noise_floor), grid, blocks)
     convolve = _rows_kernel(grid, params, blocks) if grid.geographic else _plane_kernel(grid, params, blocks)
 
     def block(key: tuple, segments: pa.Table) -> pa.Table:
         b_row, b_col = key[0].as_py(), key[1].as_py()
-        field, known = _padded(segments, b_row, b_col, blocks)
+        field, known = _padded(segments, b_row, b_col, blocks, params.noise_floor)
         out = convolve(field, b_row) * params.calib_c
         out[~known] = np.nan
         return _emit(_mask_edge(out, b_row, b_col, grid, params, blocks), b_row, b_col, grid, blocks)
 
-    return routed.groupBy("b_row", "b_col").applyInArrow(block, "row int, col int, alr double")
+    return _routed(pixels, grid, blocks).applyInArrow(block, "row int, col int, alr double")
 
 
 def ring_sums(pixels: DataFrame, grid: Grid, params: AlrParams = AlrParams(), block_px: int = 1024) -> DataFrame:
@@ -148,12 +151,11 @@ def ring_sums(pixels: DataFrame, grid: Grid, params: AlrParams = AlrParams(), bl
     if grid.geographic:
         raise ValueError("ring sums are defined on a projected grid")
     blocks = layout(grid, params, block_px)
-    routed = route_segments(row_segments(pixels, params.noise_floor), grid, blocks)
     ring = _ring_index(grid, params, blocks)
 
     def block(key: tuple, segments: pa.Table) -> pa.Table:
         b_row, b_col = key[0].as_py(), key[1].as_py()
-        field, known = _padded(segments, b_row, b_col, blocks)
+        field, known = _padded(segments, b_row, b_col, blocks, params.noise_floor)
         parts = []
         for k in range(params.edges().size):
             if not (ring == k).any():
@@ -167,7 +169,7 @@ def ring_sums(pixels: DataFrame, grid: Grid, params: AlrParams = AlrParams(), bl
             )
         return pa.concat_tables(parts)
 
-    return routed.groupBy("b_row", "b_col").applyInArrow(block, "row int, col int, ring int, ring_sum double")
+    return _routed(pixels, grid, blocks).applyInArrow(block, "row int, col int, ring int, ring_sum double")
 
 
 def weigh_rings(sums: DataFrame, params: AlrParams = AlrParams()) -> DataFrame:
@@ -179,8 +181,13 @@ def weigh_rings(sums: DataFrame, params: AlrParams = AlrParams()) -> DataFrame:
 # --- inside one block ---------------------------------------------------------------------------
 
 
-def _padded(segments: pa.Table, b_row: int, b_col: int, blocks: Blocks) -> tuple[np.ndarray, np.ndarray]:
-    """Radiance of the block with its surroundings (0 where unknown), and which block pixels are known."""
+def _padded(
+    segments: pa.Table, b_row: int, b_col: int, blocks: Blocks, noise_floor: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Radiance of the block with its surroundings, and which block pixels are known.
+
+    Unknown pixels and radiance under the noise floor count as 0.
+    """
     ry, rx = blocks.reach_y, blocks.reach_x[b_row]
     field = np.full((blocks.rows + 2 * ry, blocks.cols + 2 * rx), np.nan)
     vals = segments["vals"].combine_chunks()
@@ -190,7 +197,8 @@ def _padded(segments: pa.Table, b_row: int, b_col: int, blocks: Blocks) -> tuple
     inside = (cols >= 0) & (cols < field.shape[1])
     field[rows[inside], cols[inside]] = vals.flatten().to_numpy()[inside]
     known = ~np.isnan(field[ry : ry + blocks.rows, rx : rx + blocks.cols])
-    return np.nan_to_num(field, nan=0.0), known
+    field[np.isnan(field) | (field < noise_floor)] = 0.0
+    return field, known
 
 
 def _ring_index(grid: Grid, params: AlrParams, blocks: Blocks) -> np.ndarray:

@@ -213,12 +213,16 @@ def count_within(
 ) -> DataFrame:
     """Queries with ``within``: how many points lie at most ``radius_km`` away (0 included).
 
-    Points at the same coordinates are folded into one weighted point first.
+    Only if some cell is hot are points at the same coordinates folded into one weighted point.
     """
-    spots = _located(points).groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("w"))
+    spots = _located(points).select("lat", "lon", F.lit(1).cast("bigint").alias("w"))
     q = queries.select(key, "lat", "lon")
     deg = cell_deg(radius_km)
-    if not has_hot_cell(spots, deg, hot_rows):
+    hot = has_hot_cell(spots, deg, hot_rows)
+    if hot:
+        spots = materialize(spots.groupBy("lat", "lon").agg(F.sum("w").alias("w")), "points")
+        hot = has_hot_cell(spots, deg, hot_rows)
+    if not hot:
         parts = range_pairs(q, spots, radius_km).select(F.col("q_" + key).alias(key), F.col("p_w").alias("w"))
     else:
         tree = CellTree(spots, deg, hot_rows)
@@ -245,12 +249,16 @@ def top_within(
 ) -> DataFrame:
     """The first ``k`` points by ``order`` at most ``radius_km`` from each query, as ``q_*, p_*, km, rnk``.
 
-    ``order`` lists (point column, "asc" | "desc"). Of the points at one place, and of a hot sub-cell wholly
-    in reach, only their own first ``k`` can matter, so only those are paired.
+    ``order`` lists (point column, "asc" | "desc"). If some cell is hot: of the points at one place, and of a
+    hot sub-cell wholly in reach, only their own first ``k`` can matter, so only those are paired.
     """
-    pts = _first_k(_located(points), k, ("lat", "lon"), _ordering(order))
+    pts = _located(points)
     deg = cell_deg(radius_km)
-    if not has_hot_cell(pts, deg, hot_rows):
+    hot = has_hot_cell(pts, deg, hot_rows)
+    if hot:
+        pts = materialize(_first_k(pts, k, ("lat", "lon"), _ordering(order)), "points")
+        hot = has_hot_cell(pts, deg, hot_rows)
+    if not hot:
         pairs = range_pairs(queries, pts, radius_km)
     else:
         tree = CellTree(pts, deg, hot_rows)
@@ -279,12 +287,16 @@ def nearest_within(
 ) -> DataFrame:
     """``key``, the nearest point's columns as ``p_*`` and ``km``, for queries with a point at most ``radius_km`` away.
 
-    Equal distances take the lowest ``ord_col``; of points at one place only the lowest is kept beforehand.
+    Equal distances take the lowest ``ord_col``. If some cell is hot, only that point is kept of every place.
     """
-    pts = _one_per_place(points, ord_col)
+    pts = _located(points)
     q = _located(queries).select(key, "lat", "lon")
     deg = cell_deg(radius_km)
-    if not has_hot_cell(pts, deg, hot_rows):
+    hot = has_hot_cell(pts, deg, hot_rows)
+    if hot:
+        pts = materialize(_one_per_place(pts, ord_col), "points")
+        hot = has_hot_cell(pts, deg, hot_rows)
+    if not hot:
         pairs = range_pairs(q, pts, radius_km)
     else:
         tree = CellTree(pts, deg, hot_rows)
@@ -304,7 +316,7 @@ def nearest_any(
 
     A point found within a radius is the nearest overall, so most queries are done after the first search.
     """
-    pts = materialize(_one_per_place(points, ord_col), "points")
+    pts = materialize(_located(points), "points")
     left = materialize(_located(queries).select(key, "lat", "lon"), "queries")
     found: list[DataFrame] = []
     radius = start_km
@@ -322,7 +334,7 @@ def nearest_any(
 def _one_per_place(points: DataFrame, ord_col: str) -> DataFrame:
     cols = [c for c in points.columns if c not in ("lat", "lon", ord_col)]
     first = F.min(F.struct(ord_col, *cols)).alias("_first")
-    return _located(points).groupBy("lat", "lon").agg(first).select("lat", "lon", "_first.*")
+    return points.groupBy("lat", "lon").agg(first).select("lat", "lon", "_first.*")
 
 
 def _closest_leaf_pairs(frontier: DataFrame, tree: CellTree, key: str) -> DataFrame:

@@ -36,7 +36,7 @@ def mesh_minima(
     px_y, px_x = grid.mesh_cell_px(mesh_km)
     cell_cols = -(-grid.cols // px_x)
     cell_row, cell_col = F.floor(F.col("row") / px_y), F.floor(F.col("col") / px_x)
-    cells = scored.filter(F.col("darkness").isNotNull() & ~F.isnan("darkness")).select(
+    cells = scored.select(
         (cell_row * F.lit(cell_cols).cast("bigint") + cell_col).alias("cand_ord"), "row", "col", "darkness", "bortle"
     )
     if unit_darkness and px_y * px_x <= PACKED_CELL_PIXELS:
@@ -44,7 +44,8 @@ def mesh_minima(
     else:
         rank = F.col("darkness") if pick == "min" else -F.col("darkness")
         best = (
-            cells.groupBy("cand_ord")
+            cells.filter(F.col("darkness").isNotNull() & ~F.isnan("darkness"))
+            .groupBy("cand_ord")
             .agg(F.min(F.struct(rank.alias("rank"), "row", "col", "darkness", "bortle")).alias("b"))
             .select("cand_ord", "b.row", "b.col", "b.darkness", "b.bortle")
         )
@@ -62,13 +63,15 @@ def mesh_minima(
 def _packed_best(cells: DataFrame, px_y: int, px_x: int, cell_cols: int, pick: str) -> DataFrame:
     steps = F.col("darkness") * F.lit(UNIT_STEPS)
     exact = (F.col("darkness") >= 0) & (F.col("darkness") <= 1) & (steps == F.floor(steps).cast("double"))
-    whole = F.when(exact, steps.cast("bigint")).otherwise(
-        F.raise_error(F.lit("unit_darkness needs values computed by alr_to_darkness")).cast("bigint")
-    )
+    wrong = F.raise_error(F.lit("unit_darkness needs values computed by alr_to_darkness")).cast("bigint")
+    # NULL for no data: min and min_by skip it, and the score is evaluated once instead of again in a filter
+    no_data = F.col("darkness").isNull() | F.isnan("darkness")
+    whole = F.when(no_data, F.lit(None).cast("bigint")).when(exact, steps.cast("bigint")).otherwise(wrong)
     level = whole if pick == "min" else F.lit(int(UNIT_STEPS)).cast("bigint") - whole
     pixel = (F.col("row") % px_y) * px_x + F.col("col") % px_x
     packed = cells.select("cand_ord", "bortle", (level * PACKED_CELL_PIXELS + pixel).alias("packed"))
     best = packed.groupBy("cand_ord").agg(F.min("packed").alias("packed"), F.min_by("bortle", "packed").alias("bortle"))
+    best = best.filter(F.col("packed").isNotNull())
     pixel = F.pmod("packed", F.lit(PACKED_CELL_PIXELS).cast("bigint"))
     level = F.shiftright("packed", 9)
     whole = level if pick == "min" else F.lit(int(UNIT_STEPS)).cast("bigint") - level

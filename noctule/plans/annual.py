@@ -84,9 +84,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Release:
     pixels = read_pixels(spark, args.raster, args.region, args.year)
     grid = read_grid(spark, args)
     alr = compute_alr(pixels, grid, AlrParams(max_km=args.max_km), args.block_px)
-    scored = materialize(score_pixels(alr), "scored")
     if args.debug_raster:
-        write_debug_raster(scored, f"{args.out}/debug", args.region, args.year)
+        # two readers of the ratio: store it; otherwise it flows straight into the mesh aggregate
+        alr = materialize(alr, "alr")
+        write_debug_raster(score_pixels(alr), f"{args.out}/debug", args.region, args.year)
+    scored = score_pixels(alr)
     places = materialize(load_places(spark, region, args.places), "places")
     sites = select_sites(scored, places, grid, SiteParams(mesh_km=args.mesh_km))
     published = read_snapshot(spark, args.published) if args.published else None

@@ -38,4 +38,4 @@ def read_tiles(spark: SparkSession, path: str) -> DataFrame:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema).select(*fields)
-    return df.filter(F.col(corrupt).isNull()).select(*fields)
+    return df.filter(F.col(corrupt).isNull() & F.col("tile").isNotNull()).select(*fields)

@@ -71,6 +71,8 @@ def test_several_block_columns(spark):
     one = image(compute_alr(frame(spark, values), grid, SMALL, 4096), grid)
     many = image(compute_alr(frame(spark, values), grid, SMALL, 25), grid)
     np.testing.assert_allclose(many, one, rtol=1e-9)
+    stored = image(compute_alr(row_segments(frame(spark, values)), grid, SMALL, 25), grid)
+    np.testing.assert_array_equal(stored, many)
 
 
 def test_ring_sums_weigh_to_the_ratio(spark):
@@ -105,7 +107,7 @@ def test_missing_pixels_give_nothing_and_get_nothing(spark):
 
 def test_each_pixel_reaches_exactly_the_blocks_that_need_it(spark):
     blocks = layout(PLANE, SMALL, 20)
-    routed = route_segments(row_segments(frame(spark, field(PLANE)), 0.0), PLANE, blocks)
+    routed = route_segments(row_segments(frame(spark, field(PLANE))), PLANE, blocks)
     got = {(r.row, r.b_row) for r in routed.select("row", "b_row").distinct().collect()}
     reach = blocks.reach_y
     assert got == {(row, b) for row in range(60) for b in range(3) if b * 20 - reach <= row < b * 20 + 20 + reach}

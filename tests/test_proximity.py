@@ -25,7 +25,7 @@ def cloud(n, seed, hot=0, around=(47.0, 3.0), spread=(4.0, 6.0)):
     return pd.DataFrame({"id": np.arange(n), "lat": lat, "lon": (lon + 180) % 360 - 180, "darkness": rng.random(n).round(2)})
 
 
-PLACES = [dict(around=(47.0, 3.0)), dict(around=(89.0, 10.0), spread=(1.0, 180.0)), dict(around=(-20.0, 179.9))]
+PLACES = [dict(around=(89.0, 10.0), spread=(1.0, 180.0)), dict(around=(-20.0, 179.9))]
 
 
 @pytest.mark.parametrize("where", PLACES)
@@ -37,7 +37,7 @@ def test_range_pairs_equals_all_pairs(spark, where):
 
 
 @pytest.mark.parametrize("where", PLACES)
-@pytest.mark.parametrize("hot_rows", [10**6, 20])
+@pytest.mark.parametrize("hot_rows", [10**6, 45])
 def test_count_within_equals_all_pairs(spark, where, hot_rows):
     q, p = cloud(150, 3, hot=60, **where), cloud(400, 4, hot=200, **where)
     p.loc[100:140, ["lat", "lon"]] = p.loc[100, ["lat", "lon"]].to_list()
@@ -47,7 +47,7 @@ def test_count_within_equals_all_pairs(spark, where, hot_rows):
 
 
 @pytest.mark.parametrize("where", PLACES)
-@pytest.mark.parametrize("hot_rows", [10**6, 20])
+@pytest.mark.parametrize("hot_rows", [10**6, 45])
 def test_top_within_equals_all_pairs(spark, where, hot_rows):
     q, p = cloud(80, 5, hot=30, **where), cloud(400, 6, hot=200, **where)
     p.loc[100:140, ["lat", "lon"]] = p.loc[100, ["lat", "lon"]].to_list()
@@ -63,7 +63,7 @@ def test_top_within_equals_all_pairs(spark, where, hot_rows):
 
 
 @pytest.mark.parametrize("where", PLACES)
-@pytest.mark.parametrize("hot_rows", [10**6, 20])
+@pytest.mark.parametrize("hot_rows", [10**6, 45])
 def test_nearest_equals_all_pairs(spark, where, hot_rows):
     q, p = cloud(150, 7, hot=60, **where), cloud(400, 8, hot=200, **where)
     p.loc[100:140, ["lat", "lon"]] = p.loc[100, ["lat", "lon"]].to_list()
