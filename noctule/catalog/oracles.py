@@ -261,6 +261,18 @@ SAMPLED = [GRID, _pixels(), SCORED, CONTROL, """sampled AS (
   FROM (SELECT c.*, floor((c.lat - 51.0::DOUBLE) / g.e)::INT AS r, floor((c.lon + 5.0::DOUBLE) / 0.1::DOUBLE)::INT AS k FROM control c, grid g) c
   LEFT JOIN scored s ON s."row" = c.r AND s.col = c.k)"""]
 
+NIGHT = """night AS (
+  SELECT *, CASE WHEN cloud IS NULL THEN 1.0::DOUBLE ELSE pow(1.0::DOUBLE - cloud, 2) END AS weather,
+         CASE WHEN moon_deg < 0 THEN 1.0::DOUBLE ELSE 1.0::DOUBLE - moon_lit END AS moon,
+         CASE WHEN sun_deg <= -18 THEN 1.0::DOUBLE WHEN sun_deg < -12 THEN 1.0::DOUBLE - (sun_deg + 18) / 6.0::DOUBLE * 0.6::DOUBLE
+              ELSE greatest((-6 - sun_deg) / 6.0::DOUBLE * 0.4::DOUBLE, 0) END AS twilight,
+         coalesce(darkness, (9 - bortle) / 8.0::DOUBLE) AS dark
+  FROM scored JOIN (
+    SELECT (o_orderkey // 150)::INT AS "row", (o_orderkey % 150)::INT AS col,
+           CASE WHEN o_orderkey % 5 <> 0 THEN (o_orderkey * 37 % 101) / 100.0::DOUBLE END AS cloud, (o_orderkey * 53 % 121) - 60 AS moon_deg,
+           (o_orderkey * 29 % 101) / 100.0::DOUBLE AS moon_lit, (o_orderkey * 31 % 300) / 10.0::DOUBLE - 25.0::DOUBLE AS sun_deg
+    FROM orders) USING ("row", col))"""
+
 LON_MIN, LAT_MIN, LON_MAX, LAT_MAX = t.BOX.bbox
 
 
@@ -339,6 +351,22 @@ FROM old_tiles JOIN changes USING (tile)""",
         "validation_summary": with_(*SAMPLED)
         + """ SELECT count(*) AS points, round(avg("match"::INT), 6) AS match_share, count(*) FILTER (WHERE got_bortle = expected_bortle) AS exact,
   round(avg(got_bortle - expected_bortle), 6) AS mean_delta FROM sampled""",
+        "spots_in_radius": with_(*_candidates(MESH_COARSE), CONTROL)
+        + f""" SELECT point, rnk::INT AS rnk, id, round(km, 6) AS km FROM (
+  SELECT *, row_number() OVER (PARTITION BY point ORDER BY darkness DESC, id) AS rnk FROM (
+    SELECT c.point, m.darkness, {spot('m.lat', 'm.lon')} AS id, {km('c.lat', 'c.lon', 'm.lat', 'm.lon')} AS km FROM control c, mesh m)
+  WHERE km <= 75) WHERE rnk <= 20""",
+        "tile_neighbours": with_(PLACES)
+        + f""" SELECT place_ord, {tile('(floor(lat) + dy)', '(floor(lon) + dx)')} AS tile, dy = 0 AND dx = 0 AS own
+FROM places, (VALUES (-1), (0), (1)) a(dy), (VALUES (-1), (0), (1)) b(dx)""",
+        "night_scores": with_(_pixels(), SCORED, NIGHT)
+        + """ SELECT "row", col, floor(dark * moon * twilight * weather * 10 + 0.5)::INT AS score, round(dark * moon * twilight * weather, 6) AS raw,
+  cloud IS NULL AS weather_missing,
+  CASE WHEN least(weather, moon, twilight) >= 0.8::DOUBLE THEN 'ideal' WHEN weather = least(weather, moon, twilight) THEN 'clouds'
+       WHEN moon = least(weather, moon, twilight) THEN 'moon' ELSE 'twilight' END AS limiting FROM night""",
+        "weather_freshness": """SELECT event_id, CASE WHEN epoch_us(now) - epoch_us(ts) <= 3 * 3600000000 THEN 'fresh'
+  WHEN epoch_us(now) - epoch_us(ts) <= 12 * 3600000000 THEN 'aged' ELSE 'stale' END AS age
+FROM events JOIN (SELECT user_id, max(ts) AS now FROM events GROUP BY 1) USING (user_id)""",
         "annual_sites": with_(
             *_candidates(MESH_COVER), _edges(), THIN,
             PLACES.replace("places AS", "every_place AS"), f"places AS (SELECT * FROM every_place WHERE {_box_places(K.BBOX_MARGIN_KM)})",

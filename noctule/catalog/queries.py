@@ -8,6 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from noctule.catalog import tables as t
 from noctule.functions import bump_version, haversine_km, spot_id, tile_bounds, tile_id
+from noctule.functions.night import (
+    darkness_or_bortle,
+    limiting_factor,
+    moon_factor,
+    night_score,
+    twilight_factor,
+    weather_age,
+)
 from noctule.operators.alr import AlrParams, compute_alr, ring_sums
 from noctule.operators.coverage import (
     attach_nearest_place,
@@ -22,6 +30,7 @@ from noctule.operators.raster import mesh_minima as mesh
 from noctule.operators.raster import score_pixels
 from noctule.operators.release import current_version, spot_diff, tile_changes
 from noctule.operators.release import new_version as next_version
+from noctule.operators.search import spots_around, tiles_around
 from noctule.operators.thinning import redundancy_edges as edges
 from noctule.operators.thinning import redundancy_filter as thin
 from noctule.operators.tiles import (
@@ -265,6 +274,38 @@ def annual_sites(spark, d):
     return sites.select(tile_id(F.col("lat"), F.col("lon")).alias("tile"), "id", r6("darkness"), "bortle", "near", "added_by")
 
 
+def spots_in_radius(spark, d):
+    spots = materialize(candidates(spark, d, MESH_COARSE), "mesh").select(
+        spot_id(F.col("lat"), F.col("lon")).alias("id"), "lat", "lon", F.col("darkness").alias("score")
+    )
+    return spots_around(t.control_points(spark, d), spots, "point").select(
+        F.col("q_point").alias("point"), F.col("rnk").cast("int").alias("rnk"), F.col("p_id").alias("id"), r6("km")
+    )
+
+
+def tile_neighbours(spark, d):
+    return tiles_around(t.places(spark, d)).select("place_ord", "tile", "own")
+
+
+def night_scores(spark, d):
+    """Score of every pixel for a night whose sun, moon and clouds are read off the order."""
+    night = t.nights(spark, d)
+    dark = darkness_or_bortle(F.when(~F.isnan("darkness"), F.col("darkness")), F.col("bortle"))
+    moon, twilight = moon_factor(F.col("moon_deg"), F.col("moon_lit")), twilight_factor(F.col("sun_deg"))
+    scored_night = score_pixels(night).select(
+        "row", "col",
+        night_score(dark, F.col("cloud"), moon, twilight).alias("s"),
+        limiting_factor(F.col("cloud"), moon, twilight).alias("limiting"),
+    )
+    return scored_night.select("row", "col", "s.score", F.round("s.raw", 6).alias("raw"), "s.weather_missing", "limiting")
+
+
+def weather_freshness(spark, d):
+    events = t.read(spark, d, "events").select("event_id", "user_id", "ts")
+    latest = events.groupBy("user_id").agg(F.max("ts").alias("now"))
+    return events.join(latest, "user_id").select("event_id", weather_age(F.col("ts"), F.col("now")).alias("age"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "darkness_bortle": darkness_bortle,
     "bortle_histogram": bortle_histogram,
@@ -303,4 +344,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validate_bortle": validate_bortle,
     "validation_summary": validation_summary,
     "annual_sites": annual_sites,
+    "spots_in_radius": spots_in_radius,
+    "tile_neighbours": tile_neighbours,
+    "night_scores": night_scores,
+    "weather_freshness": weather_freshness,
 }

@@ -47,6 +47,20 @@ def tied_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select(*_row_col(), alr.alias("alr"))
 
 
+def nights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pixels`` with cloud cover (unknown for every 5th), moon altitude and lit part, and sun altitude."""
+    k = F.col("o_orderkey")
+    alr = F.when(k % 17 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice") / 40000.0)
+    return read(spark, sf_dir, "orders").select(
+        *_row_col(),
+        alr.alias("alr"),
+        F.when(k % 5 != 0, (k * 37 % 101) / 100.0).alias("cloud"),
+        ((k * 53 % 121) - 60).cast("double").alias("moon_deg"),
+        (k * 29 % 101 / 100.0).alias("moon_lit"),
+        ((k * 31 % 300) / 10.0 - 25.0).alias("sun_deg"),
+    )
+
+
 def radiance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select(*_row_col(), (F.col("o_totalprice") / 20000.0).alias("radiance"))
 

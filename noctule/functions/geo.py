@@ -8,13 +8,15 @@ from noctule import constants as K
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance in km on the 6371 km sphere."""
-    half_dlat = F.sin(F.radians(lat2 - lat1) / 2)
-    half_dlon = F.sin(F.radians(lon2 - lon1) / 2)
-    chord = half_dlat * half_dlat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_dlon * half_dlon
+    """Great-circle distance in km on the 6371 km sphere.
+
+    Each term occurs once, because join conditions do not share common subexpressions. The arc sine is as exact
+    as the two-argument arc tangent up to a quarter turn and within 0.1 m of it at the antipode.
+    """
+    dlat, dlon = F.sin(F.radians(lat2 - lat1) / 2), F.sin(F.radians(lon2 - lon1) / 2)
+    half_chord2 = F.pow(dlat, F.lit(2)) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(dlon, F.lit(2))
     # rounding can push antipodal points just above 1
-    chord = F.least(chord, F.lit(1.0))
-    return F.lit(K.EARTH_RADIUS_KM) * 2 * F.atan2(F.sqrt(chord), F.sqrt(F.lit(1.0) - chord))
+    return F.asin(F.sqrt(F.least(half_chord2, F.lit(1.0)))) * F.lit(2 * K.EARTH_RADIUS_KM)
 
 
 def _fixed4(x: Column) -> Column:

@@ -59,23 +59,35 @@ def _col_at(lon: Column, n: Column) -> Column:
     return F.pmod(F.floor((lon + F.lit(180.0)) * n / F.lit(360.0)), n)
 
 
+def _reach_deg(radius_km: float) -> float:
+    return math.degrees((radius_km + SLACK_KM) / K.EARTH_RADIUS_KM)
+
+
+def half_width(lat: Column, radius_km: float) -> Column:
+    """Degrees of longitude that the circle around a point at ``lat`` can cover to either side."""
+    ang_deg = _reach_deg(radius_km)
+    sine = math.sin(math.radians(min(ang_deg, 90.0)))
+    return F.when(F.abs(lat) + F.lit(ang_deg + 1e-9) >= 90, F.lit(180.0)).otherwise(
+        F.degrees(F.asin(F.least(F.lit(sine) / F.cos(F.radians(lat)), F.lit(1.0)))) + F.lit(1e-9)
+    )
+
+
 def with_reach(queries: DataFrame, radius_km: float, deg: float, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Repeat each query for every ``cell`` that can hold a point within ``radius_km``."""
-    ang = (radius_km + SLACK_KM) / K.EARTH_RADIUS_KM
-    ang_deg = math.degrees(ang)
+    """Repeat each query for every ``cell`` that can hold a point within ``radius_km``.
+
+    ``half`` is kept: the half width in longitude of the query's circle.
+    """
+    ang_deg = _reach_deg(radius_km)
     la, lo = F.col(lat), F.col(lon)
-    half_lon = F.when(F.abs(la) + F.lit(ang_deg + 1e-9) >= 90, F.lit(180.0)).otherwise(
-        F.degrees(F.asin(F.least(F.lit(math.sin(min(ang, math.pi / 2))) / F.cos(F.radians(la)), F.lit(1.0)))) + 1e-9
-    )
     bands = F.sequence(F.floor((la - F.lit(ang_deg)) / F.lit(deg)), F.floor((la + F.lit(ang_deg)) / F.lit(deg)))
-    banded = queries.withColumns({"_half": half_lon, "_band": F.explode(bands)})
+    banded = queries.withColumns({"half": half_width(la, radius_km), "_band": F.explode(bands)})
     n = _band_cells(F.col("_band"), deg)
-    first = F.floor((lo - F.col("_half") + F.lit(180.0)) * n / F.lit(360.0))
-    last = F.floor((lo + F.col("_half") + F.lit(180.0)) * n / F.lit(360.0))
+    first = F.floor((lo - F.col("half") + F.lit(180.0)) * n / F.lit(360.0))
+    last = F.floor((lo + F.col("half") + F.lit(180.0)) * n / F.lit(360.0))
     all_round = last - first + 1 >= n
     cols = F.sequence(F.when(all_round, F.lit(0).cast("bigint")).otherwise(first), F.when(all_round, n - 1).otherwise(last))
     spread = banded.withColumn("_col", F.explode(cols))
-    return spread.withColumn("cell", _cell_key(F.col("_band"), F.pmod(F.col("_col"), n))).drop("_half", "_band", "_col")
+    return spread.withColumn("cell", _cell_key(F.col("_band"), F.pmod(F.col("_col"), n))).drop("_band", "_col")
 
 
 def _prefixed(df: DataFrame, prefix: str, keep: tuple[str, ...] = ("cell",)) -> DataFrame:
@@ -92,8 +104,12 @@ def range_pairs(
     on = q["cell"] == p["cell"]
     for k in keys:
         on = on & q["q_" + k].eqNullSafe(p["p_" + k])
+    # plain comparisons first: more than half of the pairs need no trigonometry
+    dlon = F.abs(F.col("p_lon") - F.col("q_lon"))
+    on = on & (F.abs(F.col("p_lat") - F.col("q_lat")) <= _reach_deg(radius_km))
+    on = on & (F.least(dlon, F.lit(360.0) - dlon) <= F.col("q_half"))
     km = haversine_km(F.col("q_lat"), F.col("q_lon"), F.col("p_lat"), F.col("p_lon"))
-    pairs = q.join(p, on).drop("cell").withColumn("km", km)
+    pairs = q.join(p, on).drop("cell", "q_half").withColumn("km", km)
     return pairs.filter(F.col("km") <= radius_km if inclusive else F.col("km") < radius_km)
 
 
@@ -173,7 +189,7 @@ class CellTree:
         return up.join(below, ["cell", "_py", "_px"]).drop("_py", "_px")
 
     def facing(self, queries: DataFrame, radius_km: float) -> DataFrame:
-        q = _prefixed(with_reach(queries, radius_km, self.deg), "q_")
+        q = _prefixed(with_reach(queries, radius_km, self.deg).drop("half"), "q_")
         return q.join(self.levels[0], "cell")
 
 

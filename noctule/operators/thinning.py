@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from noctule import constants as K
 from noctule.functions.geo import haversine_km
-from noctule.operators.proximity import KM_PER_DEG, range_pairs, with_cell, with_reach
+from noctule.operators.proximity import KM_PER_DEG, half_width, range_pairs, with_cell, with_reach
 from noctule.runtime import broadcast_if_small, materialize
 
 GROUP_ROWS = 150_000
@@ -149,21 +149,29 @@ def _strip_rounds(left: DataFrame, km: float, group_rows: int) -> list[DataFrame
     schema = "cand_ord bigint, lat double, lon double, darkness double, bortle int, grp string, targets array<string>, state int"
     open_rows = left.withColumn("state", F.lit(UNDECIDED))
     kept: list[DataFrame] = []
+    active: DataFrame | None = None
     while True:
-        # kept rows of earlier rounds go only to groups that still have something to decide
-        pool = reduce(DataFrame.unionByName, [open_rows, *kept])
-        sent = pool.withColumn("target", F.explode("targets"))
-        if kept:
-            active = open_rows.select("bortle", F.col("grp").alias("target")).distinct()
-            match = sent["bortle"].eqNullSafe(active["bortle"]) & (sent["target"] == active["target"])
-            sent = sent.join(active, match, "left_semi")
+        sent = reduce(DataFrame.unionByName, [open_rows, *kept]).withColumn("target", F.explode("targets"))
+        if active is not None:
+            sent = sent.join(active, _same_group(sent, "target", active), "left_semi")
         done = materialize(sent.groupBy("bortle", "target").applyInPandas(decide, schema), "thin-round")
+        still_open = done.filter(F.col("state") == UNDECIDED)
+        if active is not None:
+            still_open = still_open.unionByName(open_rows.join(active, _same_group(open_rows, "grp", active), "left_anti"))
         kept.append(done.filter(F.col("state") == KEPT))
         if len(kept) > MAX_PARTS:
             kept = [materialize(reduce(DataFrame.unionByName, kept), "thin-kept")]
-        open_rows = done.filter(F.col("state") == UNDECIDED)
+        open_rows = materialize(still_open, "thin-open")
         if not open_rows.take(1):
             return kept
+        # a group has news only if a row it sees from another group was decided; without news it would repeat itself
+        news = done.filter(F.col("state") != UNDECIDED).withColumn("target", F.explode("targets"))
+        active = news.filter(F.col("target") != F.col("grp")).select("bortle", "target").distinct()
+        active = materialize(active.withColumnsRenamed({"bortle": "a_bortle", "target": "a_group"}), "thin-active")
+
+
+def _same_group(rows: DataFrame, group: str, active: DataFrame) -> Column:
+    return rows["bortle"].eqNullSafe(active["a_bortle"]) & (rows[group] == active["a_group"])
 
 
 def _routed(left: DataFrame, km: float, group_rows: int) -> DataFrame:
@@ -172,10 +180,7 @@ def _routed(left: DataFrame, km: float, group_rows: int) -> DataFrame:
     strips = broadcast_if_small(strips, strips.count())
     ang = km / KM_PER_DEG + 1e-9
     lat, lon = F.col("lat"), F.col("lon")
-    reach_lat = F.greatest(F.abs(lat - ang), F.abs(lat + ang))
-    half = F.when(reach_lat >= 90, F.lit(180.0)).otherwise(
-        F.degrees(F.asin(F.least(F.lit(math.sin(math.radians(ang))) / F.cos(F.radians(lat)), F.lit(1.0)))) + 1e-9
-    )
+    half = half_width(lat, km)
     n_cols = int(360 / SEGMENT_DEG)
     west, east = F.floor((lon - half + 180.0) / SEGMENT_DEG), F.floor((lon + half + 180.0) / SEGMENT_DEG)
     cols = F.when(east - west >= n_cols, F.sequence(F.lit(0).cast("bigint"), F.lit(n_cols - 1).cast("bigint"))).otherwise(
@@ -214,8 +219,9 @@ def _local_pass(km: float):
         own = (rows["grp"] == key[1]).to_numpy()
         before = rows["state"].to_numpy()
         after = greedy_states(rows["lat"].to_numpy(), rows["lon"].to_numpy(), before, own, km)
-        news = own & (before == UNDECIDED) & (after != DROPPED)
-        return rows.assign(state=after)[news].drop(columns=["target"])
+        # dropped rows matter only where another group waits for them
+        told = (after != DROPPED) | (rows["targets"].str.len() > 1).to_numpy()
+        return rows.assign(state=after)[own & (before == UNDECIDED) & told].drop(columns=["target"])
 
     return decide
 
