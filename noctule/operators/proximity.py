@@ -8,6 +8,7 @@ the exact distance.
 A cell with very many points (``hot``) is never paired row by row. It is split 4 x 4, again and again, into
 sub-cells that carry a row count and a bounding radius. A query then takes a sub-cell whole, drops it, or
 looks one level deeper, so the work per query depends on geometry and not on how many points share a cell.
+A cell crowded with queries is dealt into salts (``crowd_join``).
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ KM_PER_DEG = math.pi * K.EARTH_RADIUS_KM / 180.0
 # below the true 111.19 km so that a cell is always wider than the radius it was made for
 CELL_KM_PER_DEG = 111.0
 BAND_SHIFT = 1 << 24
-HOT_CELL_ROWS = 5_000
+HOT_CELL_ROWS = 2_000
+CROWD_QUERIES = 50_000
 MAX_DEPTH = 12
 FANOUT = 4
 SLACK_KM = 1e-6
@@ -94,6 +96,27 @@ def _prefixed(df: DataFrame, prefix: str, keep: tuple[str, ...] = ("cell",)) ->
     return df.select(*[F.col(c) if c in keep else F.col(c).alias(prefix + c) for c in df.columns])
 
 
+def crowd_join(queries: DataFrame, points: DataFrame, keys: tuple[str, ...], crowd: int = CROWD_QUERIES) -> DataFrame:
+    """Equi-join for a query side of which a large share may have one key; points have a bounded number per key.
+
+    The queries of a crowded key are dealt into salts of about ``crowd`` rows by a hash of their columns, and the
+    key's few points are repeated per salt, so no task gets the whole key.
+    """
+    if queries.limit(crowd + 1).count() <= crowd:
+        return queries.join(points, list(keys))
+    sizes = queries.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd)
+    sizes = materialize(sizes.select(*keys, F.ceil(F.col("n") / crowd).cast("int").alias("_salts")), "salts")
+    n_crowded = sizes.count()
+    if not n_crowded:
+        return queries.join(points, list(keys))
+    sizes = broadcast_if_small(sizes, n_crowded)
+    dealt = F.pmod(F.xxhash64(*queries.columns), F.coalesce("_salts", F.lit(1)).cast("bigint")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    q = queries.join(sizes, list(keys), "left").withColumn("_salt", dealt).drop("_salts")
+    p = points.join(sizes, list(keys), "left").withColumn("_salt", every).drop("_salts")
+    return q.join(p, [*keys, "_salt"]).drop("_salt")
+
+
 def range_pairs(
     queries: DataFrame, points: DataFrame, radius_km: float, keys: tuple[str, ...] = (), inclusive: bool = True
 ) -> DataFrame:
@@ -101,15 +124,14 @@ def range_pairs(
     deg = cell_deg(radius_km)
     q = _prefixed(with_reach(queries, radius_km, deg), "q_")
     p = _prefixed(with_cell(points, deg), "p_")
-    on = q["cell"] == p["cell"]
-    for k in keys:
-        on = on & q["q_" + k].eqNullSafe(p["p_" + k])
     # plain comparisons first: more than half of the pairs need no trigonometry
     dlon = F.abs(F.col("p_lon") - F.col("q_lon"))
-    on = on & (F.abs(F.col("p_lat") - F.col("q_lat")) <= _reach_deg(radius_km))
-    on = on & (F.least(dlon, F.lit(360.0) - dlon) <= F.col("q_half"))
+    boxed = F.abs(F.col("p_lat") - F.col("q_lat")) <= _reach_deg(radius_km)
+    boxed = boxed & (F.least(dlon, F.lit(360.0) - dlon) <= F.col("q_half"))
+    for k in keys:
+        boxed = boxed & F.col("q_" + k).eqNullSafe(F.col("p_" + k))
     km = haversine_km(F.col("q_lat"), F.col("q_lon"), F.col("p_lat"), F.col("p_lon"))
-    pairs = q.join(p, on).drop("cell", "q_half").withColumn("km", km)
+    pairs = crowd_join(q, p, ("cell",)).filter(boxed).drop("cell", "q_half").withColumn("km", km)
     return pairs.filter(F.col("km") <= radius_km if inclusive else F.col("km") < radius_km)
 
 
@@ -217,7 +239,8 @@ def _within(queries: DataFrame, tree: CellTree, radius_km: float) -> tuple[DataF
 def _leaf_pairs(faced: DataFrame, tree: CellTree) -> DataFrame:
     members = _prefixed(tree.leaves, "p_", ("level", *SUB_CELL))
     km = haversine_km(F.col("q_lat"), F.col("q_lon"), F.col("p_lat"), F.col("p_lon"))
-    return faced.drop("n", "rad", "lb", "ub").join(members, ["level", *SUB_CELL]).withColumn("km", km)
+    faced = faced.drop("n", "rad", "lb", "ub")
+    return crowd_join(faced, members, ("level", *SUB_CELL)).withColumn("km", km)
 
 
 def _located(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from noctule.operators.coverage import (
     coverage_pool,
     ensure_coverage,
 )
-from noctule.operators.proximity import count_within, nearest_any, nearest_within, range_pairs, top_within
+from noctule.operators.proximity import count_within, crowd_join, nearest_any, nearest_within, range_pairs, top_within
 from tests.brute import cover, km_to_all, thin
 
 
@@ -75,6 +75,14 @@ def test_nearest_equals_all_pairs(spark, where, hot_rows):
     assert everywhere == {i: int(np.argmin(d)) for i, d in enumerate(far)}
 
 
+def test_crowd_join_equals_the_plain_join(spark):
+    q = spark.range(3000).select(F.col("id").alias("q_id"), F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("cell"))
+    p = spark.range(60).select(F.col("id").alias("p_id"), F.when(F.col("id") < 5, 7).otherwise(F.col("id") * 3).alias("cell"))
+    plain = q.join(p, "cell").select("cell", "q_id", "p_id")
+    salted = crowd_join(q, p, ("cell",), crowd=100).select("cell", "q_id", "p_id")
+    assert salted.count() == plain.count() > 10_000 and salted.exceptAll(plain).count() == 0
+
+
 def test_haversine_known_distances(spark):
     rows = [(48.8566, 2.3522, 45.764, 4.8357), (10.0, 20.0, 10.0, 20.0), (0.0, 0.0, 0.0, 180.0), (45.764, 4.8357, 48.8566, 2.3522)]
     df = spark.createDataFrame(rows, "a double, b double, c double, d double")
