@@ -23,7 +23,7 @@ from noctule.operators.raster import mesh_minima, observed_metrics, score_pixels
 from noctule.operators.release import new_version
 from noctule.operators.thinning import redundancy_filter
 from noctule.operators.tiles import enrich, enumerate_tiles, envelopes, tile_arrays, with_empty_tiles
-from noctule.runtime import materialize
+from noctule.runtime import materialize, ship_package
 
 
 @dataclass(frozen=True)
@@ -80,6 +80,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Release:
     from noctule.sources.regions import get_region, load_regions
     from noctule.sources.snapshots import read_snapshot
 
+    ship_package(spark)
     region = get_region(load_regions(spark, args.regions), args.region)
     pixels = read_pixels(spark, args.raster, args.region, args.year)
     grid = read_grid(spark, args)

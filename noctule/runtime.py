@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -45,3 +47,25 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Hint a broadcast for a side whose counted ``rows`` are within ``limit``, else leave it to shuffle."""
     return F.broadcast(df) if rows <= limit else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per application.
+
+    Workers only find what is installed, in their working directory or shipped; jobs submitted with
+    ``--py-files`` have it already and lose nothing here.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="noctule-ship-")) / "noctule.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, source.relative_to(root.parent))
+    # Spark itself copies the archive from the driver to every executor
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
