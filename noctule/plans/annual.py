@@ -19,7 +19,7 @@ from noctule import constants as K
 from noctule.model import ENVELOPE, Grid, Region
 from noctule.operators.alr import AlrParams, compute_alr
 from noctule.operators.coverage import attach_nearest_place, ensure_coverage
-from noctule.operators.raster import mesh_minima, observed_metrics, score_pixels
+from noctule.operators.raster import mesh_minima, score_pixels
 from noctule.operators.release import new_version
 from noctule.operators.thinning import redundancy_filter
 from noctule.operators.tiles import enrich, enumerate_tiles, envelopes, tile_arrays, with_empty_tiles
@@ -41,31 +41,46 @@ class Release:
     version: str
     changed: bool
     envelopes: DataFrame
+    counts: dict[str, int]
 
 
-def select_sites(scored: DataFrame, places: DataFrame, grid: Grid, params: SiteParams = SiteParams()) -> DataFrame:
+def select_sites(
+    scored: DataFrame,
+    places: DataFrame,
+    grid: Grid,
+    params: SiteParams = SiteParams(),
+    counts: dict[str, int] | None = None,
+) -> DataFrame:
     """Enriched sites from scored pixels; ``coverage_order()`` columns are kept for the tile arrays.
 
     The raster is aggregated to mesh candidates in one pass; from there on everything is as small as the mesh.
     """
-    mesh = observed_metrics(mesh_minima(scored, grid, params.mesh_km, params.pick, unit_darkness=True), "candidates")
-    mesh = materialize(mesh, "mesh")
-    kept = materialize(redundancy_filter(mesh, params.redundancy_km), "kept")
-    covered = materialize(ensure_coverage(kept, mesh, places, params.min_spots, params.coverage_km), "covered")
+    mesh = mesh_minima(scored, grid, params.mesh_km, params.pick, unit_darkness=True)
+    mesh = materialize(mesh, "candidates", counts)
+    kept = materialize(redundancy_filter(mesh, params.redundancy_km), "kept", counts)
+    covered = ensure_coverage(kept, mesh, places, params.min_spots, params.coverage_km)
+    covered = materialize(covered, "covered", counts)
     return enrich(attach_nearest_place(covered, places, params.near_km))
 
 
 def build_release(
-    sites: DataFrame, region: Region, year: int, published: DataFrame | None, generated: str, lexicographic: bool = False
+    sites: DataFrame,
+    region: Region,
+    year: int,
+    published: DataFrame | None,
+    generated: str,
+    lexicographic: bool = False,
+    counts: dict[str, int] | None = None,
 ) -> Release:
     """Envelopes of all occupied tiles and all empty tiles of the region's box, stamped with their version."""
     spark = sites.sparkSession
     box = spark.createDataFrame([region.bbox], "lon_min double, lat_min double, lon_max double, lat_max double")
-    arrays = materialize(with_empty_tiles(tile_arrays(sites), enumerate_tiles(box)), "tiles")
+    occupied = materialize(tile_arrays(sites), "occupied_tiles", counts)
+    arrays = materialize(with_empty_tiles(occupied, enumerate_tiles(box)), "tiles", counts)
     old = published if published is not None else spark.createDataFrame([], ENVELOPE)
     decided = new_version(old, arrays, year, lexicographic).first()
     source = f"VIIRS/{year}/{region.name}"
-    return Release(decided.version, decided.changed, envelopes(arrays, decided.version, source, generated))
+    return Release(decided.version, decided.changed, envelopes(arrays, decided.version, source, generated), counts or {})
 
 
 def utc_now() -> str:
@@ -90,10 +105,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Release:
         alr = materialize(alr, "alr")
         write_debug_raster(score_pixels(alr), f"{args.out}/debug", args.region, args.year)
     scored = score_pixels(alr)
-    places = materialize(load_places(spark, region, args.places), "places")
-    sites = select_sites(scored, places, grid, SiteParams(mesh_km=args.mesh_km))
+    counts: dict[str, int] = {}
+    places = materialize(load_places(spark, region, args.places), "places", counts)
+    sites = select_sites(scored, places, grid, SiteParams(mesh_km=args.mesh_km), counts)
     published = read_snapshot(spark, args.published) if args.published else None
-    release = build_release(sites, region, args.year, published, utc_now(), args.text_versions)
+    release = build_release(sites, region, args.year, published, utc_now(), args.text_versions, counts)
     write_tiles(release.envelopes, f"{args.out}/spots")
     if args.published and not args.no_publish:
         write_tiles(release.envelopes, args.published)
@@ -136,4 +152,4 @@ def parser() -> argparse.ArgumentParser:
 if __name__ == "__main__":
     session = SparkSession.builder.appName("noctule-annual").getOrCreate()
     outcome = run(session, parser().parse_args())
-    print(f"version {outcome.version} changed {outcome.changed}")
+    print(f"version {outcome.version} changed {outcome.changed} rows {outcome.counts}")

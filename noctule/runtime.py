@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 # A side is broadcast only after its rows were counted and found at or below this bound.
 BROADCAST_MAX_ROWS = 200_000
@@ -32,13 +32,19 @@ def scratch_dir(spark: SparkSession) -> str:
     return _LOCAL_FALLBACK[app]
 
 
-def materialize(df: DataFrame, label: str = "step") -> DataFrame:
+def materialize(df: DataFrame, label: str = "step", counts: dict[str, int] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Later plans start from files, so a lost executor costs a re-read and not a recomputation,
-    and the optimizer sees real sizes.
+    and the optimizer sees real sizes. The rows written are put in ``counts`` under ``label``; they are
+    observed while writing and cost no job of their own.
     """
     spark = df.sparkSession
+    if counts is not None:
+        seen = Observation()
+        out = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+        counts[label] = seen.get["rows"]
+        return out
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

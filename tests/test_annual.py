@@ -40,6 +40,8 @@ def test_release_from_raster_to_published_documents(spark, tmp_path):
     spots = [s for d in docs.values() for s in d["spots"]]
     assert spots and len({s["id"] for s in spots}) == len(spots)
     assert all(list(s) == ["lat", "lon", "darkness", "bortle", "near", "id", "altitude"] for s in spots)
+    assert first.counts["covered"] == len(spots) and first.counts["places"] == 1 and first.counts["tiles"] == len(docs)
+    assert first.counts["candidates"] >= first.counts["kept"] > 0 and first.counts["occupied_tiles"] == sum(bool(d["spots"]) for d in docs.values())
     assert spark.read.parquet(str(tmp_path / "out" / "debug")).count() == GRID.rows * GRID.cols
     again = annual.run(spark, arguments(tmp_path))
     assert (again.version, again.changed) == ("2025.1", False)
