@@ -33,7 +33,10 @@ def priority() -> list[Column]:
 
 
 def redundancy_edges(candidates: DataFrame, min_distance_km: float = K.REDUNDANCY_KM) -> DataFrame:
-    """Pairs (kept_side, dropped_side) of one class nearer than the distance, the first one earlier in the scan."""
+    """Pairs (first_ord, second_ord) of one class nearer than the distance, the first one earlier in the scan.
+
+    A report for looking at conflicts; ``redundancy_filter`` never builds it.
+    """
     slim = candidates.select(*SLIM)
     pairs = range_pairs(slim, slim, min_distance_km, keys=("bortle",), inclusive=False)
     earlier = (F.col("q_darkness") > F.col("p_darkness")) | (

@@ -1,7 +1,6 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from noctule.model import Grid
 from noctule.operators.alr import AlrParams, compute_alr, ring_sums, row_segments, route_segments, layout, weigh_rings
