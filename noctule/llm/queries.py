@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..runtime import materialize
+from .quality import document_stats, judge_quality
 from .substring_dedup import remove_repeats
+from .url_filter import judge_urls, rules_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,3 +55,36 @@ FROM w LEFT JOIN kept USING (doc_id)
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs, length=50, texts=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@_query(
+    "op2_url_filter",
+    r"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+    SELECT page_id, lower(regexp_extract(rest, '^[^/?#]*')) AS host,
+           regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM cut
+), rules AS (
+    SELECT * FROM (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')) r(verdict, h, p)
+), best AS (
+    SELECT host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+    FROM (SELECT DISTINCT host, path FROM parts) JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+    GROUP BY host, path
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (host, path)
+""",
+)
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge_urls(pages, rules_frame(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
+
+
+@_query("op10_quality_rules")
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = judge_quality(materialize(document_stats(docs).drop("text"), "quality_stats"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality", "votes")
