@@ -93,7 +93,6 @@ def _share(part: str, whole: str) -> str:
 # What is measured, and where the votes "bad" and "good" begin; without a bound the rule never casts that vote.
 RULES: dict[str, tuple[str, str | None, str | None]] = {
     "symbols": (_share("n_symbols", "n_words"), ">= 0.1", None),
-    "symbol_words": (_share("n_symbols", "n_words"), ">= 1", None),
     "duplicate_lines": (_share("n_dup_lines", "n_lines"), ">= 0.3", None),
     "repeated_words": (_share("n_repeat_words", "n_words"), ">= 0.3", None),
     "capitals": (_share("n_upper", "n_letters"), ">= 0.3", None),
