@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..runtime import materialize
+from .packing import pack_documents
 from .quality import document_stats, judge_quality
 from .substring_dedup import remove_repeats
+from .token_file import roundtrip
 from .url_filter import judge_urls, rules_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +90,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = judge_quality(materialize(document_stats(docs).drop("text"), "quality_stats"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality", "votes")
+
+
+@_query("op7_best_fit_packing")
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), capacity=1024, end_id=2)
+
+
+@_query("op9_token_files")
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return roundtrip(_table(spark, sf_dir, "documents"), end_id=0)
