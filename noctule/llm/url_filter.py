@@ -57,15 +57,15 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     rules = rules.groupBy("rule_host", "rule_path").agg(F.max("verdict").alias("verdict"))
     digest = _digest(F.col("rule_host"), F.col("rule_path"))
     rules = rules.select("*", digest.alias("rule_digest"), F.substring(digest, 1, PREFIX_DIGITS).alias("key"))
-    # the lengths of rule paths, at most as many as a path has characters
-    lengths = rules.agg(F.sort_array(F.collect_set(F.length("rule_path"))).alias("lengths"))
+    # the different lengths of rule paths, at most as many as a path has characters
+    lengths = F.array(*[F.lit(r["n"]) for r in rules.select(F.length("rule_path").alias("n")).distinct().collect()]).cast("array<int>")
 
     urls = keyed.groupBy("host", "path").agg(F.lit(1).alias("one")).drop("one").where("host <> ''")
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    ends = F.filter("lengths", lambda n: n <= F.length("path"))
+    ends = F.filter(lengths, lambda n: n <= F.length("path"))
     expressions = F.flatten(F.transform(suffixes, lambda h: F.transform(ends, lambda n: F.sha2(F.concat(h, F.lit("\n"), F.substring(F.col("path"), F.lit(1), n)), 256))))
-    expanded = urls.join(F.broadcast(lengths)).select("host", "path", F.explode(expressions).alias("digest"))
+    expanded = urls.select("host", "path", F.explode(expressions).alias("digest"))
     expanded = expanded.select("*", F.substring("digest", 1, PREFIX_DIGITS).alias("key"))
 
     hits = expanded.join(broadcast_if_small(rules, rules.count()), "key").where("digest = rule_digest")
