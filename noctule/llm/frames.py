@@ -31,7 +31,7 @@ def row_key(id_col: str, text: str) -> tuple[Column, Column]:
 
 def with_row(df: DataFrame, fields: str) -> T.StructType:
     """The schema of ``row`` as ``df`` has it and of further ``fields``."""
-    return T.StructType([df.schema["row"], *T.StructType.fromDDL(fields).fields])
+    return T.StructType([T.StructField("row", df.schema["row"].dataType, True), *T.StructType.fromDDL(fields).fields])
 
 
 def arrow_schema(schema: T.StructType) -> pa.Schema:

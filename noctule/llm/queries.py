@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..runtime import materialize
+from .decontaminate import contamination
 from .packing import pack_documents
 from .quality import document_stats, judge_quality
 from .substring_dedup import remove_repeats
@@ -100,3 +101,34 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_token_files")
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roundtrip(_table(spark, sf_dir, "documents"), end_id=0)
+
+
+@_query(
+    "op6_decontamination",
+    r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), i AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), iw AS (
+    SELECT DISTINCT item_id, least(len(ws), 13) AS n, array_to_string(ws[s : s + least(len(ws), 13) - 1], ' ') AS w
+    FROM (SELECT item_id, ws, unnest(range(1, len(ws) - least(len(ws), 13) + 2)) AS s FROM i WHERE len(ws) > 0)
+), dw AS (
+    SELECT doc_id, s, n, array_to_string(ws[s : s + n - 1], ' ') AS w
+    FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM iw) WHERE len(ws) >= n)
+), m AS (
+    SELECT doc_id, s, n, item_id FROM dw JOIN iw USING (n, w)
+), hit AS (
+    SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS k FROM m) GROUP BY doc_id
+), its AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM m) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+""",
+)
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return contamination(docs, _table(spark, sf_dir, "benchmark"))
