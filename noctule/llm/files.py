@@ -43,7 +43,7 @@ class Attempt:
         self.name, self.temp = name, f"_{name}.{uuid.uuid4().hex}.tmp"
         where, path = opened(folder)
         where.create_dir(path, recursive=True)
-        self.out = where.open_output_stream(f"{path}/{self.temp}")
+        self.out = where.open_output_stream(f"{path}/{self.temp}", compression=None)
         self.size = 0
 
     def write(self, data: bytes) -> None:
@@ -82,4 +82,4 @@ def commit(written: DataFrame, folder: str) -> DataFrame:
 
 def read_file(folder: str, name: str) -> pa.NativeFile:
     where, path = opened(folder)
-    return where.open_input_stream(f"{path}/{name}")
+    return where.open_input_stream(f"{path}/{name}", compression=None)

@@ -11,8 +11,9 @@ from .decontaminate import contamination
 from .packing import pack_documents
 from .quality import document_stats, judge_quality
 from .substring_dedup import remove_repeats
-from .token_file import roundtrip
+from .token_file import roundtrip as token_roundtrip
 from .url_filter import judge_urls, rules_frame
+from .warc import roundtrip as warc_roundtrip
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,7 +101,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op9_token_files")
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return roundtrip(_table(spark, sf_dir, "documents"), end_id=0)
+    return token_roundtrip(_table(spark, sf_dir, "documents"), end_id=0)
 
 
 @_query(
@@ -132,3 +133,10 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return contamination(docs, _table(spark, sf_dir, "benchmark"))
+
+
+@_query("op5_warc")
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # files of 8 MB compressed, so that several are rolled and read side by side also here
+    archived = warc_roundtrip(_table(spark, sf_dir, "pages"), file_bytes=8 << 20)
+    return archived.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
