@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..runtime import materialize
 from .decontaminate import contamination
+from .language import identify
 from .packing import pack_documents
 from .quality import document_stats, judge_quality
 from .substring_dedup import remove_repeats
+from .toxicity import classify
 from .token_file import roundtrip as token_roundtrip
 from .url_filter import judge_urls, rules_frame
 from .warc import roundtrip as warc_roundtrip
@@ -140,3 +142,16 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     # files of 8 MB compressed, so that several are rolled and read side by side also here
     archived = warc_roundtrip(_table(spark, sf_dir, "pages"), file_bytes=8 << 20)
     return archived.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@_query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = classify(docs, _table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "held_out", "score", "predicted", F.expr("sentences.text").alias("offending"))
