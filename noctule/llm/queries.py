@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..runtime import materialize
 from .decontaminate import contamination
 from .language import identify
+from .near_dup import near_duplicates
 from .packing import pack_documents
 from .quality import document_stats, judge_quality
 from .substring_dedup import remove_repeats
@@ -155,3 +156,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = classify(docs, _table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "held_out", "score", "predicted", F.expr("sentences.text").alias("offending"))
+
+
+@_query("op8_minhash_near_dedup")
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), threshold=0.8)
