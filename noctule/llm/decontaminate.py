@@ -220,12 +220,12 @@ def search(index: DataFrame, blocks_: list[Phrases], within: int | None = None)
     return out if out is not None else index.sparkSession.createDataFrame([], MATCHES_SQL)
 
 
-def indexed(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW) -> tuple[DataFrame, list[Phrases]]:
-    """The stored index of ``docs`` and the benchmark's blocks."""
+def indexed(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW, texts: bool = False) -> tuple[DataFrame, list[Phrases]]:
+    """The stored index of ``docs``, with their texts if asked, and the benchmark's blocks."""
     ship(docs.sparkSession)
     phrases = item_blocks(benchmark, item_col, "text", window)
     vocabulary = np.unique(np.concatenate([p.vocabulary for p in phrases])) if phrases else np.empty(0, np.int64)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.lit(0).alias("__pad")).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if texts or c != text_col], F.lit(0).alias("__pad")).alias("row"), F.col(f"`{text_col}`").alias("text"))
     return materialize(build_index(rows, vocabulary), "index"), phrases
 
 
@@ -240,6 +240,12 @@ def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("segment"), batch.column("doc"), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digest, pa.string())], names=["segment", "doc", "n_hit", "n_items", "items_sha256"])
 
 
+def hits_of(matches: DataFrame) -> DataFrame:
+    """Hit words and items per document with a match."""
+    spans = matches.groupBy("segment", "doc").agg(F.collect_set(F.struct("first", "end")).alias("spans"), F.collect_set("item").alias("items"))
+    return spans.mapInArrow(_hits, "segment long, doc int, n_hit long, n_items long, items_sha256 string")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW) -> DataFrame:
     """The columns of ``docs`` but the text, with ``n_words``, ``n_hit``, ``n_items``, ``items_sha256`` and ``contaminated``.
 
@@ -247,12 +253,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     document with at least one hit word in twenty is contaminated.
     """
     index, phrases = indexed(docs, benchmark, text_col, item_col, window)
-    matches = search(index, phrases)
-    hits = (
-        matches.groupBy("segment", "doc")
-        .agg(F.collect_set(F.struct("first", "end")).alias("spans"), F.collect_set("item").alias("items"))
-        .mapInArrow(_hits, "segment long, doc int, n_hit long, n_items long, items_sha256 string")
-    )
+    hits = hits_of(search(index, phrases))
     joined = index.where("doc IS NOT NULL").select("segment", "doc", "row", "n_words").join(hits, ["segment", "doc"], "left")
     none = hashlib.sha256(b"").hexdigest()
     added = {
@@ -264,3 +265,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     added["contaminated"] = (added["n_hit"] > 0) & (20 * added["n_hit"] >= added["n_words"])
     columns = [c for c in docs.columns if c != text_col and c not in added]
     return joined.select(*[F.col("row").getField(c).alias(c) for c in columns], *[v.alias(k) for k, v in added.items()])
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated."""
+    index, phrases = indexed(docs, benchmark, text_col, item_col, window, texts=True)
+    hits = hits_of(search(index, phrases))
+    rows = index.where("doc IS NOT NULL").select("segment", "doc", "row", "n_words")
+    bad = hits.join(rows.select("segment", "doc", "n_words"), ["segment", "doc"]).where("20 * n_hit >= n_words").select("segment", "doc")
+    kept = rows.join(bad, ["segment", "doc"], "left_anti")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
