@@ -124,6 +124,10 @@ def document_frequencies(docs: DataFrame, share: float = FREQUENT) -> Idf:
     return Idf(h.astype(np.int64), 1 + np.log(total / np.maximum(n, 1)), rest)
 
 
+def sums_by(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(group, values, n).astype(np.float64)
+
+
 def shingles(texts: Texts, idf: Idf) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys (row << 48 | shingle) and weights of the texts' shingles."""
     hashes, words = lowered_words(texts)
@@ -141,7 +145,7 @@ def shingles(texts: Texts, idf: Idf) -> tuple[np.ndarray, np.ndarray]:
         row = np.concatenate([row, mine])
     key = row.astype(np.uint64) << np.uint64(HASH_BITS) | h >> np.uint64(64 - HASH_BITS)
     key, back = np.unique(key, return_inverse=True)
-    return key, np.bincount(back, weight, len(key))
+    return key, sums_by(back, weight, len(key))
 
 
 def _uniform(h: np.ndarray, nth: int) -> np.ndarray:
@@ -203,7 +207,7 @@ def _sign(idf: Idf):
                 bands, has = signatures(key, weight, part.num_rows)
                 ends = np.concatenate([[0], np.cumsum(np.where(has, BANDS, 0))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(bands[has].ravel())))
-                total = np.bincount((key >> np.uint64(HASH_BITS)).astype(np.int64), weight, part.num_rows)
+                total = sums_by((key >> np.uint64(HASH_BITS)).astype(np.int64), weight, part.num_rows)
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("digest"), pa.array(total), lists], names=["id", "digest", "total", "bands"])
 
     return scan
@@ -219,8 +223,8 @@ def _similar(idf: Idf):
                 at[at == len(kb)] = 0
                 same = np.flatnonzero(kb[at] == ka) if len(kb) else np.empty(0, np.int64)
                 row = [(k >> np.uint64(HASH_BITS)).astype(np.int64) for k in (ka, kb)]
-                both = np.bincount(row[0][same], np.minimum(wa[same], wb[at[same]]), n)
-                either = np.bincount(row[0], wa, n) + np.bincount(row[1], wb, n) - both
+                both = sums_by(row[0][same], np.minimum(wa[same], wb[at[same]]), n)
+                either = sums_by(row[0], wa, n) + sums_by(row[1], wb, n) - both
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(both / np.maximum(either, 1e-12))], names=["a", "b", "similarity"])
 
     return scan
