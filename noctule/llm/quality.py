@@ -70,7 +70,9 @@ def text_stats(texts: Texts, words: Words) -> dict[str, np.ndarray]:
     first = first[first < len(data)]
     end = np.append(first[1:], len(data))
     of_line = np.searchsorted(texts.starts, first, "right") - 1
-    end = np.where(data[np.maximum(end - 1, 0)] == 0x0A, end - 1, end)
+    if not len(first):
+        return out | {c: np.zeros(rows, np.int64) for c in ("n_lines", "n_dup_lines", "n_ended", "n_stop")}
+    end = np.where(data[end - 1] == 0x0A, end - 1, end)
     full = np.searchsorted(words.first, first) < np.searchsorted(words.first, end)
     first, end, of_line = first[full], end[full], of_line[full]
     sums = [byte_sums(data, k) for k in (0, 1)]
@@ -78,7 +80,7 @@ def text_stats(texts: Texts, words: Words) -> dict[str, np.ndarray]:
     out["n_lines"] = np.bincount(of_line, minlength=rows)
     different = np.unique(keys, axis=0)[:, 0].astype(np.int64) if len(keys) else np.empty(0, np.int64)
     out["n_dup_lines"] = out["n_lines"] - np.bincount(different, minlength=rows)
-    stop = np.isin(data[np.maximum(end - 1, 0)], list(b".!?:;\"'")) if len(end) else np.empty(0, bool)
+    stop = np.isin(data[end - 1], list(b".!?:;\"'"))
     out["n_ended"] = np.bincount(of_line[stop], minlength=rows)
     # words of one to three bytes stand for function words, whatever the language
     short = (words.end - words.first) <= 3
