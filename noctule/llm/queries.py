@@ -138,7 +138,22 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(docs, _table(spark, sf_dir, "benchmark"))
 
 
-@_query("op5_warc")
+@_query(
+    "op5_warc",
+    r"""
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages
+), b AS (
+    SELECT *, array_to_string(list_transform(string_split(h, ''), lambda c: ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111'][strpos('0123456789abcdef', c)]), '') AS bits FROM p
+)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + 16 * CAST(bits[5 * i + 1] AS INT) + 8 * CAST(bits[5 * i + 2] AS INT) + 4 * CAST(bits[5 * i + 3] AS INT) + 2 * CAST(bits[5 * i + 4] AS INT) + CAST(bits[5 * i + 5] AS INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM b
+""",
+)
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     # files of 8 MB compressed, so that several are rolled and read side by side also here
     archived = warc_roundtrip(_table(spark, sf_dir, "pages"), file_bytes=8 << 20)
