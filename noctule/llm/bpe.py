@@ -2,8 +2,10 @@
 
 The pre-tokenizer never joins what stands before white space that follows other characters with what
 comes after, so a text is cut there into chunks (white space and the run after it) and ids of a text
-are the ids of its chunks in order. Each different chunk is encoded by the library once per worker and
-kept; the kept table is bounded, and a full one starts anew from the chunks at hand.
+are the ids of its chunks in order. Marks after a letter or digit are a token of their own there, and so
+is a newline before a word, so a chunk's ids are those of its newline, its stem and its marks. Each
+different part is encoded by the library once and kept; a full table becomes the old one, from which
+what is still in use is taken over, and the one before it goes.
 """
 
 from __future__ import annotations
@@ -14,13 +16,15 @@ from functools import lru_cache
 
 import numpy as np
 
-MAX_KEPT = 600_000
+# Chunks kept per table; two tables at most.
+MAX_KEPT = 800_000
 # Texts handled together, so that unknown chunks reach the library in batches.
 GROUP = 128
+# Parts sent to the library as one text, with a newline between them.
+JOINED = 64
+MARKS = ".,;:!?*$%&#|<>-"
 
 _chunks = re.compile(r"\s*\S+|\s+").findall
-# A run of Latin letters and marks after it: two tokens of the pre-tokenizer whose ids can be kept apart.
-_letters_and_marks = re.compile(r"(\n| ?)( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?*$%&#|<>-]*)").fullmatch
 
 
 class Encoder:
@@ -33,36 +37,60 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         # names of special tokens inside a document are ordinary text
         self.tokenizer.encode_special_tokens = True
+        self.newline = self._ids("\n")
         self.kept: dict[str, bytes] = {}
-
-    def _ask(self, chunks: list[str]) -> None:
-        for chunk, got in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False), strict=True):
-            self.kept[chunk] = np.array(got.ids, "<u4").tobytes()
-
-    def _learn(self, unknown: list[str]) -> None:
-        parts = {}
+        self.old: dict[str, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _ask(self, parts: list[str]) -> None:
+        """Ids of parts without white space but one leading space."""
+        kept = self.kept
+        for at in range(0, len(parts), JOINED):
+            some = parts[at : at + JOINED]
+            ids = self._ids("\n".join(some))
+            cuts = np.flatnonzero(ids == self.newline[0]) * 4
+            raw, first = ids.tobytes(), 0
+            for part, cut in zip(some, [*cuts.tolist(), len(raw)], strict=True):
+                kept[part] = raw[first:cut]
+                first = cut + 4
+
+    def _learn(self, unknown: set[str]) -> None:
+        kept, old, newline = self.kept, self.old, self.newline.tobytes()
+        asked, joined = set(), []
         for chunk in unknown:
-            m = _letters_and_marks(chunk)
-            # "\n Word" would join newline and space, so a newline is split off only before a letter
-            if m and not (m[1] == "\n" and m[2][0] == " "):
-                parts[chunk] = [x for x in ((m[1] if m[1] == "\n" else ""), (m[2] if m[1] == "\n" else m[1] + m[2]), m[3]) if x]
-        asked = {x for p in parts.values() for x in p} | {x for x in unknown if x not in parts}
-        self._ask(list(asked.difference(self.kept)))
-        for chunk, pieces in parts.items():
-            if len(pieces) > 1:
-                self.kept[chunk] = b"".join([self.kept[x] for x in pieces])
+            if chunk in old:
+                kept[chunk] = old[chunk]
+                continue
+            body = chunk[1:] if chunk[0] == "\n" else chunk
+            stem = body.rstrip(MARKS)
+            # white space stands only at the front of a chunk
+            if stem and stem[-1].isalnum() and not (stem[1:2].isspace() if stem[0] == " " else stem[0].isspace()):
+                joined.append((chunk, body is not chunk, stem, body[len(stem) :]))
+                if stem not in kept:
+                    asked.add(stem)
+            else:
+                kept[chunk] = self._ids(chunk).tobytes()
+        self._ask(list(asked))
+        for chunk, lead, stem, marks in joined:
+            if marks and marks not in kept:
+                kept[marks] = self._ids(marks).tobytes()
+            kept[chunk] = (newline if lead else b"") + kept[stem] + (kept[marks] if marks else b"")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for at in range(0, len(texts), GROUP):
+            if len(self.kept) > MAX_KEPT:
+                self.old, self.kept = self.kept, {}
             cut = [_chunks(t) for t in texts[at : at + GROUP]]
-            unknown = set().union(*cut).difference(self.kept)
-            if unknown:
-                if len(self.kept) + 2 * len(unknown) > MAX_KEPT:
-                    self.kept = {x: self.kept[x] for x in set().union(*cut).intersection(self.kept)}
-                self._learn(list(unknown))
-            get = self.kept.__getitem__
-            out += [b"".join(map(get, c)) for c in cut]
+            get = self.kept.get
+            got = [list(map(get, c)) for c in cut]
+            missing = [k for k, ids in enumerate(got) if None in ids]
+            self._learn({chunk for k in missing for chunk, ids in zip(cut[k], got[k], strict=True) if ids is None})
+            for k in missing:
+                got[k] = map(get, cut[k])
+            out += map(b"".join, got)
         return out
 
 

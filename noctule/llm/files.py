@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import materialize, scratch_dir
 
@@ -36,6 +36,10 @@ def opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri.replace("s3a:", "s3:", 1))
 
 
+# Renames in one task.
+NAMES_PER_TASK = 64
+
+
 class Attempt:
     """One file being written under a temporary name."""
 
@@ -76,8 +80,15 @@ def commit(written: DataFrame, folder: str) -> DataFrame:
 
     Returns the committed manifest.
     """
-    listed = materialize(written, "listed")
-    return materialize(listed.repartition(F.col("name")).mapInArrow(_renamed(folder), listed.schema), "manifest")
+    counts: dict[str, int] = {}
+    listed = materialize(written, "listed", counts)
+    spread = listed.repartition(max(1, counts["listed"] // NAMES_PER_TASK))
+    return materialize(spread.mapInArrow(_renamed(folder), listed.schema), "manifest")
+
+
+def one_task_each(manifest: DataFrame) -> DataFrame:
+    """``manifest`` with every file in a task of its own; the rows are few and small, so Spark would join them."""
+    return manifest.repartition(max(1, manifest.count()))
 
 
 def read_file(folder: str, name: str) -> pa.NativeFile:

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .bpe import default_path, encoder
-from .files import Attempt, commit, read_file, shared_folder
+from .files import Attempt, commit, one_task_each, read_file, shared_folder
 from .frames import ship
 
 # Fixed values of the format: values per word and bits per value, by selector.
@@ -38,7 +38,7 @@ BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 BLOCK = 2048
 MAGIC = b"NOCTS8B1"
 # Ids encoded at once and ids in a file.
-BUFFER_IDS = 1 << 19
+BUFFER_IDS = 1 << 21
 FILE_IDS = 1 << 26
 
 
@@ -55,40 +55,43 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     flat[escaped] = 0
     grid[:, :BLOCK] = flat.reshape(blocks, BLOCK)
     line = grid.ravel()
-    bits = np.frexp(line.astype(np.float64))[1].astype(np.int8)
+    bits = np.frexp(np.arange(1 << 16))[1].astype(np.int8)[line] if n and values.max() < 1 << 16 else np.frexp(line.astype(np.float64))[1].astype(np.int8)
     choice = np.full(len(line), len(COUNTS) - 1, np.int8)
+    # widest value of the next 1, 2, 3, ... places
+    widest, seen = bits.copy(), 1
     for s in range(len(COUNTS) - 2, -1, -1):
-        count = int(COUNTS[s])
-        over = np.zeros(len(line) + 1, np.int32)
-        np.cumsum(bits > BITS[s], out=over[1:])
-        fits = over[count:] == over[:-count]
+        for k in range(seen, int(COUNTS[s])):
+            np.maximum(widest[:-k], bits[k:], out=widest[:-k])
+        seen = int(COUNTS[s])
+        fits = widest <= BITS[s]
         # what fits many values fits fewer in wider fields: beyond the first miss nothing fits
-        if not fits.any():
+        if not fits[:-seen].any():
             break
-        choice[: len(fits)][fits] = s
-    last = np.minimum(np.arange(1, blocks + 1) * BLOCK, n) - np.arange(blocks) * BLOCK
-    place = np.zeros(blocks, np.int64)
-    base = np.arange(blocks) * wide
-    alive = np.arange(blocks)
-    steps: list[tuple[np.ndarray, np.ndarray]] = []
-    while len(alive):
-        at = base[alive] + place[alive]
-        steps.append((alive, at))
-        place[alive] += COUNTS[choice[at]]
-        alive = alive[place[alive] < last[alive]]
-    if not steps:
+        np.copyto(choice, np.int8(s), where=fits)
+    if not blocks:
         return np.empty(0, np.uint64), np.zeros(1, np.uint64), escaped
-    block, at = (np.concatenate(x) for x in zip(*steps, strict=True))
-    order = np.argsort(block, kind="stable")
-    block, at = block[order], at[order]
+    last = np.minimum(np.arange(1, blocks + 1) * BLOCK, n) - np.arange(blocks) * BLOCK
+    # one step per word through all blocks together; a block that is done stands still in its padding
+    jump = COUNTS[choice].astype(np.int32)
+    jump.reshape(blocks, wide)[:, BLOCK:] = 0
+    jump.reshape(blocks, wide)[-1, last[-1] :] = 0
+    at = (np.arange(blocks) * wide).astype(np.int32)
+    steps = []
+    while (step := jump[at]).any():
+        steps.append((at, step > 0))
+        at = at + step
+    taken = np.stack([going for _, going in steps], axis=1)
+    at = np.stack([place for place, _ in steps], axis=1)[taken]
     chosen = choice[at]
     words = chosen.astype(np.uint64) << np.uint64(60)
     for s in np.unique(chosen):
         if BITS[s]:
             mine = np.flatnonzero(chosen == s)
+            first, packed = at[mine], words[mine]
             for k in range(COUNTS[s]):
-                words[mine] |= line[at[mine] + k] << np.uint64(k * BITS[s])
-    return words, np.concatenate([[0], np.cumsum(np.bincount(block, minlength=blocks))]).astype(np.uint64), escaped
+                packed |= line[first + k] << np.uint64(k * BITS[s])
+            words[mine] = packed
+    return words, np.concatenate([[0], np.cumsum(taken.sum(axis=1))]).astype(np.uint64), escaped
 
 
 def decode(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
@@ -236,7 +239,7 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
 
     # one row per file: where each file starts among all ids
     files = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(Window.orderBy("part", "piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    docs = manifest.repartition(F.col("name")).mapInArrow(read, READ_SQL)
+    docs = one_task_each(manifest).mapInArrow(read, READ_SQL)
     return docs.join(F.broadcast(files.select("part", "piece", "base")), ["part", "piece"]).select(
         F.col("id").alias("doc_id"), (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32"
     )
