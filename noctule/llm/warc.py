@@ -6,11 +6,13 @@ the records before it alone, not on how Spark has split the data: a record belon
 
 1. The first page of each payload is found by digest (partial minima per task, so a payload that fills a third
    of the table costs no more); later ones become revisit records.
-2. Each record is made anew: ids, block and payload digests, lengths, then one gzip member. Members are stored.
-3. Sizes alone are summed along the sorted ids, in ranges and then over range totals; a file's first record has a
-   place known before anything is moved.
-4. Members are dealt by file and sorted within; each task writes its files under temporary names, and a committed
-   manifest gives them their names (:mod:`files`). Dates are a parameter, so nothing depends on the clock.
+2. Each record is made anew: ids, block and payload digests, lengths, then one gzip member. A first pass keeps
+   the members' sizes only.
+3. Sizes are summed along the sorted ids, in ranges and then over range totals; a file's first record is
+   known before anything is moved.
+4. A second pass makes the members again, deals them by file and sorts within; each task writes one file under a
+   temporary name, and a committed manifest gives it its name (:mod:`files`). Making members twice costs processor
+   time but no copy of the archive on disk. Dates are a parameter, so nothing depends on the clock.
 
 Null html is an empty payload, a null URL an empty target. Null page ids come first; they refer to each other's
 first only if no page with an id has the payload. Rows with equal ids are told apart by URL and payload, and all rows with the
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..runtime import materialize
-from .files import Attempt, commit, read_file, shared_folder
+from .files import Attempt, commit, one_task_each, read_file, shared_folder
 from .frames import ship
 
 # Compressed bytes after which a file is rolled.
@@ -98,7 +100,7 @@ def read_records(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], by
         yield head, block
 
 
-def _members(date: str, level: int):
+def _members(date: str, level: int, keep: bool = True):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -108,7 +110,7 @@ def _members(date: str, level: int):
                     first = (r["first_id"], r["first_url"]) if r["revisit"] else None
                     record = make_record(r["page_id"], r["url"], r["html"], first, date)
                     member = gzip.compress(record, level, mtime=0)
-                    out.append((r["page_id"], r["url"], r["digest"], len(member), member))
+                    out.append((r["page_id"], r["url"], r["digest"], len(member), member if keep else None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()), strict=True)], names=["page_id", "url", "digest", "size", "member"])
 
     return make
@@ -157,12 +159,12 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     later = ~F.col("page_id").eqNullSafe(F.col("first_id"))
     eligible = F.octet_length(F.coalesce("html", F.lit(""))) >= min_bytes
     jobs = pages.join(firsts, "digest", "left").withColumn("revisit", F.coalesce(eligible & F.col("first_url").isNotNull() & later, F.lit(False)))
-    members = materialize(jobs.select("page_id", "url", "digest", "html", "first_id", "first_url", "revisit").mapInArrow(_members(date, level), MEMBER_SQL), "members")
+    jobs = jobs.select("page_id", "url", "digest", "html", "first_id", "first_url", "revisit")
 
     # sizes along the sorted records: within ranges first, then what is before each range
     order = ["page_id", "url", "digest"]
-    light = members.select(*order, "size").repartitionByRange(*order).withColumn("part", F.spark_partition_id())
-    light = materialize(light, "sizes")
+    sizes = materialize(jobs.mapInArrow(_members(date, level, False), MEMBER_SQL).select(*order, "size"), "sizes")
+    light = materialize(sizes.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "sorted_sizes")
     totals = light.groupBy("part").agg(F.sum("size").alias("bytes"))
     base = totals.select("part", F.coalesce(F.sum("bytes").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     within = F.sum("size").over(Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
@@ -171,6 +173,7 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     # one row per file: the first record of each
     starts = placed.groupBy("file").agg(F.min(F.struct(F.col("page_id").isNotNull().alias("known"), *order)).alias("first")).orderBy("file").collect()
     edges = [(r["first"]["known"], r["first"]["page_id"] or 0, r["first"]["url"], r["first"]["digest"]) for r in starts]
+    # a file that a large record has run past has no record of its own
     names = [r["file"] for r in starts]
 
     def file_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,11 +181,12 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
 
         for batch in batches:
             keys = zip(*[batch.column(c).to_pylist() for c in order], strict=True)
-            files = [names[bisect_right(edges, (p is not None, p or 0, u, d)) - 1] for p, u, d in keys]
-            yield pa.RecordBatch.from_arrays([pa.array(files, pa.int64()), *[batch.column(c) for c in (*order, "member")]], names=["file", *order, "member"])
+            nth = [bisect_right(edges, (p is not None, p or 0, u, d)) - 1 for p, u, d in keys]
+            yield pa.RecordBatch.from_arrays([pa.array(nth, pa.int32()), pa.array([names[k] for k in nth], pa.int64()), *[batch.column(c) for c in (*order, "member")]], names=["nth", "file", *order, "member"])
 
-    filed = members.select(*order, "member").mapInArrow(file_of, "file long, page_id long, url string, digest string, member binary")
-    sorted_ = filed.repartition(F.col("file")).sortWithinPartitions("file", *order)
+    members = jobs.mapInArrow(_members(date, level), MEMBER_SQL).select(*order, "member")
+    filed = members.mapInArrow(file_of, "nth int, file long, page_id long, url string, digest string, member binary")
+    sorted_ = filed.repartitionById(max(1, len(names)), F.col("nth")).sortWithinPartitions("file", *order)
     return commit(sorted_.select("file", "member").mapInArrow(_written(folder, prefix), MANIFEST_SQL), folder)
 
 
@@ -210,7 +214,7 @@ def read_warc(manifest: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), fields, strict=True)], names=names)
 
-    return manifest.repartition(F.col("name")).mapInArrow(read, RECORD_SQL)
+    return one_task_each(manifest).mapInArrow(read, RECORD_SQL)
 
 
 def roundtrip(pages: DataFrame, file_bytes: int = FILE_BYTES, **options) -> DataFrame:
