@@ -168,24 +168,27 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     counts: dict[str, int] = {}
     anchors = materialize(texts.mapInArrow(_anchors(length), ANCHORS_SQL), "anchors")
     repeated = anchors.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("h", "least")
+    # sides of joins on possibly hot keys are written first: a join of two plain exchanges can be split anew
+    repeated = materialize(repeated, "repeated")
     alive = materialize(anchors.join(repeated, "h"), "alive", counts)
     none = spark.createDataFrame([], "id long, th long, first int, end int")
     if not counts["alive"]:
         return none.groupBy("id", "th").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
 
-    around = alive.groupBy("c1", "c2").agg(F.min("id").alias("first_id"))
+    around = materialize(alive.groupBy("c1", "c2").agg(F.min("id").alias("first_id")), "first_around")
     alive = materialize(alive.join(around, ["c1", "c2"]), "around")
     whole = alive.where("id > first_id").select("id", "th", F.greatest(F.lit(0), F.col("at") - (length - short)).alias("first"), F.col("hi").alias("end"))
 
     # one copy of each surroundings goes on, where an id after the first still has a question open
     border = alive.where("id = first_id")
-    open_ = border.where("id > least").select("h").distinct()
+    open_ = materialize(border.where("id > least").select("h").distinct(), "open")
     sides = (
         border.join(open_, "h", "left_semi")
         .select("id", "th", "at", "h", F.posexplode(F.array("l", "r")).alias("side", "ext"))
         .where("ext IS NOT NULL")
     )
     doubled = sides.groupBy("h", "side", "ext").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("h", "side", "ext")
+    doubled = materialize(doubled, "doubled")
     borders = materialize(
         sides.join(doubled, ["h", "side", "ext"], "left_semi").groupBy("id", "th").agg(F.collect_list(F.col("at").cast("long") * 2 + F.col("side")).alias("places")),
         "borders",
@@ -195,7 +198,7 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     if counts["borders"]:
         windows = materialize(texts.join(borders, ["id", "th"]).mapInArrow(_windows(length), WINDOWS_SQL), "windows")
         least = windows.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-        again = windows.join(least, ["w1", "w2"]).where("id > least")
+        again = windows.join(materialize(least, "least"), ["w1", "w2"]).where("id > least")
         spans = spans.unionByName(again.select("id", "th", F.col("at").alias("first"), (F.col("at") + length).alias("end")))
     return spans.groupBy("id", "th").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
 
