@@ -95,6 +95,9 @@ PLACES = """places AS (
          -6.0::DOUBLE + ((c_custkey * 6151) % 17000) / 1000.0::DOUBLE AS lon,
          CASE WHEN c_acctbal >= 0 THEN floor(c_acctbal)::BIGINT END AS population
   FROM customer)"""
+FOLDED = """places AS (
+  SELECT c_custkey AS place_ord, c_name AS name, 42.0::DOUBLE + (c_custkey % 5) * 1.5::DOUBLE AS lat, -3.0::DOUBLE + (c_custkey % 5) * 2.5::DOUBLE AS lon
+  FROM customer)"""
 CONTROL = """control AS (
   SELECT s_suppkey AS point, 40.5::DOUBLE + ((s_suppkey * 7919) % 11000) / 1000.0::DOUBLE AS lat,
          -6.0::DOUBLE + ((s_suppkey * 6151) % 17000) / 1000.0::DOUBLE AS lon, (1 + s_suppkey % 9)::INT AS expected_bortle
@@ -273,12 +276,23 @@ NIGHT = """night AS (
            (o_orderkey * 29 % 101) / 100.0::DOUBLE AS moon_lit, (o_orderkey * 31 % 300) / 10.0::DOUBLE - 25.0::DOUBLE AS sun_deg
     FROM orders) USING ("row", col))"""
 
+# queries that take another route to the same rows
+SAME_ROWS = {
+    "redundancy_edges_crowded": "redundancy_edges",
+    "redundancy_filter_strips": "redundancy_filter",
+    "redundancy_filter_ties_strips": "redundancy_filter_ties",
+    "redundancy_filter_crowds": "redundancy_filter",
+    "within_radius_counts_hot": "within_radius_counts",
+    "snapshot_roundtrip": "tile_envelopes",
+}
+
 LON_MIN, LAT_MIN, LON_MAX, LAT_MAX = t.BOX.bbox
 
 
 def oracle_sql() -> dict[str, str]:
     dark = "round(darkness, 6) AS darkness"
-    return {
+    boxed_places = PLACES.replace("places AS", "every_place AS"), f"places AS (SELECT * FROM every_place WHERE {_box_places(K.BBOX_MARGIN_KM)})"
+    sql = {
         "darkness_bortle": with_(_pixels(), SCORED) + f' SELECT "row", col, {dark}, bortle FROM scored',
         "bortle_histogram": with_(_pixels(), SCORED) + " SELECT bortle, count(*) AS pixels FROM scored GROUP BY 1",
         "debug_raster": with_(_pixels(), SCORED)
@@ -367,10 +381,41 @@ FROM places, (VALUES (-1), (0), (1)) a(dy), (VALUES (-1), (0), (1)) b(dx)""",
         "weather_freshness": """SELECT event_id, CASE WHEN epoch_us(now) - epoch_us(ts) <= 3 * 3600000000 THEN 'fresh'
   WHEN epoch_us(now) - epoch_us(ts) <= 12 * 3600000000 THEN 'aged' ELSE 'stale' END AS age
 FROM events JOIN (SELECT user_id, max(ts) AS now FROM events GROUP BY 1) USING (user_id)""",
+        "nearest_place_hot": with_(*_candidates(MESH_FINE), FOLDED)
+        + f""" SELECT cand_ord, place_ord, round(km, 6) AS km FROM (
+  SELECT s.cand_ord, p.place_ord, {km("s.lat", "s.lon", "p.lat", "p.lon")} AS km FROM mesh s JOIN places p ON abs(s.lat - p.lat) < {K.MAX_NEAR_DISTANCE_KM / 111.0!r})
+WHERE km <= {K.MAX_NEAR_DISTANCE_KM} QUALIFY row_number() OVER (PARTITION BY cand_ord ORDER BY km, place_ord) = 1""",
+        "top_points_hot": with_(*_candidates(MESH_FINE), PLACES)
+        + f""" SELECT place_ord, cand_ord, rnk::INT AS rnk FROM (
+  SELECT p.place_ord, m.cand_ord, row_number() OVER (PARTITION BY p.place_ord ORDER BY m.darkness DESC, m.cand_ord) AS rnk
+  FROM places p JOIN mesh m ON abs(p.lat - m.lat) < {COVER_KM / 111.0!r} WHERE {km("p.lat", "p.lon", "m.lat", "m.lon")} <= {COVER_KM})
+WHERE rnk <= {MIN_SPOTS}""",
+        "ensure_coverage_from_none": with_(
+            *_candidates(MESH_COVER), "kept AS (SELECT * FROM mesh WHERE false)", PLACES,
+            "short AS (SELECT place_ord, lat, lon, 2 AS need FROM places)", POOL, SERVE,
+        )
+        + " SELECT cand_ord, added_by, bortle FROM covered",
+        "alr_from_rings": with_(GRID, _radiance(ALR_QUERY), _rings(ALR_QUERY), _plane_rings(ALR_QUERY))
+        + f' SELECT "row"::INT AS "row", col::INT AS col, round({ALR_QUERY.calib_c!r}::DOUBLE * sum(weight * ring_sum), 6) AS alr FROM ring_px GROUP BY 1, 2',
+        "annual_release": with_(
+            GRID, _radiance(ALR_GEO_QUERY), _rings(ALR_GEO_QUERY), _globe_alr(ALR_GEO_QUERY),
+            """pixels AS MATERIALIZED (
+  SELECT r."row"::INT AS "row", r.col::INT AS col, coalesce(a.alr, 'NaN'::DOUBLE) AS alr FROM radiance r LEFT JOIN alr a USING ("row", col))""",
+            SCORED, _mesh(MESH_COVER), _edges(), THIN, *boxed_places, WITHIN, POOL, SERVE, _nearest("covered", K.MAX_NEAR_DISTANCE_KM),
+            f"placed AS (SELECT {tile('lat', 'lon')} AS tile, {spot('lat', 'lon')} AS id, * FROM named)",
+            f"box AS (SELECT {LON_MIN} AS lon_min, {LAT_MIN} AS lat_min, {LON_MAX} AS lon_max, {LAT_MAX} AS lat_max)",
+            f"all_tiles AS (SELECT tile FROM placed UNION SELECT tile FROM ({_enumerated('box', '')}))",
+        )
+        + """ SELECT '2025.13' AS version, 'VIIRS/2025/france' AS source, '2026-01-01T00:00:00Z' AS generated, a.tile,
+  CASE WHEN id IS NOT NULL THEN (row_number() OVER (PARTITION BY a.tile ORDER BY added_by, darkness DESC, cand_ord) - 1)::INT END AS pos,
+  id, round(darkness, 6) AS darkness, bortle, NULL::DOUBLE AS altitude, true AS changed
+FROM all_tiles a LEFT JOIN placed USING (tile)""",
         "annual_sites": with_(
-            *_candidates(MESH_COVER), _edges(), THIN,
-            PLACES.replace("places AS", "every_place AS"), f"places AS (SELECT * FROM every_place WHERE {_box_places(K.BBOX_MARGIN_KM)})",
+            *_candidates(MESH_COVER), _edges(), THIN, *boxed_places,
             WITHIN, POOL, SERVE, _nearest("covered", K.MAX_NEAR_DISTANCE_KM),
         )
         + f" SELECT {tile('lat', 'lon')} AS tile, {spot('lat', 'lon')} AS id, {dark}, bortle, near, added_by FROM named",
     }
+    for same, of in SAME_ROWS.items():
+        sql[same] = sql[of]
+    return sql

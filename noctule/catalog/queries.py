@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from noctule import constants as K
 from noctule.catalog import tables as t
 from noctule.functions import bump_version, haversine_km, spot_id, tile_bounds, tile_id
 from noctule.functions.night import (
@@ -16,14 +18,15 @@ from noctule.functions.night import (
     twilight_factor,
     weather_age,
 )
-from noctule.operators.alr import AlrParams, compute_alr, ring_sums
+from noctule.operators.alr import AlrParams, compute_alr, ring_sums, weigh_rings
 from noctule.operators.coverage import (
     attach_nearest_place,
     coverage_deficit,
     coverage_pool,
     ensure_coverage,
 )
-from noctule.operators.proximity import count_within
+from noctule.model import ENVELOPE
+from noctule.operators.proximity import count_within, nearest_within, top_within
 from noctule.operators.raster import bortle_histogram as histogram
 from noctule.operators.raster import debug_raster as debug_export
 from noctule.operators.raster import mesh_minima as mesh
@@ -44,10 +47,13 @@ from noctule.operators.tiles import (
 )
 from noctule.operators.validation import validate_bortle as validate
 from noctule.operators.validation import validation_summary as summarize
-from noctule.plans.annual import SiteParams, select_sites
-from noctule.runtime import materialize
+from noctule.plans.annual import SiteParams, build_release, select_sites
+from noctule.runtime import materialize, scratch_dir
+from noctule.sinks.tile_json import write_tiles
 from noctule.sources.places import bbox_filter, parse_places
+from noctule.sources.snapshots import read_snapshot
 
+GENERATED = "2026-01-01T00:00:00Z"
 # test parameters that exercise every branch on the given tables
 MESH_COARSE, MESH_COVER, MESH_FINE = 50, 20, 5
 COVER_KM, MIN_SPOTS = 30, 4
@@ -60,6 +66,11 @@ def r6(name: str) -> Column:
     return F.round(name, 6).alias(name)
 
 
+# so small that the given tables fill many groups, blocks and cells: what a large raster does at the usual sizes
+BLOCK_PX, SEGMENT_PX, GEO_BLOCK_ROWS, GROUPS = 16, 16, 20, 120
+HOT_ROWS, CROWD = 20, 200
+
+
 def no_nan(name: str) -> Column:
     return F.when(~F.isnan(name), F.round(name, 6)).alias(name)
 
@@ -116,6 +127,30 @@ def redundancy_filter_ties(spark, d):
     return thin(materialize(candidates(spark, d, MESH_FINE, tied=True), "mesh")).select("cand_ord", r6("darkness"), "bortle")
 
 
+def redundancy_edges_crowded(spark, d):
+    """Edges with every cell of more than 200 candidates dealt into salts."""
+    return edges(materialize(candidates(spark, d, MESH_FINE), "mesh"), crowd=CROWD).select("first_ord", "second_ord", r6("km"))
+
+
+def _in_strips(points):
+    return thin(points, group_rows=max(1, points.count() // GROUPS)).select("cand_ord", r6("darkness"), "bortle")
+
+
+def redundancy_filter_strips(spark, d):
+    """Thinning in about 120 groups over all classes, which wait for each other round by round."""
+    return _in_strips(materialize(candidates(spark, d, MESH_FINE), "mesh"))
+
+
+def redundancy_filter_ties_strips(spark, d):
+    return _in_strips(materialize(candidates(spark, d, MESH_FINE, tied=True), "mesh"))
+
+
+def redundancy_filter_crowds(spark, d):
+    """Thinning that settles every sub-cell of more than two candidates of a class by aggregates."""
+    points = materialize(candidates(spark, d, MESH_FINE), "mesh")
+    return thin(points, crowd_rows=2).select("cand_ord", r6("darkness"), "bortle")
+
+
 def haversine_to_centre(spark, d):
     km = haversine_km(F.col("lat"), F.col("lon"), F.lit(46.0), F.lit(2.5))
     return t.places(spark, d).select("place_ord", F.round(km, 6).alias("km"))
@@ -142,6 +177,27 @@ def within_radius_counts(spark, d):
     return count_within(t.places(spark, d), kept, COVER_KM, "place_ord").select("place_ord", "within")
 
 
+def within_radius_counts_hot(spark, d):
+    """Counts with every cell of more than 20 sites split into nested cells."""
+    kept, _ = cover_input(spark, d)
+    return count_within(t.places(spark, d), kept, COVER_KM, "place_ord", HOT_ROWS).select("place_ord", "within")
+
+
+def nearest_place_hot(spark, d):
+    """Nearest of places of which a fifth lie at each of five locations."""
+    spots = materialize(candidates(spark, d, MESH_FINE), "mesh")
+    found = nearest_within(spots, t.folded_places(spark, d), K.MAX_NEAR_DISTANCE_KM, "cand_ord", "place_ord", HOT_ROWS)
+    return found.select("cand_ord", F.col("p_place_ord").alias("place_ord"), r6("km"))
+
+
+def top_points_hot(spark, d):
+    """The darkest points around every place, from nested cells."""
+    points = materialize(candidates(spark, d, MESH_FINE), "mesh")
+    order = (("darkness", "desc"), ("cand_ord", "asc"))
+    top = top_within(t.places(spark, d).select("place_ord", "lat", "lon"), points, COVER_KM, MIN_SPOTS, "place_ord", order, HOT_ROWS)
+    return top.select(F.col("q_place_ord").alias("place_ord"), F.col("p_cand_ord").alias("cand_ord"), F.col("rnk").cast("int").alias("rnk"))
+
+
 def coverage_deficit_places(spark, d):
     kept, _ = cover_input(spark, d)
     return coverage_deficit(kept, t.places(spark, d), MIN_SPOTS, COVER_KM).select("place_ord", "within", "need")
@@ -157,6 +213,13 @@ def ensure_coverage_sites(spark, d):
     return ensure_coverage(kept, points, t.places(spark, d), MIN_SPOTS, COVER_KM).select("cand_ord", "added_by", "bortle")
 
 
+def ensure_coverage_from_none(spark, d):
+    """Coverage without any thinned site, so that all places compete for points."""
+    points = materialize(candidates(spark, d, MESH_COVER), "mesh")
+    covered = ensure_coverage(points.limit(0), points, t.places(spark, d), 2, COVER_KM)
+    return covered.select("cand_ord", "added_by", "bortle")
+
+
 def spot_ids(spark, d):
     g = t.grid(spark, d)
     points = t.pixels(spark, d).select("row", "col", g.lat_of(F.col("row")).alias("lat"), g.lon_of(F.col("col")).alias("lon"))
@@ -193,15 +256,18 @@ def empty_tiles_query(spark, d):
     return empty_tiles(occupied, enumerate_tiles(boxes))
 
 
-def tile_envelopes(spark, d):
-    """Envelopes of the 50 km mesh with the box's empty tiles, one row per spot (or one for an empty tile)."""
+def _mesh_envelopes(spark, d):
     sites = enrich(candidates(spark, d, MESH_COARSE).withColumn("added_by", F.lit(-1).cast("bigint")))
     lon_min, lat_min, lon_max, lat_max = t.BOX.bbox
     box = t.place_boxes(spark, d).groupBy().agg(
         F.greatest(F.min("lon_min"), F.lit(lon_min)).alias("lon_min"), F.greatest(F.min("lat_min"), F.lit(lat_min)).alias("lat_min"),
         F.least(F.max("lon_max"), F.lit(lon_max)).alias("lon_max"), F.least(F.max("lat_max"), F.lit(lat_max)).alias("lat_max"),
     )
-    out = envelopes(with_empty_tiles(tile_arrays(sites), enumerate_tiles(box)), "2025.1", "VIIRS/2025/france", "2026-01-01T00:00:00Z")
+    return envelopes(with_empty_tiles(tile_arrays(sites), enumerate_tiles(box)), "2025.1", "VIIRS/2025/france", GENERATED)
+
+
+def _flat(out):
+    """One row per spot, or one for an empty tile."""
     flat = out.select("version", "source", "generated", "tile", F.posexplode_outer("spots").alias("pos", "spot"))
     return flat.select(
         "version", "source", "generated", "tile", F.col("pos").cast("int").alias("pos"),
@@ -210,6 +276,18 @@ def tile_envelopes(spark, d):
     )
 
 
+def tile_envelopes(spark, d):
+    """Envelopes of the 50 km mesh with the box's empty tiles."""
+    return _flat(_mesh_envelopes(spark, d))
+
+
+def snapshot_roundtrip(spark, d):
+    """The same envelopes written as documents to the shared folder and read back."""
+    folder = f"{scratch_dir(spark)}/documents-{uuid.uuid4().hex}"
+    write_tiles(_mesh_envelopes(spark, d), folder)
+    return _flat(read_snapshot(spark, folder))
+
+
 def spot_diff_query(spark, d):
     return spot_diff(t.old_spots(spark, d), t.new_spots(spark, d))
 
@@ -242,16 +320,28 @@ def version_bump(spark, d):
 
 
 def alr_blocked(spark, d):
-    return compute_alr(t.radiance(spark, d), t.metric_grid(spark, d), ALR_QUERY).select("row", "col", no_nan("alr"))
+    out = compute_alr(t.radiance(spark, d), t.metric_grid(spark, d), ALR_QUERY, BLOCK_PX, SEGMENT_PX)
+    return out.select("row", "col", no_nan("alr"))
+
+
+def _globe_ratio(spark, d):
+    g = t.grid(spark, d)
+    return compute_alr(t.radiance(spark, d), g, ALR_GEO_QUERY, max(1, g.rows // GEO_BLOCK_ROWS), SEGMENT_PX)
 
 
 def alr_latlon(spark, d):
-    return compute_alr(t.radiance(spark, d), t.grid(spark, d), ALR_GEO_QUERY).select("row", "col", no_nan("alr"))
+    return _globe_ratio(spark, d).select("row", "col", no_nan("alr"))
+
+
+def alr_from_rings(spark, d):
+    """The ratio as an aggregate of ring sums."""
+    sums = ring_sums(t.radiance(spark, d), t.metric_grid(spark, d), ALR_QUERY, BLOCK_PX, SEGMENT_PX)
+    return weigh_rings(sums, ALR_QUERY).select("row", "col", r6("alr"))
 
 
 def alr_ring_sums(spark, d):
     # radiance comes in steps of 5e-7, so seven decimals write every sum exactly
-    sums = ring_sums(t.radiance(spark, d), t.metric_grid(spark, d), ALR_QUERY)
+    sums = ring_sums(t.radiance(spark, d), t.metric_grid(spark, d), ALR_QUERY, BLOCK_PX, SEGMENT_PX)
     return sums.select("row", "col", "ring", F.round("ring_sum", 7).alias("ring_sum"))
 
 
@@ -274,6 +364,16 @@ def annual_sites(spark, d):
     return sites.select(tile_id(F.col("lat"), F.col("lon")).alias("tile"), "id", r6("darkness"), "bortle", "near", "added_by")
 
 
+def annual_release(spark, d):
+    """The whole release: radiance, ratio, mesh, thinning, coverage, nearest place, envelopes and version."""
+    params = SiteParams(mesh_km=MESH_COVER, coverage_km=COVER_KM)
+    ratio = score_pixels(_globe_ratio(spark, d))
+    sites = select_sites(ratio, bbox_filter(t.places(spark, d), t.BOX), t.grid(spark, d), params)
+    published = t.snapshot(spark, d, False).select(F.lit("").alias("source"), F.lit("").alias("generated"), "version", "tile", F.array().cast(ENVELOPE["spots"].dataType).alias("spots"))
+    release = build_release(sites, t.BOX, 2025, published, GENERATED)
+    return _flat(release.envelopes).withColumn("changed", F.lit(release.changed))
+
+
 def spots_in_radius(spark, d):
     spots = materialize(candidates(spark, d, MESH_COARSE), "mesh").select(
         spot_id(F.col("lat"), F.col("lon")).alias("id"), "lat", "lon", F.col("darkness").alias("score")
@@ -315,15 +415,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "redundancy_edges": redundancy_edges,
     "redundancy_filter": redundancy_filter,
     "redundancy_filter_ties": redundancy_filter_ties,
+    "redundancy_edges_crowded": redundancy_edges_crowded,
+    "redundancy_filter_strips": redundancy_filter_strips,
+    "redundancy_filter_ties_strips": redundancy_filter_ties_strips,
+    "redundancy_filter_crowds": redundancy_filter_crowds,
     "haversine_to_centre": haversine_to_centre,
     "places_in_bbox": places_in_bbox,
     "geonames_parse": geonames_parse,
     "nearest_place": nearest_place,
     "nearest_place_unbounded": nearest_place_unbounded,
     "within_radius_counts": within_radius_counts,
+    "within_radius_counts_hot": within_radius_counts_hot,
+    "nearest_place_hot": nearest_place_hot,
+    "top_points_hot": top_points_hot,
     "coverage_deficit": coverage_deficit_places,
     "coverage_pool_topk": coverage_pool_topk,
     "ensure_coverage": ensure_coverage_sites,
+    "ensure_coverage_from_none": ensure_coverage_from_none,
     "spot_ids": spot_ids,
     "tile_ids": tile_ids,
     "tile_counts": tile_counts_query,
@@ -331,6 +439,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tile_enumerate": tile_enumerate,
     "empty_tiles": empty_tiles_query,
     "tile_envelopes": tile_envelopes,
+    "snapshot_roundtrip": snapshot_roundtrip,
     "spot_diff": spot_diff_query,
     "tile_changes": tile_changes_query,
     "new_version": new_version,
@@ -341,9 +450,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alr_blocked": alr_blocked,
     "alr_latlon": alr_latlon,
     "alr_ring_sums": alr_ring_sums,
+    "alr_from_rings": alr_from_rings,
     "validate_bortle": validate_bortle,
     "validation_summary": validation_summary,
     "annual_sites": annual_sites,
+    "annual_release": annual_release,
     "spots_in_radius": spots_in_radius,
     "tile_neighbours": tile_neighbours,
     "night_scores": night_scores,

@@ -81,6 +81,14 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def folded_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``places`` at five locations only, so that each location holds a fifth of them."""
+    lat, lon = F.lit(42.0) + (F.col("c_custkey") % 5) * 1.5, F.lit(-3.0) + (F.col("c_custkey") % 5) * 2.5
+    return read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("place_ord"), F.col("c_name").alias("name"), lat.alias("lat"), lon.alias("lon")
+    )
+
+
 def place_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bounding box of the places of every nation."""
     lat, lon = _lat_lon("c_custkey")

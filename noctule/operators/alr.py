@@ -58,25 +58,30 @@ class AlrParams:
 
 @dataclass(frozen=True)
 class Blocks:
-    """Block layout: block size, and the reach in pixels of each block row."""
+    """Block layout: block size, the reach in pixels of each block row, and the width of row segments."""
 
     rows: int
     cols: int
     reach_y: int
     reach_x: tuple[int, ...]  # per block row
+    segment: int = SEGMENT_PX
 
+    def across(self, grid: Grid) -> tuple[int, int]:
+        """Numbers of block rows and block columns."""
+        return -(-grid.rows // self.rows), -(-grid.cols // self.cols)
 
-def layout(grid: Grid, params: AlrParams, block_px: int) -> Blocks:
+
+def layout(grid: Grid, params: AlrParams, block_px: int, segment_px: int = SEGMENT_PX) -> Blocks:
     size_y, size_x = min(block_px, grid.rows), min(block_px, grid.cols)
-    size_x = -(-size_x // SEGMENT_PX) * SEGMENT_PX
+    size_x = -(-size_x // segment_px) * segment_px
     n_rows = -(-grid.rows // size_y)
     if not grid.geographic:
         reach_x = int(params.max_km * 1000 / abs(grid.a) + 1e-9)
-        return Blocks(size_y, size_x, int(params.max_km * 1000 / abs(grid.e) + 1e-9), (reach_x,) * n_rows)
+        return Blocks(size_y, size_x, int(params.max_km * 1000 / abs(grid.e) + 1e-9), (reach_x,) * n_rows, segment_px)
     lats = grid.f + grid.e * (np.arange(grid.rows) + 0.5)
     px = _half_width_px(lats, grid, params)
     reach_x = tuple(int(px[b * size_y : (b + 1) * size_y].max()) for b in range(n_rows))
-    return Blocks(size_y, size_x, int(params.max_km / (abs(grid.e) * KM_PER_DEG) + 1e-9), reach_x)
+    return Blocks(size_y, size_x, int(params.max_km / (abs(grid.e) * KM_PER_DEG) + 1e-9), reach_x, segment_px)
 
 
 def _half_width_px(lats: np.ndarray, grid: Grid, params: AlrParams) -> np.ndarray:
@@ -87,27 +92,37 @@ def _half_width_px(lats: np.ndarray, grid: Grid, params: AlrParams) -> np.ndarra
     return np.floor(np.degrees(np.arcsin(ratio)) / abs(grid.a) + 1e-9).astype(int)
 
 
-def row_segments(pixels: DataFrame) -> DataFrame:
+def row_segments(pixels: DataFrame, segment_px: int = SEGMENT_PX) -> DataFrame:
     """Pixels packed as (row, seg, cols, vals), which takes half the bytes of single rows in a shuffle.
 
     Pixels without data are left out. A raster stored in this form skips the shuffle made here.
     """
     data = pixels.filter(F.col("radiance").isNotNull() & ~F.isnan("radiance"))
     return (
-        data.groupBy("row", F.floor(F.col("col") / SEGMENT_PX).cast("int").alias("seg"))
+        data.groupBy("row", F.floor(F.col("col") / segment_px).cast("int").alias("seg"))
         .agg(F.collect_list(F.struct("col", F.col("radiance").cast("double").alias("val"))).alias("px"))
         .select("row", "seg", F.col("px.col").alias("cols"), F.col("px.val").alias("vals"))
     )
 
 
-def _routed(raster: DataFrame, grid: Grid, blocks: Blocks) -> GroupedData:
-    segments = raster if "vals" in raster.columns else row_segments(raster)
-    return route_segments(segments, grid, blocks).groupBy("b_row", "b_col")
+def _routed(raster: DataFrame, grid: Grid, blocks: Blocks, every: bool = False) -> GroupedData:
+    """Segments by block; with ``every`` also blocks that no segment reaches."""
+    segments = raster if "vals" in raster.columns else row_segments(raster, blocks.segment)
+    routed = route_segments(segments, grid, blocks)
+    if every:
+        n_rows, n_cols = blocks.across(grid)
+        number = F.col("id")
+        there = raster.sparkSession.range(n_rows * n_cols).select(
+            F.lit(0).alias("row"), F.lit(0).alias("seg"), F.array().cast("array<int>").alias("cols"), F.array().cast("array<double>").alias("vals"),
+            F.floor(number / n_cols).cast("int").alias("b_row"), (number % n_cols).cast("int").alias("b_col"),
+        )
+        routed = routed.unionByName(there)
+    return routed.groupBy("b_row", "b_col")
 
 
 def route_segments(segments: DataFrame, grid: Grid, blocks: Blocks) -> DataFrame:
     """Repeat each segment for every block (b_row, b_col) that needs it."""
-    last_row, last_col = -(-grid.rows // blocks.rows) - 1, -(-grid.cols // blocks.cols) - 1
+    last_row, last_col = (n - 1 for n in blocks.across(grid))
 
     def span(first, last, size: int, top: int):
         low = F.greatest(F.floor(first / size), F.lit(0)).cast("int")
@@ -121,36 +136,38 @@ def route_segments(segments: DataFrame, grid: Grid, blocks: Blocks) -> DataFrame
         reach = F.lit(blocks.reach_x[0])
     else:
         reach = F.get(F.lit(list(blocks.reach_x)), F.col("b_row"))
-    start = F.col("seg") * SEGMENT_PX
-    return down.withColumn("b_col", F.explode(span(start - reach, start + SEGMENT_PX - 1 + reach, blocks.cols, last_col)))
+    start = F.col("seg") * blocks.segment
+    return down.withColumn("b_col", F.explode(span(start - reach, start + blocks.segment - 1 + reach, blocks.cols, last_col)))
 
 
 def compute_alr(
-    pixels: DataFrame, grid: Grid, params: AlrParams = AlrParams(), block_px: int = 2048
+    pixels: DataFrame, grid: Grid, params: AlrParams = AlrParams(), block_px: int = 2048, segment_px: int = SEGMENT_PX
 ) -> DataFrame:
-    """(row, col, alr) for every pixel of the grid from (row, col, radiance) or from row segments.
+    """(row, col, alr) for every pixel of the grid from (row, col, radiance) or from row segments of ``segment_px``.
 
     On a projected grid one two-dimensional transform per block is enough. On a latitude/longitude grid pixel
     widths change from row to row, so rows are convolved pair by pair, with pixels weighted by their area.
     """
-    blocks = layout(grid, params, block_px)
+    blocks = layout(grid, params, block_px, segment_px)
     convolve = _rows_kernel(grid, params, blocks) if grid.geographic else _plane_kernel(grid, params, blocks)
 
     def block(key: tuple, segments: pa.Table) -> pa.Table:
         b_row, b_col = key[0].as_py(), key[1].as_py()
         field, known = _padded(segments, b_row, b_col, blocks, params.noise_floor)
-        out = convolve(field, b_row) * params.calib_c
+        out = convolve(field, b_row) * params.calib_c if known.any() else np.empty(known.shape)
         out[~known] = np.nan
         return _emit(_mask_edge(out, b_row, b_col, grid, params, blocks), b_row, b_col, grid, blocks)
 
-    return _routed(pixels, grid, blocks).applyInArrow(block, "row int, col int, alr double")
+    return _routed(pixels, grid, blocks, every=True).applyInArrow(block, "row int, col int, alr double")
 
 
-def ring_sums(pixels: DataFrame, grid: Grid, params: AlrParams = AlrParams(), block_px: int = 1024) -> DataFrame:
+def ring_sums(
+    pixels: DataFrame, grid: Grid, params: AlrParams = AlrParams(), block_px: int = 1024, segment_px: int = SEGMENT_PX
+) -> DataFrame:
     """(row, col, ring, ring_sum) of a projected grid: the sums before weighting, for pixels off the edge."""
     if grid.geographic:
         raise ValueError("ring sums are defined on a projected grid")
-    blocks = layout(grid, params, block_px)
+    blocks = layout(grid, params, block_px, segment_px)
     ring = _ring_index(grid, params, blocks)
 
     def block(key: tuple, segments: pa.Table) -> pa.Table:

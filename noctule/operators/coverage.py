@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from noctule import constants as K
 from noctule.operators.proximity import count_within, nearest_any, nearest_within, range_pairs, top_within
 from noctule.runtime import broadcast_if_small, materialize
 
-REPLAY_ROWS = 100_000
+MAX_PARTS = 8
 DARKEST_FIRST = (("darkness", "desc"), ("cand_ord", "asc"))
 
 
@@ -73,7 +72,6 @@ def ensure_coverage(
     places: DataFrame,
     min_spots: int = K.MIN_SPOTS_PER_AREA,
     radius_km: float = K.COVERAGE_RADIUS_KM,
-    replay_rows: int = REPLAY_ROWS,
 ) -> DataFrame:
     """Kept sites plus the added ones, with ``added_by`` (-1 for kept, else the place served).
 
@@ -81,7 +79,7 @@ def ensure_coverage(
     coordinates: an equal-valued second mesh point is a site of its own.
     """
     short = materialize(coverage_deficit(kept, distinct_places(places), min_spots, radius_km), "short")
-    added = _serve(short, kept, mesh, min_spots, radius_km, replay_rows)
+    added = _serve(short, kept, mesh, min_spots, radius_km)
     cols = kept.columns
     base = kept.withColumn("added_by", F.lit(-1).cast("bigint"))
     new = mesh.join(added, "cand_ord").select(*cols, "added_by")
@@ -92,47 +90,30 @@ def coverage_order() -> list[Column]:
     return [F.asc("added_by"), F.desc("darkness"), F.asc("cand_ord")]
 
 
-def _serve(
-    short: DataFrame, kept: DataFrame, mesh: DataFrame, min_spots: int, radius_km: float, replay_rows: int
-) -> DataFrame:
-    """(cand_ord, added_by) of every addition.
-
-    Rounds run over all places at once until no more than ``replay_rows`` place-point links are unsettled; that
-    counted remainder is finished in one task instead of a tail of ever smaller rounds.
-    """
+def _serve(short: DataFrame, kept: DataFrame, mesh: DataFrame, min_spots: int, radius_km: float) -> DataFrame:
+    """(cand_ord, added_by) of every addition, in rounds over all places at once until none is unsettled."""
     pool = materialize(_pool(short, kept, mesh, min_spots, radius_km), "pool")
     points = pool.select("cand_ord", "lat", "lon").distinct()
     near = range_pairs(short.select("place_ord", "lat", "lon", "need"), points, radius_km).select(
         F.col("q_place_ord").alias("place_ord"), F.col("q_need").alias("need"), F.col("p_cand_ord").alias("cand_ord")
     )
     wants = pool.select("place_ord", "cand_ord", F.col("rnk").cast("int").alias("rnk"))
-    links = materialize(near.join(wants, ["place_ord", "cand_ord"], "left"), "links")
+    links = near.join(wants, ["place_ord", "cand_ord"], "left")
     taken: list[DataFrame] = []
     none_taken = links.select("cand_ord", F.col("place_ord").alias("added_by")).limit(0)
     while True:
+        if len(taken) > MAX_PARTS:
+            taken = [materialize(reduce(DataFrame.unionByName, taken), "taken")]
         so_far = reduce(DataFrame.unionByName, taken, none_taken)
-        open_links = links.count()
-        if open_links <= replay_rows:
-            rest = links.join(broadcast_if_small(so_far, so_far.count()), "cand_ord", "left")
-            last = rest.groupBy().applyInPandas(_replay, "cand_ord bigint, added_by bigint")
-            return so_far.unionByName(materialize(last, "replayed"))
+        counts: dict[str, int] = {}
+        links = materialize(links, "links", counts)
+        if not counts["links"]:
+            return so_far
         state = materialize(_round(links, so_far), "served")
         taken.append(state.filter("picked").select("cand_ord", F.col("place_ord").alias("added_by")))
         links = state.filter(~F.col("settled")).select(*links.columns)
 
 
-def _replay(links: pd.DataFrame) -> pd.DataFrame:
-    """The places of ``links`` one after the other."""
-    taken = dict(links.loc[links["added_by"].notna(), ["cand_ord", "added_by"]].to_numpy().tolist())
-    known = len(taken)
-    links = links.sort_values(["place_ord", "rnk"], na_position="last")
-    for place, seen in links.groupby("place_ord", sort=True):
-        gained = sum(taken.get(c, place) < place for c in seen["cand_ord"])
-        wishes = [c for c in seen.loc[seen["rnk"].notna(), "cand_ord"] if c not in taken]
-        taken.update((c, place) for c in wishes[: max(seen["need"].iat[0] - gained, 0)])
-    return pd.DataFrame(list(taken.items())[known:], columns=["cand_ord", "added_by"]).astype("int64")
-
-
 def _round(links: DataFrame, taken: DataFrame) -> DataFrame:
     """One round: which places are settled now, and which points they take.
 
@@ -166,10 +147,11 @@ def attach_nearest_place(
     A ``near`` that is already set, also "", is kept. Equal distances take the first place in file order.
     """
     named = places.select("place_ord", "name", "lat", "lon")
+    open_ = spots.filter(F.col("near").isNull()) if "near" in spots.columns else spots
     if max_km is None:
-        found = nearest_any(spots, named, key, "place_ord")
+        found = nearest_any(open_, named, key, "place_ord")
     else:
-        found = nearest_within(spots, named, max_km, key, "place_ord")
+        found = nearest_within(open_, named, max_km, key, "place_ord")
     found = found.select(key, F.col("p_name").alias("_found"))
     known = F.col("near") if "near" in spots.columns else F.lit(None).cast("string")
     return spots.join(found, key, "left").withColumn("near", F.coalesce(known, F.col("_found"), F.lit(""))).drop("_found")

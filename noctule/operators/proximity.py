@@ -118,20 +118,28 @@ def crowd_join(queries: DataFrame, points: DataFrame, keys: tuple[str, ...], cro
 
 
 def range_pairs(
-    queries: DataFrame, points: DataFrame, radius_km: float, keys: tuple[str, ...] = (), inclusive: bool = True
+    queries: DataFrame,
+    points: DataFrame,
+    radius_km: float,
+    keys: tuple[str, ...] = (),
+    inclusive: bool = True,
+    crowd: int = CROWD_QUERIES,
 ) -> DataFrame:
     """Rows ``q_*, p_*, km`` of each query and each point within the radius, with equal (or both null) ``keys``."""
     deg = cell_deg(radius_km)
     q = _prefixed(with_reach(queries, radius_km, deg), "q_")
     p = _prefixed(with_cell(points, deg), "p_")
+    # keys go into the equi-join, null as a value of its own
+    same = [f"_same_{k}" for k in keys]
+    for name, k in zip(same, keys):
+        q = q.withColumn(name, F.struct(F.col("q_" + k).isNull(), F.coalesce(F.col("q_" + k).cast("string"), F.lit(""))))
+        p = p.withColumn(name, F.struct(F.col("p_" + k).isNull(), F.coalesce(F.col("p_" + k).cast("string"), F.lit(""))))
     # plain comparisons first: more than half of the pairs need no trigonometry
     dlon = F.abs(F.col("p_lon") - F.col("q_lon"))
     boxed = F.abs(F.col("p_lat") - F.col("q_lat")) <= _reach_deg(radius_km)
     boxed = boxed & (F.least(dlon, F.lit(360.0) - dlon) <= F.col("q_half"))
-    for k in keys:
-        boxed = boxed & F.col("q_" + k).eqNullSafe(F.col("p_" + k))
     km = haversine_km(F.col("q_lat"), F.col("q_lon"), F.col("p_lat"), F.col("p_lon"))
-    pairs = crowd_join(q, p, ("cell",)).filter(boxed).drop("cell", "q_half").withColumn("km", km)
+    pairs = crowd_join(q, p, ("cell", *same), crowd).filter(boxed).drop("cell", "q_half", *same).withColumn("km", km)
     return pairs.filter(F.col("km") <= radius_km if inclusive else F.col("km") < radius_km)
 
 

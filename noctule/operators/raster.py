@@ -85,11 +85,11 @@ def _packed_best(cells: DataFrame, px_y: int, px_x: int, cell_cols: int, pick: s
     )
 
 
-def sample_at(points: DataFrame, scored: DataFrame, grid: Grid, point_rows: int | None = None) -> DataFrame:
+def sample_at(points: DataFrame, scored: DataFrame, grid: Grid) -> DataFrame:
     """Attach the darkness and Bortle class of the pixel under each (lat, lon) point.
 
-    Points off the grid, or on a missing pixel, keep NaN darkness and class 9. Points are few; give their
-    counted ``point_rows`` to let a small set be broadcast past the raster.
+    Points off the grid, or on a missing pixel, keep NaN darkness and class 9. The different pixels asked for are
+    counted, and broadcast past the raster if they are few.
     """
     usable = F.col("lat").isNotNull() & F.col("lon").isNotNull() & ~F.isnan("lat") & ~F.isnan("lon")
     keyed = points.withColumns(
@@ -99,8 +99,7 @@ def sample_at(points: DataFrame, scored: DataFrame, grid: Grid, point_rows: int
         }
     )
     keys = keyed.select("row", "col").distinct()
-    if point_rows is not None:
-        keys = broadcast_if_small(keys, point_rows)
+    keys = broadcast_if_small(keys, keys.count())
     hits = scored.select("row", "col", "darkness", "bortle").join(keys, ["row", "col"])
     return keyed.join(hits, ["row", "col"], "left").withColumns(
         {

@@ -33,11 +33,16 @@ def tile_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     return o.join(n, "tile", "full_outer").select("tile", change.alias("change"))
 
 
+def _no_version(what: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("the published tiles have no valid version: "), F.coalesce(what, F.lit("none")))).cast("string")
+
+
 def new_version(old: DataFrame, new: DataFrame, year: int, lexicographic: bool = False) -> DataFrame:
     """One row (version, changed) of the release that replaces ``old`` by ``new``.
 
     No old release: ``year.1``. Nothing changed: the old version, also in a new year. Otherwise ``year.1`` in a
-    new year, else the next minor number. One join on the tile answers all of it.
+    new year, else the next minor number. One join on the tile answers all of it. An old release whose newest
+    version cannot be read fails the query: publishing over it would restart the numbering unseen.
     """
     o = old.select("tile", F.col("spots").alias("old_spots"), F.col("version").alias("old_version"), F.lit(1).alias("in_old"))
     n = new.select("tile", F.col("spots").alias("new_spots"), F.lit(1).alias("in_new"))
@@ -51,6 +56,7 @@ def new_version(old: DataFrame, new: DataFrame, year: int, lexicographic: bool =
     fresh = F.lit(f"{year}.1")
     version = (
         F.when(F.col("n_old") == 0, fresh)
+        .when(parts["year"].isNull() | parts["minor"].isNull(), _no_version(F.col("latest")))
         .when(~F.col("differs"), F.col("latest"))
         .when(parts["year"] != year, fresh)
         .otherwise(F.concat(F.lit(f"{year}."), (parts["minor"] + 1).cast("string")))
@@ -61,14 +67,16 @@ def new_version(old: DataFrame, new: DataFrame, year: int, lexicographic: bool =
 def spot_diff(old: DataFrame, new: DataFrame, order: str | None = None) -> DataFrame:
     """One row (changed, added, removed, modified) of two spot tables matched by ``id``.
 
-    When an id occurs twice on one side the row with the highest ``order`` counts.
+    When an id occurs twice on one side the row with the highest ``order`` counts; without ``order`` it is an error.
     """
     cols = [c for c in old.columns if c != order]
 
     def by_id(df: DataFrame, name: str) -> DataFrame:
         row = F.struct(*cols)
         if order is None:
-            return df.select("id", row.alias(name))
+            twice = F.raise_error(F.concat(F.lit("spot id occurs twice: "), F.first(F.col("id").cast("string"))))
+            one = F.when(F.count(F.lit(1)) > 1, twice.cast(df.select(row).schema[0].dataType)).otherwise(F.first(row))
+            return df.groupBy("id").agg(one.alias(name))
         return df.groupBy("id").agg(F.max_by(row, F.col(order)).alias(name))
 
     o, n = F.col("old_spot"), F.col("new_spot")

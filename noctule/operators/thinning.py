@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from noctule import constants as K
 from noctule.functions.geo import haversine_km
-from noctule.operators.proximity import KM_PER_DEG, half_width, range_pairs, with_cell, with_reach
+from noctule.operators.proximity import CROWD_QUERIES, KM_PER_DEG, half_width, range_pairs, with_cell, with_reach
 from noctule.runtime import broadcast_if_small, materialize
 
 GROUP_ROWS = 150_000
@@ -32,13 +32,15 @@ def priority() -> list[Column]:
     return [F.desc("darkness"), F.asc("cand_ord")]
 
 
-def redundancy_edges(candidates: DataFrame, min_distance_km: float = K.REDUNDANCY_KM) -> DataFrame:
+def redundancy_edges(
+    candidates: DataFrame, min_distance_km: float = K.REDUNDANCY_KM, crowd: int = CROWD_QUERIES
+) -> DataFrame:
     """Pairs (first_ord, second_ord) of one class nearer than the distance, the first one earlier in the scan.
 
     A report for looking at conflicts; ``redundancy_filter`` never builds it.
     """
     slim = candidates.select(*SLIM)
-    pairs = range_pairs(slim, slim, min_distance_km, keys=("bortle",), inclusive=False)
+    pairs = range_pairs(slim, slim, min_distance_km, keys=("bortle",), inclusive=False, crowd=crowd)
     earlier = (F.col("q_darkness") > F.col("p_darkness")) | (
         (F.col("q_darkness") == F.col("p_darkness")) & (F.col("q_cand_ord") < F.col("p_cand_ord"))
     )
@@ -140,14 +142,7 @@ def _strips(left: DataFrame, group_rows: int) -> DataFrame:
 
 
 def _strip_rounds(left: DataFrame, km: float, group_rows: int) -> list[DataFrame]:
-    total = left.count()
-    if total == 0:
-        return []
-    if total <= group_rows:
-        # small enough for one group per class: nothing to wait for
-        left = left.withColumns({"grp": F.lit("all"), "targets": F.array(F.lit("all"))})
-    else:
-        left = materialize(_routed(left, km, group_rows), "thin-routed")
+    left = materialize(_routed(left, km, group_rows), "thin-routed")
     decide = _local_pass(km)
     schema = "cand_ord bigint, lat double, lon double, darkness double, bortle int, grp string, targets array<string>, state int"
     open_rows = left.withColumn("state", F.lit(UNDECIDED))

@@ -91,9 +91,3 @@ def with_empty_tiles(arrays: DataFrame, tiles: DataFrame) -> DataFrame:
 
 def empty_tiles(occupied: DataFrame, tiles: DataFrame) -> DataFrame:
     return tiles.select("tile").distinct().join(occupied.select("tile").distinct(), "tile", "left_anti")
-
-
-def envelope_json(envelope_rows: DataFrame) -> DataFrame:
-    """(tile, json) with unknown attributes written as null instead of left out."""
-    fields = F.struct("version", "source", "generated", "tile", "spots")
-    return envelope_rows.select("tile", F.to_json(fields, {"ignoreNullFields": "false"}).alias("json"))

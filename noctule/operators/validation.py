@@ -15,9 +15,9 @@ def judge(predicted: DataFrame, tolerance: int = K.BORTLE_TOLERANCE) -> DataFram
     return predicted.select("lat", "lon", "expected_bortle", "got_bortle", "got_darkness", match.alias("match"))
 
 
-def validate_bortle(points: DataFrame, scored: DataFrame, grid: Grid, point_rows: int | None = None) -> DataFrame:
+def validate_bortle(points: DataFrame, scored: DataFrame, grid: Grid) -> DataFrame:
     """Control points against the raster; a point off the raster gets class 9, the class of no data."""
-    sampled = sample_at(points, scored, grid, point_rows)
+    sampled = sample_at(points, scored, grid)
     return judge(sampled.withColumnsRenamed({"bortle": "got_bortle", "darkness": "got_darkness"}))
 
 

@@ -2,13 +2,15 @@
 
 Tasks write to a staging folder under the target, the commit moves finished documents into place, so readers
 never see a half-written document and a retried task leaves nothing behind. Mode ``overwrite`` replaces the
-whole published set: documents of other tiles are removed after the new ones are in place.
+whole published set: documents of other tiles are removed after the new ones are in place. Moves and deletes run
+side by side. The target is resolved by the session's Hadoop file system, as Spark's own readers resolve it.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Iterator
 
@@ -24,12 +26,25 @@ class Written(WriterCommitMessage):
     files: list[tuple[str, str]]  # (tile, staged path)
 
 
-def _file_system(path: str):
+# File operations at the same time in a commit, which waits for the store and not for the processor.
+COMMIT_THREADS = 32
+
+
+def shared_path(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme; outside local mode a path without scheme must not be one machine's disk."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+    if whole.startswith("file:") and not path.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{path} is a folder of each executor's own disk; name a file system that all can reach")
+    return whole
+
+
+def _file_system(uri: str):
     from pyarrow import fs
 
-    if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(uri.replace("s3a:", "s3:", 1))
 
 
 class TileJsonSource(DataSource):
@@ -65,15 +80,13 @@ class TileJsonWriter(DataSourceWriter):
 
         fs, target = _file_system(self.path)
         fs.create_dir(target, recursive=True)
-        placed = set()
-        for message in messages:
-            for tile, staged in message.files if message else []:
-                fs.move(staged, f"{target}/{tile}.json")
-                placed.add(f"{tile}.json")
-        if self.overwrite:
-            for info in fs.get_file_info(FileSelector(target)):
-                if info.base_name.endswith(".json") and info.base_name not in placed:
-                    fs.delete_file(info.path)
+        moves = [(staged, f"{tile}.json") for message in messages for tile, staged in (message.files if message else [])]
+        with ThreadPoolExecutor(COMMIT_THREADS) as pool:
+            list(pool.map(lambda m: fs.move(m[0], f"{target}/{m[1]}"), moves))
+            if self.overwrite:
+                placed = {name for _, name in moves}
+                old = [i.path for i in fs.get_file_info(FileSelector(target)) if i.base_name.endswith(".json") and i.base_name not in placed]
+                list(pool.map(fs.delete_file, old))
         self._drop_staging()
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -91,7 +104,7 @@ def write_tiles(envelopes: DataFrame, path: str, replace_all: bool = True) -> No
     """Write ``<path>/<tile>.json``; with ``replace_all`` the folder then holds exactly these tiles."""
     spark: SparkSession = envelopes.sparkSession
     spark.dataSource.register(TileJsonSource)
-    envelopes.select(*KEYS).write.format("tile_json").mode("overwrite" if replace_all else "append").save(path)
+    envelopes.select(*KEYS).write.format("tile_json").mode("overwrite" if replace_all else "append").save(shared_path(spark, path))
 
 
 def write_missing_tiles(envelopes: DataFrame, path: str) -> None:

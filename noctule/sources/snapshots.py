@@ -7,13 +7,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from noctule.model import ENVELOPE
 
+CORRUPT = "_corrupt_record"
+
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """Envelopes of a release, keyed by their ``tile`` field; an absent folder is an empty release.
 
-    Two documents for one tile make the release ambiguous and fail the read.
+    Two documents for one tile make the release ambiguous and fail the read, and so does a document that cannot be
+    parsed or names no tile: skipped, its tile would count as new and be overwritten unseen.
     """
-    df = read_tiles(spark, path)
+    read = _documents(spark, path)
+    if read is None:
+        return spark.createDataFrame([], ENVELOPE)
+    broken = read.filter(F.col(CORRUPT).isNotNull() | F.col("tile").isNull()).select("file", "tile", CORRUPT).first()
+    if broken:
+        raise ValueError(f"{broken.file} is not a tile document")
+    df = read.select(*ENVELOPE.fieldNames())
     twice = df.groupBy("tile").count().filter("count > 1").agg(F.first("tile").alias("tile")).first()
     if twice and twice.tile:
         raise ValueError(f"tile {twice.tile} occurs more than once in {path}")
@@ -22,20 +31,26 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 def read_tiles(spark: SparkSession, path: str) -> DataFrame:
     """Like ``read_snapshot`` for any JSON path, dropping documents that do not parse; absent gives no rows."""
-    corrupt = "_corrupt_record"
-    schema = T.StructType([*ENVELOPE.fields, T.StructField(corrupt, T.StringType())])
-    fields = ENVELOPE.fieldNames()
+    read = _documents(spark, path)
+    if read is None:
+        return spark.createDataFrame([], ENVELOPE)
+    return read.filter(F.col(CORRUPT).isNull() & F.col("tile").isNotNull()).select(*ENVELOPE.fieldNames())
+
+
+def _documents(spark: SparkSession, path: str) -> DataFrame | None:
+    """All documents with what did not parse, None if there is no such folder."""
+    schema = T.StructType([*ENVELOPE.fields, T.StructField(CORRUPT, T.StringType())])
     try:
-        df = (
+        return (
             spark.read.schema(schema)
             .option("multiLine", True)
             .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", corrupt)
+            .option("columnNameOfCorruptRecord", CORRUPT)
             .option("pathGlobFilter", "*.json")
             .json(path)
+            .select("*", F.col("_metadata.file_path").alias("file"))
         )
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema).select(*fields)
-    return df.filter(F.col(corrupt).isNull() & F.col("tile").isNotNull()).select(*fields)
+        return None

@@ -115,3 +115,21 @@ def test_each_pixel_reaches_exactly_the_blocks_that_need_it(spark):
 def test_no_room_for_the_kernel_is_all_nan(spark):
     wide = AlrParams(max_km=300)
     assert np.isnan(image(compute_alr(frame(spark, field(PLANE)), PLANE, wide), PLANE)).all()
+
+
+def test_blocks_without_data_are_part_of_the_result(spark):
+    grid = Grid(c=0.0, f=0.0, a=450.0, e=-450.0, rows=40, cols=64, geographic=False)
+    corner = spark.createDataFrame([(1, 2, 5.0)], "row int, col int, radiance double")
+    out = compute_alr(corner, grid, SMALL, 8, 8)
+    assert out.count() == 40 * 64 and out.filter("NOT isnan(alr)").count() <= 1
+
+
+def test_registered_queries_run_over_many_blocks(spark):
+    from noctule.catalog import queries as q, tables as t
+
+    sf_dir = "/root/testdata/sf0.01"
+    for grid, params, size in ((t.metric_grid(spark, sf_dir), q.ALR_QUERY, q.BLOCK_PX), (t.grid(spark, sf_dir), q.ALR_GEO_QUERY, 100 // q.GEO_BLOCK_ROWS)):
+        blocks = layout(grid, params, size, q.SEGMENT_PX)
+        down, across = blocks.across(grid)
+        assert down >= 3 and across >= 3
+    assert blocks.reach_y > 0

@@ -17,7 +17,7 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     df = entry.entry(spark)
-    assert set(df.columns) == {"tile", "id", "darkness", "bortle", "near", "added_by"} and df.count() > 0
+    assert set(df.columns) == {"version", "source", "generated", "tile", "pos", "id", "darkness", "bortle", "altitude", "changed"} and df.count() > 0
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -71,7 +71,7 @@ def test_sampling_and_validation(spark):
         [(50.99, -4.99, 9), (48.51, -2.86, 7), (49.0, -4.0, 5), (49.0, -4.0, 6), (60.0, 0.0, 9), (None, 0.0, 8), (float("nan"), 0.0, 1)],
         "lat double, lon double, expected_bortle int",
     )
-    sampled = sample_at(points, df, GRID, point_rows=7).collect()
+    sampled = sample_at(points, df, GRID).collect()
     assert len(sampled) == 7
     rows = validate_bortle(points, df, GRID).collect()
     got = sorted((r.expected_bortle, r.got_bortle, r.match) for r in rows)

@@ -7,7 +7,6 @@ from noctule.operators.tiles import (
     empty_tiles,
     enrich,
     enumerate_tiles,
-    envelope_json,
     envelopes,
     split_untiled,
     tile_arrays,
@@ -108,15 +107,15 @@ def test_tile_arrays_keep_the_selection_order(spark):
     assert arrays == {"N042E001": ["42.3000_1.3000", "42.2000_1.2000", "42.1000_1.1000", "42.4000_1.4000"], "N043W002": ["43.4000_-1.4000"]}
 
 
-def test_envelopes_and_json(spark):
+def test_envelopes(spark):
     all_tiles = enumerate_tiles(boxes(spark, (0.0, 42.0, 2.0, 43.0)))
     arrays = with_empty_tiles(tile_arrays(enrich(sites(spark))), all_tiles)
     out = envelopes(arrays, "2025.1", "VIIRS/2025/france", "2026-01-01T00:00:00Z")
     assert out.schema.fieldNames() == ENVELOPE.fieldNames()
-    text = {r.tile: r.json for r in envelope_json(out).collect()}
-    assert set(text) == {"N042E000", "N042E001", "N043W002"}
-    assert text["N042E000"] == '{"version":"2025.1","source":"VIIRS/2025/france","generated":"2026-01-01T00:00:00Z","tile":"N042E000","spots":[]}'
-    assert '"near":"Ö","id":"43.4000_-1.4000","altitude":null}' in text["N043W002"]
+    spots = {r.tile: [s.asDict() for s in r.spots] for r in out.collect()}
+    assert set(spots) == {"N042E000", "N042E001", "N043W002"} and spots["N042E000"] == []
+    (only,) = spots["N043W002"]
+    assert (only["near"], only["id"], only["altitude"]) == ("Ö", "43.4000_-1.4000", None)
     assert [r.tile for r in empty_tiles(tile_arrays(enrich(sites(spark))), all_tiles).collect()] == ["N042E000"]
 
 
@@ -131,3 +130,19 @@ def test_points_without_a_tile_can_be_set_aside(spark):
     rows = spark.createDataFrame([(42.0, 1.0), (90.0, 1.0), (1.0, 180.0)], "lat double, lon double")
     good, bad = split_untiled(rows)
     assert good.count() == 1 and bad.count() == 2
+
+
+@pytest.mark.parametrize("lexicographic", [False, True])
+def test_an_unreadable_version_is_not_published_over(spark, lexicographic):
+    old = spark.createDataFrame([("draft", "A", ["x"])], "version string, tile string, spots array<string>")
+    new = spark.createDataFrame([("A", ["y"])], "tile string, spots array<string>")
+    with pytest.raises(Exception, match="no valid version"):
+        new_version(old, new, 2025, lexicographic).collect()
+
+
+def test_a_spot_id_that_occurs_twice_needs_an_order(spark):
+    old = spark.createDataFrame([("a", 1, 1), ("a", 2, 2)], "id string, v int, k int")
+    new = spark.createDataFrame([("a", 2, 1)], "id string, v int, k int")
+    with pytest.raises(Exception, match="occurs twice"):
+        spot_diff(old.drop("k"), new.drop("k")).collect()
+    assert not spot_diff(old, new, "k").first().changed

@@ -138,6 +138,12 @@ def test_snapshot_reader_is_tolerant_but_not_ambiguous(spark, tmp_path):
     (tmp_path / "s" / "broken.json").write_text("{not json")
     assert [r.tile for r in read_tiles(spark, str(tmp_path / "s")).collect()] == ["N042E001"]
     (tmp_path / "s" / "again.json").write_text((tmp_path / "s" / "N042E001.json").read_text())
+    with pytest.raises(ValueError, match="broken.json is not a tile document"):
+        read_snapshot(spark, str(tmp_path / "s"))
+    (tmp_path / "s" / "broken.json").write_text('{"version": "2025.1", "spots": []}')
+    with pytest.raises(ValueError, match="broken.json is not a tile document"):
+        read_snapshot(spark, str(tmp_path / "s"))
+    (tmp_path / "s" / "broken.json").unlink()
     with pytest.raises(ValueError, match="N042E001"):
         read_snapshot(spark, str(tmp_path / "s"))
 
@@ -166,3 +172,18 @@ def test_result_and_release_tables(spark, tmp_path):
     scored = spark.createDataFrame([(0, 0, 0.5, 3)], "row int, col int, darkness double, bortle int")
     write_debug_raster(scored, str(tmp_path / "debug"), "france", 2025)
     assert spark.read.parquet(str(tmp_path / "debug")).first().bortle == 3.0
+
+
+def test_validation_job(spark, tmp_path):
+    from noctule.plans import validate
+
+    spark.createDataFrame([(0, 0, 0.05), (0, 1, 9.0)], "row int, col int, alr double").write.parquet(str(tmp_path / "ratio"))
+    grid = [("france", 2025, 0.0, 1.0, 0.5, -0.5, 1, 2, True, 4326)]
+    schema = "region string, year int, c double, f double, a double, e double, rows int, cols int, geographic boolean, epsg int"
+    spark.createDataFrame(grid, schema).write.parquet(str(tmp_path / "grid"))
+    (tmp_path / "points.json").write_text('[{"lat": 0.75, "lon": 0.25, "expected_bortle": 1}, {"lat": 9.0, "lon": 9.0, "expected_bortle": 9}]')
+    args = ["--raster", f"{tmp_path}/ratio", "--grids", f"{tmp_path}/grid", "--region", "france", "--year", "2025"]
+    args += ["--points", f"{tmp_path}/points.json", "--results", f"{tmp_path}/results", "--run-id", "first"]
+    summary = validate.run(spark, validate.parser().parse_args(args))
+    assert summary.points == 2
+    assert spark.read.parquet(f"{tmp_path}/results").filter("run_id = 'first'").count() == 2
