@@ -10,11 +10,15 @@ overall is frequent in some task, tasks propose, and a second pass counts what w
    its hash, t = floor(ln w / r + b), ln a = ln c - r (t - b) - r, and the sample is the shingle (with t) of least a.
    Shingles are dealt into bins by hash and every bin gives one sample, so a shingle is looked at ``REPEATS`` times and not
    once per sample; an empty bin takes the sample of another, in an order fixed for all texts.
-3. Samples are banded. In every band bucket all nodes are compared with the smallest one only. Pairs are verified by the
-   weighted Jaccard similarity of the whole texts; verified pairs give components.
-4. Buckets that still hold several components are finished exactly: nodes of different components are compared
-   unless the triangle inequality of the Jaccard distance (through their common hub) or their total weights rule out
-   the threshold. A bucket of copies is one component by then, so no group is paired all with all.
+3. Samples are banded. In every band bucket all nodes are compared with one hub only, the node with the most company over
+   all its buckets: the text that others were copied from is in nearly all buckets of its copies. Pairs are verified by
+   the weighted Jaccard similarity of the whole texts; verified pairs give components. A bucket of one component is done.
+4. Other buckets are refined, without losing a link. Two texts u, v can share no more than the lesser of their overlaps
+   with the hub and what both have beyond the hub: sum min(u, v) <= min(sum min(u, h), sum min(v, h)) + sum min(u - h, v - h).
+   So a link the hub has not shown either fits the first term, which few pairs do and which are compared, or the texts
+   share a shingle that the hub lacks. Nodes with the same such shingle make the buckets of the next round, in
+   which the hub is not; the rounds end when every bucket is one component, or when the open buckets hold no more than a
+   few pairs per text of the corpus, which are then compared. A bucket larger than that is never paired all with all.
 
 A similarity of ``threshold`` is missed by banding with probability (1 - s^5)^40, about 1e-7 at 0.8.
 
@@ -30,7 +34,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..runtime import materialize
 from .components import components
@@ -43,6 +47,8 @@ BINS, REPEATS, ROWS = 100, 2, 5
 BANDS = BINS * REPEATS // ROWS
 FREQUENT = 0.01
 HASH_BITS = 48
+# Open buckets are finished pair by pair once they hold no more pairs than so many per text of the corpus.
+PAIRS_PER_TEXT = 4
 
 
 class Idf(NamedTuple):
@@ -216,27 +222,134 @@ def _sign(idf: Idf):
 def _similar(idf: Idf):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, left in blocks(batch, "text_a"):
+            for part, left in blocks(batch, "text_hub"):
                 n = part.num_rows
-                (ka, wa), (kb, wb) = shingles(left, idf), shingles(texts_of(part.column("text_b")), idf)
-                at = np.searchsorted(kb, ka)
-                at[at == len(kb)] = 0
-                same = np.flatnonzero(kb[at] == ka) if len(kb) else np.empty(0, np.int64)
+                (ka, wa), (kb, wb) = shingles(left, idf), shingles(texts_of(part.column("text_node")), idf)
+                at = np.searchsorted(ka, kb)
+                at[at == len(ka)] = 0
+                same = ka[at] == kb if len(ka) else np.zeros(len(kb), bool)
+                hub_has = np.zeros(len(kb))
+                hub_has[same] = wa[at[same]]
                 row = [(k >> np.uint64(HASH_BITS)).astype(np.int64) for k in (ka, kb)]
-                both = sums_by(row[0][same], np.minimum(wa[same], wb[at[same]]), n)
+                both = sums_by(row[1], np.minimum(hub_has, wb), n)
                 either = sums_by(row[0], wa, n) + sums_by(row[1], wb, n) - both
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(both / np.maximum(either, 1e-12))], names=["a", "b", "similarity"])
+                # shingles, or counts of them, that the hub does not have
+                beyond = wb > hub_has * (1 + 1e-9)
+                ends = np.concatenate([[0], np.cumsum(np.bincount(row[1][beyond], minlength=n))]).astype(np.int32)
+                extra = pa.StructArray.from_arrays(
+                    [pa.array((kb[beyond] & np.uint64((1 << HASH_BITS) - 1)).astype(np.int64)), pa.array((wb - np.minimum(hub_has, wb))[beyond])], ["s", "w"]
+                )
+                lists = pa.ListArray.from_arrays(pa.array(ends), extra)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("hub"), part.column("node"), pa.array(both / np.maximum(either, 1e-12)), pa.array(both), lists],
+                    names=["hub", "node", "similarity", "overlap", "beyond"],
+                )
 
     return scan
 
 
 def verified(pairs: DataFrame, texts: DataFrame, idf: Idf) -> DataFrame:
-    """Weighted Jaccard similarity of the pairs ``(a, b)`` from the whole texts of both nodes."""
-    used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    """Weighted Jaccard similarity of the pairs ``(hub, node)`` from both whole texts, and the shingles beyond the hub's."""
+    used = pairs.select(F.explode(F.array("hub", "node")).alias("node")).distinct()
     held = materialize(texts.join(used, "node", "left_semi"), "pair_texts")
-    joined = pairs.join(held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    joined = joined.join(held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return materialize(joined.select("a", "b", "text_a", "text_b").mapInArrow(_similar(idf), "a long, b long, similarity double"), "verified")
+    joined = pairs.join(held.select("node", F.col("text").alias("text_node")), "node")
+    joined = joined.join(held.select(F.col("node").alias("hub"), F.col("text").alias("text_hub")), "hub")
+    fields = "hub long, node long, similarity double, overlap double, beyond array<struct<s long, w double>>"
+    return materialize(joined.select("hub", "node", "text_hub", "text_node").mapInArrow(_similar(idf), fields), "verified")
+
+
+def several_components(members: DataFrame) -> DataFrame:
+    """Rows of ``members`` (``key``, ``node``, ``label``, ...) whose key has more than one label, with the key's ``size``."""
+    keys = members.groupBy("key").agg(F.min("label").alias("l1"), F.max("label").alias("l2"), F.count(F.lit(1)).alias("size")).where("l1 < l2")
+    return members.join(materialize(keys.select("key", "size"), "open_keys"), "key")
+
+
+def labelled(rows: DataFrame, label: DataFrame | None) -> DataFrame:
+    if label is None:
+        return rows.withColumn("label", F.col("node"))
+    return rows.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def linked_components(seen: DataFrame, threshold: float) -> DataFrame:
+    edges = seen.where(F.col("similarity") >= threshold).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    return materialize(components(edges), "components")
+
+
+def link(members: DataFrame, texts: DataFrame, idf: Idf, threshold: float, at_once: int) -> DataFrame | None:
+    """Component label of every node with a link, from buckets ``(key, node, total)``; None if no two nodes share one.
+
+    Open buckets that hold at most ``at_once`` pairs in all are compared pair by pair instead of by further rounds.
+    """
+    seen: DataFrame | None = None
+    label: DataFrame | None = None
+    need = threshold / (1 + threshold)
+    while True:
+        counts: dict[str, int] = {}
+        open_ = materialize(several_components(labelled(members, label)), "open", counts)
+        if not counts["open"]:
+            return label
+        if open_.agg(F.sum((F.col("size") - 1) / 2)).first()[0] <= at_once:
+            x, y = open_.alias("x"), open_.alias("y")
+            weights = F.least("x.total", "y.total") >= F.lit(threshold - 1e-9) * F.greatest("x.total", "y.total")
+            last = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & weights)
+            last = last.select(F.col("x.node").alias("hub"), F.col("y.node").alias("node")).distinct()
+            known = verified(last if seen is None else last.join(seen, ["hub", "node"], "left_anti"), texts, idf)
+            seen = known if seen is None else seen.unionByName(known)
+            return linked_components(seen, threshold)
+        rank = materialize(open_.groupBy("node").agg(F.sum("size").alias("rank")), "ranks")
+        top = open_.join(rank, "node").groupBy("key").agg(F.max(F.struct("rank", (-F.col("node")).alias("minus"))).alias("top"))
+        hubs = materialize(top.select("key", (-F.col("top.minus")).alias("hub")), "hubs")
+        buckets = materialize(open_.join(hubs, "key").select("key", "hub", "node", "total"), "buckets")
+        pairs = buckets.where("hub <> node").select("hub", "node").distinct()
+        if seen is not None:
+            pairs = pairs.join(seen, ["hub", "node"], "left_anti")
+        known = verified(materialize(pairs, "pairs"), texts, idf)
+        seen = known if seen is None else seen.unionByName(known)
+        label = linked_components(seen, threshold)
+
+        rest = materialize(several_components(labelled(buckets, label)), "unsettled", counts)
+        if not counts["unsettled"]:
+            return label
+        facts = rest.join(seen.select("hub", "node", "similarity", "overlap"), ["hub", "node"])
+        x, y = facts.alias("x"), facts.alias("y")
+        # pairs that can be linked without anything in common beyond the hub
+        fits = x.join(
+            y,
+            (F.col("x.key") == F.col("y.key"))
+            & (F.col("x.node") < F.col("y.node"))
+            & (F.col("x.label") != F.col("y.label"))
+            & (F.least("x.overlap", "y.overlap") >= F.lit(need - 1e-9) * (F.col("x.total") + F.col("y.total")))
+            & (F.abs(F.col("x.similarity") - F.col("y.similarity")) <= 1 - threshold + 1e-9),
+        ).select(F.col("x.node").alias("hub"), F.col("y.node").alias("node"))
+        fits = materialize(fits.distinct().join(seen, ["hub", "node"], "left_anti"), "fits", counts)
+        if counts["fits"]:
+            seen = seen.unionByName(verified(fits, texts, idf))
+            label = linked_components(seen, threshold)
+        members = materialize(refined(rest, seen, threshold), "refined")
+
+
+def refined(rest: DataFrame, seen: DataFrame, threshold: float) -> DataFrame:
+    """The next buckets: nodes of a hub by the shingles beyond it, the rarest of each node first.
+
+    A linked pair that :func:`link` has not compared has at least ``t`` in common beyond the hub, where t is what a link
+    with the lightest node at hand needs in all, less the overlap with the hub. A node whose shingles beyond the hub
+    are its own but for less than t has no such partner. For others the rarest shingles that make up all but t of
+    their weight hold one that the partner has among its own, so the rest need not be looked at.
+    """
+    need = threshold / (1 + threshold)
+    nodes = rest.where("hub <> node").select("hub", "node", "total").distinct().join(seen, ["hub", "node"])
+    lightest = Window.partitionBy("hub")
+    t = F.lit(need) * (F.col("total") + F.greatest(F.lit(threshold) * F.col("total"), F.min("total").over(lightest))) - F.col("overlap") - 1e-6
+    each = materialize(nodes.withColumn("t", t).select("hub", "node", "total", "overlap", "t", F.inline("beyond")), "beyond")
+    often = materialize(each.groupBy("hub", "s").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "often")
+    shared = each.join(often, ["hub", "s"])
+    # shingles of one node only come first; their weight is what is beyond the hub less what is shared
+    of_node = Window.partitionBy("hub", "node")
+    order = of_node.orderBy("n", "s").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = shared.withColumns({"common": F.sum("w").over(of_node), "ahead": F.coalesce(F.sum("w").over(order), F.lit(0.0))})
+    extra = F.col("total") - F.col("overlap")
+    prefix = ranked.where((F.col("common") >= F.col("t")) & (extra - F.col("common") + F.col("ahead") <= extra - F.col("t") + 1e-6))
+    return prefix.select(F.xxhash64("hub", "s").alias("key"), "node", "total")
 
 
 def text_digest(text: Column) -> Column:
@@ -251,44 +364,20 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     idf = document_frequencies(docs)
     signed_ = materialize(docs.select("id", "digest", "text").mapInArrow(_sign(idf), "id long, digest binary, total double, bands array<long>"), "signatures")
 
+    counts: dict[str, int] = {}
     # negative keys stand for texts that only rows without an id have
     nameless = -F.shiftrightunsigned(F.xxhash64("digest"), 1) - 1
     folded = signed_.groupBy("digest").agg(F.min("id").alias("least"), F.any_value("total").alias("total"))
-    folded = materialize(folded.select("digest", F.coalesce("least", nameless).alias("node"), "total"), "nodes")
+    folded = materialize(folded.select("digest", F.coalesce("least", nameless).alias("node"), "total"), "nodes", counts)
     nodes = signed_.select("id", "digest", "bands").join(folded, "digest").where("id <=> node OR node < 0").select("node", "total", "bands")
-    in_band = nodes.select("node", "total", F.explode("bands").alias("key"))
-    hubs = materialize(in_band.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("most")).where("hub < most").select("key", "hub"), "hubs")
-    buckets = materialize(in_band.join(hubs, "key").select("key", "hub", "node", "total").distinct(), "buckets")
-
+    members = nodes.select("node", "total", F.explode("bands").alias("key"))
+    shared = materialize(members.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("key"), "shared")
+    members = materialize(members.join(shared, "key").distinct(), "members")
     texts = docs.join(folded.where("node < 0").select("digest", "node").withColumnRenamed("node", "nameless"), "digest", "left").select(F.coalesce("nameless", "id").alias("node"), "text")
-    first = materialize(buckets.where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    known = verified(first, texts, idf)
-    linked = known.where(F.col("similarity") >= threshold).select("a", "b")
-    label = materialize(components(linked), "components")
-
-    # buckets of more than one component: what the hub could not settle
-    of = buckets.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    far = of.join(known.select(F.col("a").alias("hub"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("far")), ["hub", "node"], "left").withColumn("far", F.coalesce("far", F.lit(0.0)))
-    far = materialize(far, "settled")
-    several = materialize(far.groupBy("key").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).where("l1 < l2").select("key"), "several")
-    rest = far.join(several, "key", "left_semi")
-    x, y = rest.alias("x"), rest.alias("y")
-    reach = 1 - threshold + 1e-9
-    more = x.join(
-        y,
-        (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.node") < F.col("y.node"))
-        & (F.col("x.label") != F.col("y.label"))
-        & (F.abs(F.col("x.far") - F.col("y.far")) <= reach)
-        & (F.least("x.total", "y.total") >= (threshold - 1e-9) * F.greatest("x.total", "y.total")),
-    ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    counts: dict[str, int] = {}
-    more = materialize(more.distinct().join(first, ["a", "b"], "left_anti"), "rest", counts)
-    if counts["rest"]:
-        again = verified(more, texts, idf).where(F.col("similarity") >= threshold).select("a", "b")
-        label = materialize(components(linked.unionByName(again)), "components")
+    label = link(members, texts, idf, threshold, PAIRS_PER_TEXT * counts["nodes"])
 
-    named = signed_.select("id", "digest").join(folded.select("digest", "node"), "digest").join(label, "node", "left")
+    named = signed_.select("id", "digest").join(folded.select("digest", "node"), "digest")
+    named = labelled(named, label)
     key = F.coalesce("label", "node")
     return named.select("id", "digest", key.alias("class_key"), key.alias("class_id"))
 
