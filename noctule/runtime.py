@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -32,7 +34,26 @@ def scratch_dir(spark: SparkSession) -> str:
     return _LOCAL_FALLBACK[app]
 
 
-def materialize(df: DataFrame, label: str = "step", counts: dict[str, int] | None = None) -> DataFrame:
+# Paths written inside the open scratch scopes, the innermost last.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables materialized inside are removed at the end, but for those materialized with ``keep``.
+
+    What leaves the scope must not be lazy over a removed table: materialize it with ``keep`` first.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def materialize(df: DataFrame, label: str = "step", counts: dict[str, int] | None = None, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Later plans start from files, so a lost executor costs a re-read and not a recomputation,
@@ -42,10 +63,13 @@ def materialize(df: DataFrame, label: str = "step", counts: dict[str, int] | Non
     spark = df.sparkSession
     if counts is not None:
         seen = Observation()
-        out = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+        out = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), label, keep=keep)
         counts[label] = seen.get["rows"]
         return out
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    scopes = _SCOPES[:-1] if keep else _SCOPES
+    if scopes:
+        scopes[-1].append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
