@@ -83,7 +83,7 @@ def commit(written: DataFrame, folder: str) -> DataFrame:
     counts: dict[str, int] = {}
     listed = materialize(written, "listed", counts)
     spread = listed.repartition(max(1, counts["listed"] // NAMES_PER_TASK))
-    return materialize(spread.mapInArrow(_renamed(folder), listed.schema), "manifest")
+    return materialize(spread.mapInArrow(_renamed(folder), listed.schema), "manifest", keep=True)
 
 
 def one_task_each(manifest: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from .frames import arrow_schema, batch_of, row_struct, ship, unpacked, with_row
 DIMENSIONS = 1024
 UNKNOWN = "und"
 # Characters handled at once.
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 19
 # Different trigrams and texts whose vectors are in memory together, and letters kept.
 SLICE, ROWS, KEPT_LETTERS = 4096, 256, 50_000
 # Code points below 2^21, so three fit in one 64-bit number.

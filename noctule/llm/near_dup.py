@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..runtime import materialize
+from ..runtime import materialize, scratch_scope
 from .components import components
 from .frames import ship
 from .words import Texts, Words, alnum_words, blocks, lower_ascii, mix, signed, span_hashes, split_words, texts_of, window_hashes, window_starts, word_hashes
@@ -101,7 +101,7 @@ def document_frequencies(docs: DataFrame, share: float = FREQUENT) -> Idf:
             for _, block in blocks(batch, "text"):
                 parts.append(different(block))
                 waiting += len(parts[-1])
-                if waiting > 1 << 20:
+                if waiting > 1 << 19:
                     known, counts = merged()
                     parts, waiting = [], 0
         known, counts = merged()
@@ -370,11 +370,13 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     folded = signed_.groupBy("digest").agg(F.min("id").alias("least"), F.any_value("total").alias("total"))
     folded = materialize(folded.select("digest", F.coalesce("least", nameless).alias("node"), "total"), "nodes", counts)
     nodes = signed_.select("id", "digest", "bands").join(folded, "digest").where("id <=> node OR node < 0").select("node", "total", "bands")
-    members = nodes.select("node", "total", F.explode("bands").alias("key"))
-    shared = materialize(members.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("key"), "shared")
-    members = materialize(members.join(shared, "key").distinct(), "members")
     texts = docs.join(folded.where("node < 0").select("digest", "node").withColumnRenamed("node", "nameless"), "digest", "left").select(F.coalesce("nameless", "id").alias("node"), "text")
-    label = link(members, texts, idf, threshold, PAIRS_PER_TEXT * counts["nodes"])
+    with scratch_scope(df.sparkSession):
+        members = nodes.select("node", "total", F.explode("bands").alias("key"))
+        shared = materialize(members.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("key"), "shared")
+        members = materialize(members.join(shared, "key").distinct(), "members")
+        label = link(members, texts, idf, threshold, PAIRS_PER_TEXT * counts["nodes"])
+        label = None if label is None else materialize(label, "labels", keep=True)
 
     named = signed_.select("id", "digest").join(folded.select("digest", "node"), "digest")
     named = labelled(named, label)
@@ -390,11 +392,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``df`` that stand for their class: the smallest id (null last), one row of several alike."""
-    found = classes(df, id_col, text_col, threshold)
-    stays = found.groupBy("class_key").agg(F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "digest")).alias("s"), F.count(F.lit(1)).alias("n"))
-    stays = materialize(stays.select(F.col("s.id").alias("__id"), F.col("s.digest").alias("__digest")), "stays")
+    with scratch_scope(df.sparkSession):
+        found = classes(df, id_col, text_col, threshold)
+        stays = found.groupBy("class_key").agg(F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "digest")).alias("s"))
+        stays = materialize(stays.select(F.col("s.id").alias("__id"), F.col("s.digest").alias("__digest")), "stays", keep=True)
+        # equal rows can only be among those with an id and text that stand twice
+        twice = found.groupBy("id", "digest").count().where("count > 1").limit(1).count()
     keyed = df.withColumn("__digest", text_digest(F.col(f"`{text_col}`")))
     kept = keyed.join(stays, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")) & (keyed["__digest"] == stays["__digest"]), "left_semi").drop("__digest")
-    # equal rows can only be among those with an id and text that stand twice
-    twice = found.groupBy("id", "digest").count().where("count > 1").limit(1).count()
     return kept.dropDuplicates([id_col, text_col]) if twice else kept

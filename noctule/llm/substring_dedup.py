@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..runtime import materialize
+from ..runtime import materialize, scratch_scope
 from .frames import arrow_schema, batch_of, row_key, row_struct, ship, unpacked, with_row
 from .words import BASES, Words, blocks, covered, mix, prefix_sums, signed, space_words, span_hashes, split_words, window_starts, word_hashes
 
@@ -162,6 +162,11 @@ def _windows(length: int) -> Scan:
 
 def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     """Spans of words (first, end) to remove per document ``(id, th)``; ``docs`` has ``id``, ``th`` and ``text``."""
+    with scratch_scope(docs.sparkSession):
+        return materialize(_spans(docs, length), "spans", keep=True)
+
+
+def _spans(docs: DataFrame, length: int) -> DataFrame:
     spark = docs.sparkSession
     short, double = levels(length)
     texts = docs.select("id", "th", "text")

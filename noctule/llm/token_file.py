@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..runtime import scratch_scope
 from .bpe import default_path, encoder
 from .files import Attempt, commit, one_task_each, read_file, shared_folder
 from .frames import ship
@@ -214,7 +215,8 @@ def write_tokens(df: DataFrame, folder: str, id_col: str = "doc_id", text_col: s
     id_, text = F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")
     order = [F.col("id").asc_nulls_last(), F.col("th")]
     ranged = df.select(id_, text, F.xxhash64(text).alias("th")).repartitionByRange(*order).sortWithinPartitions(*order)
-    return commit(ranged.drop("th").mapInArrow(write, MANIFEST_SQL), folder)
+    with scratch_scope(df.sparkSession):
+        return commit(ranged.drop("th").mapInArrow(write, MANIFEST_SQL), folder)
 
 
 READ_SQL = "id long, local_start long, n_tokens long, ids_crc32 long, part long, piece long"

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..runtime import materialize
+from ..runtime import materialize, scratch_scope
 from .frames import arrow_schema, batch_of, row_struct, ship, unpacked, with_row
 from .words import BASES, Texts, blocks, byte_sums, lower_ascii, signed, span_hashes, split_words
 
@@ -123,6 +123,11 @@ def held_out(id_col: str = "doc_id") -> Column:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Model:
     """Fit to ``sample`` documents of each label at most, all if there are fewer."""
     ship(docs.sparkSession)
+    with scratch_scope(docs.sparkSession):
+        return _train(docs, labels, id_col, text_col, label_col, sample)
+
+
+def _train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int) -> Model:
     known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)")
     chosen = None
     for label in (0, 1):

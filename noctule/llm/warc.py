@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..runtime import materialize
+from ..runtime import materialize, scratch_scope
 from .files import Attempt, commit, one_task_each, read_file, shared_folder
 from .frames import ship
 
@@ -149,6 +149,11 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     Payloads of fewer than ``min_bytes`` bytes are never revisits.
     """
     ship(pages.sparkSession)
+    with scratch_scope(pages.sparkSession):
+        return _write(pages, folder, id_col, url_col, html_col, min_bytes, file_bytes, date, level, prefix)
+
+
+def _write(pages: DataFrame, folder: str, id_col: str, url_col: str, html_col: str, min_bytes: int, file_bytes: int, date: str, level: int, prefix: str) -> DataFrame:
     html = F.col(f"`{html_col}`").cast("string").alias("html")
     pages = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.coalesce(F.col(f"`{url_col}`"), F.lit("")).alias("url"), html)
     pages = pages.withColumn("digest", F.sha1(F.coalesce("html", F.lit("")).cast("binary")))

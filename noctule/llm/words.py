@@ -81,7 +81,8 @@ def blocks(batch: pa.RecordBatch, text: str, limit: int = BLOCK_BYTES) -> Iterat
     """Slices of a batch with at most ``limit`` bytes of text each, one row at least."""
     if not batch.num_rows:
         return
-    starts = texts_of(batch.column(text)).starts
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    starts = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     at = 0
     while at < batch.num_rows:
         to = max(at + 1, int(np.searchsorted(starts, starts[at] + limit, "right")) - 1)
