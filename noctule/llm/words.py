@@ -22,7 +22,7 @@ BASES = ((0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93), (0xC2B2AE3D27D4EB4F, 0xA0761D
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 # Text bytes handled at once: bounds the working arrays of a task (about 60 bytes per byte).
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def space_words() -> np.ndarray:
