@@ -1,4 +1,4 @@
-"""Near-duplicates: consistent weighted sampling over TF-IDF shingles, banded and verified.
+"""Near-duplicates: weighted min-hashes of TF-IDF shingles, banded and verified.
 
 A text is the multiset of its five-word shingles (the whole text if it is shorter). A shingle's weight is its count
 times the mean IDF of its words, 1 + ln(documents / documents with the word). Words in less than ``FREQUENT`` of the
@@ -6,10 +6,11 @@ documents share the IDF of that share, so only frequent words need counts, and t
 overall is frequent in some task, tasks propose, and a second pass counts what was proposed.
 
 1. Rows with equal texts fold to one node, the smallest id.
-2. Signatures by improved consistent weighted sampling (Ioffe 2010): per shingle r, c ~ Gamma(2, 1), b ~ U(0, 1) from
-   its hash, t = floor(ln w / r + b), ln a = ln c - r (t - b) - r, and the sample is the shingle (with t) of least a.
-   Shingles are dealt into bins by hash and every bin gives one sample, so a shingle is looked at ``REPEATS`` times and not
-   once per sample; an empty bin takes the sample of another, in an order fixed for all texts.
+2. Signatures are weighted min-hashes over whole texts (Christiani 2020, "DartMinHash"). A shingle throws darts in time, as a
+   Poisson process over its weight, and every dart falls on one of the ``SAMPLES`` samples; a sample is its text's earliest dart.
+   Darts come from the hash of shingle, layer of its count and number, so two texts agree in each sample with the probability of
+   their weighted Jaccard similarity, independently, however uneven the weights. A text throws about 1,500 darts in all
+   and not every shingle 200; darts are thrown on until no sample is empty.
 3. Samples are banded. In every band bucket all nodes are compared with one hub only, the node with the most company over
    all its buckets: the text that others were copied from is in nearly all buckets of its copies. Pairs are verified by
    the weighted Jaccard similarity of the whole texts; verified pairs give components. A bucket of one component is done.
@@ -43,8 +44,12 @@ from .words import Texts, Words, alnum_words, blocks, lower_ascii, mix, signed,
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BINS, REPEATS, ROWS = 100, 2, 5
-BANDS = BINS * REPEATS // ROWS
+SAMPLES, ROWS = 200, 5
+BANDS = SAMPLES // ROWS
+# Darts a text throws at first: all samples have one then in seven of eight texts, the others throw more.
+FIRST_DARTS = math.ceil(SAMPLES * (math.log(SAMPLES) + 2))
+# Shingles and darts whose arrays are held at once.
+AT_ONCE = 1 << 17
 FREQUENT = 0.01
 HASH_BITS = 48
 # Open buckets are finished pair by pair once they hold no more pairs than so many per text of the corpus.
@@ -134,8 +139,8 @@ def sums_by(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(group, values, n).astype(np.float64)
 
 
-def shingles(texts: Texts, idf: Idf) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys (row << 48 | shingle) and weights of the texts' shingles."""
+def shingles(texts: Texts, idf: Idf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys (row << 48 | shingle), weights and counts of the texts' shingles."""
     hashes, words = lowered_words(texts)
     value = np.concatenate([[0.0], np.cumsum(idf.of(signed(hashes)))])
     starts = window_starts(words, SHINGLE)
@@ -150,67 +155,92 @@ def shingles(texts: Texts, idf: Idf) -> tuple[np.ndarray, np.ndarray]:
         weight = np.concatenate([weight, (value[first + n] - value[first]) / n])
         row = np.concatenate([row, mine])
     key = row.astype(np.uint64) << np.uint64(HASH_BITS) | h >> np.uint64(64 - HASH_BITS)
-    key, back = np.unique(key, return_inverse=True)
-    return key, sums_by(back, weight, len(key))
+    key, back, count = np.unique(key, return_inverse=True, return_counts=True)
+    return key, sums_by(back, weight, len(key)), count
 
 
 def _uniform(h: np.ndarray, nth: int) -> np.ndarray:
     return ((mix(h + np.uint64(0x9E3779B97F4A7C15 * (nth + 1) & (1 << 64) - 1)) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
 
 
-def _other_bins() -> np.ndarray:
-    """The bins an empty bin turns to, in order."""
-    return np.array([np.random.Generator(np.random.PCG64(k)).permutation(BINS) for k in range(24)])
+def least_darts(row: np.ndarray, shingle: np.ndarray, unit: np.ndarray, count: np.ndarray, rows: int) -> np.ndarray:
+    """The samples (rows x ``SAMPLES``) of shingles with ``count`` times the weight ``unit``; each row has a shingle.
 
-
-def signatures(key: np.ndarray, weight: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    Counts are cut into the layers 0..1, 1..2, 2..4, 4..8 and so on; a layer of a shingle throws the same darts in all texts.
+    """
+    depth = np.frexp(count - 1.0)[1].astype(np.int64) + 1
+    of = np.repeat(np.arange(len(count)), depth)
+    layer = np.arange(len(of)) - np.repeat(np.cumsum(depth) - depth, depth)
+    span = np.exp2(np.maximum(layer - 1, 0))
+    low = np.where(layer > 0, span, 0.0)
+    rate, seed, row, count = unit[of] * span, mix(shingle[of] + (layer.astype(np.uint64) << np.uint64(HASH_BITS))), row[of], count[of]
+    # darts of an element before ``until`` of its row are thrown; ``at`` is the last one's time in units of the mean gap
+    until = FIRST_DARTS / sums_by(row, rate * np.minimum(count - low, span) / span, rows)
+    at, thrown = np.zeros(len(of)), np.zeros(len(of), np.int64)
+    least, sample = np.full(rows * SAMPLES, np.inf), np.zeros(rows * SAMPLES, np.uint64)
+    live = np.arange(len(of))
+    while len(live):
+        while len(live):
+            ahead = np.maximum(until[row[live]] * rate[live] - at[live], 0.0)
+            n = (ahead + np.sqrt(ahead)).astype(np.int64) + 1
+            first = np.cumsum(n) - n
+            e = np.repeat(live, n)
+            h = mix(seed[e] + mix((thrown[e] + np.arange(len(e)) - np.repeat(first, n)).astype(np.uint64)))
+            gap = -np.log(_uniform(h, 0))
+            steps = np.cumsum(gap)
+            when = steps + np.repeat(at[live] - steps[first] + gap[first], n)
+            before = when < until[row[e]] * rate[e]
+            kept = np.add.reduceat(before.astype(np.int64), first)
+            some = kept > 0
+            at[live[some]] = when[(first + kept - 1)[some]]
+            thrown[live] += kept
+            live = live[kept == n]
+            # darts above a text's count are not the text's
+            hit = np.flatnonzero(before)
+            e, h, when = e[hit], h[hit], when[hit]
+            hit = np.flatnonzero((low[e] + span[e] <= count[e]) | (low[e] + span[e] * _uniform(h, 1) < count[e]))
+            e, h, when = e[hit], h[hit], when[hit] / rate[e[hit]]
+            cell = row[e] * SAMPLES + (h % np.uint64(SAMPLES)).astype(np.int64)
+            np.minimum.at(least, cell, when)
+            won = least[cell] == when
+            sample[cell[won]] = h[won]
+        short = np.isinf(least).reshape(rows, SAMPLES).any(axis=1)
+        until[short] *= 1.25
+        live = np.flatnonzero(short[row])
+    return sample.reshape(rows, SAMPLES)
+
+
+def signatures(key: np.ndarray, weight: np.ndarray, count: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Band keys per row (rows x bands), and which rows have any shingle."""
     row = (key >> np.uint64(HASH_BITS)).astype(np.int64)
     shingle = key & np.uint64((1 << HASH_BITS) - 1)
-    log_w = np.log(weight)
-    samples = []
-    for repeat in range(REPEATS):
-        h = mix(shingle + np.uint64(repeat << HASH_BITS))
-        cell = row * BINS + (h % np.uint64(BINS)).astype(np.int64)
-        r = -np.log(_uniform(h, 0) * _uniform(h, 1))
-        log_c = np.log(-np.log(_uniform(h, 2) * _uniform(h, 3)))
-        beta = _uniform(h, 4)
-        t = np.floor(log_w / r + beta)
-        log_a = log_c - r * (t - beta) - r
-        # least per bin: order by bin, then by a
-        order = np.lexsort((log_a, cell))
-        first = order[np.concatenate([[True], cell[order][1:] != cell[order][:-1]])[: len(order)]]
-        grid, filled = np.zeros(rows * BINS, np.uint64), np.zeros(rows * BINS, bool)
-        grid[cell[first]] = mix(h[first] ^ mix(t[first].astype(np.int64).view(np.uint64)))
-        filled[cell[first]] = True
-        grid, filled = grid.reshape(rows, BINS), filled.reshape(rows, BINS)
-        out, done = grid.copy(), filled.copy()
-        for other in _other_bins():
-            at, bin_ = np.nonzero(~done)
-            fits = filled[at, other[bin_]]
-            out[at[fits], bin_[fits]] = grid[at[fits], other[bin_[fits]]]
-            done[at[fits], bin_[fits]] = True
-        # few shingles: the next filled bin
-        for at in np.flatnonzero(~done.all(axis=1) & filled.any(axis=1)):
-            full = np.flatnonzero(filled[at])
-            miss = np.flatnonzero(~done[at])
-            out[at, miss] = grid[at, full[np.searchsorted(full, miss) % len(full)]]
-        samples.append(out)
-    grid = np.concatenate(samples, axis=1)
-    # a band takes samples from all parts of the grid
+    size = np.bincount(row, minlength=rows)
+    filled = np.flatnonzero(size)
+    ends = np.concatenate([[0], np.cumsum(size[filled])])
+    work = ends + FIRST_DARTS * np.arange(len(ends))
     bands = np.zeros((rows, BANDS), np.uint64)
-    for k in range(ROWS):
-        bands = mix(bands * np.uint64(0xD6E8FEB86659FD93) + grid[:, k * BANDS : (k + 1) * BANDS])
-    bands = mix(bands ^ np.arange(BANDS, dtype=np.uint64))
-    return bands, np.bincount(row, minlength=rows) > 0
+    at = 0
+    # few enough rows at once that their darts are about ``AT_ONCE``
+    while at < len(filled):
+        to = max(at + 1, int(np.searchsorted(work, work[at] + AT_ONCE, "right")) - 1)
+        mine = slice(ends[at], ends[to])
+        own = np.repeat(np.arange(to - at), size[filled[at:to]])
+        grid = least_darts(own, shingle[mine], weight[mine] / count[mine], count[mine], to - at)
+        # a band takes samples from all parts of the grid
+        some = np.zeros((to - at, BANDS), np.uint64)
+        for k in range(ROWS):
+            some = mix(some * np.uint64(0xD6E8FEB86659FD93) + grid[:, k * BANDS : (k + 1) * BANDS])
+        bands[filled[at:to]] = mix(some ^ np.arange(BANDS, dtype=np.uint64))
+        at = to
+    return bands, size > 0
 
 
 def _sign(idf: Idf):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in blocks(batch, "text"):
-                key, weight = shingles(texts, idf)
-                bands, has = signatures(key, weight, part.num_rows)
+                key, weight, count = shingles(texts, idf)
+                bands, has = signatures(key, weight, count, part.num_rows)
                 ends = np.concatenate([[0], np.cumsum(np.where(has, BANDS, 0))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(bands[has].ravel())))
                 total = sums_by((key >> np.uint64(HASH_BITS)).astype(np.int64), weight, part.num_rows)
@@ -224,7 +254,7 @@ def _similar(idf: Idf):
         for batch in batches:
             for part, left in blocks(batch, "text_hub"):
                 n = part.num_rows
-                (ka, wa), (kb, wb) = shingles(left, idf), shingles(texts_of(part.column("text_node")), idf)
+                (ka, wa, _), (kb, wb, _) = shingles(left, idf), shingles(texts_of(part.column("text_node")), idf)
                 at = np.searchsorted(ka, kb)
                 at[at == len(ka)] = 0
                 same = ka[at] == kb if len(ka) else np.zeros(len(kb), bool)

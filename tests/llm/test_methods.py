@@ -33,6 +33,38 @@ def test_refined_buckets_lose_no_link(spark, monkeypatch):
         assert {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(df).collect()} == want
 
 
+def test_heavy_shingles_have_their_share(spark):
+    # a line repeated many times is most of a text's weight and few of its shingles
+    texts = {}
+    for pair in range(48):
+        line = " ".join(f"l{pair}x{k}" for k in range(12))
+        repeats, own = [(50, 40), (100, 60), (100, 100), (200, 100), (200, 250), (50, 100)][pair % 6]
+        for side in range(2):
+            tail = " ".join(f"o{pair}x{side}x{k}" for k in range(own))
+            texts[len(texts)] = "\n".join([line] * (repeats + side * (pair % 4))) + "\n" + tail
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = similar_classes(texts)
+    assert 48 < len(set(want.values())) < 64
+    assert {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(df).collect()} == want
+
+
+def test_samples_agree_as_often_as_weights_overlap():
+    rng = np.random.default_rng(8)
+    n, rows = 60, 400
+    agreed, similarity = [], []
+    for _ in range(rows):
+        unit = rng.uniform(1, 10, n)
+        counts = rng.choice([0, 1, 1, 2, 3, 7, 150], (2, n))
+        counts[:, 0] = 1
+        row, at = np.nonzero(counts)
+        shingle = rng.integers(0, 1 << 48, n).astype(np.uint64)
+        sample = near_dup.least_darts(row, shingle[at], unit[at], counts[row, at], 2)
+        agreed.append((sample[0] == sample[1]).mean())
+        similarity.append((unit * counts.min(0)).sum() / (unit * counts.max(0)).sum())
+    assert abs(np.mean(np.array(agreed) - similarity)) < 4 * 0.5 / (rows * near_dup.SAMPLES) ** 0.5
+    assert np.std(np.array(agreed) - similarity) < 1.2 * np.sqrt(np.mean(np.array(similarity) * (1 - np.array(similarity))) / near_dup.SAMPLES)
+
+
 def test_proximity_matches(spark):
     docs = spark.createDataFrame([(1, "red x x green x blue"), (2, "red x x x x x x x x green blue"), (3, "blue green red")], "doc_id long, text string")
     items = spark.createDataFrame([("a", "red green blue")], "item_id string, text string")
