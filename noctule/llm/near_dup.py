@@ -2,8 +2,7 @@
 
 A text is the multiset of its five-word shingles (the whole text if it is shorter). A shingle's weight is its count
 times the mean IDF of its words, 1 + ln(documents / documents with the word). Words in less than ``FREQUENT`` of the
-documents share the IDF of that share, so only frequent words need counts, and those are exact: a word frequent
-overall is frequent in some task, tasks propose, and a second pass counts what was proposed.
+documents share the IDF of that share. Counts are summed in Spark, and only those of frequent words come to the driver.
 
 1. Rows with equal texts fold to one node, the smallest id.
 2. Signatures are weighted min-hashes over whole texts (Christiani 2020, "DartMinHash"). A shingle throws darts in time, as a
@@ -92,44 +91,26 @@ def document_frequencies(docs: DataFrame, share: float = FREQUENT) -> Idf:
         _, first = np.unique(key, return_index=True)
         return signed(hashes)[first]
 
-    def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, parts, waiting = 0, [], 0
-        known, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, waiting = [], 0
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            h, back = np.unique(np.concatenate([known, *parts]), return_inverse=True)
-            weight = np.concatenate([counts, np.ones(sum(map(len, parts)), np.int64)])
-            return h, np.bincount(back, weight, len(h)).astype(np.int64)
+        def counted() -> pa.RecordBatch:
+            h, n = np.unique(np.concatenate([np.empty(0, np.int64), *parts]), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], names=["h", "n"])
 
         for batch in batches:
-            rows += batch.num_rows
             for _, block in blocks(batch, "text"):
                 parts.append(different(block))
                 waiting += len(parts[-1])
                 if waiting > 1 << 19:
-                    known, counts = merged()
+                    yield counted()
                     parts, waiting = [], 0
-        known, counts = merged()
-        yield pa.RecordBatch.from_arrays([pa.array(known[counts >= share * rows])], names=["h"])
-
-    texts = docs.select("text")
-    # at most (different words of a text) / share hashes per task, and nearly the same ones from all
-    proposed = np.sort(np.array([r["h"] for r in texts.mapInArrow(propose, "h long").distinct().toLocalIterator()], np.int64))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(len(proposed), np.int64)
-        for batch in batches:
-            for _, block in blocks(batch, "text"):
-                h = different(block)
-                at = np.searchsorted(proposed, h)
-                at[at == len(proposed)] = 0
-                sums += np.bincount(at[proposed[at] == h], minlength=len(sums))
-        yield pa.RecordBatch.from_arrays([pa.array(proposed), pa.array(sums)], names=["h", "n"])
+        yield counted()
 
     rest = 1 + math.log(1 / share)
-    if not len(proposed):
-        return Idf(proposed, np.empty(0), rest)
-    found = texts.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= share * total).toLocalIterator()
+    sums = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    # at most (different words of a text) / share of them
+    found = sums.where(F.col("n") >= share * total).toLocalIterator()
     table = sorted((r["h"], r["n"]) for r in found)
     h, n = (np.array(x) for x in zip(*table, strict=True)) if table else (np.empty(0, np.int64), np.empty(0))
     return Idf(h.astype(np.int64), 1 + np.log(total / np.maximum(n, 1)), rest)

@@ -65,6 +65,16 @@ def test_samples_agree_as_often_as_weights_overlap():
     assert np.std(np.array(agreed) - similarity) < 1.2 * np.sqrt(np.mean(np.array(similarity) * (1 - np.array(similarity))) / near_dup.SAMPLES)
 
 
+def test_only_frequent_words_reach_the_driver(spark, monkeypatch):
+    texts = [(k, "all " + ("half " if k % 2 else "") + " ".join(f"own{k}x{j}" for j in range(40))) for k in range(200)]
+    docs = spark.createDataFrame(texts, "id long, text string").repartition(50)
+    reached, read = [], type(docs).toLocalIterator
+    monkeypatch.setattr(type(docs), "toLocalIterator", lambda df, *a, **k: (reached.append(r) or r for r in read(df, *a, **k)))
+    idf = near_dup.document_frequencies(docs, share=0.1)
+    assert len(reached) == len(idf.hashes) == 2
+    assert np.allclose(sorted(idf.values), [1, 1 + np.log(2)]) and idf.rest == 1 + np.log(10)
+
+
 def test_proximity_matches(spark):
     docs = spark.createDataFrame([(1, "red x x green x blue"), (2, "red x x x x x x x x green blue"), (3, "blue green red")], "doc_id long, text string")
     items = spark.createDataFrame([("a", "red green blue")], "item_id string, text string")
