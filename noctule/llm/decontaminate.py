@@ -15,7 +15,9 @@ The driver holds the term numbers of the test items, which are few beside the co
 tasks in blocks of bounded size; a larger benchmark takes more passes over the index. Terms are 64-bit hashes of the lower-cased words; a match has all the
 hashes of its phrase in order.
 
-Null texts have no words. An item without words is never found; items with equal ids count once. Rows with
+Null texts have no words. An item without words is never found; items with equal ids count once. Items without an
+id are searched like others: their hits count, together they are one item more, and they have no name in
+``items_sha256``. Only :func:`contamination` leaves them out unless ``nameless`` is set, as the queries do. Rows with
 equal document ids are judged each for itself, and null ids stay null. Empty tables give no rows, an empty
 benchmark contaminates nothing. Added columns replace columns of the same name.
 """
@@ -53,7 +55,7 @@ def term_lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Phrases:
     """Windows of a block of test items, as rows of term numbers."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int) -> None:
+    def __init__(self, items: list[tuple[str | None, str]], window: int) -> None:
         hashes, rows = term_lists(pa.array([t for _, t in items], pa.string()))
         self.items = [i for i, _ in items]
         self.vocabulary = np.unique(hashes)
@@ -74,12 +76,12 @@ class Phrases:
         self.order = {n: np.argsort(counts[w], axis=1, kind="stable") for n, (w, _) in self.by_length.items()}
 
 
-def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> list[Phrases]:
+def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, nameless: bool = True) -> list[Phrases]:
     """Test items in blocks of at most ``ITEM_WORDS`` words (one item at least), read block by block."""
     out, block, size = [], [], 0
     rows = benchmark.select(F.col(f"`{item_col}`").cast("string"), F.col(f"`{text_col}`")).distinct()
     for item, text in rows.toLocalIterator():
-        if item is None or text is None:
+        if text is None or (item is None and not nameless):
             continue
         n = len(text) // 2 + 1
         if block and size + n > ITEM_WORDS * 8:
@@ -198,7 +200,7 @@ def _search(phrases: Phrases, within: int | None):
                     # places of a document are its word numbers, shifted
                     begin = at - first[doc]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), segment)), pa.array(doc, pa.int32()), pa.array([phrases.items[item]] * len(at)), pa.array(begin, pa.int32()), pa.array(begin + n, pa.int32())],
+                        [pa.array(np.full(len(at), segment)), pa.array(doc, pa.int32()), pa.array([phrases.items[item]] * len(at), pa.string()), pa.array(begin, pa.int32()), pa.array(begin + n, pa.int32())],
                         names=["segment", "doc", "item", "first", "end"],
                     )
 
@@ -220,10 +222,10 @@ def search(index: DataFrame, blocks_: list[Phrases], within: int | None = None)
     return out if out is not None else index.sparkSession.createDataFrame([], MATCHES_SQL)
 
 
-def indexed(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW, texts: bool = False) -> tuple[DataFrame, list[Phrases]]:
+def indexed(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW, texts: bool = False, nameless: bool = True) -> tuple[DataFrame, list[Phrases]]:
     """The stored index of ``docs``, with their texts if asked, and the benchmark's blocks."""
     ship(docs.sparkSession)
-    phrases = item_blocks(benchmark, item_col, "text", window)
+    phrases = item_blocks(benchmark, item_col, "text", window, nameless)
     vocabulary = np.unique(np.concatenate([p.vocabulary for p in phrases])) if phrases else np.empty(0, np.int64)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if texts or c != text_col], F.lit(0).alias("__pad")).alias("row"), F.col(f"`{text_col}`").alias("text"))
     return materialize(build_index(rows, vocabulary), "index"), phrases
@@ -232,27 +234,27 @@ def indexed(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_
 def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for spans, items in zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist(), strict=True):
+        for spans, items, nameless in zip(*(batch.column(c).to_pylist() for c in ("spans", "items", "nameless")), strict=True):
             first, end = (np.array([s[k] for s in spans], np.int64) for k in ("first", "end"))
             names = ",".join(sorted(set(items)))
-            out.append((int(covered(int(end.max()), first, end).sum()), len(set(items)), hashlib.sha256(names.encode()).hexdigest()))
+            out.append((int(covered(int(end.max()), first, end).sum()), len(set(items)) + nameless, hashlib.sha256(names.encode()).hexdigest()))
         n_hit, n_items, digest = zip(*out, strict=True) if out else ((), (), ())
         yield pa.RecordBatch.from_arrays([batch.column("segment"), batch.column("doc"), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digest, pa.string())], names=["segment", "doc", "n_hit", "n_items", "items_sha256"])
 
 
 def hits_of(matches: DataFrame) -> DataFrame:
     """Hit words and items per document with a match."""
-    spans = matches.groupBy("segment", "doc").agg(F.collect_set(F.struct("first", "end")).alias("spans"), F.collect_set("item").alias("items"))
+    spans = matches.groupBy("segment", "doc").agg(F.collect_set(F.struct("first", "end")).alias("spans"), F.collect_set("item").alias("items"), F.max(F.col("item").isNull().cast("int")).alias("nameless"))
     return spans.mapInArrow(_hits, "segment long, doc int, n_hit long, n_items long, items_sha256 string")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW, nameless: bool = False) -> DataFrame:
     """The columns of ``docs`` but the text, with ``n_words``, ``n_hit``, ``n_items``, ``items_sha256`` and ``contaminated``.
 
     A word is hit if it lies in an occurrence of a window of ``window`` item words (or of a shorter item); a
-    document with at least one hit word in twenty is contaminated.
+    document with at least one hit word in twenty is contaminated. Items without an id take part if ``nameless``.
     """
-    index, phrases = indexed(docs, benchmark, text_col, item_col, window)
+    index, phrases = indexed(docs, benchmark, text_col, item_col, window, nameless=nameless)
     hits = hits_of(search(index, phrases))
     joined = index.where("doc IS NOT NULL").select("segment", "doc", "row", "n_words").join(hits, ["segment", "doc"], "left")
     none = hashlib.sha256(b"").hexdigest()

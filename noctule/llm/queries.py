@@ -135,7 +135,7 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 )
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return contamination(docs, _table(spark, sf_dir, "benchmark"))
+    return contamination(docs, _table(spark, sf_dir, "benchmark"), nameless=True)
 
 
 @_query(

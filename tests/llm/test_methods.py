@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 
+import duckdb
 import numpy as np
 
 from noctule.llm import decontaminate, near_dup, quality, toxicity
+from noctule.llm.queries import ORACLES, QUERIES
 from tests.llm.test_queries import similar_classes
 
 
@@ -85,6 +87,22 @@ def test_proximity_matches(spark):
     assert decontaminate.search(index, phrases).count() == 0
 
 
+def test_items_without_id_count(spark, tmp_path):
+    docs = [(1, "a b c d e f g"), (2, "x y z"), (3, "a b c x y z"), (4, "none of them"), (5, None)]
+    items = [(None, "x y z"), (None, "d e"), ("7", "a b c"), (None, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    query = con.execute(ORACLES["op6_decontamination"])
+    names = [c[0] for c in query.description]
+    got = QUERIES["op6_decontamination"](spark, str(tmp_path)).select(*names).collect()
+    assert sorted(map(tuple, got)) == sorted(query.fetchall())
+    kept = decontaminate.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.read.parquet(f"{tmp_path}/benchmark.parquet"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [4, 5]
+
+
 def test_em_recovers_rule_accuracies():
     rng = np.random.default_rng(3)
     good = rng.random(20_000) < 0.7
