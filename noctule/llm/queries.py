@@ -11,6 +11,7 @@ from .decontaminate import contamination
 from .language import identify
 from .near_dup import near_duplicates
 from .packing import pack_documents
+from .periodic_runs import longest_run, periodic_runs, runs_text
 from .quality import document_stats, judge_quality
 from .substring_dedup import remove_repeats
 from .toxicity import classify
@@ -176,3 +177,72 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_minhash_near_dedup")
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), threshold=0.8)
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; of one document in ten (crc32 of the id) the end repeats some of its own words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    cut = docs.select("doc_id", "text", (h % 10 == 0).alias("chosen"), F.floor(h / 10).alias("g"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    cut = cut.withColumn("words", F.when(F.col("chosen"), words))
+    cut = cut.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    left = F.col("n") - F.col("a")
+    cut = cut.withColumn("p", (F.floor(left / (3 + F.col("g") % 8)) + 1).cast("int"))
+    period = F.slice("words", F.col("a") + 1, F.col("p"))
+    tail = F.slice(F.flatten(F.array_repeat(period, F.ceil(left / F.col("p")).cast("int"))), F.lit(1), left)
+    changed = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return cut.select("doc_id", F.when(F.col("a").isNotNull(), changed).otherwise(F.col("text")).alias("text"))
+
+
+@_query(
+    "op11_periodic_runs",
+    r"""
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+           xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+               lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) AS h
+    FROM documents
+), cut AS (
+    SELECT *, len(ws) AS n, h // 10 AS g, (h // 10) % greatest(len(ws), 1) AS a FROM w
+), tailed AS (
+    SELECT doc_id, CASE WHEN h % 10 = 0 AND n > 0 THEN list_concat(ws[1 : a], list_transform(range(a, n), lambda i: ws[a + (i - a) % p + 1])) ELSE ws END AS ws
+    FROM (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM cut)
+), words AS (
+    SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM tailed
+), three AS (
+    SELECT doc_id, i, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o AS t, count(*) OVER (PARTITION BY doc_id) AS n
+    FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+), pairs AS (
+    SELECT x.doc_id, x.i, y.i - x.i AS q FROM three x JOIN three y ON x.doc_id = y.doc_id AND x.t = y.t AND x.i < y.i WHERE 4 * (y.i - x.i) <= x.n
+), stretches AS (
+    SELECT doc_id, q, min(i) AS s, count(*) + 2 + q AS l FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS part FROM pairs)
+    GROUP BY doc_id, q, part HAVING count(*) + 2 + q >= greatest(6, 4 * q)
+), runs AS (
+    SELECT doc_id, s, l, min(q) AS q FROM stretches GROUP BY doc_id, s, l
+), best AS (
+    SELECT doc_id, count(*) AS n_runs, arg_min({'start': s, 'length': l, 'period': q}, (-l, s, q)) AS top,
+           string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines
+    FROM runs GROUP BY doc_id
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(top.start AS BIGINT) AS start, CAST(top.length AS BIGINT) AS length, CAST(top.period AS BIGINT) AS period,
+       CAST(1000 * top.length // top.period AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM w LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+""",
+)
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_periodic_tails(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs(docs, texts=False).withColumn("top", longest_run(F.col("runs")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(runs_text(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        "collapsed_sha256",
+    )
