@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..runtime import materialize
 from .decontaminate import contamination
+from .hard_negatives import hard_negatives
 from .language import identify
 from .near_dup import near_duplicates
 from .packing import pack_documents
 from .periodic_runs import longest_run, periodic_runs, runs_text
 from .quality import document_stats, judge_quality
+from .secret_scan import of_kind, scan_secrets, spans_text
 from .substring_dedup import remove_repeats
 from .toxicity import classify
 from .token_file import roundtrip as token_roundtrip
@@ -246,3 +248,37 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(runs_text(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
         "collapsed_sha256",
     )
+
+
+@_query(
+    "op12_hard_negatives",
+    r"""
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, v.vec_id AS other, a.label = v.label AS same, CAST(list_inner_product(a.v, v.v) AS BIGINT) AS score
+    FROM v a JOIN v ON a.vec_id <> v.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER o AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW o AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) QUALIFY row_number() OVER o <= 10
+""",
+)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", label), positives=5, negatives=10, lower=30, upper=90, scale=256.0)
+
+
+@_query("op13_secret_scan")
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"), texts=False)
+    spans = F.col("spans")
+    counts = [F.size(of_kind(spans, kind)).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    base = F.sha2(spans_text(of_kind(spans, "assign", "access", "hex")).cast("binary"), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), spans_text(spans).alias("spans"))
