@@ -2,13 +2,15 @@
 
 The scan goes by (darkness descending, cand_ord) and keeps a candidate unless a kept one of the same Bortle
 class is nearer than the minimum distance. That decision depends only on earlier candidates close by, so it
-can be made strip by strip: a group decides what it can, waits where an undecided neighbour of another group
-matters, and the next round continues with what is left. The result does not depend on the grouping.
+can be made block by block: a group decides what it can and waits where an undecided neighbour of another group
+matters. Decisions move on as a wavefront: only groups that learnt something from a neighbour run again, and a
+round reads the rows of these groups and of their neighbours alone. The result does not depend on the grouping.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from functools import reduce
 
 import numpy as np
@@ -20,8 +22,9 @@ from noctule.functions.geo import haversine_km
 from noctule.operators.proximity import CROWD_QUERIES, KM_PER_DEG, half_width, range_pairs, with_cell, with_reach
 from noctule.runtime import broadcast_if_small, materialize
 
-GROUP_ROWS = 150_000
+GROUP_ROWS = 50_000
 CROWD_ROWS = 2_000
+# height and width of the pieces that groups are put together from
 STRIP_DEG = 0.25
 SEGMENT_DEG = 1.0
 MAX_PARTS = 16
@@ -54,11 +57,15 @@ def redundancy_filter(
     min_distance_km: float = K.REDUNDANCY_KM,
     group_rows: int = GROUP_ROWS,
     crowd_rows: int = CROWD_ROWS,
+    rounds: list[int] | None = None,
 ) -> DataFrame:
-    """Candidates that survive thinning; order them by (darkness desc, cand_ord) for the scan's output order."""
+    """Candidates that survive thinning; order them by (darkness desc, cand_ord) for the scan's output order.
+
+    ``rounds``, if given, gets the number of groups that ran in each round.
+    """
     left = materialize(candidates.select(*SLIM), "thin-in")
-    left, early = _settle_crowds(left, min_distance_km, crowd_rows)
-    kept = early + _strip_rounds(left, min_distance_km, group_rows)
+    left, kept, largest = _settle_crowds(left, min_distance_km, crowd_rows)
+    kept = kept + _wavefront(left, min_distance_km, group_rows, largest, [] if rounds is None else rounds)
     ids = reduce(DataFrame.unionByName, [k.select("cand_ord") for k in kept], left.select("cand_ord").limit(0))
     return candidates.join(ids, "cand_ord", "left_semi")
 
@@ -66,16 +73,19 @@ def redundancy_filter(
 # --- crowded places -----------------------------------------------------------------------------
 
 
-def _settle_crowds(left: DataFrame, km: float, crowd_rows: int) -> tuple[DataFrame, list[DataFrame]]:
+def _settle_crowds(left: DataFrame, km: float, crowd_rows: int) -> tuple[DataFrame, list[DataFrame], int]:
     """Thin with aggregates only while some sub-cell holds more than ``crowd_rows`` candidates of a class.
 
     Sub-cells are smaller than the distance, so each ends with at most one kept candidate. A sub-cell's first
     candidate that precedes the first of every sub-cell in reach is kept for certain; everything of its class
-    in reach is dropped. No group is ever collected.
+    in reach is dropped. No group is ever collected. Returns what is left, the kept, and the rows of the largest class.
     """
     deg = 0.45 * km / KM_PER_DEG
     kept: list[DataFrame] = []
-    while _crowded(left, deg, crowd_rows):
+    while True:
+        fullest, largest = _crowding(left, deg)
+        if fullest <= crowd_rows:
+            return left, kept, largest
         celled = with_cell(left, deg)
         rank = F.struct((-F.col("darkness")).alias("k"), F.col("cand_ord"), F.col("lat"), F.col("lon"))
         tops = materialize(
@@ -102,80 +112,58 @@ def _settle_crowds(left: DataFrame, km: float, crowd_rows: int) -> tuple[DataFra
         )
         # a winner is at distance 0 of itself and leaves with its neighbours
         left = materialize(celled.join(near, hit, "left_anti").select(*SLIM), "thin-left")
-    return left, kept
 
 
-def _crowded(left: DataFrame, deg: float, crowd_rows: int) -> bool:
-    sizes = with_cell(left.select("bortle", "lat", "lon"), deg).groupBy("bortle", "cell").count()
-    return bool(sizes.filter(F.col("count") > crowd_rows).take(1))
+def _crowding(left: DataFrame, deg: float) -> tuple[int, int]:
+    """Rows of the fullest sub-cell of a class, and of the largest class."""
+    cells = with_cell(left.select("bortle", "lat", "lon"), deg).groupBy("bortle", "cell").agg(F.count(F.lit(1)).alias("n"))
+    classes = cells.groupBy("bortle").agg(F.max("n").alias("fullest"), F.sum("n").alias("rows"))
+    return tuple(x or 0 for x in classes.agg(F.max("fullest"), F.max("rows")).first())
 
 
-# --- strip rounds -------------------------------------------------------------------------------
+# --- blocks ---------------------------------------------------------------------------------------
 
 
-def _block_cols(lat: Column, lon: Column) -> dict[str, Column]:
+def _piece(lat: Column, lon: Column) -> dict[str, Column]:
     return {"b_row": F.floor(lat / F.lit(STRIP_DEG)), "b_col": F.floor((lon + F.lit(180.0)) / F.lit(SEGMENT_DEG))}
 
 
-def _strips(left: DataFrame, group_rows: int) -> DataFrame:
-    """Group number of every (class, block): whole-width strips of about ``group_rows`` candidates.
+def _class_group() -> Column:
+    """Number of a class's first group; further ones follow by strip and place in the strip."""
+    return F.shiftleft((F.coalesce(F.col("bortle"), F.lit(-1)) + 1).cast("bigint"), 48)
 
-    Ties are scanned from north-west along the rows, so whole-width strips need the fewest rounds. Only a
-    latitude row that is too full on its own is cut into segments. The histogram has one row per block.
+
+def _groups(left: DataFrame, group_rows: int) -> DataFrame:
+    """Group number ``grp`` of every (class, piece): blocks of about ``group_rows`` candidates, about as many across as down.
+
+    Ties are scanned from north-west along the rows, so such blocks are decided along diagonals, many at a
+    time, where strips of the whole width would be one after the other. The histogram has one row per piece.
     """
-    blocks = left.select("bortle", *[c.alias(n) for n, c in _block_cols(F.col("lat"), F.col("lon")).items()])
-    sizes = blocks.groupBy("bortle", "b_row", "b_col").agg(F.count(F.lit(1)).alias("n"))
+    pieces = left.select("bortle", *[c.alias(n) for n, c in _piece(F.col("lat"), F.col("lon")).items()])
+    sizes = materialize(pieces.groupBy("bortle", "b_row", "b_col").agg(F.count(F.lit(1)).alias("n")), "pieces")
     rows = sizes.groupBy("bortle", "b_row").agg(F.sum("n").alias("row_n"))
-    down = Window.partitionBy("bortle").orderBy(F.desc("b_row")).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("strip", F.floor(F.coalesce(F.sum("row_n").over(down), F.lit(0)) / group_rows))
-    along = Window.partitionBy("bortle", "b_row").orderBy("b_col").rowsBetween(Window.unboundedPreceding, -1)
+    of_class = Window.partitionBy("bortle")
+    down = of_class.orderBy(F.desc("b_row")).rowsBetween(Window.unboundedPreceding, -1)
+    high = F.greatest(F.sqrt(F.sum("row_n").over(of_class) * F.lit(float(group_rows))), F.lit(float(group_rows)))
+    rows = rows.withColumn("strip", F.floor(F.coalesce(F.sum("row_n").over(down), F.lit(0)) / high))
     joined = sizes.join(
-        rows.withColumnRenamed("bortle", "r_bortle").withColumnRenamed("b_row", "r_row"),
+        rows.withColumnsRenamed({"bortle": "r_bortle", "b_row": "r_row"}),
         sizes["bortle"].eqNullSafe(F.col("r_bortle")) & (sizes["b_row"] == F.col("r_row")),
     )
-    segment = F.floor(F.coalesce(F.sum("n").over(along), F.lit(0)) / group_rows)
-    full = F.col("row_n") > group_rows
-    name = F.when(full, F.concat_ws("/", F.lit("row"), "b_row", segment.cast("string"))).otherwise(
-        F.concat_ws("/", F.lit("strip"), F.col("strip").cast("string"))
-    )
-    return joined.select("bortle", "b_row", "b_col", name.alias("grp"))
-
-
-def _strip_rounds(left: DataFrame, km: float, group_rows: int) -> list[DataFrame]:
-    left = materialize(_routed(left, km, group_rows), "thin-routed")
-    decide = _local_pass(km)
-    schema = "cand_ord bigint, lat double, lon double, darkness double, bortle int, grp string, targets array<string>, state int"
-    open_rows = left.withColumn("state", F.lit(UNDECIDED))
-    kept: list[DataFrame] = []
-    active: DataFrame | None = None
-    while True:
-        sent = reduce(DataFrame.unionByName, [open_rows, *kept]).withColumn("target", F.explode("targets"))
-        if active is not None:
-            sent = sent.join(active, _same_group(sent, "target", active), "left_semi")
-        done = materialize(sent.groupBy("bortle", "target").applyInPandas(decide, schema), "thin-round")
-        still_open = done.filter(F.col("state") == UNDECIDED)
-        if active is not None:
-            still_open = still_open.unionByName(open_rows.join(active, _same_group(open_rows, "grp", active), "left_anti"))
-        kept.append(done.filter(F.col("state") == KEPT))
-        if len(kept) > MAX_PARTS:
-            kept = [materialize(reduce(DataFrame.unionByName, kept), "thin-kept")]
-        open_rows = materialize(still_open, "thin-open")
-        if not open_rows.take(1):
-            return kept
-        # a group has news only if a row it sees from another group was decided; without news it would repeat itself
-        news = done.filter(F.col("state") != UNDECIDED).withColumn("target", F.explode("targets"))
-        active = news.filter(F.col("target") != F.col("grp")).select("bortle", "target").distinct()
-        active = materialize(active.withColumnsRenamed({"bortle": "a_bortle", "target": "a_group"}), "thin-active")
-
-
-def _same_group(rows: DataFrame, group: str, active: DataFrame) -> Column:
-    return rows["bortle"].eqNullSafe(active["a_bortle"]) & (rows[group] == active["a_group"])
+    # columns of a strip, over all its rows
+    columns = joined.groupBy("bortle", "strip", "b_col").agg(F.sum("n").alias("col_n"))
+    along = Window.partitionBy("bortle", "strip").orderBy("b_col").rowsBetween(Window.unboundedPreceding, -1)
+    columns = columns.withColumn("part", F.floor(F.coalesce(F.sum("col_n").over(along), F.lit(0)) / F.lit(group_rows)))
+    columns = columns.withColumnsRenamed({"bortle": "c_bortle", "strip": "c_strip", "b_col": "c_col"})
+    same = joined["bortle"].eqNullSafe(columns["c_bortle"]) & (joined["strip"] == columns["c_strip"]) & (joined["b_col"] == columns["c_col"])
+    grp = _class_group() + F.shiftleft(F.col("strip").cast("bigint"), 24) + F.col("part")
+    return joined.join(columns, same).select("bortle", "b_row", "b_col", grp.alias("grp"))
 
 
 def _routed(left: DataFrame, km: float, group_rows: int) -> DataFrame:
     """Every candidate with its own group and all groups within the distance (``targets``, own included)."""
-    strips = materialize(_strips(left, group_rows), "strips")
-    strips = broadcast_if_small(strips, strips.count())
+    groups = materialize(_groups(left, group_rows), "groups")
+    groups = broadcast_if_small(groups, groups.count())
     ang = km / KM_PER_DEG + 1e-9
     lat, lon = F.col("lat"), F.col("lon")
     half = half_width(lat, km)
@@ -185,18 +173,18 @@ def _routed(left: DataFrame, km: float, group_rows: int) -> DataFrame:
         F.transform(F.sequence(west, east), lambda c: F.pmod(c, F.lit(n_cols).cast("bigint")))
     )
     rows = F.sequence(F.floor((lat - ang) / STRIP_DEG), F.floor((lat + ang) / STRIP_DEG))
-    own = _block_cols(lat, lon)
+    own = _piece(lat, lon)
     spread = (
         left.withColumns({"o_row": own["b_row"], "o_col": own["b_col"]})
         .withColumn("t_row", F.explode(rows))
         .withColumn("t_col", F.explode(cols))
     )
     on = (
-        spread["bortle"].eqNullSafe(strips["bortle"])
-        & (spread["t_row"] == strips["b_row"])
-        & (spread["t_col"] == F.pmod(strips["b_col"], F.lit(n_cols).cast("bigint")))
+        spread["bortle"].eqNullSafe(groups["bortle"])
+        & (spread["t_row"] == groups["b_row"])
+        & (spread["t_col"] == F.pmod(groups["b_col"], F.lit(n_cols).cast("bigint")))
     )
-    hit = spread.join(strips.select(F.col("bortle").alias("s_bortle"), "*"), on).select(
+    hit = spread.join(groups.select(F.col("bortle").alias("s_bortle"), "*"), on).select(
         *[spread[c] for c in SLIM],
         "grp",
         ((F.col("t_row") == F.col("o_row")) & (F.col("t_col") == F.pmod("o_col", F.lit(n_cols).cast("bigint")))).alias("mine"),
@@ -206,7 +194,53 @@ def _routed(left: DataFrame, km: float, group_rows: int) -> DataFrame:
     )
 
 
+# --- wavefront ------------------------------------------------------------------------------------
+
 UNDECIDED, KEPT, DROPPED = 0, 1, 2
+STATE = "cand_ord bigint, lat double, lon double, darkness double, bortle int, grp bigint, targets array<bigint>, state int, fresh boolean"
+
+
+def _wavefront(left: DataFrame, km: float, group_rows: int, largest: int, rounds: list[int]) -> list[DataFrame]:
+    """The kept candidates. Each round writes the groups that ran, one partition each, and nothing else.
+
+    The driver holds the last round and the neighbours of every group; groups have about ``group_rows`` candidates, so that
+    is little.
+    """
+    decide = _local_pass(km)
+    if largest <= group_rows:
+        # no group faces another one: the first round is the last
+        rows = left.withColumn("grp", _class_group()).withColumn("target", F.col("grp"))
+        rows = rows.withColumns({"targets": F.array("grp"), "state": F.lit(UNDECIDED)})
+        rounds.append(1)
+        return [materialize(rows.groupBy("target").applyInPandas(decide, STATE), "thin-round").filter(F.col("state") == KEPT)]
+
+    routed = materialize(_routed(left, km, group_rows), "thin-routed", by="grp")
+    tables, last = [routed.withColumns({"state": F.lit(UNDECIDED), "fresh": F.lit(False)})], {}
+    faced_by: dict[int, set[int]] = defaultdict(set)
+    for r in routed.select("grp", F.explode("targets").alias("target")).distinct().collect():
+        faced_by[r["target"]].add(r["grp"])
+        last[r["grp"]] = 0
+    kept: list[DataFrame] = []
+    active, waiting = set(last), set(last)
+    while active:
+        rounds.append(len(active))
+        wanted: dict[int, list[int]] = defaultdict(list)
+        for group in set().union(*(faced_by[a] for a in active)):
+            wanted[last[group]].append(group)
+        rows = reduce(DataFrame.unionByName, [tables[k].filter(F.col("grp").isin(groups)) for k, groups in wanted.items()])
+        sent = rows.filter(F.col("state") != DROPPED).withColumn("target", F.explode("targets")).filter(F.col("target").isin(sorted(active)))
+        done = materialize(sent.groupBy("target").applyInPandas(decide, STATE), "thin-round", by="grp")
+        last.update(dict.fromkeys(active, len(tables)))
+        tables.append(done)
+        kept.append(done.filter((F.col("state") == KEPT) & F.col("fresh")).select("cand_ord"))
+        if len(kept) > MAX_PARTS:
+            kept = [materialize(reduce(DataFrame.unionByName, kept), "thin-kept")]
+        told = done.select("grp", "state", "fresh", F.explode("targets").alias("target"))
+        told = told.groupBy("grp", "target").agg(F.max(F.col("state") == UNDECIDED).alias("open"), F.max("fresh").alias("news")).collect()
+        # who waits hears of news; a group that waits without news would repeat itself
+        waiting = waiting - active | {r["grp"] for r in told if r["open"]}
+        active = {r["target"] for r in told if r["news"] and r["target"] != r["grp"]} & waiting
+    return kept
 
 
 def _local_pass(km: float):
@@ -214,12 +248,13 @@ def _local_pass(km: float):
 
     def decide(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["darkness", "cand_ord"], ascending=[False, True], kind="stable")
-        own = (rows["grp"] == key[1]).to_numpy()
+        own = (rows["grp"] == key[0]).to_numpy()
         before = rows["state"].to_numpy()
         after = greedy_states(rows["lat"].to_numpy(), rows["lon"].to_numpy(), before, own, km)
+        fresh = (before == UNDECIDED) & (after != UNDECIDED)
         # dropped rows matter only where another group waits for them
         told = (after != DROPPED) | (rows["targets"].str.len() > 1).to_numpy()
-        return rows.assign(state=after)[own & (before == UNDECIDED) & told].drop(columns=["target"])
+        return rows.assign(state=after, fresh=fresh)[own & told].drop(columns=["target"])
 
     return decide
 

@@ -53,8 +53,8 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def materialize(df: DataFrame, label: str = "step", counts: dict[str, int] | None = None, keep: bool = False) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def materialize(df: DataFrame, label: str = "step", counts: dict[str, int] | None = None, keep: bool = False, by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder, in partitions of column ``by`` if given, and read it back.
 
     Later plans start from files, so a lost executor costs a re-read and not a recomputation,
     and the optimizer sees real sizes. The rows written are put in ``counts`` under ``label``; they are
@@ -63,14 +63,14 @@ def materialize(df: DataFrame, label: str = "step", counts: dict[str, int] | Non
     spark = df.sparkSession
     if counts is not None:
         seen = Observation()
-        out = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), label, keep=keep)
+        out = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), label, keep=keep, by=by)
         counts[label] = seen.get["rows"]
         return out
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     scopes = _SCOPES[:-1] if keep else _SCOPES
     if scopes:
         scopes[-1].append(path)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -37,6 +37,16 @@ def test_equals_the_sequential_scan(spark, darkness, group_rows):
     assert kept_by_spark(spark, pdf, group_rows=group_rows) == thin(pdf, 15)
 
 
+def test_a_plateau_is_decided_along_diagonals(spark):
+    """Four times the candidates need twice the rounds, each with more groups, and not four times as many."""
+    rounds = {}
+    for side in (30, 60):
+        pdf, ran = lattice(side, side, 46.0, 1.0, 0.13, "tied"), []
+        assert kept_by_spark(spark, pdf, group_rows=100, rounds=ran) == thin(pdf, 15)
+        rounds[side] = len(ran)
+    assert rounds[60] <= 2 * rounds[30] + 3 and rounds[60] < 36
+
+
 def test_segments_of_one_full_row(spark):
     pdf = lattice(5, 220, 46.1, 1.0, 0.045, "tied")
     assert kept_by_spark(spark, pdf, group_rows=60) == thin(pdf, 15)
