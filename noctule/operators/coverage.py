@@ -1,21 +1,29 @@
 """Guarantee a least number of sites around every place, and label sites with their nearest place.
 
 Places are served in file order; a place short of sites takes the darkest free mesh points in its radius, and
-later places see what earlier ones took. A place only depends on earlier short places that may take a point
-within its own radius, so all places without such a pending earlier place are served at once, round by round.
+later places see what earlier ones took. What a place may take is in its wish list, the darkest free points it
+would need if nobody were before it, so a place depends only on earlier short places with a wish within its radius.
+Blocks of places serve their own in order and let those wait that depend on an unsettled place of another block; the
+next round goes on with these. Only places, wish lists and taken points are moved, never pairs of places and points.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from noctule import constants as K
-from noctule.operators.proximity import count_within, nearest_any, nearest_within, range_pairs, top_within
+from noctule.operators.proximity import cell_deg, count_within, nearest_any, nearest_within, top_within, with_cell, with_reach
 from noctule.runtime import broadcast_if_small, materialize
 
 MAX_PARTS = 8
+# Places that a block serves in one round, about.
+PLACES_AT_ONCE = 20_000
 DARKEST_FIRST = (("darkness", "desc"), ("cand_ord", "asc"))
 
 
@@ -72,14 +80,17 @@ def ensure_coverage(
     places: DataFrame,
     min_spots: int = K.MIN_SPOTS_PER_AREA,
     radius_km: float = K.COVERAGE_RADIUS_KM,
+    at_once: int = PLACES_AT_ONCE,
+    rounds: list[int] | None = None,
 ) -> DataFrame:
     """Kept sites plus the added ones, with ``added_by`` (-1 for kept, else the place served).
 
     The sequential result order is ``coverage_order()``. Sites are identified by ``cand_ord``, never by their
-    coordinates: an equal-valued second mesh point is a site of its own.
+    coordinates: an equal-valued second mesh point is a site of its own. ``rounds``, if given, gets the number of
+    places open before each round.
     """
     short = materialize(coverage_deficit(kept, distinct_places(places), min_spots, radius_km), "short")
-    added = _serve(short, kept, mesh, min_spots, radius_km)
+    added = _serve(short, _pool(short, kept, mesh, min_spots, radius_km), radius_km, at_once, [] if rounds is None else rounds)
     cols = kept.columns
     base = kept.withColumn("added_by", F.lit(-1).cast("bigint"))
     new = mesh.join(added, "cand_ord").select(*cols, "added_by")
@@ -90,53 +101,174 @@ def coverage_order() -> list[Column]:
     return [F.asc("added_by"), F.desc("darkness"), F.asc("cand_ord")]
 
 
-def _serve(short: DataFrame, kept: DataFrame, mesh: DataFrame, min_spots: int, radius_km: float) -> DataFrame:
-    """(cand_ord, added_by) of every addition, in rounds over all places at once until none is unsettled."""
-    pool = materialize(_pool(short, kept, mesh, min_spots, radius_km), "pool")
-    points = pool.select("cand_ord", "lat", "lon").distinct()
-    near = range_pairs(short.select("place_ord", "lat", "lon", "need"), points, radius_km).select(
-        F.col("q_place_ord").alias("place_ord"), F.col("q_need").alias("need"), F.col("p_cand_ord").alias("cand_ord")
-    )
-    wants = pool.select("place_ord", "cand_ord", F.col("rnk").cast("int").alias("rnk"))
-    links = near.join(wants, ["place_ord", "cand_ord"], "left")
+# --- serving --------------------------------------------------------------------------------------
+
+TAKEN = "place_ord bigint, first boolean, cand_ord bigint, lat double, lon double"
+
+
+def _serve(short: DataFrame, pool: DataFrame, radius_km: float, at_once: int, rounds: list[int]) -> DataFrame:
+    """(cand_ord, added_by) of every addition.
+
+    Places are taken in order up to a place ``cut``, such that no block has more than about ``at_once`` of them, and
+    served in rounds. Then places that got enough from these leave, and the next stretch of the order follows.
+    """
+    listed = F.array_sort(F.collect_list(F.struct("rnk", "cand_ord", "lat", "lon"))).alias("wishes")
+    wishes = pool.groupBy("place_ord").agg(listed)
+    counts: dict[str, int] = {}
+    # a place without a wish takes nothing and keeps nobody waiting
+    left = materialize(
+        short.select("place_ord", "lat", "lon", "need").join(wishes, "place_ord").select(
+            "place_ord", "lat", "lon", "need", F.col("wishes.cand_ord").alias("w_ord"), F.col("wishes.lat").alias("w_lat"), F.col("wishes.lon").alias("w_lon")
+        ),
+        "waiting",
+        counts,
+    )
     taken: list[DataFrame] = []
-    none_taken = links.select("cand_ord", F.col("place_ord").alias("added_by")).limit(0)
+    none = left.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(TAKEN)]).limit(0)
+    n_left = counts["waiting"]
+    while n_left:
+        deg, cut = _blocks(left, n_left, radius_km, at_once)
+        open_ = left if cut is None else left.filter(F.col("place_ord") <= cut)
+        n_open = n_left if cut is None else open_.count()
+        while n_open:
+            rounds.append(n_open)
+            if len(taken) > MAX_PARTS:
+                taken = [materialize(reduce(DataFrame.unionByName, taken), "taken")]
+            routed = _routed(open_, reduce(DataFrame.unionByName, taken, none), radius_km, deg)
+            served = materialize(routed.groupBy("cell").applyInArrow(_block_pass(radius_km), TAKEN), "served")
+            taken.append(served.filter(F.col("cand_ord").isNotNull()))
+            settled = served.filter("first").select("place_ord")
+            n_settled = settled.count()
+            if n_settled < n_open:
+                open_ = materialize(open_.join(broadcast_if_small(settled, n_settled), "place_ord", "left_anti"), "open")
+            n_open -= n_settled
+        if cut is None:
+            break
+        later = count_within(left.filter(F.col("place_ord") > cut), reduce(DataFrame.unionByName, taken, none), radius_km, "place_ord")
+        left = materialize(later.filter(F.col("within") < F.col("need")).drop("within"), "waiting", counts)
+        n_left = counts["waiting"]
+    return reduce(DataFrame.unionByName, taken, none).select("cand_ord", F.col("place_ord").alias("added_by"))
+
+
+def _blocks(left: DataFrame, n_left: int, radius_km: float, at_once: int) -> tuple[float, int | None]:
+    """Block height in degrees, and the last place for now if a block of the least height holds too many.
+
+    One block for all if they are few, else the highest blocks that are not too full.
+    """
+    if n_left <= at_once:
+        return 360.0, None
+    least = cell_deg(4 * radius_km)
+    deg = max(45.0, least)
     while True:
-        if len(taken) > MAX_PARTS:
-            taken = [materialize(reduce(DataFrame.unionByName, taken), "taken")]
-        so_far = reduce(DataFrame.unionByName, taken, none_taken)
-        counts: dict[str, int] = {}
-        links = materialize(links, "links", counts)
-        if not counts["links"]:
-            return so_far
-        state = materialize(_round(links, so_far), "served")
-        taken.append(state.filter("picked").select("cand_ord", F.col("place_ord").alias("added_by")))
-        links = state.filter(~F.col("settled")).select(*links.columns)
-
-
-def _round(links: DataFrame, taken: DataFrame) -> DataFrame:
-    """One round: which places are settled now, and which points they take.
-
-    A place is settled once earlier places gave it enough, or once no earlier unsettled place may still take a
-    point near it.
+        sizes = with_cell(left.select("place_ord", "lat", "lon"), deg).groupBy("cell")
+        fullest = sizes.count().agg(F.max("count")).first()[0]
+        if fullest <= at_once:
+            return deg, None
+        if deg == least:
+            break
+        deg = max(deg / 2, least)
+    # an estimate will do: any cut is right, it only bounds what a block holds
+    shares = [2.0**-k for k in range(1, 40)]
+    full = sizes.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("place_ord", shares, 10_000).alias("cuts")).filter(F.col("n") > at_once)
+    step = F.least(F.ceil(F.log2(F.col("n") / F.lit(at_once))).cast("int"), F.lit(len(shares)))
+    return deg, full.agg(F.min(F.get("cuts", step - 1))).first()[0]
+
+
+def _routed(open_: DataFrame, taken: DataFrame, radius_km: float, deg: float) -> DataFrame:
+    """What every block needs to see: its own places, others whose wishes may matter to them, and points taken near them.
+
+    A taken point is a row without ``need`` at the place in the order that took it.
     """
-    seen = links.join(broadcast_if_small(taken, taken.count()), "cand_ord", "left")
-    free = F.col("added_by").isNull()
-    claims = seen.filter(free & F.col("rnk").isNotNull()).groupBy("cand_ord").agg(F.min("place_ord").alias("first_claim"))
-    seen = seen.join(claims, "cand_ord", "left")
-    # a place faces at most the mesh points in its radius, so these windows stay small
-    place = Window.partitionBy("place_ord")
-    gained = F.sum(F.when(F.col("added_by") < F.col("place_ord"), 1).otherwise(0)).over(place)
-    waits = F.max(F.coalesce(free & (F.col("first_claim") < F.col("place_ord")), F.lit(False))).over(place)
-    judged = seen.withColumns({"missing": F.col("need") - gained, "waits": waits})
-    open_wish = free & F.col("rnk").isNotNull()
-    turn = F.sum(F.when(open_wish, 1).otherwise(0)).over(place.orderBy(F.asc_nulls_last("rnk"), "cand_ord"))
-    return judged.withColumns(
-        {
-            "settled": (F.col("missing") <= 0) | ~F.col("waits"),
-            "picked": open_wish & ~F.col("waits") & (turn <= F.col("missing")),
-        }
+    homes = with_cell(open_, deg).withColumnRenamed("cell", "home")
+    # a wish of a place within twice the radius can lie in another's radius
+    places = with_reach(homes, 2 * radius_km, deg).select(
+        "cell", (F.col("cell") == F.col("home")).alias("own"), "place_ord", "lat", "lon", "need", "w_ord", "w_lat", "w_lon"
     )
+    points = with_reach(taken, radius_km, deg).select(
+        "cell", F.lit(False).alias("own"), "place_ord", "lat", "lon", F.lit(0).alias("need"), F.array("cand_ord").alias("w_ord"), F.array("lat").alias("w_lat"), F.array("lon").alias("w_lon")
+    )
+    if deg >= 360:
+        return places.unionByName(points)
+    live = materialize(homes.select(F.col("home").alias("cell")).distinct(), "blocks")
+    return places.unionByName(points).join(broadcast_if_small(live, live.count()), "cell", "left_semi")
+
+
+class _Near:
+    """Points in boxes as wide as the radius, for looking around one place at a time."""
+
+    def __init__(self, radius_km: float) -> None:
+        self.km = radius_km
+        chord = 2 * math.sin(min(radius_km / K.EARTH_RADIUS_KM, math.pi) / 2)
+        self.side, self.limit = chord * (1 + 1e-9) + 1e-12, chord * chord
+        self.boxes: dict[tuple[int, int, int], list] = {}
+        self.fixed: dict[tuple[int, int, int], np.ndarray] = {}
+
+    def _at(self, lat: float, lon: float) -> tuple[float, float, float]:
+        phi, lam = math.radians(lat), math.radians(lon)
+        return math.cos(phi) * math.cos(lam), math.cos(phi) * math.sin(lam), math.sin(phi)
+
+    def add(self, lat: float, lon: float) -> None:
+        x, y, z = self._at(lat, lon)
+        box = (math.floor(x / self.side), math.floor(y / self.side), math.floor(z / self.side))
+        self.boxes.setdefault(box, []).append((x, y, z, lat, lon))
+        self.fixed.pop(box, None)
+
+    def count(self, lat: float, lon: float, enough: int) -> int:
+        """Points at most the radius away; looking ends at ``enough``."""
+        x, y, z = self._at(lat, lon)
+        i, j, k = math.floor(x / self.side), math.floor(y / self.side), math.floor(z / self.side)
+        n = 0
+        for box in itertools.product((i, i - 1, i + 1), (j, j - 1, j + 1), (k, k - 1, k + 1)):
+            if box not in self.boxes:
+                continue
+            rows = self.fixed.get(box)
+            if rows is None:
+                rows = self.fixed[box] = np.array(self.boxes[box])
+            far = ((rows[:, :3] - (x, y, z)) ** 2).sum(axis=1)
+            n += int((far <= self.limit * (1 - 1e-9)).sum())
+            for at in np.flatnonzero(np.abs(far - self.limit) < self.limit * 1e-9):
+                n += great_circle_km(*rows[at, 3:], lat, lon) <= self.km
+            if n >= enough:
+                break
+        return n
+
+
+def great_circle_km(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
+    s, t = math.sin(math.radians(lat2 - lat1) / 2), math.sin(math.radians(lon2 - lon1) / 2)
+    half_chord2 = s * s + math.cos(math.radians(lat1)) * math.cos(math.radians(lat2)) * t * t
+    return math.asin(math.sqrt(min(half_chord2, 1.0))) * 2 * K.EARTH_RADIUS_KM
+
+
+def _block_pass(radius_km: float):
+    """Function for one block: serve its own places in order as far as the rows at hand allow."""
+
+    def serve(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("place_ord")
+        taken, open_wishes, gone = _Near(radius_km), _Near(radius_km), set()
+        out: list[tuple] = []
+        columns = [rows[c].to_pylist() for c in ("own", "place_ord", "lat", "lon", "need", "w_ord", "w_lat", "w_lon")]
+        for own, place, lat, lon, need, *wishes in zip(*columns, strict=True):
+            points = list(zip(*wishes, strict=True))
+            if not need:
+                gone.add(points[0][0])
+                taken.add(lat, lon)
+                continue
+            free = [p for p in points if p[0] not in gone]
+            # an earlier place that is not settled may still take a point here
+            if not own or (open_wishes.boxes and open_wishes.count(lat, lon, 1)):
+                for p in free:
+                    open_wishes.add(*p[1:])
+                continue
+            picks = free[: max(0, need - taken.count(lat, lon, need))]
+            out.append((place, True, *(picks[0] if picks else (None, None, None))))
+            out += [(place, False, *p) for p in picks[1:]]
+            for p in picks:
+                gone.add(p[0])
+                taken.add(*p[1:])
+        schema = pa.schema([("place_ord", pa.int64()), ("first", pa.bool_()), ("cand_ord", pa.int64()), ("lat", pa.float64()), ("lon", pa.float64())])
+        return pa.table([list(c) for c in zip(*out, strict=True)] or [[]] * 5, schema=schema)
+
+    return serve
 
 
 def attach_nearest_place(

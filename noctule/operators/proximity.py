@@ -96,13 +96,16 @@ def _prefixed(df: DataFrame, prefix: str, keep: tuple[str, ...] = ("cell",)) ->
     return df.select(*[F.col(c) if c in keep else F.col(c).alias(prefix + c) for c in df.columns])
 
 
-def crowd_join(queries: DataFrame, points: DataFrame, keys: tuple[str, ...], crowd: int = CROWD_QUERIES) -> DataFrame:
+def crowd_join(
+    queries: DataFrame, points: DataFrame, keys: tuple[str, ...], crowd: int = CROWD_QUERIES, base: DataFrame | None = None
+) -> DataFrame:
     """Equi-join for a query side of which a large share may have one key; points have a bounded number per key.
 
     The queries of a crowded key are dealt into salts of about ``crowd`` rows by a hash of their columns, and the
-    key's few points are repeated per salt, so no task gets the whole key.
+    key's few points are repeated per salt, so no task gets the whole key. ``base`` are the rows that ``queries`` were made
+    from with no key twice for a row: if they are few, no key is crowded.
     """
-    if queries.limit(crowd + 1).count() <= crowd:
+    if (queries if base is None else base).limit(crowd + 1).count() <= crowd:
         return queries.join(points, list(keys))
     sizes = queries.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd)
     sizes = materialize(sizes.select(*keys, F.ceil(F.col("n") / crowd).cast("int").alias("_salts")), "salts")
@@ -139,7 +142,7 @@ def range_pairs(
     boxed = F.abs(F.col("p_lat") - F.col("q_lat")) <= _reach_deg(radius_km)
     boxed = boxed & (F.least(dlon, F.lit(360.0) - dlon) <= F.col("q_half"))
     km = haversine_km(F.col("q_lat"), F.col("q_lon"), F.col("p_lat"), F.col("p_lon"))
-    pairs = crowd_join(q, p, ("cell", *same), crowd).filter(boxed).drop("cell", "q_half", *same).withColumn("km", km)
+    pairs = crowd_join(q, p, ("cell", *same), crowd, queries).filter(boxed).drop("cell", "q_half", *same).withColumn("km", km)
     return pairs.filter(F.col("km") <= radius_km if inclusive else F.col("km") < radius_km)
 
 

@@ -128,6 +128,23 @@ def test_coverage_equals_the_sequential_scan(spark, seed, n_sites, n_towns, tie,
     assert got == want
 
 
+def test_coverage_in_many_blocks(spark):
+    """Blocks wait for each other, and crowded ones go on stretch by stretch of the order; wraps at the antimeridian."""
+    rng = np.random.default_rng(15)
+    lat, lon = 20 + rng.uniform(-5, 5, 700), (180 + rng.uniform(-6, 6, 700) + 180) % 360 - 180
+    mesh = pd.DataFrame({"cand_ord": np.arange(700), "lat": lat, "lon": lon, "darkness": rng.random(700).round(1), "bortle": np.int32(3)})
+    kept = mesh[mesh.cand_ord.isin(thin(mesh, 250))]
+    n = 150
+    towns = pd.DataFrame({"place_ord": rng.permutation(n) * 3, "name": "x", "lat": 20 + rng.uniform(-5, 5, n), "lon": (180 + rng.uniform(-6, 6, n) + 180) % 360 - 180})
+    # a third of the towns close together
+    towns.loc[:50, "lat"], towns.loc[:50, "lon"] = 20 + rng.normal(0, 0.05, 51), 179.9 + rng.normal(0, 0.05, 51)
+    rounds = []
+    sites = spark.createDataFrame(mesh[["cand_ord", "lat", "lon", "darkness", "bortle"]])
+    out = ensure_coverage(sites.filter(F.col("cand_ord").isin(kept.cand_ord.tolist())), sites, spark.createDataFrame(towns), 4, 90.0, 15, rounds)
+    got = [(r.cand_ord, r.added_by) for r in out.orderBy(*coverage_order()).collect() if r.added_by >= 0]
+    assert got == cover(kept, mesh, towns, 4, 90.0) and len(rounds) > 1
+
+
 def test_coverage_small_cases(spark):
     town = spark.createDataFrame([(0, "A", 48.0, 2.0, 1)], TOWNS)
     pts = [(i, 48.0 + i / 10, 2.0, 0.5 + i / 100, 3) for i in range(5)]
