@@ -7,6 +7,7 @@ import math
 from noctule import constants as K
 from noctule.catalog import tables as t
 from noctule.catalog.queries import (
+    ALR_CIRCLE_QUERY,
     ALR_GEO_QUERY,
     ALR_QUERY,
     BOX_MARGIN_KM,
@@ -251,6 +252,28 @@ alr AS (
   FROM pairs JOIN rings ON km > lo AND km <= hi GROUP BY 1, 2)"""
 
 
+def _circle_alr(p: AlrParams) -> str:
+    """The same around the globe: columns are neighbours over the seam as well."""
+    per_deg = math.pi * K.EARTH_RADIUS_KM / 180.0
+    lat = "(60.0::DOUBLE + c.e * ({} + 0.5::DOUBLE))"
+    half = f"floor(degrees(asin({math.sin(p.max_km / K.EARTH_RADIUS_KM)!r}::DOUBLE / cos(radians({lat.format('r.row')})))) / 2.4::DOUBLE + 1e-9)"
+    up = f"floor({p.max_km}::DOUBLE / (abs(c.e) * {per_deg!r}::DOUBLE) + 1e-9)"
+    area = f"cos(radians(q.lat)) * abs(2.4::DOUBLE * q.e) * {(per_deg * 1000.0 / p.work_resolution_m) ** 2!r}::DOUBLE"
+    return f"""circle AS (SELECT n_rows, -120.0::DOUBLE / n_rows AS e FROM grid),
+located AS MATERIALIZED (
+  SELECT r."row", r.col, r.v, c.e, {lat.format('r.row')} AS lat, 2.4::DOUBLE * (r.col + 0.5::DOUBLE) AS lon,
+         r."row" >= {up} AND r."row" < c.n_rows - {up} AS inside, {up}::BIGINT AS up, {half}::BIGINT AS half
+  FROM radiance r, circle c),
+sides AS (SELECT *, unnest(range(-half, half + 1)) AS dx FROM located WHERE inside),
+pairs AS (
+  SELECT p."row", p.col, q.v * {area} AS v, {km("p.lat", "p.lon", "q.lat", "q.lon")} AS km
+  FROM (SELECT *, unnest(range(-up, up + 1)) AS dy FROM sides) p
+  JOIN located q ON q."row" = p."row" + p.dy AND q.col = (p.col + p.dx + {COLS}) % {COLS}),
+alr AS (
+  SELECT "row", col, {p.calib_c!r}::DOUBLE * sum(v * weight) AS alr
+  FROM pairs JOIN rings ON km > lo AND km <= hi GROUP BY 1, 2)"""
+
+
 def _candidates(mesh_km: float, pick: str = "min", tied: bool = False) -> list[str]:
     return [GRID, _pixels(tied), SCORED, _mesh(mesh_km, pick)]
 
@@ -278,6 +301,7 @@ NIGHT = """night AS (
 
 # queries that take another route to the same rows
 SAME_ROWS = {
+    "alr_from_segments": "alr_blocked",
     "redundancy_edges_crowded": "redundancy_edges",
     "redundancy_filter_strips": "redundancy_filter",
     "redundancy_filter_ties_strips": "redundancy_filter_ties",
@@ -358,6 +382,8 @@ FROM old_tiles JOIN changes USING (tile)""",
         + ' SELECT r."row"::INT AS "row", r.col::INT AS col, round(a.alr, 6) AS alr FROM radiance r LEFT JOIN alr a USING ("row", col)',
         "alr_latlon": with_(GRID, _radiance(ALR_GEO_QUERY), _rings(ALR_GEO_QUERY), _globe_alr(ALR_GEO_QUERY))
         + ' SELECT r."row"::INT AS "row", r.col::INT AS col, round(a.alr, 6) AS alr FROM radiance r LEFT JOIN alr a USING ("row", col)',
+        "alr_full_circle": with_(GRID, _radiance(ALR_CIRCLE_QUERY), _rings(ALR_CIRCLE_QUERY), _circle_alr(ALR_CIRCLE_QUERY))
+        + ' SELECT r."row"::INT AS "row", r.col::INT AS col, round(a.alr, 6) AS alr FROM radiance r LEFT JOIN alr a USING ("row", col)',
         "alr_ring_sums": with_(GRID, _radiance(ALR_QUERY), _rings(ALR_QUERY), _plane_rings(ALR_QUERY))
         + ' SELECT "row"::INT AS "row", col::INT AS col, ring::INT AS ring, round(ring_sum, 7) AS ring_sum FROM ring_px',
         "validate_bortle": with_(*SAMPLED)

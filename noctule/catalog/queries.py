@@ -51,6 +51,7 @@ from noctule.plans.annual import SiteParams, build_release, select_sites
 from noctule.runtime import materialize, scratch_dir
 from noctule.sinks.tile_json import write_tiles
 from noctule.sources.places import bbox_filter, parse_places
+from noctule.sources.rasters import read_segments, write_segments
 from noctule.sources.snapshots import read_snapshot
 
 GENERATED = "2026-01-01T00:00:00Z"
@@ -60,6 +61,7 @@ COVER_KM, MIN_SPOTS = 30, 4
 BOX_MARGIN_KM = 10
 ALR_QUERY = AlrParams(max_km=9.1, rings=12, noise_floor=0.5)
 ALR_GEO_QUERY = AlrParams(max_km=40.0, rings=8, noise_floor=0.5)
+ALR_CIRCLE_QUERY = AlrParams(max_km=700.0, rings=8, noise_floor=0.5)
 
 
 def r6(name: str) -> Column:
@@ -333,6 +335,21 @@ def alr_latlon(spark, d):
     return _globe_ratio(spark, d).select("row", "col", no_nan("alr"))
 
 
+def alr_full_circle(spark, d):
+    """The ratio on a grid around the globe, where the first and last columns are neighbours."""
+    g = t.circle_grid(spark, d)
+    out = compute_alr(t.radiance(spark, d), g, ALR_CIRCLE_QUERY, max(1, g.rows // GEO_BLOCK_ROWS), SEGMENT_PX)
+    return out.select("row", "col", no_nan("alr"))
+
+
+def alr_from_segments(spark, d):
+    """The blocked ratio of a raster stored as row segments."""
+    root = f"{scratch_dir(spark)}/raster-{uuid.uuid4().hex}"
+    write_segments(t.radiance(spark, d), root, "france", 2025, SEGMENT_PX)
+    out = compute_alr(read_segments(spark, root, "france", 2025, SEGMENT_PX), t.metric_grid(spark, d), ALR_QUERY, BLOCK_PX, SEGMENT_PX)
+    return out.select("row", "col", no_nan("alr"))
+
+
 def alr_from_rings(spark, d):
     """The ratio as an aggregate of ring sums."""
     sums = ring_sums(t.radiance(spark, d), t.metric_grid(spark, d), ALR_QUERY, BLOCK_PX, SEGMENT_PX)
@@ -449,6 +466,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "version_bump": version_bump,
     "alr_blocked": alr_blocked,
     "alr_latlon": alr_latlon,
+    "alr_full_circle": alr_full_circle,
+    "alr_from_segments": alr_from_segments,
     "alr_ring_sums": alr_ring_sums,
     "alr_from_rings": alr_from_rings,
     "validate_bortle": validate_bortle,

@@ -26,6 +26,12 @@ def metric_grid(spark: SparkSession, sf_dir: str) -> Grid:
     return Grid(c=0.0, f=0.0, a=450.0, e=-450.0, rows=g.rows, cols=g.cols, geographic=False, epsg=3035)
 
 
+def circle_grid(spark: SparkSession, sf_dir: str) -> Grid:
+    """The same columns once around the globe, from 60 degrees north to 60 south."""
+    g = grid(spark, sf_dir)
+    return Grid(c=-180.0, f=60.0, a=2.4, e=-120.0 / g.rows, rows=g.rows, cols=g.cols)
+
+
 def _row_col() -> list[Column]:
     return [
         F.expr(f"cast(o_orderkey div {RASTER_COLS} as int)").alias("row"),

@@ -37,6 +37,11 @@ class Grid:
     def col_at(self, lon: Column) -> Column:
         return F.floor((lon - F.lit(self.c)) / F.lit(self.a)).cast("int")
 
+    @property
+    def full_circle(self) -> bool:
+        """The columns go once around the globe, so the last one is the first one's neighbour."""
+        return self.geographic and abs(self.cols * abs(self.a) - 360.0) < 1e-6 * abs(self.a)
+
     def mesh_cell_px(self, mesh_km: float) -> tuple[int, int]:
         """Rows and columns of one mesh cell; the same degrees on both axes, at least one pixel."""
         if not self.geographic:

@@ -8,7 +8,8 @@ size and the radius, and blocks are independent of each other.
     weight(r) = r ** -(alpha_base * (r / alpha_ref_km) ** alpha_exp)
 
 The published method leaves ring edges open; here they grow geometrically from the work resolution to the
-radius, and ``ring_edges_km`` overrides them. Pixels closer to the raster edge than the radius are NaN.
+radius, and ``ring_edges_km`` overrides them. Pixels closer to the raster edge than the radius are NaN. A grid that goes
+once around the globe has no edge to the west and east: segments also go to blocks on the other side of its seam.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from noctule.model import Grid
 from noctule.operators.proximity import KM_PER_DEG
 
 SEGMENT_PX = 256
+# Working arrays of the block columns that a task on a latitude/longitude grid convolves with the same kernels.
+PART_BYTES = 256 << 20
 
 
 @dataclass(frozen=True)
@@ -65,6 +68,14 @@ class Blocks:
     reach_y: int
     reach_x: tuple[int, ...]  # per block row
     segment: int = SEGMENT_PX
+    around: int = 0  # columns of a full circle, else 0
+
+    @property
+    def per_part(self) -> int:
+        """Block columns that one task handles together, on a latitude/longitude grid."""
+        # the field, its transform and a copy of both
+        widest = 32 * (self.rows + 2 * self.reach_y) * (self.cols + 2 * max(self.reach_x))
+        return max(1, PART_BYTES // widest)
 
     def across(self, grid: Grid) -> tuple[int, int]:
         """Numbers of block rows and block columns."""
@@ -81,7 +92,10 @@ def layout(grid: Grid, params: AlrParams, block_px: int, segment_px: int = SEGME
     lats = grid.f + grid.e * (np.arange(grid.rows) + 0.5)
     px = _half_width_px(lats, grid, params)
     reach_x = tuple(int(px[b * size_y : (b + 1) * size_y].max()) for b in range(n_rows))
-    return Blocks(size_y, size_x, int(params.max_km / (abs(grid.e) * KM_PER_DEG) + 1e-9), reach_x, segment_px)
+    around = grid.cols if grid.full_circle else 0
+    if around and 2 * max(reach_x) + 1 > around:
+        raise ValueError("the radius reaches around the globe")
+    return Blocks(size_y, size_x, int(params.max_km / (abs(grid.e) * KM_PER_DEG) + 1e-9), reach_x, segment_px, around)
 
 
 def _half_width_px(lats: np.ndarray, grid: Grid, params: AlrParams) -> np.ndarray:
@@ -95,7 +109,8 @@ def _half_width_px(lats: np.ndarray, grid: Grid, params: AlrParams) -> np.ndarra
 def row_segments(pixels: DataFrame, segment_px: int = SEGMENT_PX) -> DataFrame:
     """Pixels packed as (row, seg, cols, vals), which takes half the bytes of single rows in a shuffle.
 
-    Pixels without data are left out. A raster stored in this form skips the shuffle made here.
+    Pixels without data are left out. A raster stored in this form (``sources.rasters.write_segments``) skips the
+    shuffle made here.
     """
     data = pixels.filter(F.col("radiance").isNotNull() & ~F.isnan("radiance"))
     return (
@@ -105,8 +120,8 @@ def row_segments(pixels: DataFrame, segment_px: int = SEGMENT_PX) -> DataFrame:
     )
 
 
-def _routed(raster: DataFrame, grid: Grid, blocks: Blocks, every: bool = False) -> GroupedData:
-    """Segments by block; with ``every`` also blocks that no segment reaches."""
+def _routed(raster: DataFrame, grid: Grid, blocks: Blocks, every: bool = False, per_part: int = 1) -> GroupedData:
+    """Segments by block row and part of ``per_part`` block columns; with ``every`` also blocks that no segment reaches."""
     segments = raster if "vals" in raster.columns else row_segments(raster, blocks.segment)
     routed = route_segments(segments, grid, blocks)
     if every:
@@ -114,14 +129,14 @@ def _routed(raster: DataFrame, grid: Grid, blocks: Blocks, every: bool = False)
         number = F.col("id")
         there = raster.sparkSession.range(n_rows * n_cols).select(
             F.lit(0).alias("row"), F.lit(0).alias("seg"), F.array().cast("array<int>").alias("cols"), F.array().cast("array<double>").alias("vals"),
-            F.floor(number / n_cols).cast("int").alias("b_row"), (number % n_cols).cast("int").alias("b_col"),
+            F.floor(number / n_cols).cast("int").alias("b_row"), (number % n_cols).cast("int").alias("b_col"), F.lit(0).alias("shift"),
         )
         routed = routed.unionByName(there)
-    return routed.groupBy("b_row", "b_col")
+    return routed.groupBy("b_row", F.floor(F.col("b_col") / per_part).cast("int").alias("part"))
 
 
 def route_segments(segments: DataFrame, grid: Grid, blocks: Blocks) -> DataFrame:
-    """Repeat each segment for every block (b_row, b_col) that needs it."""
+    """Repeat each segment for every block (b_row, b_col) that needs it; ``shift`` is added to its columns there."""
     last_row, last_col = (n - 1 for n in blocks.across(grid))
 
     def span(first, last, size: int, top: int):
@@ -136,7 +151,9 @@ def route_segments(segments: DataFrame, grid: Grid, blocks: Blocks) -> DataFrame
         reach = F.lit(blocks.reach_x[0])
     else:
         reach = F.get(F.lit(list(blocks.reach_x)), F.col("b_row"))
-    start = F.col("seg") * blocks.segment
+    # on a full circle a segment also stands one turn further west and east
+    down = down.withColumn("shift", F.explode(F.array(*[F.lit(k * blocks.around) for k in ((-1, 0, 1) if blocks.around else (0,))])))
+    start = F.col("seg") * blocks.segment + F.col("shift")
     return down.withColumn("b_col", F.explode(span(start - reach, start + blocks.segment - 1 + reach, blocks.cols, last_col)))
 
 
@@ -149,16 +166,22 @@ def compute_alr(
     widths change from row to row, so rows are convolved pair by pair, with pixels weighted by their area.
     """
     blocks = layout(grid, params, block_px, segment_px)
-    convolve = _rows_kernel(grid, params, blocks) if grid.geographic else _plane_kernel(grid, params, blocks)
-
-    def block(key: tuple, segments: pa.Table) -> pa.Table:
-        b_row, b_col = key[0].as_py(), key[1].as_py()
-        field, known = _padded(segments, b_row, b_col, blocks, params.noise_floor)
-        out = convolve(field, b_row) * params.calib_c if known.any() else np.empty(known.shape)
-        out[~known] = np.nan
-        return _emit(_mask_edge(out, b_row, b_col, grid, params, blocks), b_row, b_col, grid, blocks)
+    convolve, per_part = (_rows_kernel(grid, params, blocks), blocks.per_part) if grid.geographic else (_plane_kernel(grid, params, blocks), 1)
+
+    def part(key: tuple, segments: pa.Table) -> pa.Table:
+        b_row = key[0].as_py()
+        columns = pa.compute.unique(segments["b_col"]).to_pylist()
+        padded = [_padded(segments.filter(pa.compute.equal(segments["b_col"], b)), b_row, b, blocks, params.noise_floor) for b in columns]
+        filled = [k for k, (_, known) in enumerate(padded) if known.any()]
+        ratios = dict(zip(filled, convolve([padded[k][0] for k in filled], b_row) if filled else [], strict=True))
+        parts = []
+        for k, (b_col, (_, known)) in enumerate(zip(columns, padded)):
+            out = ratios[k] * params.calib_c if k in ratios else np.empty(known.shape)
+            out[~known] = np.nan
+            parts.append(_emit(_mask_edge(out, b_row, b_col, grid, params, blocks), b_row, b_col, grid, blocks))
+        return pa.concat_tables(parts)
 
-    return _routed(pixels, grid, blocks, every=True).applyInArrow(block, "row int, col int, alr double")
+    return _routed(pixels, grid, blocks, True, per_part).applyInArrow(part, "row int, col int, alr double")
 
 
 def ring_sums(
@@ -211,6 +234,7 @@ def _padded(
     lengths = np.diff(vals.offsets.to_numpy())
     rows = np.repeat(segments["row"].to_numpy(), lengths) - (b_row * blocks.rows - ry)
     cols = segments["cols"].combine_chunks().flatten().to_numpy() - (b_col * blocks.cols - rx)
+    cols = cols + np.repeat(segments["shift"].to_numpy(), lengths)
     inside = (cols >= 0) & (cols < field.shape[1])
     field[rows[inside], cols[inside]] = vals.flatten().to_numpy()[inside]
     known = ~np.isnan(field[ry : ry + blocks.rows, rx : rx + blocks.cols])
@@ -252,39 +276,56 @@ def _fft_valid(field: np.ndarray, kernel: np.ndarray) -> np.ndarray:
     return full[ky - 1 : field.shape[0], kx - 1 : field.shape[1]]
 
 
-def _plane_kernel(grid: Grid, params: AlrParams, blocks: Blocks) -> Callable[[np.ndarray, int], np.ndarray]:
-    def convolve(field: np.ndarray, b_row: int) -> np.ndarray:
+Convolve = Callable[[list[np.ndarray], int], list[np.ndarray]]
+
+
+def _plane_kernel(grid: Grid, params: AlrParams, blocks: Blocks) -> Convolve:
+    def convolve(fields: list[np.ndarray], b_row: int) -> list[np.ndarray]:
         ring = _ring_index(grid, params, blocks)
         weights = params.weights()
         if params.ring_stat == "mean":
             weights = weights / np.maximum(np.bincount(ring[ring >= 0], minlength=weights.size), 1)
-        return _fft_valid(field, np.where(ring >= 0, weights[ring], 0.0))
+        return [_fft_valid(field, np.where(ring >= 0, weights[ring], 0.0)) for field in fields]
 
     return convolve
 
 
-def _rows_kernel(grid: Grid, params: AlrParams, blocks: Blocks) -> Callable[[np.ndarray, int], np.ndarray]:
+def row_spectra(here: float, there: np.ndarray, reach: int, step_deg: float, n: int, params: AlrParams) -> np.ndarray:
+    """Transforms of length ``n`` of the weights that pixels of the rows ``there`` have for a pixel of the row ``here``.
+
+    Weights are the same to the west and east, so half of them is computed, and with the pixel at place 0 the transform
+    is real.
+    """
+    dx = np.sin(np.radians(np.arange(reach + 1) * step_deg) / 2) ** 2
+    here, there = np.radians(here), np.radians(there)
+    chord = np.sin((there - here) / 2)[:, None] ** 2 + (np.cos(here) * np.cos(there))[:, None] * dx
+    ring = _ring_of(2 * K.EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(chord, 1.0))), params)
+    east = np.where(ring >= 0, params.weights()[ring], 0.0)
+    kernel = np.zeros((len(there), n))
+    kernel[:, : reach + 1] = east
+    kernel[:, n - reach :] = east[:, :0:-1]
+    return np.fft.rfft(kernel, axis=1).real
+
+
+def _rows_kernel(grid: Grid, params: AlrParams, blocks: Blocks) -> Convolve:
     if params.ring_stat != "sum":
         raise ValueError("ring means need a projected grid")
 
-    def convolve(field: np.ndarray, b_row: int) -> np.ndarray:
+    def convolve(fields: list[np.ndarray], b_row: int) -> list[np.ndarray]:
         ry, rx = blocks.reach_y, blocks.reach_x[b_row]
-        lat = grid.f + grid.e * (np.arange(field.shape[0]) + b_row * blocks.rows - ry + 0.5)
+        lat = grid.f + grid.e * (np.arange(fields[0].shape[0]) + b_row * blocks.rows - ry + 0.5)
         area = np.cos(np.radians(lat)) * abs(grid.a * grid.e) * (KM_PER_DEG * 1000.0 / params.work_resolution_m) ** 2
-        n = _good_size(field.shape[1] + 2 * rx)
-        spectra = np.fft.rfft(field * area[:, None], n, axis=1)
-        dx = np.sin(np.radians(np.arange(-rx, rx + 1) * grid.a) / 2) ** 2
-        weights = params.weights()
-        out = np.empty((blocks.rows, blocks.cols))
+        # what wraps around the end of the transform ends up in the surroundings, which are cut off
+        n = _good_size(fields[0].shape[1])
+        spectra = np.stack([np.fft.rfft(field * area[:, None], n, axis=1) for field in fields])
+        out = np.empty((len(fields), blocks.rows, blocks.cols))
         for i in range(blocks.rows):
             near = slice(i, i + 2 * ry + 1)
-            here, there = np.radians(lat[i + ry]), np.radians(lat[near])
-            chord = np.sin((there - here) / 2)[:, None] ** 2 + (np.cos(here) * np.cos(there))[:, None] * dx
-            ring = _ring_of(2 * K.EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(chord, 1.0))), params)
-            kernel = np.fft.rfft(np.where(ring >= 0, weights[ring], 0.0), n, axis=1)
-            line = np.fft.irfft((spectra[near] * kernel).sum(axis=0), n)
-            out[i] = line[2 * rx : 2 * rx + blocks.cols]
-        return out
+            # one set of transforms for all block columns
+            kernel = row_spectra(lat[i + ry], lat[near], rx, grid.a, n, params)
+            lines = np.fft.irfft(np.einsum("bhf,hf->bf", spectra[:, near], kernel), n, axis=1)
+            out[:, i] = lines[:, rx : rx + blocks.cols]
+        return list(out)
 
     return convolve
 
@@ -298,7 +339,7 @@ def _mask_edge(out: np.ndarray, b_row: int, b_col: int, grid: Grid, params: AlrP
     else:
         reach = np.full(blocks.rows, blocks.reach_x[b_row])
     keep_row = (rows >= blocks.reach_y) & (rows < grid.rows - blocks.reach_y)
-    keep_col = (cols[None, :] >= reach[:, None]) & (cols[None, :] < grid.cols - reach[:, None])
+    keep_col = (cols[None, :] >= reach[:, None]) & (cols[None, :] < grid.cols - reach[:, None]) | bool(blocks.around)
     out[~(keep_row[:, None] & keep_col)] = np.nan
     return out
 

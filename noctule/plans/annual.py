@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from noctule import constants as K
 from noctule.model import ENVELOPE, Grid, Region
-from noctule.operators.alr import AlrParams, compute_alr
+from noctule.operators.alr import SEGMENT_PX, AlrParams, compute_alr
 from noctule.operators.coverage import attach_nearest_place, ensure_coverage
 from noctule.operators.raster import mesh_minima, score_pixels
 from noctule.operators.release import new_version
@@ -91,15 +91,16 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Release:
     from noctule.sinks.tables import write_debug_raster
     from noctule.sinks.tile_json import write_tiles
     from noctule.sources.places import load_places
-    from noctule.sources.rasters import read_pixels
+    from noctule.sources.rasters import read_pixels, read_segments
     from noctule.sources.regions import get_region, load_regions
     from noctule.sources.snapshots import read_snapshot
 
     ship_package(spark)
     region = get_region(load_regions(spark, args.regions), args.region)
-    pixels = read_pixels(spark, args.raster, args.region, args.year)
+    where = spark, args.raster, args.region, args.year
+    raster = read_segments(*where, args.segments) if args.segments else read_pixels(*where)
     grid = read_grid(spark, args)
-    alr = compute_alr(pixels, grid, AlrParams(max_km=args.max_km), args.block_px)
+    alr = compute_alr(raster, grid, AlrParams(max_km=args.max_km), args.block_px, args.segments or SEGMENT_PX)
     if args.debug_raster:
         # two readers of the ratio: store it; otherwise it flows straight into the mesh aggregate
         alr = materialize(alr, "alr")
@@ -137,6 +138,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--regions", required=True, help="YAML or JSON region settings")
     p.add_argument("--places", required=True, help="tab-separated gazetteer text")
     p.add_argument("--raster", required=True, help="radiance Parquet, partitioned by region and year")
+    p.add_argument("--segments", type=int, help="the raster is stored as row segments of so many pixels")
     p.add_argument("--grids", help="grid table, by default <raster>_grid")
     p.add_argument("--out", required=True)
     p.add_argument("--published", help="published set to compare with and to replace")

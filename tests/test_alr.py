@@ -3,7 +3,9 @@ import pandas as pd
 import pytest
 
 from noctule.model import Grid
+from noctule.operators import alr
 from noctule.operators.alr import AlrParams, compute_alr, ring_sums, row_segments, route_segments, layout, weigh_rings
+from noctule.sources.rasters import read_segments, write_segments
 
 PLANE = Grid(c=3_500_000, f=3_000_000, a=450.0, e=-450.0, rows=60, cols=70, geographic=False, epsg=3035)
 GLOBE = Grid(c=2.0, f=60.0, a=0.02, e=-0.02, rows=50, cols=60)
@@ -64,6 +66,71 @@ def test_blocked_equals_every_pixel_against_every_pixel(spark, grid, block_px):
     assert np.isfinite(got).any() and np.isnan(got[0]).all()
 
 
+CIRCLE = Grid(c=-180.0, f=40.0, a=4.5, e=-4.0, rows=20, cols=80)
+FAR = AlrParams(max_km=1500, rings=5, noise_floor=0.5)
+
+
+@pytest.mark.parametrize("block_px,segment_px", [(4096, 256), (6, 7)])
+def test_full_circle_has_no_seam(spark, block_px, segment_px):
+    """A turned raster has the turned ratio, and far from the old seam it is that of the grid with edges."""
+    values = field(CIRCLE, 8)
+    got = image(compute_alr(frame(spark, values), CIRCLE, FAR, block_px, segment_px), CIRCLE)
+    assert np.isnan(got[:3]).all() and np.isfinite(got[3:-3]).all()
+    turned = image(compute_alr(frame(spark, np.roll(values, 33, axis=1)), CIRCLE, FAR, block_px, segment_px), CIRCLE)
+    np.testing.assert_allclose(turned, np.roll(got, 33, axis=1), rtol=1e-9, atol=1e-9)
+    part = Grid(c=-180.0 + 4.5, f=40.0, a=4.5, e=-4.0, rows=20, cols=79)
+    inside = brute(values[:, 1:], part, FAR)
+    some = np.isfinite(inside)
+    assert some.sum() > 500
+    np.testing.assert_allclose(got[:, 1:][some], inside[some], rtol=1e-9, atol=1e-9)
+
+
+def test_radius_around_the_globe_is_refused(spark):
+    with pytest.raises(ValueError):
+        layout(CIRCLE, AlrParams(max_km=17_000), 20)
+
+
+def test_kernels_of_a_row_are_made_once(monkeypatch):
+    """Block columns of a part share the transforms, which are those of the whole kernel."""
+    made = []
+    one = alr.row_spectra
+    monkeypatch.setattr(alr, "row_spectra", lambda *a: made.append(a[0]) or one(*a))
+    grid = Grid(c=2.0, f=60.0, a=0.02, e=-0.02, rows=40, cols=600)
+    blocks = layout(grid, SMALL, 20, 20)
+    shape = blocks.rows + 2 * blocks.reach_y, blocks.cols + 2 * blocks.reach_x[1]
+    fields = [np.random.default_rng(k).uniform(0, 20, shape) for k in range(5)]
+    convolve = alr._rows_kernel(grid, SMALL, blocks)
+    together = convolve(fields, 1)
+    assert len(made) == blocks.rows
+    for f, out in zip(fields, together):
+        np.testing.assert_allclose(convolve([f], 1)[0], out, rtol=1e-9)
+    n, reach = 64, 5
+    half = one(60.0, np.array([60.1]), reach, 0.02, n, SMALL)
+    kernel = np.fft.irfft(half, n, axis=1)[0]
+    np.testing.assert_allclose(kernel[1 : reach + 1], kernel[: -reach - 1 : -1], atol=1e-12)
+
+
+def test_stored_segments_save_an_exchange(spark, tmp_path):
+    values = field(PLANE, 9)
+    values[10, 20] = np.nan
+    write_segments(frame(spark, values), str(tmp_path), "a", 2025, 16)
+    write_segments(frame(spark, values * 2), str(tmp_path), "b", 2025, 16)
+    stored = read_segments(spark, str(tmp_path), "a", 2025, 16)
+    from_pixels, from_segments = compute_alr(frame(spark, values), PLANE, SMALL, 16, 16), compute_alr(stored, PLANE, SMALL, 16, 16)
+    np.testing.assert_array_equal(image(from_segments, PLANE), image(from_pixels, PLANE))
+
+    def exchanges(raster):
+        # plans not run yet, so each exchange is written once
+        return compute_alr(raster, PLANE, SMALL, 16, 16)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    assert exchanges(stored) == exchanges(frame(spark, values)) - 1
+    window = read_segments(spark, str(tmp_path), "a", 2025, 16, rows=(5, 7), cols=(16, 20))
+    assert sorted((r.row, r.seg) for r in window.collect()) == [(5, 1), (6, 1)]
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(region" in plan and "PushedFilters: [IsNotNull(row)" in plan
+    assert read_segments(spark, str(tmp_path), "a", 2024, 16).count() == 0
+
+
 def test_several_block_columns(spark):
     grid = Grid(c=0, f=0, a=450.0, e=-450.0, rows=30, cols=600, geographic=False, epsg=3035)
     values = field(grid, 3)
