@@ -5,7 +5,8 @@ comes after, so a text is cut there into chunks (white space and the run after i
 are the ids of its chunks in order. Marks after a letter or digit are a token of their own there, and so
 is a newline before a word, so a chunk's ids are those of its newline, its stem and its marks. Each
 different part is encoded by the library once and kept; a full table becomes the old one, from which
-what is still in use is taken over, and the one before it goes.
+what is still in use is taken over, and the one before it goes. A text that holds the name of an added token
+goes through the library whole, unless such names are taken as ordinary text (``plain_names``).
 """
 
 from __future__ import annotations
@@ -30,13 +31,15 @@ _chunks = re.compile(r"\s*\S+|\s+").findall
 class Encoder:
     """Ids as little-endian unsigned 32-bit bytes, one bytes object per text."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, plain_names: bool = False) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # names of special tokens inside a document are ordinary text
-        self.tokenizer.encode_special_tokens = True
+        # special tokens only; other added tokens keep their ids in the library
+        self.tokenizer.encode_special_tokens = plain_names
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.names = [t.content for t in added if t.content and not (plain_names and t.special)]
         self.newline = self._ids("\n")
         self.kept: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -83,21 +86,25 @@ class Encoder:
         for at in range(0, len(texts), GROUP):
             if len(self.kept) > MAX_KEPT:
                 self.old, self.kept = self.kept, {}
-            cut = [_chunks(t) for t in texts[at : at + GROUP]]
+            some = texts[at : at + GROUP]
+            whole = {k for k, t in enumerate(some) if any(name in t for name in self.names)}
+            cut = [[] if k in whole else _chunks(t) for k, t in enumerate(some)]
             get = self.kept.get
             got = [list(map(get, c)) for c in cut]
             missing = [k for k, ids in enumerate(got) if None in ids]
             self._learn({chunk for k in missing for chunk, ids in zip(cut[k], got[k], strict=True) if ids is None})
             for k in missing:
                 got[k] = map(get, cut[k])
+            for k in whole:
+                got[k] = [self._ids(some[k]).tobytes()]
             out += map(b"".join, got)
         return out
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain_names: bool = False) -> Encoder:
     """One encoder per worker process, kept over tasks."""
-    return Encoder(path)
+    return Encoder(path, plain_names)
 
 
 def default_path() -> str:

@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..runtime import materialize, scratch_scope
+from ..runtime import broadcast_if_small, materialize, scratch_scope
 from .components import components
 from .frames import ship
 from .words import Texts, Words, alnum_words, blocks, lower_ascii, mix, signed, span_hashes, split_words, texts_of, window_hashes, window_starts, word_hashes
@@ -261,8 +261,10 @@ def _similar(idf: Idf):
 
 def verified(pairs: DataFrame, texts: DataFrame, idf: Idf) -> DataFrame:
     """Weighted Jaccard similarity of the pairs ``(hub, node)`` from both whole texts, and the shingles beyond the hub's."""
-    used = pairs.select(F.explode(F.array("hub", "node")).alias("node")).distinct()
-    held = materialize(texts.join(used, "node", "left_semi"), "pair_texts")
+    counts: dict[str, int] = {}
+    used = materialize(pairs.select(F.explode(F.array("hub", "node")).alias("node")).distinct(), "used", counts)
+    # few enough nodes go to where the texts are read
+    held = materialize(texts.join(broadcast_if_small(used, counts["used"]), "node", "left_semi"), "pair_texts")
     joined = pairs.join(held.select("node", F.col("text").alias("text_node")), "node")
     joined = joined.join(held.select(F.col("node").alias("hub"), F.col("text").alias("text_hub")), "hub")
     fields = "hub long, node long, similarity double, overlap double, beyond array<struct<s long, w double>>"
@@ -322,16 +324,21 @@ def link(members: DataFrame, texts: DataFrame, idf: Idf, threshold: float, at_on
         if not counts["unsettled"]:
             return label
         facts = rest.join(seen.select("hub", "node", "similarity", "overlap"), ["hub", "node"])
-        x, y = facts.alias("x"), facts.alias("y")
+        # of two nodes with different labels one at least has another than the bucket's commonest: a large family
+        # is met by the others of its bucket and not by itself
+        families = rest.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+        main = families.groupBy("key").agg(F.max(F.struct("n", "label")).alias("m")).select("key", F.col("m.label").alias("main"))
+        facts = materialize(facts.join(materialize(main, "main"), "key"), "facts")
+        x, y = facts.where("label <> main").alias("x"), facts.alias("y")
         # pairs that can be linked without anything in common beyond the hub
         fits = x.join(
             y,
             (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.node") < F.col("y.node"))
+            & ((F.col("x.node") < F.col("y.node")) | (F.col("y.label") == F.col("y.main")))
             & (F.col("x.label") != F.col("y.label"))
             & (F.least("x.overlap", "y.overlap") >= F.lit(need - 1e-9) * (F.col("x.total") + F.col("y.total")))
             & (F.abs(F.col("x.similarity") - F.col("y.similarity")) <= 1 - threshold + 1e-9),
-        ).select(F.col("x.node").alias("hub"), F.col("y.node").alias("node"))
+        ).select(F.least("x.node", "y.node").alias("hub"), F.greatest("x.node", "y.node").alias("node"))
         fits = materialize(fits.distinct().join(seen, ["hub", "node"], "left_anti"), "fits", counts)
         if counts["fits"]:
             seen = seen.unionByName(verified(fits, texts, idf))
@@ -349,8 +356,10 @@ def refined(rest: DataFrame, seen: DataFrame, threshold: float) -> DataFrame:
     """
     need = threshold / (1 + threshold)
     nodes = rest.where("hub <> node").select("hub", "node", "total").distinct().join(seen, ["hub", "node"])
-    lightest = Window.partitionBy("hub")
-    t = F.lit(need) * (F.col("total") + F.greatest(F.lit(threshold) * F.col("total"), F.min("total").over(lightest))) - F.col("overlap") - 1e-6
+    counts: dict[str, int] = {}
+    lightest = materialize(nodes.groupBy("hub").agg(F.min("total").alias("lightest")), "lightest", counts)
+    nodes = nodes.join(broadcast_if_small(lightest, counts["lightest"]), "hub")
+    t = F.lit(need) * (F.col("total") + F.greatest(F.lit(threshold) * F.col("total"), F.col("lightest"))) - F.col("overlap") - 1e-6
     each = materialize(nodes.withColumn("t", t).select("hub", "node", "total", "overlap", "t", F.inline("beyond")), "beyond")
     often = materialize(each.groupBy("hub", "s").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "often")
     shared = each.join(often, ["hub", "s"])
@@ -381,7 +390,11 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     folded = signed_.groupBy("digest").agg(F.min("id").alias("least"), F.any_value("total").alias("total"))
     folded = materialize(folded.select("digest", F.coalesce("least", nameless).alias("node"), "total"), "nodes", counts)
     nodes = signed_.select("id", "digest", "bands").join(folded, "digest").where("id <=> node OR node < 0").select("node", "total", "bands")
-    texts = docs.join(folded.where("node < 0").select("digest", "node").withColumnRenamed("node", "nameless"), "digest", "left").select(F.coalesce("nameless", "id").alias("node"), "text")
+    # texts that only rows without an id have are rare: the others are not joined for them
+    unnamed = materialize(folded.where("node < 0").select("digest", "node"), "nameless", counts)
+    texts = docs.where("id IS NOT NULL").select(F.col("id").alias("node"), "text")
+    if counts["nameless"]:
+        texts = texts.unionByName(docs.where("id IS NULL").join(broadcast_if_small(unnamed, counts["nameless"]), "digest").select("node", "text"))
     with scratch_scope(df.sparkSession):
         members = nodes.select("node", "total", F.explode("bands").alias("key"))
         shared = materialize(members.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("key"), "shared")

@@ -124,14 +124,14 @@ PIECES_SQL = "doc_id long, piece int, start long, length long, ids_crc32 long, p
 PACKED_SQL = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-def cut_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, tokenizer: str | None = None, end_id: int = 2) -> DataFrame:
-    """Pieces of all documents; ``nth`` counts a task's pieces of each length."""
+def cut_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, tokenizer: str | None = None, end_id: int = 2, plain_names: bool = False) -> DataFrame:
+    """Pieces of all documents; ``nth`` counts a task's pieces of each length. ``plain_names``: see :mod:`noctule.llm.bpe`."""
     ship(df.sparkSession)
     path = tokenizer or default_path()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        encode_texts, end = encoder(path).encode, np.array([end_id], "<u4").tobytes()
+        encode_texts, end = encoder(path, plain_names).encode, np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 few = batch.slice(at, 1024)

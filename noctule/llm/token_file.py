@@ -186,14 +186,14 @@ MANIFEST = pa.schema([("part", pa.int64()), ("piece", pa.int64()), ("temp", pa.s
 MANIFEST_SQL = "part long, piece long, temp string, name string, bytes long, n_docs long, n_ids long"
 
 
-def write_tokens(df: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = 0, file_ids: int = FILE_IDS) -> DataFrame:
-    """Write all documents to ``folder`` and return the committed manifest, one row per file."""
+def write_tokens(df: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = 0, file_ids: int = FILE_IDS, plain_names: bool = False) -> DataFrame:
+    """Write all documents to ``folder`` and return the committed manifest, one row per file. ``plain_names``: see :mod:`noctule.llm.bpe`."""
     ship(df.sparkSession)
     path = tokenizer or default_path()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, piece = TaskContext.get().partitionId(), 0
-        writer, encode_texts = _Writer(), encoder(path).encode
+        writer, encode_texts = _Writer(), encoder(path, plain_names).encode
         end = np.array([end_id], "<u4").tobytes()
 
         def done() -> pa.RecordBatch:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import numpy as np
+from tokenizers import Tokenizer
 
-from noctule.llm import bpe, token_file
+from noctule.llm import bpe, packing, token_file
 
 PARTS = ["a", "the", "Word", "é", "ß", "中", "\n", " ", "  ", "\t", "\u0085", "\r\n", "!", "...", "'s", "'", "123", "½", "\x1c", "𝔘", "<|endoftext|>", "-", "$$$", "́", "_", " b", "\n\n"]
 
@@ -14,10 +16,24 @@ PARTS = ["a", "the", "Word", "é", "ß", "中", "\n", " ", "  ", "\t", "\u0085",
 def test_any_mixture_of_space_marks_and_letters(monkeypatch):
     monkeypatch.setattr(bpe, "MAX_KEPT", 500)
     rng = random.Random(1)
-    encoder = bpe.Encoder(bpe.default_path())
+    encoder, library = bpe.Encoder(bpe.default_path()), Tokenizer.from_file(bpe.default_path())
     texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 30))) for _ in range(4000)] + ["", " ", "\n", "a\n", " a", "a ", "\n a"]
-    whole = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    texts += ["hello <|endoftext|> x", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n", "<|endoftext|"] * 3
+    whole = library.encode_batch(texts, add_special_tokens=False)
     assert encoder.encode(texts) == [np.array(x.ids, "<u4").tobytes() for x in whole]
+    assert encoder.encode(["hello <|endoftext|> x"]) == [np.array([31373, 220, 50256, 2124], "<u4").tobytes()]
+    library.encode_special_tokens = True
+    whole = library.encode_batch(texts, add_special_tokens=False)
+    assert bpe.Encoder(bpe.default_path(), plain_names=True).encode(texts) == [np.array(x.ids, "<u4").tobytes() for x in whole]
+
+
+def test_files_and_pieces_hold_the_library_s_ids(spark):
+    texts = {1: "a <|endoftext|> b", 2: "<|endoftext|>", 3: "plain words", 4: ""}
+    library = Tokenizer.from_file(bpe.default_path())
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for end, rows in ((0, token_file.roundtrip(docs, end_id=0)), (2, packing.pack_documents(docs, end_id=2))):
+        got = {r["doc_id"]: r["ids_crc32"] for r in rows.collect()}
+        assert got == {k: zlib.crc32(np.array([*library.encode(t, add_special_tokens=False).ids, end], "<u4").tobytes()) for k, t in texts.items()}
 
 
 def test_simple8b_round_trip():
