@@ -171,7 +171,9 @@ def compute_alr(
     def part(key: tuple, segments: pa.Table) -> pa.Table:
         b_row = key[0].as_py()
         columns = pa.compute.unique(segments["b_col"]).to_pylist()
-        padded = [_padded(segments.filter(pa.compute.equal(segments["b_col"], b)), b_row, b, blocks, params.noise_floor) for b in columns]
+        # a part of one block column needs no cutting
+        own = {b: segments.filter(pa.compute.equal(segments["b_col"], b)) for b in columns} if len(columns) > 1 else {columns[0]: segments}
+        padded = [_padded(own[b], b_row, b, blocks, params.noise_floor) for b in columns]
         filled = [k for k, (_, known) in enumerate(padded) if known.any()]
         ratios = dict(zip(filled, convolve([padded[k][0] for k in filled], b_row) if filled else [], strict=True))
         parts = []
