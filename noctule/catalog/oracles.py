@@ -308,6 +308,7 @@ SAME_ROWS = {
     "redundancy_filter_crowds": "redundancy_filter",
     "within_radius_counts_hot": "within_radius_counts",
     "snapshot_roundtrip": "tile_envelopes",
+    "publish_replaced": "tile_envelopes",
 }
 
 LON_MIN, LAT_MIN, LON_MAX, LAT_MAX = t.BOX.bbox

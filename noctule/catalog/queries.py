@@ -49,7 +49,7 @@ from noctule.operators.validation import validate_bortle as validate
 from noctule.operators.validation import validation_summary as summarize
 from noctule.plans.annual import SiteParams, build_release, select_sites
 from noctule.runtime import materialize, scratch_dir
-from noctule.sinks.tile_json import write_tiles
+from noctule.sinks.tile_json import publish_tiles, write_tiles
 from noctule.sources.places import bbox_filter, parse_places
 from noctule.sources.rasters import read_segments, write_segments
 from noctule.sources.snapshots import read_snapshot
@@ -290,6 +290,16 @@ def snapshot_roundtrip(spark, d):
     return _flat(read_snapshot(spark, folder))
 
 
+def publish_replaced(spark, d):
+    """The same envelopes published over a set of other tiles and other versions, and read back."""
+    folder = f"{scratch_dir(spark)}/published-{uuid.uuid4().hex}"
+    tiles = materialize(_mesh_envelopes(spark, d), "envelopes")
+    older = tiles.filter(F.size("spots") > 0).withColumns({"tile": F.concat(F.lit("S"), F.substring("tile", 2, 7)), "version": F.lit("2024.7")})
+    publish_tiles(older.unionByName(tiles.filter(F.size("spots") == 0)), folder)
+    publish_tiles(tiles, folder)
+    return _flat(read_snapshot(spark, folder))
+
+
 def spot_diff_query(spark, d):
     return spot_diff(t.old_spots(spark, d), t.new_spots(spark, d))
 
@@ -457,6 +467,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "empty_tiles": empty_tiles_query,
     "tile_envelopes": tile_envelopes,
     "snapshot_roundtrip": snapshot_roundtrip,
+    "publish_replaced": publish_replaced,
     "spot_diff": spot_diff_query,
     "tile_changes": tile_changes_query,
     "new_version": new_version,

@@ -89,7 +89,7 @@ def utc_now() -> str:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> Release:
     from noctule.sinks.tables import write_debug_raster
-    from noctule.sinks.tile_json import write_tiles
+    from noctule.sinks.tile_json import publish_tiles, write_tiles
     from noctule.sources.places import load_places
     from noctule.sources.rasters import read_pixels, read_segments
     from noctule.sources.regions import get_region, load_regions
@@ -113,7 +113,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Release:
     release = build_release(sites, region, args.year, published, utc_now(), args.text_versions, counts)
     write_tiles(release.envelopes, f"{args.out}/spots")
     if args.published and not args.no_publish:
-        write_tiles(release.envelopes, args.published)
+        (publish_tiles if args.atomic else write_tiles)(release.envelopes, args.published)
     return release
 
 
@@ -143,6 +143,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--out", required=True)
     p.add_argument("--published", help="published set to compare with and to replace")
     p.add_argument("--no-publish", action="store_true", help="compare with the published set but leave it as it is")
+    p.add_argument("--atomic", action="store_true", help="publish as a release folder and a pointer to it, switched in one rename")
     p.add_argument("--debug-raster", action="store_true")
     p.add_argument("--mesh-km", type=float, default=K.MESH_KM)
     p.add_argument("--max-km", type=float, default=K.ALR_MAX_KM)

@@ -2,8 +2,12 @@
 
 Tasks write to a staging folder under the target, the commit moves finished documents into place, so readers
 never see a half-written document and a retried task leaves nothing behind. Mode ``overwrite`` replaces the
-whole published set: documents of other tiles are removed after the new ones are in place. Moves and deletes run
+whole set: documents of other tiles are removed after the new ones are in place. Moves and deletes run
 side by side. The target is resolved by the session's Hadoop file system, as Spark's own readers resolve it.
+With option ``unread``, for a folder that nobody reads yet, tasks move their own documents and the commit moves none.
+
+``publish_tiles`` replaces a published set at once: the documents go to a release folder that nobody reads, then
+the pointer to the current release is switched in one rename.
 """
 
 from __future__ import annotations
@@ -18,6 +22,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from noctule.sources.releases import new_release, remove_superseded, switch_release
+
 KEYS = ("version", "source", "generated", "tile", "spots")
 
 
@@ -47,19 +53,32 @@ def _file_system(uri: str):
     return fs.FileSystem.from_uri(uri.replace("s3a:", "s3:", 1))
 
 
+def _put(fs, staged: str, target: str) -> None:
+    """Give a document its name; what another attempt of the task put there is the same."""
+    from pyarrow.fs import FileType
+
+    try:
+        fs.move(staged, target)
+    except OSError:
+        if fs.get_file_info(target).type == FileType.NotFound:
+            raise
+        fs.delete_file(staged)
+
+
 class TileJsonSource(DataSource):
     @classmethod
     def name(cls) -> str:
         return "tile_json"
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
-        return TileJsonWriter(self.options["path"], overwrite)
+        return TileJsonWriter(self.options["path"], overwrite, self.options.get("unread") == "true")
 
 
 class TileJsonWriter(DataSourceWriter):
-    def __init__(self, path: str, overwrite: bool):
+    def __init__(self, path: str, overwrite: bool, unread: bool = False):
         self.path = path.rstrip("/")
         self.overwrite = overwrite
+        self.unread = unread
         self.staging = f"{self.path}/_staging-{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator[Row]) -> Written:
@@ -72,7 +91,10 @@ class TileJsonWriter(DataSourceWriter):
             staged = f"{staging}/{envelope['tile']}.{uuid.uuid4().hex}"
             with fs.open_output_stream(staged) as out:
                 out.write(text.encode("utf-8"))
-            files.append((envelope["tile"], staged))
+            if self.unread:
+                _put(fs, staged, f"{_file_system(self.path)[1]}/{envelope['tile']}.json")
+            else:
+                files.append((envelope["tile"], staged))
         return Written(files)
 
     def commit(self, messages: list[Written | None]) -> None:
@@ -83,7 +105,7 @@ class TileJsonWriter(DataSourceWriter):
         moves = [(staged, f"{tile}.json") for message in messages for tile, staged in (message.files if message else [])]
         with ThreadPoolExecutor(COMMIT_THREADS) as pool:
             list(pool.map(lambda m: fs.move(m[0], f"{target}/{m[1]}"), moves))
-            if self.overwrite:
+            if self.overwrite and not self.unread:
                 placed = {name for _, name in moves}
                 old = [i.path for i in fs.get_file_info(FileSelector(target)) if i.base_name.endswith(".json") and i.base_name not in placed]
                 list(pool.map(fs.delete_file, old))
@@ -100,11 +122,24 @@ class TileJsonWriter(DataSourceWriter):
             fs.delete_dir(staging)
 
 
-def write_tiles(envelopes: DataFrame, path: str, replace_all: bool = True) -> None:
+def write_tiles(envelopes: DataFrame, path: str, replace_all: bool = True, unread: bool = False) -> None:
     """Write ``<path>/<tile>.json``; with ``replace_all`` the folder then holds exactly these tiles."""
     spark: SparkSession = envelopes.sparkSession
     spark.dataSource.register(TileJsonSource)
-    envelopes.select(*KEYS).write.format("tile_json").mode("overwrite" if replace_all else "append").save(shared_path(spark, path))
+    writer = envelopes.select(*KEYS).write.format("tile_json").mode("overwrite" if replace_all else "append")
+    writer.option("unread", str(unread).lower()).save(shared_path(spark, path))
+
+
+def publish_tiles(envelopes: DataFrame, path: str) -> None:
+    """Replace the set published at ``path`` by these tiles, whole or not at all.
+
+    ``read_snapshot`` gives the old set until the very last step. What was published before is deleted afterwards.
+    """
+    spark = envelopes.sparkSession
+    release = new_release(path)
+    write_tiles(envelopes, release, unread=True)
+    switch_release(spark, path, release)
+    remove_superseded(spark, path)
 
 
 def write_missing_tiles(envelopes: DataFrame, path: str) -> None:

@@ -1,4 +1,4 @@
-"""Published releases: a folder of one JSON document per tile."""
+"""Published releases: a folder of one JSON document per tile, see :mod:`noctule.sources.releases`."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from noctule.model import ENVELOPE
+from noctule.sources.releases import current_release
 
 CORRUPT = "_corrupt_record"
 
@@ -47,7 +48,7 @@ def _documents(spark: SparkSession, path: str) -> DataFrame | None:
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
             .option("pathGlobFilter", "*.json")
-            .json(path)
+            .json(current_release(spark, path))
             .select("*", F.col("_metadata.file_path").alias("file"))
         )
     except AnalysisException as e:

@@ -5,7 +5,7 @@ import pandas as pd
 
 from noctule.model import Grid
 from noctule.plans import annual
-from noctule.sources.rasters import write_pixels
+from noctule.sources.rasters import read_pixels, write_pixels, write_segments
 from tests.brute import cover, km_to_all, thin
 from tests.test_sources_sinks import gazetteer_line
 
@@ -43,8 +43,12 @@ def test_release_from_raster_to_published_documents(spark, tmp_path):
     assert first.counts["covered"] == len(spots) and first.counts["places"] == 1 and first.counts["tiles"] == len(docs)
     assert first.counts["candidates"] >= first.counts["kept"] > 0 and first.counts["occupied_tiles"] == sum(bool(d["spots"]) for d in docs.values())
     assert spark.read.parquet(str(tmp_path / "out" / "debug")).count() == GRID.rows * GRID.cols
-    again = annual.run(spark, arguments(tmp_path))
+    # the same release again, from stored segments and over the pointer: nothing has changed
+    write_segments(read_pixels(spark, str(tmp_path / "radiance"), "france", 2025), str(tmp_path / "segments"), "france", 2025)
+    stored = ["--raster", str(tmp_path / "segments"), "--grids", str(tmp_path / "radiance_grid"), "--segments", "256"]
+    again = annual.run(spark, arguments(tmp_path, "--atomic", *stored))
     assert (again.version, again.changed) == ("2025.1", False)
+    assert not list((tmp_path / "published").glob("*.json")) and len(list((tmp_path / "published").glob("release-*/*.json"))) == len(docs)
 
 
 def test_site_selection_equals_the_sequential_steps(spark):

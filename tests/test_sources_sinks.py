@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from noctule.model import ENVELOPE, Region
 from noctule.sinks.tables import append_results, publish_table, write_debug_raster
-from noctule.sinks.tile_json import write_missing_tiles, write_tiles
+from noctule.sinks import tile_json
+from noctule.sinks.tile_json import publish_tiles, write_missing_tiles, write_tiles
 from noctule.sources.control_points import read_control_points
 from noctule.sources.places import bbox_filter, load_places, parse_places, read_lines
 from noctule.sources.rasters import read_pixels, write_pixels
@@ -187,3 +188,42 @@ def test_validation_job(spark, tmp_path):
     summary = validate.run(spark, validate.parser().parse_args(args))
     assert summary.points == 2
     assert spark.read.parquet(f"{tmp_path}/results").filter("run_id = 'first'").count() == 2
+
+
+def _tiles(spark, version, *names):
+    return spark.createDataFrame([(version, "s", "g", n, []) for n in names], ENVELOPE)
+
+
+def _published(spark, path):
+    return sorted((r.tile, r.version) for r in read_snapshot(spark, path).select("tile", "version").collect())
+
+
+@pytest.mark.parametrize("step", ["switch_release", "remove_superseded"])
+def test_a_publish_that_dies_leaves_one_whole_release(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "published")
+    write_tiles(_tiles(spark, "2024.1", "N001E001", "N002E001"), path)  # loose documents, as earlier sets
+    assert _published(spark, path) == [("N001E001", "2024.1"), ("N002E001", "2024.1")]
+    publish_tiles(_tiles(spark, "2025.1", "N001E001", "N003E001"), path)
+    old = [("N001E001", "2025.1"), ("N003E001", "2025.1")]
+    assert _published(spark, path) == old and not list((tmp_path / "published").glob("*.json"))
+
+    def dies(*args):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(tile_json, step, dies)
+        with pytest.raises(RuntimeError):
+            publish_tiles(_tiles(spark, "2025.2", "N003E001"), path)
+    assert _published(spark, path) == (old if step == "switch_release" else [("N003E001", "2025.2")])
+    # the next one cleans up
+    publish_tiles(_tiles(spark, "2025.3", "N004E001"), path)
+    assert _published(spark, path) == [("N004E001", "2025.3")]
+    assert len(list((tmp_path / "published").glob("release-*"))) == 1
+
+
+def test_a_document_that_cannot_be_written_leaves_the_old_release(spark, tmp_path):
+    path = str(tmp_path / "published")
+    publish_tiles(_tiles(spark, "2025.1", "N001E001"), path)
+    with pytest.raises(Exception):
+        publish_tiles(_tiles(spark, "2025.2", "N001E001", "no/such/folder"), path)
+    assert _published(spark, path) == [("N001E001", "2025.1")]
