@@ -309,6 +309,10 @@ SAME_ROWS = {
     "within_radius_counts_hot": "within_radius_counts",
     "snapshot_roundtrip": "tile_envelopes",
     "publish_replaced": "tile_envelopes",
+    "debug_raster_stored": "debug_raster",
+    "tile_changes_digests": "tile_changes",
+    "new_version_digests": "new_version",
+    "spots_in_radius_stored": "spots_in_radius",
 }
 
 LON_MIN, LAT_MIN, LON_MAX, LAT_MAX = t.BOX.bbox
@@ -332,6 +336,19 @@ def oracle_sql() -> dict[str, str]:
         + f" SELECT place_ord, name, round(lat, 6) AS lat, round(lon, 6) AS lon, population FROM places WHERE {_box_places(BOX_MARGIN_KM)}",
         "geonames_parse": with_(PLACES)
         + " SELECT place_ord, name, round(lat, 6) AS lat, round(lon, 6) AS lon, population FROM places WHERE place_ord % 13 <> 0 AND place_ord % 11 <> 0",
+        "places_scan": with_(PLACES, "numbered AS (SELECT *, place_ord AS k, row_number() OVER (ORDER BY place_ord) - 1 AS line FROM places)")
+        + f""" SELECT line AS place_ord, CASE WHEN k % 17 = 0 THEN '' ELSE name END AS name, round(lat, 6) AS lat, round(lon, 6) AS lon, population
+FROM numbered WHERE k % 13 <> 0 AND k % 11 <> 0 AND {_box_places(K.BBOX_MARGIN_KM)}""",
+        "regions_scan": with_(BOXES)
+        + """ SELECT 'n' || nation AS region, 'Nation ' || nation AS name, round(lon_min, 6) AS lon_min, round(lat_min, 6) AS lat_min,
+  round(lon_max, 6) AS lon_max, round(lat_max, 6) AS lat_max, 3035::INT AS equal_area_epsg, (nation % 10)::INT AS admin_level, 'FR' AS osm_country_code FROM boxes""",
+        "control_points_scan": with_(CONTROL)
+        + " SELECT round(lat, 6) AS lat, round(lon, 6) AS lon, expected_bortle, NULL::VARCHAR AS name FROM control",
+        "validation_results": with_(*SAMPLED)
+        + """ SELECT run_id, round(lat, 6) AS lat, round(lon, 6) AS lon, expected_bortle, got_bortle, "match" FROM sampled, (VALUES ('a'), ('b')) r(run_id)""",
+        "nearest_place_kept": with_(*_candidates(MESH_FINE), PLACES, _nearest("mesh", K.MAX_NEAR_DISTANCE_KM))
+        + """ SELECT cand_ord, CASE WHEN cand_ord % 3 = 0 AND cand_ord % 2 = 0 THEN '' WHEN cand_ord % 3 = 0 THEN 'known'
+  WHEN cand_ord % 4 = 0 THEN '' ELSE near END AS near FROM named""",
         "nearest_place": with_(*_candidates(MESH_FINE), PLACES, _nearest("mesh", K.MAX_NEAR_DISTANCE_KM)) + " SELECT cand_ord, near FROM named",
         "nearest_place_unbounded": with_(*_candidates(MESH_COARSE), PLACES, _nearest("mesh", None)) + " SELECT cand_ord, near FROM named",
         "within_radius_counts": with_(*COVER) + " SELECT place_ord, within FROM within",
@@ -443,6 +460,13 @@ FROM all_tiles a LEFT JOIN placed USING (tile)""",
         )
         + f" SELECT {tile('lat', 'lon')} AS tile, {spot('lat', 'lon')} AS id, {dark}, bortle, near, added_by FROM named",
     }
+    published = sql["tile_envelopes"]
+    older = "a.tile LIKE 'N045%' OR (a.tile LIKE 'N044%' AND id IS NOT NULL)"
+    sql["publish_changed"] = published.replace(
+        "'2025.1' AS version", f"CASE WHEN {older} THEN '2025.1' ELSE '2024.7' END AS version"
+    ).replace("'2026-01-01T00:00:00Z' AS generated", f"CASE WHEN {older} THEN '2026-01-01T00:00:00Z' ELSE '2024-12-01T00:00:00Z' END AS generated")
+    sql["tolerant_tiles"] = published + " WHERE a.tile NOT LIKE 'N045%'"
+    sql["missing_tiles_written"] = published.replace("'2025.1' AS version", "CASE WHEN a.tile LIKE 'N045%' THEN '2025.1' ELSE '2024.7' END AS version")
     for same, of in SAME_ROWS.items():
         sql[same] = sql[of]
     return sql

@@ -31,9 +31,9 @@ from noctule.operators.raster import bortle_histogram as histogram
 from noctule.operators.raster import debug_raster as debug_export
 from noctule.operators.raster import mesh_minima as mesh
 from noctule.operators.raster import score_pixels
-from noctule.operators.release import current_version, spot_diff, tile_changes
+from noctule.operators.release import current_version, spot_diff, tile_changes, with_digest
 from noctule.operators.release import new_version as next_version
-from noctule.operators.search import spots_around, tiles_around
+from noctule.operators.search import spots_around, stored_spots_around, tiles_around, write_spots
 from noctule.operators.thinning import redundancy_edges as edges
 from noctule.operators.thinning import redundancy_filter as thin
 from noctule.operators.tiles import (
@@ -49,10 +49,13 @@ from noctule.operators.validation import validate_bortle as validate
 from noctule.operators.validation import validation_summary as summarize
 from noctule.plans.annual import SiteParams, build_release, select_sites
 from noctule.runtime import materialize, scratch_dir
-from noctule.sinks.tile_json import publish_tiles, write_tiles
-from noctule.sources.places import bbox_filter, parse_places
+from noctule.sinks.tables import append_results, write_debug_raster
+from noctule.sinks.tile_json import publish_changes, publish_tiles, write_missing_tiles, write_tiles
+from noctule.sources.control_points import read_control_points
+from noctule.sources.places import bbox_filter, load_places, parse_places
 from noctule.sources.rasters import read_segments, write_segments
-from noctule.sources.snapshots import read_snapshot
+from noctule.sources.regions import load_regions, regions_frame
+from noctule.sources.snapshots import read_digests, read_snapshot, read_tiles
 
 GENERATED = "2026-01-01T00:00:00Z"
 # test parameters that exercise every branch on the given tables
@@ -258,6 +261,70 @@ def empty_tiles_query(spark, d):
     return empty_tiles(occupied, enumerate_tiles(boxes))
 
 
+def _folder(spark, name: str) -> str:
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def places_scan(spark, d):
+    """Places of the box from gazetteer text files, numbered by their line; every 17th has no name."""
+    folder = _folder(spark, "gazetteer")
+    t.nameless_lines(spark, d).orderBy("place_ord").select("value").write.text(folder)
+    return load_places(spark, t.BOX, folder).select("place_ord", "name", r6("lat"), r6("lon"), "population")
+
+
+def regions_scan(spark, d):
+    """A settings file with one region per nation, read as a region table."""
+    folder = _folder(spark, "regions")
+    settings = F.struct(
+        F.concat(F.lit("Nation "), F.col("nation").cast("string")).alias("name"), F.array("lon_min", "lat_min", "lon_max", "lat_max").alias("bbox"),
+        F.lit(3035).alias("equal_area_epsg"), (F.col("nation") % 10).alias("admin_level"), F.lit("FR").alias("osm_country_code"),
+    )
+    nations = F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("n"), F.col("nation").cast("string")), settings)))
+    t.place_boxes(spark, d).agg(F.to_json(nations).alias("value")).write.text(folder)
+    found = regions_frame(spark, load_regions(spark, folder))
+    box = [F.round(F.col("bbox")[i], 6).alias(c) for i, c in enumerate(("lon_min", "lat_min", "lon_max", "lat_max"))]
+    return found.select("region", "name", *box, "equal_area_epsg", "admin_level", "osm_country_code")
+
+
+def control_points_scan(spark, d):
+    """Control points from JSON documents of up to 100 points each."""
+    folder = _folder(spark, "control")
+    points = t.control_points(spark, d).select((F.col("point") / 100).cast("int").alias("doc"), F.struct("lat", "lon", "expected_bortle").alias("p"))
+    docs = points.groupBy("doc").agg(F.to_json(F.collect_list("p")).alias("value"))
+    docs.write.partitionBy("doc").text(folder)
+    return read_control_points(spark, folder).select(r6("lat"), r6("lon"), "expected_bortle", "name")
+
+
+def nearest_place_kept(spark, d):
+    """Nearest places where every third site has a name already and every fourth has no coordinates."""
+    k = F.col("cand_ord")
+    sites = materialize(candidates(spark, d, MESH_FINE), "mesh").withColumns(
+        {
+            "near": F.when(k % 3 == 0, F.when(k % 2 == 0, F.lit("")).otherwise(F.lit("known"))),
+            "lat": F.when(k % 4 != 0, F.col("lat")),
+        }
+    )
+    return attach_nearest_place(sites, t.places(spark, d)).select("cand_ord", "near")
+
+
+def debug_raster_stored(spark, d):
+    """The debug raster written to its folder of region and year and read back."""
+    folder = _folder(spark, "debug")
+    write_debug_raster(scored(spark, d), folder, "france", 2025)
+    out = spark.read.parquet(folder).filter("region = 'france' AND year = 2025")
+    return out.select("row", "col", F.when(~F.isnan("darkness"), F.round(F.col("darkness").cast("double"), 4)).alias("darkness"), "bortle")
+
+
+def validation_results(spark, d):
+    """Results of two validation runs, the first of them stored twice."""
+    folder = _folder(spark, "results")
+    results = materialize(_validated(spark, d), "validated")
+    append_results(results.filter("expected_bortle > 4"), folder, "a")
+    append_results(results, folder, "b")
+    append_results(results, folder, "a")
+    return spark.read.parquet(folder).select("run_id", r6("lat"), r6("lon"), "expected_bortle", "got_bortle", "match")
+
+
 def _mesh_envelopes(spark, d):
     sites = enrich(candidates(spark, d, MESH_COARSE).withColumn("added_by", F.lit(-1).cast("bigint")))
     lon_min, lat_min, lon_max, lat_max = t.BOX.bbox
@@ -300,6 +367,37 @@ def publish_replaced(spark, d):
     return _flat(read_snapshot(spark, folder))
 
 
+def publish_changed(spark, d):
+    """The same envelopes published as changes to a set that lacks some tiles, has others, and has some without sites."""
+    folder = _folder(spark, "published")
+    tiles = materialize(_mesh_envelopes(spark, d), "envelopes")
+    row = F.substring("tile", 1, 4)
+    none = F.array().cast(ENVELOPE["spots"].dataType)
+    older = tiles.filter(row != "N045").withColumn("spots", F.when(row == "N044", none).otherwise(F.col("spots")))
+    gone = tiles.filter(row == "N045").withColumn("tile", F.concat(F.lit("S"), F.substring("tile", 2, 7)))
+    publish_changes(older.unionByName(gone).withColumns({"version": F.lit("2024.7"), "generated": F.lit("2024-12-01T00:00:00Z")}), folder)
+    publish_changes(tiles, folder)
+    return _flat(read_snapshot(spark, folder))
+
+
+def tolerant_tiles(spark, d):
+    """Documents of which those of a tile row name no tile: they are left out."""
+    folder = _folder(spark, "documents")
+    tiles = materialize(_mesh_envelopes(spark, d), "envelopes")
+    nameless = tiles.filter(F.col("tile").startswith("N045")).withColumn("tile", F.lit(None).cast("string")).limit(1)
+    write_tiles(tiles.filter(~F.col("tile").startswith("N045")).unionByName(nameless), folder)
+    return _flat(read_tiles(spark, folder))
+
+
+def missing_tiles_written(spark, d):
+    """Documents of an older set and, of a newer one, those of tiles that it lacks."""
+    folder = _folder(spark, "documents")
+    tiles = materialize(_mesh_envelopes(spark, d), "envelopes")
+    write_tiles(tiles.filter(~F.col("tile").startswith("N045")).withColumn("version", F.lit("2024.7")), folder)
+    write_missing_tiles(tiles, folder)
+    return _flat(read_snapshot(spark, folder))
+
+
 def spot_diff_query(spark, d):
     return spot_diff(t.old_spots(spark, d), t.new_spots(spark, d))
 
@@ -312,6 +410,26 @@ def new_version(spark, d):
     return next_version(t.snapshot(spark, d, False), t.snapshot(spark, d, True), 2025)
 
 
+def tile_changes_digests(spark, d):
+    """The changes from digests of the tiles."""
+    return tile_changes(with_digest(t.snapshot(spark, d, False)), with_digest(t.snapshot(spark, d, True)), by="digest")
+
+
+def new_version_digests(spark, d):
+    """The version from digests, those of the old tiles kept since their publication."""
+    folder = _folder(spark, "published")
+    spot = lambda s: F.struct(
+        F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon"), s["darkness"].alias("darkness"), F.lit(1).alias("bortle"),
+        F.lit("").alias("near"), s["id"].alias("id"), F.lit(None).cast("double").alias("altitude"),
+    )
+    old, new = [
+        t.snapshot(spark, d, newer).select("version", F.lit("s").alias("source"), F.lit(GENERATED).alias("generated"), "tile", F.transform("spots", spot).alias("spots"))
+        for newer in (False, True)
+    ]
+    publish_changes(old, folder)
+    return next_version(read_digests(spark, folder), with_digest(new), 2025, by="digest")
+
+
 def new_version_as_text(spark, d):
     return next_version(t.snapshot(spark, d, False), t.snapshot(spark, d, True), 2025, lexicographic=True)
 
@@ -410,6 +528,15 @@ def spots_in_radius(spark, d):
     )
 
 
+def spots_in_radius_stored(spark, d):
+    """The same search over stored sites, of which only the partitions in reach are opened."""
+    folder = _folder(spark, "spots")
+    sites = candidates(spark, d, MESH_COARSE).select(spot_id(F.col("lat"), F.col("lon")).alias("id"), "lat", "lon", F.col("darkness").alias("score"))
+    write_spots(sites, folder)
+    found = stored_spots_around(spark, t.control_points(spark, d), folder, "point")
+    return found.select(F.col("q_point").alias("point"), F.col("rnk").cast("int").alias("rnk"), F.col("p_id").alias("id"), r6("km"))
+
+
 def tile_neighbours(spark, d):
     return tiles_around(t.places(spark, d)).select("place_ord", "tile", "own")
 
@@ -437,6 +564,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "darkness_bortle": darkness_bortle,
     "bortle_histogram": bortle_histogram,
     "debug_raster": debug_raster,
+    "debug_raster_stored": debug_raster_stored,
     "mesh_minima": mesh_minima,
     "mesh_darkest": mesh_darkest,
     "redundancy_edges": redundancy_edges,
@@ -449,8 +577,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "haversine_to_centre": haversine_to_centre,
     "places_in_bbox": places_in_bbox,
     "geonames_parse": geonames_parse,
+    "places_scan": places_scan,
+    "regions_scan": regions_scan,
+    "control_points_scan": control_points_scan,
     "nearest_place": nearest_place,
     "nearest_place_unbounded": nearest_place_unbounded,
+    "nearest_place_kept": nearest_place_kept,
     "within_radius_counts": within_radius_counts,
     "within_radius_counts_hot": within_radius_counts_hot,
     "nearest_place_hot": nearest_place_hot,
@@ -468,9 +600,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tile_envelopes": tile_envelopes,
     "snapshot_roundtrip": snapshot_roundtrip,
     "publish_replaced": publish_replaced,
+    "publish_changed": publish_changed,
+    "tolerant_tiles": tolerant_tiles,
+    "missing_tiles_written": missing_tiles_written,
     "spot_diff": spot_diff_query,
     "tile_changes": tile_changes_query,
+    "tile_changes_digests": tile_changes_digests,
     "new_version": new_version,
+    "new_version_digests": new_version_digests,
     "new_version_as_text": new_version_as_text,
     "new_version_unchanged": new_version_unchanged,
     "current_version": current_version_query,
@@ -483,9 +620,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alr_from_rings": alr_from_rings,
     "validate_bortle": validate_bortle,
     "validation_summary": validation_summary,
+    "validation_results": validation_results,
     "annual_sites": annual_sites,
     "annual_release": annual_release,
     "spots_in_radius": spots_in_radius,
+    "spots_in_radius_stored": spots_in_radius_stored,
     "tile_neighbours": tile_neighbours,
     "night_scores": night_scores,
     "weather_freshness": weather_freshness,

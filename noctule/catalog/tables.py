@@ -153,13 +153,13 @@ def _milli_text(x: Column) -> Column:
     return F.concat(sign, F.floor(m / 1000).cast("string"), F.lit("."), F.lpad((m % 1000).cast("string"), 3, "0"))
 
 
-def gazetteer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gazetteer_lines(spark: SparkSession, sf_dir: str, name: Column | None = None) -> DataFrame:
     """Text lines of 19 columns; every 13th is cut short and every 11th has no numeric latitude."""
     k = F.col("c_custkey")
     lat, lon = _lat_lon("c_custkey")
     population = F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(F.floor("c_acctbal").cast("string"))
     head = [
-        k.cast("string"), F.col("c_name"), F.col("c_name"), F.lit(""),
+        k.cast("string"), F.col("c_name") if name is None else name, F.col("c_name"), F.lit(""),
         F.when(k % 11 == 0, F.lit("x")).otherwise(_milli_text(lat)), _milli_text(lon),
         F.lit("P"), F.lit("PPL"), F.lit("FR"), F.lit(""),
     ]
@@ -168,3 +168,8 @@ def gazetteer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").select(
         F.when(k % 13 == 0, short).otherwise(full).alias("value"), k.alias("place_ord")
     )
+
+
+def nameless_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines, every 17th without a name."""
+    return gazetteer_lines(spark, sf_dir, F.when(F.col("c_custkey") % 17 == 0, F.lit("")).otherwise(F.col("c_name")))

@@ -20,10 +20,19 @@ def current_version(snapshot: DataFrame, year: int, lexicographic: bool = False)
     return snapshot.agg(F.coalesce(latest, F.lit(f"{year}.1")).alias("version"))
 
 
-def tile_changes(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(tile, change): added, removed, modified or same. Only ``spots`` count, in their order."""
-    o = old.select("tile", F.col("spots").alias("old_spots"), F.lit(True).alias("in_old"))
-    n = new.select("tile", F.col("spots").alias("new_spots"), F.lit(True).alias("in_new"))
+def with_digest(tiles: DataFrame) -> DataFrame:
+    """Tiles with ``digest`` of their spots: equal for equal spots in the same order, whatever else the tile says.
+
+    A missing attribute is written out, so it differs from any value; 0.0 and -0.0 differ.
+    """
+    text = F.to_json(F.struct("spots"), {"ignoreNullFields": "false"})
+    return tiles.withColumn("digest", F.sha2(text, 256))
+
+
+def tile_changes(old: DataFrame, new: DataFrame, by: str = "spots") -> DataFrame:
+    """(tile, change): added, removed, modified or same. Only ``by`` counts: ``spots`` in their order, or ``digest``."""
+    o = old.select("tile", F.col(by).alias("old_spots"), F.lit(True).alias("in_old"))
+    n = new.select("tile", F.col(by).alias("new_spots"), F.lit(True).alias("in_new"))
     change = (
         F.when(F.col("in_old").isNull(), "added")
         .when(F.col("in_new").isNull(), "removed")
@@ -37,15 +46,16 @@ def _no_version(what: Column) -> Column:
     return F.raise_error(F.concat(F.lit("the published tiles have no valid version: "), F.coalesce(what, F.lit("none")))).cast("string")
 
 
-def new_version(old: DataFrame, new: DataFrame, year: int, lexicographic: bool = False) -> DataFrame:
+def new_version(old: DataFrame, new: DataFrame, year: int, lexicographic: bool = False, by: str = "spots") -> DataFrame:
     """One row (version, changed) of the release that replaces ``old`` by ``new``.
 
     No old release: ``year.1``. Nothing changed: the old version, also in a new year. Otherwise ``year.1`` in a
     new year, else the next minor number. One join on the tile answers all of it. An old release whose newest
     version cannot be read fails the query: publishing over it would restart the numbering unseen.
+    With ``by="digest"`` the join carries one digest per tile instead of its spots.
     """
-    o = old.select("tile", F.col("spots").alias("old_spots"), F.col("version").alias("old_version"), F.lit(1).alias("in_old"))
-    n = new.select("tile", F.col("spots").alias("new_spots"), F.lit(1).alias("in_new"))
+    o = old.select("tile", F.col(by).alias("old_spots"), F.col("version").alias("old_version"), F.lit(1).alias("in_old"))
+    n = new.select("tile", F.col(by).alias("new_spots"), F.lit(1).alias("in_new"))
     differs = F.col("in_old").isNull() | F.col("in_new").isNull() | ~F.col("old_spots").eqNullSafe(F.col("new_spots"))
     facts = o.join(n, "tile", "full_outer").agg(
         F.count("in_old").alias("n_old"),

@@ -20,7 +20,7 @@ from noctule.model import ENVELOPE, Grid, Region
 from noctule.operators.alr import SEGMENT_PX, AlrParams, compute_alr
 from noctule.operators.coverage import attach_nearest_place, ensure_coverage
 from noctule.operators.raster import mesh_minima, score_pixels
-from noctule.operators.release import new_version
+from noctule.operators.release import new_version, with_digest
 from noctule.operators.thinning import redundancy_filter
 from noctule.operators.tiles import enrich, enumerate_tiles, envelopes, tile_arrays, with_empty_tiles
 from noctule.runtime import materialize, ship_package
@@ -72,13 +72,19 @@ def build_release(
     lexicographic: bool = False,
     counts: dict[str, int] | None = None,
 ) -> Release:
-    """Envelopes of all occupied tiles and all empty tiles of the region's box, stamped with their version."""
+    """Envelopes of all occupied tiles and all empty tiles of the region's box, stamped with their version.
+
+    ``published`` holds the old tiles with their ``spots``, or with a ``digest`` of these.
+    """
     spark = sites.sparkSession
     box = spark.createDataFrame([region.bbox], "lon_min double, lat_min double, lon_max double, lat_max double")
     occupied = materialize(tile_arrays(sites), "occupied_tiles", counts)
     arrays = materialize(with_empty_tiles(occupied, enumerate_tiles(box)), "tiles", counts)
     old = published if published is not None else spark.createDataFrame([], ENVELOPE)
-    decided = new_version(old, arrays, year, lexicographic).first()
+    if "digest" in old.columns:
+        decided = new_version(old, with_digest(arrays), year, lexicographic, by="digest").first()
+    else:
+        decided = new_version(old, arrays, year, lexicographic).first()
     source = f"VIIRS/{year}/{region.name}"
     return Release(decided.version, decided.changed, envelopes(arrays, decided.version, source, generated), counts or {})
 
@@ -89,11 +95,11 @@ def utc_now() -> str:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> Release:
     from noctule.sinks.tables import write_debug_raster
-    from noctule.sinks.tile_json import publish_tiles, write_tiles
+    from noctule.sinks.tile_json import publish_changes, publish_tiles, write_tiles
     from noctule.sources.places import load_places
     from noctule.sources.rasters import read_pixels, read_segments
     from noctule.sources.regions import get_region, load_regions
-    from noctule.sources.snapshots import read_snapshot
+    from noctule.sources.snapshots import read_digests, read_snapshot
 
     ship_package(spark)
     region = get_region(load_regions(spark, args.regions), args.region)
@@ -109,11 +115,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Release:
     counts: dict[str, int] = {}
     places = materialize(load_places(spark, region, args.places), "places", counts)
     sites = select_sites(scored, places, grid, SiteParams(mesh_km=args.mesh_km), counts)
-    published = read_snapshot(spark, args.published) if args.published else None
+    read_old = read_digests if args.incremental else read_snapshot
+    published = read_old(spark, args.published) if args.published else None
     release = build_release(sites, region, args.year, published, utc_now(), args.text_versions, counts)
     write_tiles(release.envelopes, f"{args.out}/spots")
     if args.published and not args.no_publish:
-        (publish_tiles if args.atomic else write_tiles)(release.envelopes, args.published)
+        publish = publish_changes if args.incremental else publish_tiles if args.atomic else write_tiles
+        publish(release.envelopes, args.published)
     return release
 
 
@@ -144,6 +152,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--published", help="published set to compare with and to replace")
     p.add_argument("--no-publish", action="store_true", help="compare with the published set but leave it as it is")
     p.add_argument("--atomic", action="store_true", help="publish as a release folder and a pointer to it, switched in one rename")
+    p.add_argument("--incremental", action="store_true", help="like --atomic, but compare digests and write changed tiles only")
     p.add_argument("--debug-raster", action="store_true")
     p.add_argument("--mesh-km", type=float, default=K.MESH_KM)
     p.add_argument("--max-km", type=float, default=K.ALR_MAX_KM)

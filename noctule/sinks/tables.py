@@ -12,8 +12,12 @@ def write_debug_raster(scored: DataFrame, path: str, region: str, year: int) ->
 
 
 def append_results(results: DataFrame, path: str, run_id: str) -> None:
-    """Add validation results under their run, in a table apart from the control points."""
-    results.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
+    """Add validation results under their run, in a table apart from the control points.
+
+    The same run again replaces its rows, so a job that is repeated does not double them.
+    """
+    out = results.withColumn("run_id", F.lit(run_id))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
 
 
 def publish_table(envelopes: DataFrame, path: str, region: str) -> None:

@@ -7,7 +7,7 @@ side by side. The target is resolved by the session's Hadoop file system, as Spa
 With option ``unread``, for a folder that nobody reads yet, tasks move their own documents and the commit moves none.
 
 ``publish_tiles`` replaces a published set at once: the documents go to a release folder that nobody reads, then
-the pointer to the current release is switched in one rename.
+the pointer to the current release is switched in one rename. ``publish_changes`` does so too and writes changed tiles only.
 """
 
 from __future__ import annotations
@@ -18,11 +18,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from noctule.sources.releases import new_release, remove_superseded, switch_release
+from noctule.operators.release import with_digest
+from noctule.runtime import materialize
+from noctule.sources.releases import INDEX, INDEX_SCHEMA, new_release, read_index, remove_superseded, switch_release
 
 KEYS = ("version", "source", "generated", "tile", "spots")
 
@@ -142,6 +144,41 @@ def publish_tiles(envelopes: DataFrame, path: str) -> None:
     remove_superseded(spark, path)
 
 
+def publish_changes(envelopes: DataFrame, path: str) -> dict[str, int]:
+    """Replace the set published at ``path`` like ``publish_tiles``, but write the documents of changed tiles only.
+
+    An unchanged tile keeps its document as it is, with the version and the time stamp it was published with. Tiles
+    are compared by the digests in the index of the old release; where it has none (the first time) all are written.
+    Equal sets leave the published one untouched. Returns the numbers of tiles ``written``, ``kept`` and ``removed``.
+    """
+    spark = envelopes.sparkSession
+    index = read_index(spark, path)
+    first = index is None
+    old = spark.createDataFrame([], INDEX_SCHEMA) if first else index
+    old = old.select("tile", F.col("digest").alias("old_digest"), F.col("version").alias("old_version"), F.col("file").alias("old_file"))
+    new = with_digest(envelopes).select("tile", "digest", "version", F.lit(True).alias("in_new"))
+    state = F.when(F.col("in_new").isNull(), "removed").when(F.col("digest").eqNullSafe(F.col("old_digest")), "kept").otherwise("written")
+    compared = materialize(new.join(old, "tile", "full_outer").withColumn("state", state), "compared")
+    counts = {"written": 0, "kept": 0, "removed": 0} | {r.state: r["count"] for r in compared.groupBy("state").count().collect()}
+    if not first and not counts["written"] and not counts["removed"]:
+        return counts
+    release = new_release(path)
+    changed = compared.filter("state = 'written'").select("tile")
+    write_tiles(envelopes.join(changed, "tile"), release, unread=True)
+    kept = F.col("state") == "kept"
+    rows = compared.filter("state <> 'removed'").select(
+        "tile",
+        "digest",
+        F.when(kept, F.col("old_version")).otherwise(F.col("version")).alias("version"),
+        F.when(kept, F.col("old_file")).otherwise(F.concat(F.lit(release.rsplit("/", 1)[1] + "/"), "tile", F.lit(".json"))).alias("file"),
+        F.col("version").alias("release_version"),
+    )
+    rows.write.parquet(f"{release}/{INDEX}")
+    switch_release(spark, path, release)
+    remove_superseded(spark, path)
+    return counts
+
+
 def write_missing_tiles(envelopes: DataFrame, path: str) -> None:
     """Write only tiles that have no document yet."""
     from noctule.sources.snapshots import read_tiles

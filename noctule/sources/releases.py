@@ -3,16 +3,22 @@
 Releases are never changed once they are named. The pointer ``_current`` is replaced by one rename, so a reader sees
 the whole old release or the whole new one, whenever a job that publishes dies. A folder without a pointer is
 itself the release.
+
+A release written by :func:`noctule.sinks.tile_json.publish_changes` holds the documents of changed tiles only, and an
+index ``_index`` with one row per tile of the whole set: its digest, its version and the document, which may lie in
+an earlier release folder.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CURRENT = "_current"
 PREFIX = "release-"
+INDEX = "_index"
+INDEX_SCHEMA = "tile string, digest string, version string, file string, release_version string"
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -38,6 +44,18 @@ def current_release(spark: SparkSession, path: str) -> str:
     return f"{path.rstrip('/')}/{name}"
 
 
+def read_index(spark: SparkSession, path: str) -> DataFrame | None:
+    """Index of the release published at ``path``, None if it holds all its documents itself."""
+    folder = f"{current_release(spark, path).rstrip('/')}/{INDEX}"
+    target, fs = _hadoop(spark, folder)
+    return spark.read.schema(INDEX_SCHEMA).parquet(folder) if fs.exists(target) else None
+
+
+def index_folders(index: DataFrame) -> list[str]:
+    """Names of the release folders that an index has documents in."""
+    return [row.folder for row in index.select(F.split("file", "/")[0].alias("folder")).distinct().collect()]
+
+
 def switch_release(spark: SparkSession, path: str, release: str) -> None:
     """Make ``release``, a folder of :func:`new_release`, the published one."""
     root = path.rstrip("/")
@@ -56,11 +74,17 @@ def switch_release(spark: SparkSession, path: str, release: str) -> None:
 
 
 def remove_superseded(spark: SparkSession, path: str) -> None:
-    """Delete what is not the current release: earlier ones, those left by jobs that died, and loose documents."""
-    current = current_release(spark, path).rsplit("/", 1)[1]
+    """Delete what the current release does not need: earlier ones, those left by jobs that died, and loose documents.
+
+    An earlier release folder stays whole as long as the index names one of its documents.
+    """
+    needed = {current_release(spark, path).rsplit("/", 1)[1]}
+    index = read_index(spark, path)
+    if index is not None:
+        needed |= set(index_folders(index))
     root, fs = _hadoop(spark, path)
     for status in fs.listStatus(root):
         name = status.getPath().getName()
-        old = status.isDirectory() and name.startswith(PREFIX) and name != current
+        old = status.isDirectory() and name.startswith(PREFIX) and name not in needed
         if old or name.endswith(".json") or name.startswith(f"{CURRENT}."):
             fs.delete(status.getPath(), True)

@@ -49,6 +49,11 @@ def test_release_from_raster_to_published_documents(spark, tmp_path):
     again = annual.run(spark, arguments(tmp_path, "--atomic", *stored))
     assert (again.version, again.changed) == ("2025.1", False)
     assert not list((tmp_path / "published").glob("*.json")) and len(list((tmp_path / "published").glob("release-*/*.json"))) == len(docs)
+    # by digests: the first such release writes all documents, an unchanged one none
+    for _ in range(2):
+        same = annual.run(spark, arguments(tmp_path, "--incremental", *stored))
+        assert (same.version, same.changed) == ("2025.1", False)
+    assert len(list((tmp_path / "published").glob("release-*/*.json"))) == len(docs) and len(list((tmp_path / "published").glob("release-*"))) == 1
 
 
 def test_site_selection_equals_the_sequential_steps(spark):

@@ -5,14 +5,15 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from noctule.model import ENVELOPE, Region
+from noctule.operators.release import new_version, with_digest
 from noctule.sinks.tables import append_results, publish_table, write_debug_raster
 from noctule.sinks import tile_json
-from noctule.sinks.tile_json import publish_tiles, write_missing_tiles, write_tiles
+from noctule.sinks.tile_json import publish_changes, publish_tiles, write_missing_tiles, write_tiles
 from noctule.sources.control_points import read_control_points
 from noctule.sources.places import bbox_filter, load_places, parse_places, read_lines
 from noctule.sources.rasters import read_pixels, write_pixels
 from noctule.sources.regions import get_region, load_regions, parse_regions, regions_frame
-from noctule.sources.snapshots import read_snapshot, read_tiles
+from noctule.sources.snapshots import read_digests, read_snapshot, read_tiles
 
 FRANCE = Region("france", "France", (-5.0, 41.0, 10.0, 51.0), 3035, 8, "FR")
 
@@ -227,3 +228,79 @@ def test_a_document_that_cannot_be_written_leaves_the_old_release(spark, tmp_pat
     with pytest.raises(Exception):
         publish_tiles(_tiles(spark, "2025.2", "N001E001", "no/such/folder"), path)
     assert _published(spark, path) == [("N001E001", "2025.1")]
+
+
+def _with_sites(spark, version, generated, **sites):
+    from noctule.model import ENVELOPE
+
+    spot = lambda i: (42.5, 1.5, 0.5, 3, "", i, None)
+    return spark.createDataFrame([(version, "s", generated, tile, [spot(i) for i in ids]) for tile, ids in sites.items()], ENVELOPE)
+
+
+def _stamps(spark, path):
+    return {r.tile: (r.version, r.generated, [s.id for s in r.spots]) for r in read_snapshot(spark, path).collect()}
+
+
+def test_unchanged_documents_are_not_written_again(spark, tmp_path):
+    path = str(tmp_path / "published")
+    first = _with_sites(spark, "2025.1", "g1", N001E001=["a", "b"], N002E001=["c"], N003E001=[])
+    assert publish_changes(first, path) == {"written": 3, "kept": 0, "removed": 0}
+    documents = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "published").glob("release-*/*.json")}
+    second = _with_sites(spark, "2025.2", "g2", N001E001=["b", "a"], N002E001=["c"], N004E001=["d"])
+    assert publish_changes(second, path) == {"written": 2, "kept": 1, "removed": 1}
+    assert _stamps(spark, path) == {"N001E001": ("2025.2", "g2", ["b", "a"]), "N002E001": ("2025.1", "g1", ["c"]), "N004E001": ("2025.2", "g2", ["d"])}
+    kept = [f for f in (tmp_path / "published").glob("release-*/N002E001.json")]
+    assert len(kept) == 1 and kept[0].stat().st_mtime_ns == documents["N002E001.json"]
+    # the same set once more changes nothing, and its version is that of the release, not of a tile
+    before = (tmp_path / "published" / "_current").read_text()
+    assert publish_changes(_with_sites(spark, "2025.9", "g9", N001E001=["b", "a"], N002E001=["c"], N004E001=["d"]), path)["kept"] == 3
+    assert (tmp_path / "published" / "_current").read_text() == before
+    assert {(r.tile, r.version) for r in read_digests(spark, path).collect()} == {(t, "2025.2") for t in ("N001E001", "N002E001", "N004E001")}
+
+
+def test_a_release_of_removed_tiles_only_has_its_version(spark, tmp_path):
+    path = str(tmp_path / "published")
+    publish_changes(_with_sites(spark, "2025.1", "g1", N001E001=["a"], N002E001=["c"]), path)
+    publish_changes(_with_sites(spark, "2025.2", "g2", N002E001=["c"]), path)
+    assert _stamps(spark, path) == {"N002E001": ("2025.1", "g1", ["c"])}
+    new = with_digest(_with_sites(spark, "x", "g3", N002E001=["d"]))
+    assert tuple(new_version(read_digests(spark, path), new, 2025, by="digest").first()) == ("2025.3", True)
+
+
+def test_an_incremental_publish_that_dies_leaves_the_old_release(spark, tmp_path, monkeypatch):
+    import noctule.sinks.tile_json as sink
+
+    path = str(tmp_path / "published")
+    publish_changes(_with_sites(spark, "2025.1", "g1", N001E001=["a"], N002E001=["c"]), path)
+    old = _stamps(spark, path)
+
+    def dies(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(sink, "switch_release", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            publish_changes(_with_sites(spark, "2025.2", "g2", N001E001=["z"]), path)
+    assert _stamps(spark, path) == old
+    publish_changes(_with_sites(spark, "2025.2", "g2", N001E001=["z"], N002E001=["c"]), path)
+    assert _stamps(spark, path) == {"N001E001": ("2025.2", "g2", ["z"]), "N002E001": ("2025.1", "g1", ["c"])}
+    # a document that the index names must be there
+    next((tmp_path / "published").glob("release-*/N002E001.json")).unlink()
+    with pytest.raises(ValueError, match="named by the index"):
+        read_snapshot(spark, path)
+
+
+def test_a_flat_set_becomes_an_incremental_one(spark, tmp_path):
+    path = str(tmp_path / "published")
+    write_tiles(_with_sites(spark, "2025.1", "g1", N001E001=["a"], N002E001=[]), path)
+    new = _with_sites(spark, "2025.2", "g2", N001E001=["a"], N002E001=["c"])
+    assert {r.tile: r.version for r in read_digests(spark, path).collect()} == {"N001E001": "2025.1", "N002E001": "2025.1"}
+    assert publish_changes(new, path)["written"] == 2
+    assert set(_stamps(spark, path)) == {"N001E001", "N002E001"} and not list((tmp_path / "published").glob("*.json"))
+
+
+def test_the_same_run_replaces_its_results(spark, tmp_path):
+    path = str(tmp_path / "results")
+    for run, n in (("a", 2), ("b", 3), ("a", 1)):
+        append_results(spark.range(n).withColumnRenamed("id", "v"), path, run)
+    assert {r.run_id: r["count"] for r in spark.read.parquet(path).groupBy("run_id").count().collect()} == {"a": 1, "b": 3}
