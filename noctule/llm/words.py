@@ -8,7 +8,6 @@ result, two independent ones are taken together (128 bits).
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -78,15 +77,6 @@ def texts_of(column: pa.Array) -> Texts:
     return Texts(raw[starts[0] : starts[-1]], starts - starts[0])
 
 
-def give_back() -> None:
-    """Return freed memory to the machine: workers live on between tasks, and Arrow and the C library keep what they had."""
-    pa.default_memory_pool().release_unused()
-    # glibc alone has it
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
 def blocks(batch: pa.RecordBatch, text: str, limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
     """Slices of a batch with at most ``limit`` bytes of text each, one row at least."""
     if not batch.num_rows:
@@ -99,7 +89,6 @@ def blocks(batch: pa.RecordBatch, text: str, limit: int = BLOCK_BYTES) -> Iterat
         part = batch.slice(at, to - at)
         yield part, texts_of(part.column(text))
         at = to
-    give_back()
 
 
 def split_words(texts: Texts, inside: np.ndarray) -> Words:
