@@ -7,6 +7,10 @@ is a newline before a word, so a chunk's ids are those of its newline, its stem
 different part is encoded by the library once and kept; a full table becomes the old one, from which
 what is still in use is taken over, and the one before it goes. A text that holds the name of an added token
 goes through the library whole, unless such names are taken as ordinary text (``plain_names``).
+
+Most chunks are a single space or newline and a word, so texts are split there and the table has a chunk under its word,
+if a space leads, and under itself, if a newline does; other chunks stand there behind a space. Texts with any other
+white space or more of it in a row are cut into chunks by a pattern.
 """
 
 from __future__ import annotations
@@ -17,15 +21,41 @@ from functools import lru_cache
 
 import numpy as np
 
-# Chunks kept per table; two tables at most.
-MAX_KEPT = 800_000
+# Chunks kept per table; two tables at most. Workers keep them between tasks, about 200 bytes each.
+MAX_KEPT = 300_000
 # Texts handled together, so that unknown chunks reach the library in batches.
 GROUP = 128
 # Parts sent to the library as one text, with a newline between them.
 JOINED = 64
 MARKS = ".,;:!?*$%&#|<>-"
 
-_chunks = re.compile(r"\s*\S+|\s+").findall
+# White space as the library has it: Python's also counts \x1c to \x1f.
+_chunks = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+").findall
+_other_space = re.compile(r"[^\S \n]").search
+
+
+def _key(chunk: str) -> str:
+    if chunk[0] == "\n":
+        return chunk
+    return chunk[1:] if chunk[0] == " " and len(chunk) > 1 and not chunk[1].isspace() else " " + chunk
+
+
+def _chunk(key: str) -> str:
+    return key if key[0] == "\n" else key[1:] if key[0] == " " else " " + key
+
+
+def cut_keys(text: str) -> list[str]:
+    """Keys of the text's chunks."""
+    if not text:
+        return []
+    if "  " in text or " \n" in text or "\n\n\n" in text or text[-1] == " " or _other_space(text):
+        return list(map(_key, _chunks(text)))
+    # a space before each newline or pair of them, so that one split makes all cuts
+    keys = text.replace("\n", " \n").replace("\n \n", "\n\n").split(" ") if "\n" in text else text.split(" ")
+    if keys[0]:
+        keys[0] = " " + keys[0]
+        return keys
+    return keys[1:]
 
 
 class Encoder:
@@ -52,7 +82,7 @@ class Encoder:
         kept = self.kept
         for at in range(0, len(parts), JOINED):
             some = parts[at : at + JOINED]
-            ids = self._ids("\n".join(some))
+            ids = self._ids("\n".join(map(_chunk, some)))
             cuts = np.flatnonzero(ids == self.newline[0]) * 4
             raw, first = ids.tobytes(), 0
             for part, cut in zip(some, [*cuts.tolist(), len(raw)], strict=True):
@@ -60,26 +90,34 @@ class Encoder:
                 first = cut + 4
 
     def _learn(self, unknown: set[str]) -> None:
+        """Ids of unknown single chunks, by their keys."""
         kept, old, newline = self.kept, self.old, self.newline.tobytes()
         asked, joined = set(), []
-        for chunk in unknown:
-            if chunk in old:
-                kept[chunk] = old[chunk]
+        for key in unknown:
+            if key in old:
+                kept[key] = old[key]
                 continue
-            body = chunk[1:] if chunk[0] == "\n" else chunk
+            lead = key[0] == "\n"
+            body = " " + key[1:] if lead else key
             stem = body.rstrip(MARKS)
             # white space stands only at the front of a chunk
-            if stem and stem[-1].isalnum() and not (stem[1:2].isspace() if stem[0] == " " else stem[0].isspace()):
-                joined.append((chunk, body is not chunk, stem, body[len(stem) :]))
+            if stem and stem[-1].isalnum() and not (stem[0] == " " and stem[1].isspace()):
+                if body is stem and not lead:
+                    asked.add(key)
+                    continue
+                joined.append((key, lead, stem, " " + body[len(stem) :]))
                 if stem not in kept:
-                    asked.add(stem)
+                    if stem in old:
+                        kept[stem] = old[stem]
+                    else:
+                        asked.add(stem)
             else:
-                kept[chunk] = self._ids(chunk).tobytes()
+                kept[key] = self._ids(_chunk(key)).tobytes()
         self._ask(list(asked))
-        for chunk, lead, stem, marks in joined:
-            if marks and marks not in kept:
-                kept[marks] = self._ids(marks).tobytes()
-            kept[chunk] = (newline if lead else b"") + kept[stem] + (kept[marks] if marks else b"")
+        for key, lead, stem, marks in joined:
+            if len(marks) > 1 and marks not in kept:
+                kept[marks] = self._ids(marks[1:]).tobytes()
+            kept[key] = (newline if lead else b"") + kept[stem] + (kept[marks] if len(marks) > 1 else b"")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -88,13 +126,14 @@ class Encoder:
                 self.old, self.kept = self.kept, {}
             some = texts[at : at + GROUP]
             whole = {k for k, t in enumerate(some) if any(name in t for name in self.names)}
-            cut = [[] if k in whole else _chunks(t) for k, t in enumerate(some)]
+            cut = [[] if k in whole else cut_keys(t) for k, t in enumerate(some)]
             get = self.kept.get
-            got = [list(map(get, c)) for c in cut]
-            missing = [k for k, ids in enumerate(got) if None in ids]
-            self._learn({chunk for k in missing for chunk, ids in zip(cut[k], got[k], strict=True) if ids is None})
-            for k in missing:
-                got[k] = map(get, cut[k])
+            got = [list(map(get, keys)) for keys in cut]
+            missing = {k: [i for i, ids in enumerate(row) if ids is None] for k, row in enumerate(got) if None in row}
+            self._learn({cut[k][i] for k, places in missing.items() for i in places})
+            for k, places in missing.items():
+                for i in places:
+                    got[k][i] = self.kept[cut[k][i]]
             for k in whole:
                 got[k] = [self._ids(some[k]).tobytes()]
             out += map(b"".join, got)

@@ -27,6 +27,15 @@ def test_any_mixture_of_space_marks_and_letters(monkeypatch):
     assert bpe.Encoder(bpe.default_path(), plain_names=True).encode(texts) == [np.array(x.ids, "<u4").tobytes() for x in whole]
 
 
+def test_words_between_single_spaces_and_newlines():
+    rng = random.Random(3)
+    words = ["a", "Word", "é,", "...", "it's", "123", "$$$", "中文", "x_y", "_", "-", "'s", "½!", "<|endoftext|"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", " ", "\n", "\n\n", "\n "]) for _ in range(rng.randint(1, 20)))[: -rng.randint(1, 2)] for _ in range(2000)]
+    texts += [before + t for before in (" ", "\n", "\n\n", "\n ") for t in texts[:200]]
+    encoder, library = bpe.Encoder(bpe.default_path()), Tokenizer.from_file(bpe.default_path())
+    assert encoder.encode(texts) == [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_files_and_pieces_hold_the_library_s_ids(spark):
     texts = {1: "a <|endoftext|> b", 2: "<|endoftext|>", 3: "plain words", 4: ""}
     library = Tokenizer.from_file(bpe.default_path())
