@@ -34,6 +34,21 @@ def scratch_dir(spark: SparkSession) -> str:
     return _LOCAL_FALLBACK[app]
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the session's file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
+def in_scratch(spark: SparkSession, path: str) -> bool:
+    """``path`` lies in the shared folder that the cluster names, with or without a scheme."""
+    try:
+        shared = scratch_dir(spark)
+    except ValueError:
+        return False
+    return ".." not in path.split("/") and qualified(spark, path).startswith(qualified(spark, shared).rstrip("/") + "/")
+
+
 # Paths written inside the open scratch scopes, the innermost last.
 _SCOPES: list[list[str]] = []
 

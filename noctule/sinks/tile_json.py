@@ -23,7 +23,7 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 from pyspark.sql.types import StructType
 
 from noctule.operators.release import with_digest
-from noctule.runtime import materialize
+from noctule.runtime import in_scratch, materialize, qualified
 from noctule.sources.releases import INDEX, INDEX_SCHEMA, new_release, read_index, remove_superseded, switch_release
 
 KEYS = ("version", "source", "generated", "tile", "spots")
@@ -39,10 +39,13 @@ COMMIT_THREADS = 32
 
 
 def shared_path(spark: SparkSession, path: str) -> str:
-    """``path`` with its scheme; outside local mode a path without scheme must not be one machine's disk."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    whole = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
-    if whole.startswith("file:") and not path.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+    """``path`` with its scheme; outside local mode a path without scheme must not be one machine's disk.
+
+    The folder in ``spark.checkpoint.dir`` is shared, so paths in it are taken however it is written.
+    """
+    whole = qualified(spark, path)
+    bare = whole.startswith("file:") and not path.startswith("file:")
+    if bare and not spark.sparkContext.master.startswith("local") and not in_scratch(spark, path):
         raise ValueError(f"{path} is a folder of each executor's own disk; name a file system that all can reach")
     return whole
 

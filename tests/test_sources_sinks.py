@@ -8,7 +8,7 @@ from noctule.model import ENVELOPE, Region
 from noctule.operators.release import new_version, with_digest
 from noctule.sinks.tables import append_results, publish_table, write_debug_raster
 from noctule.sinks import tile_json
-from noctule.sinks.tile_json import publish_changes, publish_tiles, write_missing_tiles, write_tiles
+from noctule.sinks.tile_json import publish_changes, publish_tiles, shared_path, write_missing_tiles, write_tiles
 from noctule.sources.control_points import read_control_points
 from noctule.sources.places import bbox_filter, load_places, parse_places, read_lines
 from noctule.sources.rasters import read_pixels, write_pixels
@@ -304,3 +304,23 @@ def test_the_same_run_replaces_its_results(spark, tmp_path):
     for run, n in (("a", 2), ("b", 3), ("a", 1)):
         append_results(spark.range(n).withColumnRenamed("id", "v"), path, run)
     assert {r.run_id: r["count"] for r in spark.read.parquet(path).groupBy("run_id").count().collect()} == {"a": 1, "b": 3}
+
+
+class _OnACluster:
+    """The session as a standalone cluster shows it, with the shared folder written without a scheme."""
+
+    def __init__(self, spark, shared):
+        self._jvm, self._jsc = spark._jvm, spark._jsc
+        self.sparkContext = type("Context", (), {"master": "spark://driver:7077", "getConf": lambda _: {}})()
+        self.conf = type("Conf", (), {"get": lambda _, key, default=None: shared if key == "spark.checkpoint.dir" else default})()
+
+
+def test_the_shared_folder_of_a_cluster_needs_no_scheme(spark, tmp_path):
+    cluster = _OnACluster(spark, f"{tmp_path}/shared/")
+    assert shared_path(cluster, f"{tmp_path}/shared/documents-1") == f"file:{tmp_path}/shared/documents-1"
+    assert shared_path(cluster, f"file:{tmp_path}/elsewhere") == f"file:{tmp_path}/elsewhere"
+    for own_disk in (f"{tmp_path}/elsewhere", f"{tmp_path}/shared-too/x", f"{tmp_path}/shared/../x"):
+        with pytest.raises(ValueError, match="own disk"):
+            shared_path(cluster, own_disk)
+    with pytest.raises(ValueError, match="own disk"):
+        shared_path(_OnACluster(spark, None), f"{tmp_path}/shared/documents-1")
