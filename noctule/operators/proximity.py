@@ -14,6 +14,7 @@ A cell crowded with queries is dealt into salts (``crowd_join``).
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -32,6 +33,9 @@ MAX_DEPTH = 12
 FANOUT = 4
 SLACK_KM = 1e-6
 HALF_GLOBE_KM = 20_020.0
+# Points that one of them may see in its cell, on average, before a search for the nearest starts with a smaller radius.
+DENSE_ROWS = 16
+MAX_STEPS = 4
 SUB_CELL = ("cell", "vy", "ux")
 
 
@@ -337,21 +341,48 @@ def nearest_within(
 ) -> DataFrame:
     """``key``, the nearest point's columns as ``p_*`` and ``km``, for queries with a point at most ``radius_km`` away.
 
-    Equal distances take the lowest ``ord_col``. If some cell is hot, only that point is kept of every place.
+    Equal distances take the lowest ``ord_col``, so only that point is kept of every place. Where points are dense the
+    search starts with a smaller radius, so that a query meets about as many of them however many there are.
     """
-    pts = _located(points)
-    q = _located(queries).select(key, "lat", "lon")
-    deg = cell_deg(radius_km)
-    hot = has_hot_cell(pts, deg, hot_rows)
-    if hot:
-        pts = materialize(_one_per_place(pts, ord_col), "points")
-        hot = has_hot_cell(pts, deg, hot_rows)
-    if not hot:
-        pairs = range_pairs(q, pts, radius_km)
+    pts = materialize(_one_per_place(_located(points), ord_col), "points")
+    return _widening(_located(queries).select(key, "lat", "lon"), pts, _start_km(pts, radius_km), radius_km, key, ord_col, hot_rows)
+
+
+def _start_km(pts: DataFrame, radius_km: float) -> float:
+    """A quarter of the radius as often as points in cells of it see more than ``DENSE_ROWS`` in theirs; each leaves a sixteenth."""
+    sizes = with_cell(pts.select("lat", "lon"), cell_deg(radius_km)).groupBy("cell").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    seen = sizes.agg(F.sum(F.col("n") * F.col("n")) / F.sum("n")).first()[0] or 0.0
+    steps = math.ceil(math.log(max(seen / DENSE_ROWS, 1.0), FANOUT * FANOUT))
+    return radius_km / FANOUT ** min(steps, MAX_STEPS)
+
+
+def _widening(
+    queries: DataFrame, pts: DataFrame, start_km: float, end_km: float, key: str, ord_col: str, hot_rows: int
+) -> DataFrame:
+    """Search a radius, then a four times wider one for queries that found nothing, up to ``end_km``.
+
+    A point found within a radius is the nearest overall, so most queries are done after the first search.
+    """
+    left, radius, found = queries, min(start_km, end_km), []
+    while radius < end_km:
+        found.append(materialize(_nearest(left, pts, radius, key, ord_col, hot_rows), "nearest"))
+        left = materialize(left.join(found[-1].select(key), key, "left_anti"), "queries")
+        if not left.take(1):
+            break
+        radius = min(radius * FANOUT, end_km)
     else:
-        tree = CellTree(pts, deg, hot_rows)
-        pairs = _closest_leaf_pairs(tree.facing(q, radius_km), tree, key).filter(F.col("km") <= radius_km)
-    return _first_by_distance(pairs, key, ord_col)
+        found.append(_nearest(left, pts, radius, key, ord_col, hot_rows))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest(queries: DataFrame, pts: DataFrame, radius_km: float, key: str, ord_col: str, hot_rows: int) -> DataFrame:
+    """``nearest_within`` of located queries and points of which no two lie at the same place."""
+    deg = cell_deg(radius_km)
+    if not has_hot_cell(pts, deg, hot_rows):
+        return _first_by_distance(queries, key, key, lambda q: range_pairs(q, pts, radius_km), ord_col)
+    tree = CellTree(pts, deg, hot_rows)
+    faced = _closest_leaves(tree.facing(queries, radius_km), tree, key)
+    return _first_by_distance(faced, "q_" + key, key, lambda q: _leaf_pairs(q, tree).filter(F.col("km") <= radius_km), ord_col)
 
 
 def nearest_any(
@@ -362,33 +393,20 @@ def nearest_any(
     start_km: float = 25.0,
     hot_rows: int = HOT_CELL_ROWS,
 ) -> DataFrame:
-    """Nearest point at any distance: search a radius, then a four times wider one for queries that found nothing.
-
-    A point found within a radius is the nearest overall, so most queries are done after the first search.
-    """
-    pts = materialize(_located(points), "points")
+    """Nearest point at any distance, see ``_widening``."""
+    pts = materialize(_one_per_place(_located(points), ord_col), "points")
     left = materialize(_located(queries).select(key, "lat", "lon"), "queries")
-    found: list[DataFrame] = []
-    radius = start_km
-    while True:
-        found.append(materialize(nearest_within(left, pts, radius, key, ord_col, hot_rows), "nearest"))
-        if radius >= HALF_GLOBE_KM:
-            break
-        left = materialize(left.join(found[-1].select(key), key, "left_anti"), "queries")
-        if not left.take(1):
-            break
-        radius = min(radius * 4, HALF_GLOBE_KM)
-    return reduce(DataFrame.unionByName, found)
+    return _widening(left, pts, _start_km(pts, start_km), HALF_GLOBE_KM, key, ord_col, hot_rows)
 
 
 def _one_per_place(points: DataFrame, ord_col: str) -> DataFrame:
-    cols = [c for c in points.columns if c not in ("lat", "lon", ord_col)]
-    first = F.min(F.struct(ord_col, *cols)).alias("_first")
-    return points.groupBy("lat", "lon").agg(first).select("lat", "lon", "_first.*")
+    first = points.groupBy("lat", "lon").agg(F.min(ord_col).alias("_first")).withColumnsRenamed({"lat": "_lat", "lon": "_lon"})
+    same = (F.col("lat") == F.col("_lat")) & (F.col("lon") == F.col("_lon")) & F.col(ord_col).eqNullSafe(F.col("_first"))
+    return points.join(first, same, "left_semi")
 
 
-def _closest_leaf_pairs(frontier: DataFrame, tree: CellTree, key: str) -> DataFrame:
-    """Pairs with the leaves that can still hold the nearest point after the best upper bound is known."""
+def _closest_leaves(frontier: DataFrame, tree: CellTree, key: str) -> DataFrame:
+    """Queries with the leaves that can still hold the nearest point after the best upper bound is known."""
     by_query = Window.partitionBy("q_" + key)
     kept = None
     for level in range(len(tree.levels)):
@@ -401,10 +419,22 @@ def _closest_leaf_pairs(frontier: DataFrame, tree: CellTree, key: str) -> DataFr
         if level + 1 == len(tree.levels):
             break
         frontier = tree.children(faced.filter(deeper), level)
-    return _leaf_pairs(kept, tree)
+    return kept
+
 
+def _first_by_distance(
+    queries: DataFrame, query_col: str, key: str, pairs_of: Callable[[DataFrame], DataFrame], ord_col: str
+) -> DataFrame:
+    """The nearest of the pairs that ``pairs_of`` makes of ``queries``, whose key is in ``query_col``.
 
-def _first_by_distance(pairs: DataFrame, key: str, ord_col: str) -> DataFrame:
+    Pairs are made twice. The first time only the least distance of a query is kept, a number that a hash aggregate holds;
+    a least row would sort all pairs. The second time only pairs at that distance are left, give or take rounding.
+    """
+    least = pairs_of(queries).groupBy(F.col("q_" + key).alias(query_col)).agg(F.min("km").alias("q_least"))
+    least = materialize(least, "least")
+    name = "least" if query_col == key else "q_least"
+    pairs = pairs_of(queries.join(least.withColumnRenamed("q_least", name), query_col))
+    pairs = pairs.filter(F.col("km") <= F.col("q_least") * (1 + 1e-9) + SLACK_KM).drop("q_least")
     cols = [c for c in pairs.columns if c.startswith("p_") and c != "p_" + ord_col]
     best = F.min(F.struct("km", "p_" + ord_col, *cols)).alias("_b")
     return pairs.groupBy(F.col("q_" + key).alias(key)).agg(best).select(key, "_b.*")

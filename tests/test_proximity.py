@@ -187,3 +187,26 @@ def test_nearest_place_labels(spark):
     assert far[2] == "Paris" or far[2] == "Lyon"
     twice = attach_nearest_place(attach_nearest_place(spots, towns), towns)
     assert {r.cand_ord: r.near for r in twice.collect()} == near
+
+
+@pytest.mark.parametrize("n", [4_000, 16_000])
+def test_nearest_of_dense_points_meets_few_of_them(spark, monkeypatch, n):
+    from noctule.operators import proximity
+
+    met = []
+
+    def counted(*args, **kwargs):
+        pairs = range_pairs(*args, **kwargs)
+        met.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(proximity, "range_pairs", counted)
+    q, p = cloud(40, 11, spread=(0.5, 0.5)), cloud(n, 12, spread=(0.5, 0.5))
+    # copies at one place, of which the first counts, and two queries without a point in reach
+    p.loc[100:140, ["lat", "lon"]] = q.loc[0, ["lat", "lon"]].to_list()
+    q.loc[38:39, "lat"] += 20.0
+    got = {r.id: r.p_id for r in nearest_within(spark.createDataFrame(q), spark.createDataFrame(p), 25.0, "id", "id").collect()}
+    km = [km_to_all(a, b, p.lat.to_numpy(), p.lon.to_numpy()) for a, b in zip(q.lat, q.lon)]
+    assert got == {i: int(np.argmin(d)) for i, d in enumerate(km) if d.min() <= 25} and len(got) == 38 and got[0] == 100
+    # all points within 25 km are several hundred a query
+    assert sum(met) < 40 * 100
