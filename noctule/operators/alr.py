@@ -163,7 +163,8 @@ def compute_alr(
     """(row, col, alr) for every pixel of the grid from (row, col, radiance) or from row segments of ``segment_px``.
 
     On a projected grid one two-dimensional transform per block is enough. On a latitude/longitude grid pixel
-    widths change from row to row, so rows are convolved pair by pair, with pixels weighted by their area.
+    widths change from row to row, so rows are convolved pair by pair, with pixels weighted by their area. Where the
+    radius covers many rows and few columns, sums of stretches of rows give the same in less.
     """
     blocks = layout(grid, params, block_px, segment_px)
     convolve, per_part = (_rows_kernel(grid, params, blocks), blocks.per_part) if grid.geographic else (_plane_kernel(grid, params, blocks), 1)
@@ -309,9 +310,91 @@ def row_spectra(here: float, there: np.ndarray, reach: int, step_deg: float, n:
     return np.fft.rfft(kernel, axis=1).real
 
 
+def reach_rows(here: np.ndarray, lat: np.ndarray, reach: int, step_deg: float, params: AlrParams) -> tuple[np.ndarray, np.ndarray]:
+    """First row and the one after the last of ``lat`` within every outer ring edge, by row of ``here``, pixels to the side and ring.
+
+    Rows of ``lat`` go evenly from north to south or back. Along a meridian the distance falls up to its least and rises
+    from there, so these rows are one stretch, whose ends are found by bisection of the distance as ``row_spectra`` has it.
+    """
+    dx = (np.arange(reach + 1) * step_deg)[None, :, None]
+    outer, phi = params.edges(), np.radians(here)[:, None, None]
+    side, rows = np.sin(np.radians(dx) / 2) ** 2, np.radians(lat)
+
+    def within(row: np.ndarray) -> np.ndarray:
+        there = rows[np.clip(row, 0, lat.size - 1)]
+        chord = np.sin((there - phi) / 2) ** 2 + (np.cos(phi) * np.cos(there)) * side
+        km = 2 * K.EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(chord, 1.0)))
+        return (km <= outer) & (row >= 0) & (row < lat.size)
+
+    least = np.degrees(np.arctan2(np.sin(phi), np.cos(phi) * np.cos(np.radians(dx))))
+    at = np.floor((least - lat[0]) / (lat[1] - lat[0]) if lat.size > 1 else least * 0).astype(np.int64)
+    at = np.broadcast_to(at, (here.size, reach + 1, outer.size))
+    at = np.clip(np.where(within(at), at, at + 1), 0, lat.size - 1)
+    any_ = within(at)
+
+    def end(out: int) -> np.ndarray:
+        """The first row off the stretch towards ``out``."""
+        good, bad = at.copy(), np.full_like(at, out)
+        while (open_ := np.abs(bad - good) > 1).any():
+            mid = (good + bad) // 2
+            good, bad = np.where(open_ & (ok := within(mid)), mid, good), np.where(open_ & ~ok, mid, bad)
+        return bad
+
+    first = end(-1) + 1
+    return np.where(any_, first, 0), np.where(any_, end(lat.size), 0)
+
+
+# Ends of stretches that are looked up together.
+STRETCHES = 1 << 17
+
+
+def _narrow(blocks: Blocks, params: AlrParams) -> bool:
+    """Few pixels to the side and many rows: sums of stretches of rows take less than a transform for every pair of rows."""
+    return params.edges().size * (max(blocks.reach_x) + 1) <= 2 * blocks.reach_y + 1
+
+
+def _stretch_kernel(grid: Grid, params: AlrParams, blocks: Blocks) -> Convolve:
+    """The sums of ``_rows_kernel`` from running sums down every column.
+
+    What lies within a ring's outer edge and so many pixels to the side is one stretch of rows, the difference of two
+    running sums. The work is pixels times pixels to the side times rings, whatever the number of rows in the radius.
+    """
+    weights = params.weights()
+    # weight of all within an edge, so that what lies in a ring gets the ring's weight from the edges around it
+    steps = weights - np.append(weights[1:], 0.0)
+
+    def convolve(fields: list[np.ndarray], b_row: int) -> list[np.ndarray]:
+        ry, rx = blocks.reach_y, blocks.reach_x[b_row]
+        lat = grid.f + grid.e * (np.arange(fields[0].shape[0]) + b_row * blocks.rows - ry + 0.5)
+        area = np.cos(np.radians(lat)) * abs(grid.a * grid.e) * (KM_PER_DEG * 1000.0 / params.work_resolution_m) ** 2
+        out = [np.zeros((blocks.rows, blocks.cols)) for _ in fields]
+        # running sums hold many rows, so they get more digits than the pixels
+        sums = [np.vstack([np.zeros((1, f.shape[1]), np.longdouble), np.cumsum(f * area[:, None], axis=0, dtype=np.longdouble)]) for f in fields]
+        at_once = max(1, STRETCHES // (steps.size * (rx + 1)))
+        for at in range(0, blocks.rows, at_once):
+            rows = slice(at, min(at + at_once, blocks.rows))
+            first, end = reach_rows(lat[ry:][rows], lat, rx, grid.a, params)
+            # ring edges beyond the radius end there
+            own = np.arange(rows.start, rows.stop)[:, None, None]
+            first = np.maximum(first, own)
+            end = np.maximum(np.minimum(end, own + 2 * ry + 1), first)
+            for k in range(rx + 1):
+                some = [n for n in range(steps.size) if (first[:, k, n] < end[:, k, n]).any()]
+                for total, to in zip(sums, out):
+                    for side in {rx - k, rx + k}:
+                        columns = total[:, side : side + blocks.cols]
+                        for n in some:
+                            to[rows] += (columns[end[:, k, n]] - columns[first[:, k, n]]).astype(float) * steps[n]
+        return out
+
+    return convolve
+
+
 def _rows_kernel(grid: Grid, params: AlrParams, blocks: Blocks) -> Convolve:
     if params.ring_stat != "sum":
         raise ValueError("ring means need a projected grid")
+    if _narrow(blocks, params):
+        return _stretch_kernel(grid, params, blocks)
 
     def convolve(fields: list[np.ndarray], b_row: int) -> list[np.ndarray]:
         ry, rx = blocks.reach_y, blocks.reach_x[b_row]

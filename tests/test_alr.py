@@ -200,3 +200,20 @@ def test_registered_queries_run_over_many_blocks(spark):
         down, across = blocks.across(grid)
         assert down >= 3 and across >= 3
     assert blocks.reach_y > 0
+
+
+def test_many_rows_take_no_kernel_for_every_pair_of_them(monkeypatch):
+    rng = np.random.default_rng(5)
+    params = AlrParams(max_km=700.0, rings=8, noise_floor=0.5)
+    grid = Grid(c=-180.0, f=60.0, a=2.4, e=-0.2, rows=600, cols=150)
+    blocks = alr.layout(grid, params, 30, 16)
+    for b_row in (0, 9, 19):
+        fields = [rng.uniform(0, 25, (blocks.rows + 2 * blocks.reach_y, blocks.cols + 2 * blocks.reach_x[b_row])) for _ in range(2)]
+        with monkeypatch.context() as m:
+            m.setattr(alr, "_narrow", lambda *_: False, raising=False)
+            want = alr._rows_kernel(grid, params, blocks)(fields, b_row)
+        with monkeypatch.context() as m:
+            m.setattr(alr, "row_spectra", lambda *_: pytest.fail("a kernel of pairs of rows"))
+            got = alr._rows_kernel(grid, params, blocks)(fields, b_row)
+        for g, w in zip(got, want, strict=True):
+            np.testing.assert_allclose(g, w, rtol=1e-12)
