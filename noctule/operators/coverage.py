@@ -109,8 +109,10 @@ TAKEN = "place_ord bigint, first boolean, cand_ord bigint, lat double, lon doubl
 def _serve(short: DataFrame, pool: DataFrame, radius_km: float, at_once: int, rounds: list[int]) -> DataFrame:
     """(cand_ord, added_by) of every addition.
 
-    Places are taken in order up to a place ``cut``, such that no block has more than about ``at_once`` of them, and
-    served in rounds. Then places that got enough from these leave, and the next stretch of the order follows.
+    Places are taken in order up to a place ``cut`` and served in rounds. Then places that got enough from these leave,
+    and the next stretch of the order follows. Where places are dense the first ones serve most of the others, so a
+    stretch has about ``at_once`` places; it gets longer while more than half of the others are left. No block has more
+    than about ``at_once`` places of a stretch.
     """
     listed = F.array_sort(F.collect_list(F.struct("rnk", "cand_ord", "lat", "lon"))).alias("wishes")
     wishes = pool.groupBy("place_ord").agg(listed)
@@ -125,11 +127,16 @@ def _serve(short: DataFrame, pool: DataFrame, radius_km: float, at_once: int, ro
     )
     taken: list[DataFrame] = []
     none = left.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(TAKEN)]).limit(0)
-    n_left = counts["waiting"]
+    n_left, stretch = counts["waiting"], at_once
     while n_left:
-        deg, cut = _blocks(left, n_left, radius_km, at_once)
-        open_ = left if cut is None else left.filter(F.col("place_ord") <= cut)
+        cut = _cut(left, stretch / n_left) if n_left > stretch else None
+        open_ = _up_to(left, cut)
         n_open = n_left if cut is None else open_.count()
+        deg, block_cut = _blocks(open_, n_open, radius_km, at_once)
+        if block_cut is not None:
+            cut, open_ = block_cut, _up_to(left, block_cut)
+            n_open = open_.count()
+        n_others = n_left - n_open
         while n_open:
             rounds.append(n_open)
             if len(taken) > MAX_PARTS:
@@ -147,9 +154,20 @@ def _serve(short: DataFrame, pool: DataFrame, radius_km: float, at_once: int, ro
         later = count_within(left.filter(F.col("place_ord") > cut), reduce(DataFrame.unionByName, taken, none), radius_km, "place_ord")
         left = materialize(later.filter(F.col("within") < F.col("need")).drop("within"), "waiting", counts)
         n_left = counts["waiting"]
+        if 2 * n_left > n_others:
+            stretch *= 4
     return reduce(DataFrame.unionByName, taken, none).select("cand_ord", F.col("place_ord").alias("added_by"))
 
 
+def _cut(left: DataFrame, share: float) -> int:
+    """The place up to which about this share of the places lies in order."""
+    return left.agg(F.percentile_approx("place_ord", share, 10_000)).first()[0]
+
+
+def _up_to(left: DataFrame, cut: int | None) -> DataFrame:
+    return left if cut is None else left.filter(F.col("place_ord") <= cut)
+
+
 def _blocks(left: DataFrame, n_left: int, radius_km: float, at_once: int) -> tuple[float, int | None]:
     """Block height in degrees, and the last place for now if a block of the least height holds too many.
 

@@ -145,6 +145,19 @@ def test_coverage_in_many_blocks(spark):
     assert got == cover(kept, mesh, towns, 4, 90.0) and len(rounds) > 1
 
 
+def test_coverage_serves_dense_places_in_stretches(spark):
+    """The first places serve most of the others, which take no part in any round."""
+    rng = np.random.default_rng(21)
+    mesh = pd.DataFrame({"cand_ord": np.arange(200), "lat": 45 + rng.uniform(-5, 5, 200), "lon": rng.uniform(-6, 6, 200), "darkness": rng.random(200).round(2), "bortle": np.int32(3)})
+    towns = pd.DataFrame({"place_ord": rng.permutation(400) * 2, "name": "x", "lat": 45 + rng.uniform(-5, 5, 400), "lon": rng.uniform(-6, 6, 400)})
+    rounds = []
+    sites = spark.createDataFrame(mesh)
+    out = ensure_coverage(sites.limit(0), sites, spark.createDataFrame(towns), 2, 150.0, 100, rounds)
+    got = [(r.cand_ord, r.added_by) for r in out.orderBy(*coverage_order()).collect()]
+    assert got == cover(mesh[:0], mesh, towns, 2, 150.0)
+    assert max(rounds) <= 110 and sum(rounds) < 250
+
+
 def test_coverage_small_cases(spark):
     town = spark.createDataFrame([(0, "A", 48.0, 2.0, 1)], TOWNS)
     pts = [(i, 48.0 + i / 10, 2.0, 0.5 + i / 100, 3) for i in range(5)]
