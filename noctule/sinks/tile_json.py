@@ -1,10 +1,10 @@
-"""Spark data source ``tile_json``: one document ``<tile>.json`` per envelope row.
+"""Published documents: one ``<tile>.json`` per envelope row.
 
-Tasks write to a staging folder under the target, the commit moves finished documents into place, so readers
-never see a half-written document and a retried task leaves nothing behind. Mode ``overwrite`` replaces the
-whole set: documents of other tiles are removed after the new ones are in place. Moves and deletes run
-side by side. The target is resolved by the session's Hadoop file system, as Spark's own readers resolve it.
-With option ``unread``, for a folder that nobody reads yet, tasks move their own documents and the commit moves none.
+Tasks write each document as a file of its own through Spark's own text writer, in a staging folder under the target;
+the documents are then renamed into place, so readers never see a half-written one and a retried task leaves nothing
+behind. With ``replace_all`` documents of other tiles are removed after the new ones are in place. Renames and deletes
+run side by side. All of it goes through the session's Hadoop file system, as Spark's own readers and writers do, so
+any store that they reach will do, and no other process opens a path. A set has at most one document per degree.
 
 ``publish_tiles`` replaces a published set at once: the documents go to a release folder that nobody reads, then
 the pointer to the current release is switched in one rename. ``publish_changes`` does so too and writes changed tiles only.
@@ -15,27 +15,22 @@ from __future__ import annotations
 import json
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 from typing import Iterator
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
-from pyspark.sql.types import StructType
+import pyarrow as pa
+from py4j.java_gateway import is_instance_of
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from noctule.operators.release import with_digest
 from noctule.runtime import in_scratch, materialize, qualified
-from noctule.sources.releases import INDEX, INDEX_SCHEMA, new_release, read_index, remove_superseded, switch_release
+from noctule.sources.releases import INDEX, INDEX_SCHEMA, new_release, read_index, remove_superseded, rename_over, switch_release
 
 KEYS = ("version", "source", "generated", "tile", "spots")
-
-
-@dataclass
-class Written(WriterCommitMessage):
-    files: list[tuple[str, str]]  # (tile, staged path)
-
-
-# File operations at the same time in a commit, which waits for the store and not for the processor.
+# File operations at the same time, which wait for the store and not for the processor.
 COMMIT_THREADS = 32
+# Documents made into text at once.
+TEXTS = 64
 
 
 def shared_path(spark: SparkSession, path: str) -> str:
@@ -50,89 +45,55 @@ def shared_path(spark: SparkSession, path: str) -> str:
     return whole
 
 
-def _file_system(uri: str):
-    from pyarrow import fs
-
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(uri.replace("s3a:", "s3:", 1))
-
+def _documents(envelopes: DataFrame) -> DataFrame:
+    """(document, value): name and text of each document."""
+    keys, texts = KEYS, TEXTS
 
-def _put(fs, staged: str, target: str) -> None:
-    """Give a document its name; what another attempt of the task put there is the same."""
-    from pyarrow.fs import FileType
+    def text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, texts):
+                rows = batch.slice(at, texts).to_pylist()
+                names = [f"{row['tile']}.json" for row in rows]
+                values = [json.dumps({k: row[k] for k in keys}, indent=4, ensure_ascii=False) for row in rows]
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(values, pa.string())], names=["document", "value"])
 
-    try:
-        fs.move(staged, target)
-    except OSError:
-        if fs.get_file_info(target).type == FileType.NotFound:
-            raise
-        fs.delete_file(staged)
-
-
-class TileJsonSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "tile_json"
-
-    def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
-        return TileJsonWriter(self.options["path"], overwrite, self.options.get("unread") == "true")
-
-
-class TileJsonWriter(DataSourceWriter):
-    def __init__(self, path: str, overwrite: bool, unread: bool = False):
-        self.path = path.rstrip("/")
-        self.overwrite = overwrite
-        self.unread = unread
-        self.staging = f"{self.path}/_staging-{uuid.uuid4().hex}"
-
-    def write(self, iterator: Iterator[Row]) -> Written:
-        fs, staging = _file_system(self.staging)
-        fs.create_dir(staging, recursive=True)
-        files = []
-        for row in iterator:
-            envelope = row.asDict(recursive=True)
-            text = json.dumps({k: envelope[k] for k in KEYS}, indent=4, ensure_ascii=False) + "\n"
-            staged = f"{staging}/{envelope['tile']}.{uuid.uuid4().hex}"
-            with fs.open_output_stream(staged) as out:
-                out.write(text.encode("utf-8"))
-            if self.unread:
-                _put(fs, staged, f"{_file_system(self.path)[1]}/{envelope['tile']}.json")
-            else:
-                files.append((envelope["tile"], staged))
-        return Written(files)
-
-    def commit(self, messages: list[Written | None]) -> None:
-        from pyarrow.fs import FileSelector
-
-        fs, target = _file_system(self.path)
-        fs.create_dir(target, recursive=True)
-        moves = [(staged, f"{tile}.json") for message in messages for tile, staged in (message.files if message else [])]
-        with ThreadPoolExecutor(COMMIT_THREADS) as pool:
-            list(pool.map(lambda m: fs.move(m[0], f"{target}/{m[1]}"), moves))
-            if self.overwrite and not self.unread:
-                placed = {name for _, name in moves}
-                old = [i.path for i in fs.get_file_info(FileSelector(target)) if i.base_name.endswith(".json") and i.base_name not in placed]
-                list(pool.map(fs.delete_file, old))
-        self._drop_staging()
-
-    def abort(self, messages: list[Written | None]) -> None:
-        self._drop_staging()
+    return envelopes.select(*KEYS).mapInArrow(text, "document string, value string")
 
-    def _drop_staging(self) -> None:
-        from pyarrow.fs import FileType
 
-        fs, staging = _file_system(self.staging)
-        if fs.get_file_info(staging).type != FileType.NotFound:
-            fs.delete_dir(staging)
+def _store(spark: SparkSession, path: str):
+    """File system of ``path``; without its layer of checksum files, which would lie beside the documents."""
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    checked = is_instance_of(spark._sc._gateway, fs, "org.apache.hadoop.fs.ChecksumFileSystem")
+    return fs.getRawFileSystem() if checked else fs
 
 
-def write_tiles(envelopes: DataFrame, path: str, replace_all: bool = True, unread: bool = False) -> None:
+def write_tiles(envelopes: DataFrame, path: str, replace_all: bool = True) -> None:
     """Write ``<path>/<tile>.json``; with ``replace_all`` the folder then holds exactly these tiles."""
     spark: SparkSession = envelopes.sparkSession
-    spark.dataSource.register(TileJsonSource)
-    writer = envelopes.select(*KEYS).write.format("tile_json").mode("overwrite" if replace_all else "append")
-    writer.option("unread", str(unread).lower()).save(shared_path(spark, path))
+    target = shared_path(spark, path).rstrip("/")
+    staging = f"{target}/_staging-{uuid.uuid4().hex}"
+    fs, at = _store(spark, target), spark._jvm.org.apache.hadoop.fs.Path
+    try:
+        # one record a file: a document is never joined with another
+        _documents(envelopes).write.partitionBy("document").option("maxRecordsPerFile", 1).text(staging)
+        folders = [s.getPath() for s in fs.listStatus(at(staging)) if s.isDirectory()]
+        names = [unquote(f.getName().partition("=")[2]) for f in folders]
+        if wrong := [n for n in names if "/" in n]:
+            raise ValueError(f"{wrong[0]} is no name of a document")
+
+        def place(folder, name: str) -> None:
+            for status in fs.listStatus(folder):
+                if status.getPath().getName().startswith("part-"):
+                    rename_over(spark, fs, status.getPath(), at(f"{target}/{name}"))
+
+        with ThreadPoolExecutor(COMMIT_THREADS) as pool:
+            list(pool.map(place, folders, names))
+            if replace_all:
+                placed = set(names)
+                old = [s.getPath() for s in fs.listStatus(at(target)) if s.getPath().getName().endswith(".json") and s.getPath().getName() not in placed]
+                list(pool.map(lambda p: fs.delete(p, False), old))
+    finally:
+        fs.delete(at(staging), True)
 
 
 def publish_tiles(envelopes: DataFrame, path: str) -> None:
@@ -142,7 +103,7 @@ def publish_tiles(envelopes: DataFrame, path: str) -> None:
     """
     spark = envelopes.sparkSession
     release = new_release(path)
-    write_tiles(envelopes, release, unread=True)
+    write_tiles(envelopes, release)
     switch_release(spark, path, release)
     remove_superseded(spark, path)
 
@@ -167,7 +128,7 @@ def publish_changes(envelopes: DataFrame, path: str) -> dict[str, int]:
         return counts
     release = new_release(path)
     changed = compared.filter("state = 'written'").select("tile")
-    write_tiles(envelopes.join(changed, "tile"), release, unread=True)
+    write_tiles(envelopes.join(changed, "tile"), release)
     kept = F.col("state") == "kept"
     rows = compared.filter("state <> 'removed'").select(
         "tile",

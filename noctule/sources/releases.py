@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CURRENT = "_current"
@@ -56,6 +57,25 @@ def index_folders(index: DataFrame) -> list[str]:
     return [row.folder for row in index.select(F.split("file", "/")[0].alias("folder")).distinct().collect()]
 
 
+def _replace(spark: SparkSession, fs, source, target) -> None:
+    """Rename that replaces what is at ``target``, whatever the store's plain rename does then."""
+    rename = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark._sc._gateway.new_array(rename, 1)
+    options[0] = rename.valueOf("OVERWRITE")
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(source), fs.makeQualified(target), options)
+
+
+def rename_over(spark: SparkSession, fs, source, target) -> None:
+    """Plain rename, which some stores refuse where ``target`` is there; then the replacing one."""
+    try:
+        done = fs.rename(source, target)
+    except Py4JJavaError:
+        done = False
+    if not done:
+        _replace(spark, fs, source, target)
+
+
 def switch_release(spark: SparkSession, path: str, release: str) -> None:
     """Make ``release``, a folder of :func:`new_release`, the published one."""
     root = path.rstrip("/")
@@ -66,11 +86,7 @@ def switch_release(spark: SparkSession, path: str, release: str) -> None:
     finally:
         out.close()
     pointer, _ = _hadoop(spark, f"{root}/{CURRENT}")
-    rename = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
-    options = spark._sc._gateway.new_array(rename, 1)
-    options[0] = rename.valueOf("OVERWRITE")
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
-    context.rename(fs.makeQualified(draft), fs.makeQualified(pointer), options)
+    _replace(spark, fs, draft, pointer)
 
 
 def remove_superseded(spark: SparkSession, path: str) -> None:

@@ -324,3 +324,18 @@ def test_the_shared_folder_of_a_cluster_needs_no_scheme(spark, tmp_path):
             shared_path(cluster, own_disk)
     with pytest.raises(ValueError, match="own disk"):
         shared_path(_OnACluster(spark, None), f"{tmp_path}/shared/documents-1")
+
+
+def test_documents_go_to_any_store_that_spark_reaches(spark, tmp_path):
+    (tmp_path / "store").mkdir()
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.tiles.link./out", f"file://{tmp_path}/store")
+    write_tiles(_tiles(spark, "2025.1", "N001E001", "N002E001"), "viewfs://tiles/out/flat")
+    write_tiles(_tiles(spark, "2025.2", "N002E001"), "viewfs://tiles/out/flat")
+    write_missing_tiles(_tiles(spark, "2025.3", "N002E001", "N003E001"), "viewfs://tiles/out/flat")
+    assert _published(spark, "viewfs://tiles/out/flat") == [("N002E001", "2025.2"), ("N003E001", "2025.3")]
+    for publish in (publish_tiles, publish_changes):
+        path = f"viewfs://tiles/out/{publish.__name__}"
+        publish(_tiles(spark, "2025.1", "N001E001", "N002E001"), path)
+        publish(_tiles(spark, "2025.2", "N003E001"), path)
+        assert _published(spark, path) == [("N003E001", "2025.2")]
+    assert {(r.tile, r.version) for r in read_digests(spark, "viewfs://tiles/out/publish_changes").collect()} == {("N003E001", "2025.2")}
