@@ -21,6 +21,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from .frames import held
+
 # Chunks kept per table; two tables at most. Workers keep them between tasks, about 200 bytes each.
 MAX_KEPT = 300_000
 # Texts handled together, so that unknown chunks reach the library in batches.
@@ -142,7 +144,8 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(path: str, plain_names: bool = False) -> Encoder:
-    """One encoder per worker process, kept over tasks."""
+    """One encoder per worker process, kept over tasks until the process turns to other work."""
+    held("encoder", encoder.cache_clear)
     return Encoder(path, plain_names)
 
 

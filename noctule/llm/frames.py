@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..runtime import ship_package as ship
+from ..runtime import ship_package
 
-__all__ = ["LAST_ID", "arrow_schema", "batch_of", "row_key", "row_struct", "ship", "unpacked", "with_row"]
+__all__ = ["LAST_ID", "arrow_schema", "batch_of", "drop_held", "held", "row_key", "row_struct", "ship", "unpacked", "with_row"]
 
 # Stands for a null id where ids are compared: such rows come after all others.
 LAST_ID = (1 << 63) - 1
 
+# Bytes of a batch that goes to a worker: 10,000 whole texts at once are held several times on both sides.
+BATCH_BYTES = 4 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def ship(spark: SparkSession) -> None:
+    """Make the package known to the workers, and batches small unless the session names a size itself."""
+    ship_package(spark)
+    if spark.conf.get(_BATCH_CONF, None) is None:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
 
 def row_struct(df: DataFrame) -> Column:
     """All columns of ``df`` as one struct ``row``, so that no name clashes with an operator's own."""
@@ -41,3 +54,18 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
 def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     """A record batch of arrays, lists or numpy arrays."""
     return pa.RecordBatch.from_arrays([x if isinstance(x := columns[f.name], pa.Array) else pa.array(x, f.type) for f in schema], schema=schema)
+
+
+# How to drop what this worker process holds between tasks, by name.
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def held(name: str, drop: Callable[[], None]) -> None:
+    """Tell that this worker process holds something large for its next tasks of one kind."""
+    _HELD[name] = drop
+
+
+def drop_held() -> None:
+    """Called by tasks of other kinds: a worker process serves all stages of an application."""
+    while _HELD:
+        _HELD.popitem()[1]()

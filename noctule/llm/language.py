@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .frames import arrow_schema, batch_of, row_struct, ship, unpacked, with_row
+from .frames import arrow_schema, batch_of, drop_held, row_struct, ship, unpacked, with_row
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
@@ -114,6 +114,7 @@ def trigram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.
 
 def _groups(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str | None]]]:
     """Runs of rows of bounded text size."""
+    drop_held()
     texts, at, size = batch.column("text").to_pylist(), 0, 0
     for k, text in enumerate(texts):
         size += len(text or "")

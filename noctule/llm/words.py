@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .frames import drop_held
+
 U64 = np.uint64
 # Odd multipliers of the hash polynomials: (bytes of a word, words of a window), twice.
 BASES = ((0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93), (0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F))
@@ -79,6 +81,7 @@ def texts_of(column: pa.Array) -> Texts:
 
 def blocks(batch: pa.RecordBatch, text: str, limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
     """Slices of a batch with at most ``limit`` bytes of text each, one row at least."""
+    drop_held()
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)

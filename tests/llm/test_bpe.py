@@ -6,9 +6,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from tokenizers import Tokenizer
 
-from noctule.llm import bpe, packing, token_file
+from noctule.llm import bpe, language, packing, token_file, words
 
 PARTS = ["a", "the", "Word", "é", "ß", "中", "\n", " ", "  ", "\t", "\u0085", "\r\n", "!", "...", "'s", "'", "123", "½", "\x1c", "𝔘", "<|endoftext|>", "-", "$$$", "́", "_", " b", "\n\n"]
 
@@ -45,6 +47,15 @@ def test_files_and_pieces_hold_the_library_s_ids(spark):
         assert got == {k: zlib.crc32(np.array([*library.encode(t, add_special_tokens=False).ids, end], "<u4").tobytes()) for k, t in texts.items()}
 
 
+@pytest.mark.parametrize("work", [lambda b: words.blocks(b, "text"), language._groups])
+def test_a_worker_that_turns_to_other_work_drops_its_table(work):
+    ids = bpe.encoder(bpe.default_path()).encode(["some words", "more words"])
+    assert bpe.encoder.cache_info().currsize
+    assert list(work(pa.record_batch({"text": ["a b"]})))
+    assert not bpe.encoder.cache_info().currsize
+    assert bpe.encoder(bpe.default_path()).encode(["some words", "more words"]) == ids
+
+
 def test_simple8b_round_trip():
     rng = np.random.default_rng(2)
     for values in (
