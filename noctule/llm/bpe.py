@@ -5,7 +5,8 @@ comes after, so a text is cut there into chunks (white space and the run after i
 are the ids of its chunks in order. Marks after a letter or digit are a token of their own there, and so
 is a newline before a word, so a chunk's ids are those of its newline, its stem and its marks. Each
 different part is encoded by the library once and kept; a full table becomes the old one, from which
-what is still in use is taken over, and the one before it goes. A text that holds the name of an added token
+what is still in use is taken over, and the one before it goes. A part of Latin letters alone is one piece
+of the pre-tokenizer, so it goes straight to the library's model, in the bytes' own letters. A text that holds the name of an added token
 goes through the library whole, unless such names are taken as ordinary text (``plain_names``).
 
 Most chunks are a single space or newline and a word, so texts are split there and the table has a chunk under its word,
@@ -34,6 +35,15 @@ MARKS = ".,;:!?*$%&#|<>-"
 # White space as the library has it: Python's also counts \x1c to \x1f.
 _chunks = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+").findall
 _other_space = re.compile(r"[^\S \n]").search
+# Keys of Latin letters alone, without or with a leading space; every one is a letter to the library too.
+_letters = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
+
+
+def _byte_letters() -> str:
+    """The letter that stands for each byte in the vocabulary; the newline stays, to cut at."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = {b: chr(b) for b in shown} | {b: chr(0x100 + k) for k, b in enumerate(b for b in range(0x100) if b not in shown)}
+    return "".join("\n" if b == 0x0A else letters[b] for b in range(0x100))
 
 
 def _key(chunk: str) -> str:
@@ -66,6 +76,7 @@ class Encoder:
     def __init__(self, path: str, plain_names: bool = False) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         # special tokens only; other added tokens keep their ids in the library
@@ -73,6 +84,11 @@ class Encoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.names = [t.content for t in added if t.content and not (plain_names and t.special)]
         self.newline = self._ids("\n")
+        self.model, self.byte_letters = self.tokenizer.model, _byte_letters()
+        split = self.tokenizer.pre_tokenizer
+        # words go to the model only where nothing but the usual split stands before it
+        self.direct = self.tokenizer.normalizer is None and isinstance(split, ByteLevel) and split.use_regex and not split.add_prefix_space
+        self.raw = [k.to_bytes(4, "little") for k in range(max(self.tokenizer.get_vocab().values(), default=0) + 1)] if self.direct else []
         self.kept: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -91,14 +107,25 @@ class Encoder:
                 kept[part] = raw[first:cut]
                 first = cut + 4
 
+    def _ask_words(self, words: list[str]) -> None:
+        """Ids of keys of letters alone."""
+        kept, raw, tokenize = self.kept, self.raw, self.model.tokenize
+        shown = "\n".join(map(_chunk, words)).encode().decode("latin-1").translate(self.byte_letters).split("\n")
+        for word, text in zip(words, shown, strict=True):
+            kept[word] = b"".join([raw[token.id] for token in tokenize(text)])
+
     def _learn(self, unknown: set[str]) -> None:
         """Ids of unknown single chunks, by their keys."""
         kept, old, newline = self.kept, self.old, self.newline.tobytes()
-        asked, joined = set(), []
+        asked, words, joined = set(), set(), []
+        letters = _letters if self.direct else lambda key: None
         for key in unknown:
             if key in old:
                 kept[key] = old[key]
                 continue
+            if letters(key):
+                words.add(key)
+                continue
             lead = key[0] == "\n"
             body = " " + key[1:] if lead else key
             stem = body.rstrip(MARKS)
@@ -112,10 +139,12 @@ class Encoder:
                     if stem in old:
                         kept[stem] = old[stem]
                     else:
-                        asked.add(stem)
+                        (words if letters(stem) else asked).add(stem)
             else:
                 kept[key] = self._ids(_chunk(key)).tobytes()
         self._ask(list(asked))
+        if words:
+            self._ask_words(list(words))
         for key, lead, stem, marks in joined:
             if len(marks) > 1 and marks not in kept:
                 kept[marks] = self._ids(marks[1:]).tobytes()

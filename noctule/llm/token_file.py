@@ -58,17 +58,17 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     line = grid.ravel()
     bits = np.frexp(np.arange(1 << 16))[1].astype(np.int8)[line] if n and values.max() < 1 << 16 else np.frexp(line.astype(np.float64))[1].astype(np.int8)
     choice = np.full(len(line), len(COUNTS) - 1, np.int8)
-    # widest value of the next 1, 2, 3, ... places
-    widest, seen = bits.copy(), 1
+    # widest value of the next 1, 2, 3, ... places: the next ``seen`` places and as many from ``more`` on, which overlap or meet
+    widest, seen = bits, 1
     for s in range(len(COUNTS) - 2, -1, -1):
-        for k in range(seen, int(COUNTS[s])):
-            np.maximum(widest[:-k], bits[k:], out=widest[:-k])
-        seen = int(COUNTS[s])
-        fits = widest <= BITS[s]
+        more = int(COUNTS[s]) - seen
+        widest = np.concatenate([np.maximum(widest[:-more], widest[more:]), widest[-more:]])
+        seen += more
+        fits = widest <= np.int8(BITS[s])
         # what fits many values fits fewer in wider fields: beyond the first miss nothing fits
-        if not fits[:-seen].any():
+        if not fits.reshape(blocks, wide)[:, :BLOCK].any():
             break
-        np.copyto(choice, np.int8(s), where=fits)
+        choice -= fits.view(np.int8)
     if not blocks:
         return np.empty(0, np.uint64), np.zeros(1, np.uint64), escaped
     last = np.minimum(np.arange(1, blocks + 1) * BLOCK, n) - np.arange(blocks) * BLOCK
@@ -82,7 +82,7 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         steps.append((at, step > 0))
         at = at + step
     taken = np.stack([going for _, going in steps], axis=1)
-    at = np.stack([place for place, _ in steps], axis=1)[taken]
+    at = np.stack([place for place, _ in steps], axis=1)[taken].astype(np.intp)
     chosen = choice[at]
     words = chosen.astype(np.uint64) << np.uint64(60)
     for s in np.unique(chosen):

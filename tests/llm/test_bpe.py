@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
 from noctule.llm import bpe, language, packing, token_file, words
 
@@ -38,6 +38,29 @@ def test_words_between_single_spaces_and_newlines():
     assert encoder.encode(texts) == [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_words_of_latin_letters_go_straight_to_the_model(monkeypatch):
+    rng = random.Random(5)
+    letters = [chr(c) for c in range(0x250) if bpe._letters(chr(c))]
+    assert len(letters) == 2 * 26 + 62 + 0x150 and all(x.isalpha() for x in letters)
+    some = [x + y for x in letters for y in ("", "e", "Ω", "ª")] + ["".join(rng.choices(letters[:60] + letters, k=rng.randint(1, 12))) for _ in range(3000)]
+    rng.shuffle(some)
+    texts = ["".join(w + rng.choice([" ", " ", "\n", ", ", "."]) for w in some[at : at + 40]) for at in range(0, len(some), 40)]
+    encoder, library = bpe.Encoder(bpe.default_path()), Tokenizer.from_file(bpe.default_path())
+    assert encoder.encode(texts) == [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch(texts, add_special_tokens=False)]
+    plain, want = "Straße garçon Noël words\nof letters", library.encode("Straße garçon Noël words\nof letters", add_special_tokens=False).ids
+    encoder = bpe.Encoder(bpe.default_path())
+    monkeypatch.setattr(encoder, "_ids", lambda text: pytest.fail(f"{text!r} went through the pre-tokenizer"))
+    assert encoder.encode([plain]) == [np.array(want, "<u4").tobytes()]
+
+
+def test_a_split_of_another_kind_keeps_its_own_words(tmp_path):
+    other = Tokenizer.from_file(bpe.default_path())
+    other.normalizer = normalizers.Lowercase()
+    other.save(f"{tmp_path}/lower.json")
+    encoder = bpe.Encoder(f"{tmp_path}/lower.json")
+    assert encoder.encode(["Some Words"]) == [np.array(other.encode("Some Words", add_special_tokens=False).ids, "<u4").tobytes()]
+
+
 def test_files_and_pieces_hold_the_library_s_ids(spark):
     texts = {1: "a <|endoftext|> b", 2: "<|endoftext|>", 3: "plain words", 4: ""}
     library = Tokenizer.from_file(bpe.default_path())
