@@ -19,12 +19,11 @@ from typing import Iterator
 from urllib.parse import unquote
 
 import pyarrow as pa
-from py4j.java_gateway import is_instance_of
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from noctule.operators.release import with_digest
 from noctule.runtime import in_scratch, materialize, qualified
-from noctule.sources.releases import INDEX, INDEX_SCHEMA, new_release, read_index, remove_superseded, rename_over, switch_release
+from noctule.sources.releases import INDEX, INDEX_SCHEMA, new_release, read_index, remove_superseded, rename_over, store, switch_release
 
 KEYS = ("version", "source", "generated", "tile", "spots")
 # File operations at the same time, which wait for the store and not for the processor.
@@ -60,19 +59,12 @@ def _documents(envelopes: DataFrame) -> DataFrame:
     return envelopes.select(*KEYS).mapInArrow(text, "document string, value string")
 
 
-def _store(spark: SparkSession, path: str):
-    """File system of ``path``; without its layer of checksum files, which would lie beside the documents."""
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    checked = is_instance_of(spark._sc._gateway, fs, "org.apache.hadoop.fs.ChecksumFileSystem")
-    return fs.getRawFileSystem() if checked else fs
-
-
 def write_tiles(envelopes: DataFrame, path: str, replace_all: bool = True) -> None:
     """Write ``<path>/<tile>.json``; with ``replace_all`` the folder then holds exactly these tiles."""
     spark: SparkSession = envelopes.sparkSession
     target = shared_path(spark, path).rstrip("/")
     staging = f"{target}/_staging-{uuid.uuid4().hex}"
-    fs, at = _store(spark, target), spark._jvm.org.apache.hadoop.fs.Path
+    fs, at = store(spark, target), spark._jvm.org.apache.hadoop.fs.Path
     try:
         # one record a file: a document is never joined with another
         _documents(envelopes).write.partitionBy("document").option("maxRecordsPerFile", 1).text(staging)

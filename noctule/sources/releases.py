@@ -1,7 +1,8 @@
 """Published sets: every release in a folder of its own, and a pointer that names the current one.
 
 Releases are never changed once they are named. The pointer ``_current`` is replaced by one rename, so a reader sees
-the whole old release or the whole new one, whenever a job that publishes dies. A folder without a pointer is
+the whole old release or the whole new one, whenever a job that publishes dies: the plain rename of the file system that
+Spark uses where that replaces, else the replacing one of Hadoop's file contexts, which not every store has. A folder without a pointer is
 itself the release.
 
 A release written by :func:`noctule.sinks.tile_json.publish_changes` holds the documents of changed tiles only, and an
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.java_gateway import is_instance_of
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -27,6 +29,13 @@ def _hadoop(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def store(spark: SparkSession, path: str):
+    """File system of ``path``; without its layer of checksum files, which would lie beside the documents."""
+    _, fs = _hadoop(spark, path)
+    checked = is_instance_of(spark._sc._gateway, fs, "org.apache.hadoop.fs.ChecksumFileSystem")
+    return fs.getRawFileSystem() if checked else fs
+
+
 def new_release(path: str) -> str:
     """Folder for a release that nobody reads yet."""
     return f"{path.rstrip('/')}/{PREFIX}{uuid.uuid4().hex}"
@@ -34,7 +43,8 @@ def new_release(path: str) -> str:
 
 def current_release(spark: SparkSession, path: str) -> str:
     """Folder of the release that is published at ``path``."""
-    pointer, fs = _hadoop(spark, f"{path.rstrip('/')}/{CURRENT}")
+    pointer, _ = _hadoop(spark, f"{path.rstrip('/')}/{CURRENT}")
+    fs = store(spark, path)
     if not fs.exists(pointer):
         return path
     stream = fs.open(pointer)
@@ -79,14 +89,16 @@ def rename_over(spark: SparkSession, fs, source, target) -> None:
 def switch_release(spark: SparkSession, path: str, release: str) -> None:
     """Make ``release``, a folder of :func:`new_release`, the published one."""
     root = path.rstrip("/")
-    draft, fs = _hadoop(spark, f"{root}/{CURRENT}.{uuid.uuid4().hex}")
+    fs, at = store(spark, root), spark._jvm.org.apache.hadoop.fs.Path
+    draft = at(f"{root}/{CURRENT}.{uuid.uuid4().hex}")
     out = fs.create(draft)
     try:
         out.write(bytearray(release.rsplit("/", 1)[1].encode()))
     finally:
         out.close()
-    pointer, _ = _hadoop(spark, f"{root}/{CURRENT}")
-    _replace(spark, fs, draft, pointer)
+    # earlier pointers had a checksum file, which a second rename replaced
+    fs.delete(at(f"{root}/.{CURRENT}.crc"), False)
+    rename_over(spark, fs, draft, at(f"{root}/{CURRENT}"))
 
 
 def remove_superseded(spark: SparkSession, path: str) -> None:

@@ -339,3 +339,25 @@ def test_documents_go_to_any_store_that_spark_reaches(spark, tmp_path):
         publish(_tiles(spark, "2025.2", "N003E001"), path)
         assert _published(spark, path) == [("N003E001", "2025.2")]
     assert {(r.tile, r.version) for r in read_digests(spark, "viewfs://tiles/out/publish_changes").collect()} == {("N003E001", "2025.2")}
+
+
+@pytest.mark.parametrize("publish", [publish_tiles, publish_changes])
+def test_a_set_is_replaced_in_a_store_without_file_contexts(spark, tmp_path, publish):
+    path, conf = str(tmp_path / "published"), spark._jsc.hadoopConfiguration()
+    publish(_tiles(spark, "2025.1", "N001E001", "N002E001"), path)
+    # as earlier versions left it, with a checksum file
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_current")
+    name = (tmp_path / "published" / "_current").read_bytes()
+    out = pointer.getFileSystem(conf).create(pointer, True)
+    out.write(bytearray(name))
+    out.close()
+    assert (tmp_path / "published" / "._current.crc").exists() and len(_published(spark, path)) == 2
+    conf.set("fs.AbstractFileSystem.file.impl", "no.such.FileSystem")
+    try:
+        publish(_tiles(spark, "2025.2", "N003E001"), path)
+        publish(_tiles(spark, "2025.3", "N003E001", "N004E001"), path)
+    finally:
+        conf.unset("fs.AbstractFileSystem.file.impl")
+    assert [tile for tile, _ in _published(spark, path)] == ["N003E001", "N004E001"]
+    # the pointer has no checksum file that could be of another one
+    assert not [f for f in (tmp_path / "published").iterdir() if f.name.startswith("._current")]
