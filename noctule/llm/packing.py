@@ -131,18 +131,17 @@ def cut_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        encode_texts, end = encoder(path, plain_names).encode, np.array([end_id], "<u4").tobytes()
+        encode_arrays = encoder(path, plain_names).encode_arrays
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                few = batch.slice(at, 1024)
-                rows = []
-                for doc_id, ids in zip(few.column("id").to_pylist(), encode_texts([x or "" for x in few.column("text").to_pylist()]), strict=True):
-                    ids += end
-                    n = len(ids) // 4
+            doc_ids = batch.column("id").to_pylist()
+            for at, ids, places in encode_arrays(batch.column("text"), end_id):
+                raw, rows = memoryview(ids.tobytes()), []
+                for doc_id, begin, end in zip(doc_ids[at : at + len(places) - 1], places[:-1].tolist(), places[1:].tolist(), strict=True):
+                    n = end - begin
                     first = n % capacity or capacity
                     edges = [0, *range(first, n + 1, capacity)]
                     for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-                        rows.append((doc_id, k, a, b - a, zlib.crc32(ids[4 * a : 4 * b]), part, int(seen[b - a])))
+                        rows.append((doc_id, k, a, b - a, zlib.crc32(raw[4 * (begin + a) : 4 * (begin + b)]), part, int(seen[b - a])))
                         seen[b - a] += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), PIECES, strict=True)], schema=PIECES)
 

@@ -53,6 +53,43 @@ def test_words_of_latin_letters_go_straight_to_the_model(monkeypatch):
     assert encoder.encode([plain]) == [np.array(want, "<u4").tobytes()]
 
 
+def test_a_batch_looks_up_each_different_piece_once():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+    encoder, library = bpe.Encoder(bpe.default_path()), Tokenizer.from_file(bpe.default_path())
+    encoder.kept = Counted()
+    texts = ["one two, three.\nfour " * 500] * 20
+    assert encoder.encode(texts) == [np.array(library.encode(texts[0], add_special_tokens=False).ids, "<u4").tobytes()] * 20
+    assert encoder.kept.asked < 20
+
+
+def test_arrays_of_any_form_cut_at_any_place(monkeypatch):
+    rng = random.Random(7)
+    parts = [*PARTS, "\u00a0", "\u2003", "\u3000", "\u200b", "\u1680", "é,", "×,", "÷.", "ª;", "ɏ!", "ɐ!", "ȿ-", "it's.", "don't", ",'s", "a,b", "-'ll", "٣.", "\n\u00a0", "\n\n\n", "\v", "\f"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) if rng.random() < 0.95 else None for _ in range(4000)]
+    texts += ["a <|endof", "text|> b", "", "<|endoftext|>", "\n", " a", "\n", "b"] * 3
+    library = Tokenizer.from_file(bpe.default_path())
+    want = [[*x.ids, 7] for x in library.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+    for size in (1, 500, 1 << 20):
+        monkeypatch.setattr(bpe, "GROUP_BYTES", size)
+        for array, first in ((pa.array(texts), 0), (pa.array(texts, pa.large_string()), 0), (pa.array(texts).slice(1001, 900), 1001)):
+            encoder, seen = bpe.Encoder(bpe.default_path()), 0
+            for at, ids, edges in encoder.encode_arrays(array, 7):
+                assert at == seen and edges[0] == 0 and edges[-1] == len(ids)
+                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                    assert ids[a:b].tolist() == want[first + seen]
+                    seen += 1
+            assert seen == len(array)
+    assert not list(encoder.encode_arrays(pa.array([], pa.string()), 7))
+    ((at, ids, edges),) = encoder.encode_arrays(pa.array([None, "", None], pa.string()), 7)
+    assert (at, ids.tolist(), edges.tolist()) == (0, [7, 7, 7], [0, 1, 2, 3])
+
+
 def test_a_split_of_another_kind_keeps_its_own_words(tmp_path):
     other = Tokenizer.from_file(bpe.default_path())
     other.normalizer = normalizers.Lowercase()
@@ -99,3 +136,13 @@ def test_simple8b_round_trip():
             first, last = int(offsets[1]), int(offsets[2])
             alone = token_file.decode(words[first:last], np.array([0, last - first]), min(token_file.BLOCK, len(values) - token_file.BLOCK))
             assert (alone[:100] == np.where(values >= 1 << 60, 0, values)[token_file.BLOCK :][:100]).all()
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 128])
+def test_stretches_of_blocks_decode_alike(monkeypatch, blocks):
+    monkeypatch.setattr(token_file, "BLOCKS", blocks)
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2047, 2048, 2049, 4096, 9001):
+        values = np.where(rng.random(n) < 0.5, 0, rng.integers(0, 1 << 17, n)).astype(np.uint64)
+        words, offsets, _ = token_file.encode(values)
+        assert (token_file.decode(words, offsets, n) == values).all()
